@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import listing_queries as lq
+from . import page_queries as pq
 from .oracle import listing_oracles
+from .oracle_pages import page_oracles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -31,10 +33,36 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "price_per_m2": lq.price_per_m2_q,
         "price_quantiles_approx": lq.price_quantiles_q,
         "upsert_insert_if_absent": lq.upsert_insert_if_absent,
+        "page_cards": pq.page_cards,
+        "page_listing_keys": pq.page_listing_keys,
+        "page_host_allowlist": pq.page_host_allowlist,
+        "page_title": pq.page_title,
+        "page_ad_text": pq.page_ad_text,
+        "page_detail_join": pq.page_detail_join,
+        "price_digits": pq.price_digits_q,
+        "price_digits_dotted": pq.price_digits_dotted_q,
+        "location_split": pq.location_split_q,
+        "type_from_title_a": pq.type_from_title_a,
+        "type_from_title_b": pq.type_from_title_b,
+        "type_from_title_c": pq.type_from_title_c,
+        "offer_from_text_a": pq.offer_from_text_a,
+        "offer_from_text_b": pq.offer_from_text_b,
+        "offer_from_text_c": pq.offer_from_text_c,
+        "first_integer": pq.first_integer_q,
+        "pattern_priority": pq.pattern_priority,
+        "wc_count": pq.wc_count,
+        "legal_doc_first": pq.legal_doc_first_q,
+        "legal_docs_all": pq.legal_docs_all_q,
+        "image_union": pq.image_union,
+        "api_flatten": pq.api_flatten,
+        "ajax_cards": pq.ajax_cards_q,
+        "source_union": pq.source_union,
+        "first_per_crawl": pq.first_per_crawl_q,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(listing_oracles())
+    out.update(page_oracles())
     return out
