@@ -54,19 +54,3 @@ def price_per_m2(latest: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_listings"),
                  F.round(F.avg(F.col("price") / F.col("square_footage").cast("double")), 2)
                   .alias("avg_price_m2")))
-
-
-def write_curated(latest: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The curated zone, partitioned by source for partition pruning."""
-    latest.write.mode(mode).partitionBy("source").parquet(path)
-
-
-def compact(spark, src_path: str, dst_path: str, target_files: int, partition_cols=()) -> None:
-    """Rewrite many small lake files into ``target_files`` files per
-    partition value (one shuffle on the partition columns when given)."""
-    df = spark.read.parquet(src_path)
-    if partition_cols:
-        out = df.repartition(target_files, *partition_cols)
-        out.write.mode("overwrite").partitionBy(*partition_cols).parquet(dst_path)
-    else:
-        df.repartition(target_files).write.mode("overwrite").parquet(dst_path)

@@ -222,4 +222,12 @@ def listing_oracles() -> dict[str, str]:
         "SELECT *, row_number() OVER (PARTITION BY listing_url ORDER BY scraped_at DESC) AS rn "
         "FROM clean WHERE scraped_at >= '1998-01-01') b WHERE rn = 1 AND NOT EXISTS ("
         "SELECT 1 FROM clean s WHERE s.scraped_at < '1998-01-01' AND s.listing_url = b.listing_url)")
+    stream_cols = ("listing_id, title, property_type, offer_type, description, bedrooms, "
+                   "CAST(square_footage AS DOUBLE) AS square_footage, wc_interne, legal_doc, price, address, "
+                   f"city, neighborhood, listing_url, {array_text('image_urls')} AS image_urls, source, scraped_at")
+    q["stream_to_lake"] = with_listings(f"SELECT {stream_cols} FROM clean")
+    distinct_urls = ("SELECT listing_url, source, CAST(1 AS BIGINT) AS n_rows FROM "
+                     "(SELECT DISTINCT listing_url, source FROM clean) d")
+    q["stream_batch_dedup"] = with_listings(distinct_urls)
+    q["stream_watermark_dedup"] = with_listings(distinct_urls)
     return q

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import listing_queries as lq
 from . import page_queries as pq
+from . import stream_queries as sq
 from .oracle import listing_oracles
 from .oracle_pages import page_oracles
 
@@ -58,6 +59,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ajax_cards": pq.ajax_cards_q,
         "source_union": pq.source_union,
         "first_per_crawl": pq.first_per_crawl_q,
+        "stream_to_lake": sq.stream_to_lake,
+        "stream_batch_dedup": sq.stream_batch_dedup,
+        "stream_watermark_dedup": sq.stream_watermark_dedup,
     }
 
 
