@@ -7,8 +7,9 @@ decimal/hex numeric entities below U+0100 are decoded JVM-side
 (``decode_entities_full`` is the Arrow-batched fallback for everything else).
 """
 
-from __future__ import annotations
+import html as _html
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from .patterns import URL_AUTHORITY, URL_PATH, URL_SCHEME
@@ -36,17 +37,19 @@ def decode_entities(x) -> Column:
     return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
-def decode_entities_full(x) -> Column:
-    """All HTML5 entities via ``html.unescape`` in an Arrow-batched pandas UDF."""
-    import html as _html
+_UNESCAPE = []
+
 
-    import pandas as pd
+def _unescape_series(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: None if v is None else _html.unescape(v))
 
-    @F.pandas_udf("string")
-    def _unescape(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else _html.unescape(v))
 
-    return _unescape(_c(x))
+def decode_entities_full(x) -> Column:
+    """All HTML5 entities via ``html.unescape`` in an Arrow-batched pandas UDF
+    (the slow path: only for text that holds entities beyond the fixed list)."""
+    if not _UNESCAPE:
+        _UNESCAPE.append(F.pandas_udf(_unescape_series, "string"))
+    return _UNESCAPE[0](_c(x))
 
 
 def strip_tags(x, sep: str = " ") -> Column:
@@ -134,7 +137,7 @@ def resolve_url(base, href) -> Column:
              .when(href.startswith("/"), F.concat(authority, href))
              .when(href.startswith("?"), F.concat(base_no_query, href))
              .when(href.startswith("#"), F.concat(base_no_frag, href))
-             .when(href == "", base_no_frag)
+             .when(href == "", base)
              .otherwise(F.concat(directory, href)))
 
 

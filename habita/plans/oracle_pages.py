@@ -47,7 +47,7 @@ def resolve(base, href):
             f"WHEN starts_with({href}, '/') THEN {auth} || {href} "
             f"WHEN starts_with({href}, '?') THEN regexp_extract({base}, '^([^?#]*)', 1) || {href} "
             f"WHEN starts_with({href}, '#') THEN regexp_extract({base}, '^([^#]*)', 1) || {href} "
-            f"WHEN {href} = '' THEN regexp_extract({base}, '^([^#]*)', 1) "
+            f"WHEN {href} = '' THEN {base} "
             f"ELSE {auth} || CASE WHEN contains({path}, '/') THEN regexp_extract({path}, '^(.*/)', 1) ELSE '/' END || {href} END")
 
 
