@@ -159,3 +159,52 @@ def host_allowed(url, domains) -> Column:
 def _re_escape(s: str) -> str:
     import re
     return re.escape(s)
+
+
+def opening_tag(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
+    """The first opening tag ``<tag ...>`` (optionally with a class containing
+    ``class_substring`` or equal to ``exact_class``)."""
+    if exact_class is not None:
+        cls = rf'\bclass="{_re_escape(exact_class)}"'
+    elif class_substring is not None:
+        cls = rf'\bclass="[^"]*{_re_escape(class_substring)}[^"]*"'
+    else:
+        cls = ""
+    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*{cls}[^>]*>", 0)
+
+
+def attr_of(opening, attr: str) -> Column:
+    """Attribute value of an opening tag text, NULL when absent."""
+    return F.nullif(F.regexp_extract(_c(opening), rf'(?is)\b{attr}="([^"]*)"', 1), F.lit(""))
+
+
+def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
+    """Inner HTML of the first matching element (up to its first closing tag)."""
+    if exact_class is not None:
+        cls = rf'\bclass="{_re_escape(exact_class)}"'
+    elif class_substring is not None:
+        cls = rf'\bclass="[^"]*{_re_escape(class_substring)}[^"]*"'
+    else:
+        cls = ""
+    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*{cls}[^>]*>(.*?)</{tag}>", 1)
+
+
+def has_element(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
+    return F.length(opening_tag(html, tag, class_substring, exact_class)) > 0
+
+
+def direct_text_nodes(inner) -> Column:
+    """``text()`` of an element: its own text nodes (children removed), in order."""
+    no_children = F.regexp_replace(_c(inner), r"(?s)<(\w+)\b[^>]*>.*?</\1>", "\u0002")
+    no_tags = F.regexp_replace(no_children, r"<[^>]*>", "\u0002")
+    return F.filter(F.split(no_tags, "\u0002"), lambda t: F.length(t) > 0)
+
+
+def first_direct_text(inner) -> Column:
+    """``text()`` + ``.get()``: the first own text node, NULL when none."""
+    return F.try_element_at(direct_text_nodes(inner), F.lit(1))
+
+
+def all_attrs(html, tag: str, attr: str) -> Column:
+    """Every ``attr`` value of ``tag`` elements, in document order."""
+    return F.regexp_extract_all(_c(html), F.lit(rf'(?is)<{tag}\b[^>]*\b{attr}="([^"]*)"'), 1)

@@ -89,9 +89,9 @@ def split_location(location_full) -> tuple[Column, Column]:
     loc = F.coalesce(_c(location_full), F.lit(""))
     parts = F.transform(F.split(loc, ","), lambda p: py_strip(p))
     has_comma = loc.contains(",")
-    last = F.element_at(parts, -1)
+    last = F.try_element_at(parts, F.lit(-1))
     city = F.when(has_comma,
-                  F.when(last.contains("Togo"), F.element_at(parts, -2)).otherwise(last)) \
+                  F.when(last.contains("Togo"), F.try_element_at(parts, F.lit(-2))).otherwise(last)) \
             .otherwise(loc)
-    hood = F.when(has_comma, F.element_at(parts, 1)).otherwise(F.lit(""))
+    hood = F.when(has_comma, F.try_element_at(parts, F.lit(1))).otherwise(F.lit(""))
     return hood, city
