@@ -42,10 +42,18 @@ def clean(spark: SparkSession, sf_dir: str, mode: str = "compat", keep=("msg_id"
                           keep=list(keep))
 
 
-def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def latest(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     """Cleaned listings, latest message per URL (processed_at dropped: it is
-    the per-batch instant and not part of the listing)."""
-    return latest_per_url(clean(spark, sf_dir, keep=()).drop("processed_at"))
+    the per-batch instant and not part of the listing).
+
+    ``cols`` prunes before the dedup: only those columns (plus the key and the
+    order column) cross the shuffle, and Catalyst narrows the JSON parse to
+    the fields still needed. Ties on scraped_at are broken by the kept columns.
+    """
+    c = clean(spark, sf_dir, keep=()).drop("processed_at")
+    if cols is not None:
+        c = c.select("listing_url", "scraped_at", *[x for x in cols if x not in ("listing_url", "scraped_at")])
+    return latest_per_url(c)
 
 
 def image_text(col: str = "image_urls"):

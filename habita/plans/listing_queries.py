@@ -15,9 +15,13 @@ from ..sources.wire import is_json_object
 from . import common
 
 
+MART_COLS = ["source", "property_type", "offer_type", "price", "bedrooms", "square_footage"]
+LOCATION_COLS = ["city", "neighborhood", "property_type", "offer_type", "price", "square_footage"]
+
+
 def flagship_market_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """wire -> parse -> compat clean -> latest per URL -> market summary."""
-    return market_summary(common.latest(spark, sf_dir))
+    return market_summary(common.latest(spark, sf_dir, MART_COLS))
 
 
 def wire_parse_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,16 +99,16 @@ def bedroom_outliers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_latest_per_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return common.latest(spark, sf_dir).select("listing_url", "listing_id", "scraped_at", "price",
-                                               "title", "offer_type")
+    return common.latest(spark, sf_dir, ["listing_id", "price", "title", "offer_type"]).select(
+        "listing_url", "listing_id", "scraped_at", "price", "title", "offer_type")
 
 
 def count_listings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_listings(common.latest(spark, sf_dir))
+    return count_listings(common.latest(spark, sf_dir, []))
 
 
 def distinct_sources_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_sources(common.latest(spark, sf_dir))
+    return distinct_sources(common.latest(spark, sf_dir, ["source"]))
 
 
 def image_urls_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,17 +118,17 @@ def image_urls_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return location_marts(common.latest(spark, sf_dir))
+    return location_marts(common.latest(spark, sf_dir, LOCATION_COLS))
 
 
 def price_per_m2_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return price_per_m2(common.latest(spark, sf_dir))
+    return price_per_m2(common.latest(spark, sf_dir, LOCATION_COLS))
 
 
 def price_quantiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate quartiles: no SQL oracle (different sketch); checked against
     exact quantiles within the sketch's error bound in the tests."""
-    return price_quantiles(common.latest(spark, sf_dir))
+    return price_quantiles(common.latest(spark, sf_dir, LOCATION_COLS))
 
 
 def upsert_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
