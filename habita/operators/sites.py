@@ -60,29 +60,39 @@ def intendance_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
     h4_href = F.nullif(F.regexp_extract(card, r'(?is)<h4\b[^>]*>\s*<a\b[^>]*\bhref="([^"]*)"', 1), F.lit(""))
     pl = opening_tag(card, "a", "property_listing")
-    href = F.coalesce(h4_href, attr_of(pl, "data-link"))
-    title_a = py_strip(_dec(F.regexp_extract(card, r"(?is)<h4\b[^>]*>\s*<a\b[^>]*>([^<]*)", 1)))
-    title = F.when(title_a != "", title_a).otherwise(F.coalesce(_dec(attr_of(pl, "data-modal-title")), F.lit("")))
-    price_txt = F.coalesce(first_direct_text(inner_of(card, "div", "listing_unit_price_wrapper")), F.lit("0"))
-    tags = F.regexp_extract_all(card, F.lit(r'(?is)<a\b[^>]*\brel="tag"[^>]*>([^<]*)'), 1)
-    room = first_direct_text(inner_of(card, "span", "inforoom"))
-    bath = first_direct_text(inner_of(card, "span", "infobath"))
     size = F.try_element_at(text_nodes(F.concat(F.lit(">"), inner_of(card, "span", "infosize"), F.lit("<"))), F.lit(1))
-    badge = F.coalesce(first_direct_text(inner_of(card, "div", "action_tag_wrapper")), F.lit(""))
-    url = resolve_url(F.col("url"), _dec(href))
-    return c.select(
-        "page_id", "pos", url.alias("listing_url"), title.alias("title"),
-        price_digits(_dec(price_txt)).alias("price"),
-        py_strip(_dec(all_text(F.concat(F.lit(">"), inner_of(card, "div", "property_location_image"), F.lit("<"))))).alias("address"),
-        F.coalesce(py_strip(_dec(F.try_element_at(tags, F.lit(1)))), F.lit("")).alias("neighborhood"),
-        F.coalesce(py_strip(_dec(F.try_element_at(tags, F.lit(2)))), F.lit(DEFAULT_CITY)).alias("city"),
-        N.type_from_title_a(title).alias("property_type"),
-        N.offer_from_badge_a(_dec(badge)).alias("offer_type"),
-        F.when(F.coalesce(room, F.lit("")) != "", digits_only(room)).alias("bedrooms"),
-        F.when(F.coalesce(bath, F.lit("")) != "", digits_only(bath)).alias("wc_interne"),
-        first_integer(size).alias("square_footage"),
-        _strip_or_empty(first_direct_text(inner_of(card, "div", "listing_details"))).alias("description"),
+    # stage 1: every selector is evaluated once
+    raw = c.select(
+        "page_id", "pos", "url",
+        F.coalesce(h4_href, attr_of(pl, "data-link")).alias("href"),
+        py_strip(_dec(F.regexp_extract(card, r"(?is)<h4\b[^>]*>\s*<a\b[^>]*>([^<]*)", 1))).alias("title_a"),
+        _dec(attr_of(pl, "data-modal-title")).alias("title_b"),
+        F.coalesce(first_direct_text(inner_of(card, "div", "listing_unit_price_wrapper")), F.lit("0")).alias("price_txt"),
+        F.regexp_extract_all(card, F.lit(r'(?is)<a\b[^>]*\brel="tag"[^>]*>([^<]*)'), 1).alias("tags"),
+        first_direct_text(inner_of(card, "span", "inforoom")).alias("room"),
+        first_direct_text(inner_of(card, "span", "infobath")).alias("bath"),
+        size.alias("size"),
+        F.coalesce(first_direct_text(inner_of(card, "div", "action_tag_wrapper")), F.lit("")).alias("badge"),
+        all_text(F.concat(F.lit(">"), inner_of(card, "div", "property_location_image"), F.lit("<"))).alias("loc"),
+        first_direct_text(inner_of(card, "div", "listing_details")).alias("details"),
         _img(card, "wp-post-image").alias("image_urls"),
+    )
+    title = F.when(F.col("title_a") != "", F.col("title_a")).otherwise(F.coalesce(F.col("title_b"), F.lit("")))
+    url = resolve_url(F.col("url"), _dec(F.col("href")))
+    t = raw.select("*", url.alias("listing_url"), title.alias("title"))
+    return t.select(
+        "page_id", "pos", "listing_url", "title",
+        price_digits(_dec(F.col("price_txt"))).alias("price"),
+        py_strip(_dec(F.col("loc"))).alias("address"),
+        F.coalesce(py_strip(_dec(F.try_element_at("tags", F.lit(1)))), F.lit("")).alias("neighborhood"),
+        F.coalesce(py_strip(_dec(F.try_element_at("tags", F.lit(2)))), F.lit(DEFAULT_CITY)).alias("city"),
+        N.type_from_title_a(F.col("title")).alias("property_type"),
+        N.offer_from_badge_a(_dec(F.col("badge"))).alias("offer_type"),
+        F.when(F.coalesce(F.col("room"), F.lit("")) != "", digits_only(F.col("room"))).alias("bedrooms"),
+        F.when(F.coalesce(F.col("bath"), F.lit("")) != "", digits_only(F.col("bath"))).alias("wc_interne"),
+        first_integer(F.col("size")).alias("square_footage"),
+        _strip_or_empty(F.col("details")).alias("description"),
+        "image_urls",
         F.lit(SOURCES["intendance"]).alias("source"), scraped_at.alias("scraped_at"),
         F.lit(LEGAL_UNSPECIFIED).alias("legal_doc"),
     ).where(F.col("listing_url").isNotNull() & (F.col("listing_url") != ""))
@@ -135,25 +145,30 @@ def intendance_merge(j: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- coinafrique
 def coinafrique_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
-    href = F.coalesce(attr_of(opening_tag(card, "a", "ad__card-image"), "href"),
-                      attr_of(opening_tag(card, "a", "card-image"), "href"))
+
     def p_a_text(cls):
         return py_strip(_dec(F.regexp_extract(
             card, rf'(?is)<p\b[^>]*\bclass="[^"]*{cls}[^"]*"[^>]*>\s*<a\b[^>]*>([^<]*)', 1)))
-    t1 = p_a_text("ad__card-description")
-    title = F.when(t1 != "", t1).otherwise(p_a_text("title"))
-    price_txt = F.coalesce(first_direct_text(inner_of(card, "p", "ad__card-price")), F.lit("0"))
-    loc = py_strip(_dec(F.regexp_extract(
-        card, r'(?is)<p\b[^>]*\bclass="[^"]*ad__card-location[^"]*"[^>]*>.*?<span\b[^>]*>([^<]*)', 1)))
-    hood, city = split_location(loc)
-    url = resolve_url(F.col("url"), _dec(href))
-    return c.select(
-        "page_id", "pos", url.alias("listing_url"), title.alias("title"),
-        price_digits(_dec(price_txt)).alias("price"), loc.alias("address"),
-        hood.alias("neighborhood"), city.alias("city"),
-        N.type_from_title_b(title).alias("property_type"),
-        N.offer_from_title_b(title).alias("offer_type"),
+    raw = c.select(
+        "page_id", "pos", "url",
+        F.coalesce(attr_of(opening_tag(card, "a", "ad__card-image"), "href"),
+                   attr_of(opening_tag(card, "a", "card-image"), "href")).alias("href"),
+        p_a_text("ad__card-description").alias("t1"), p_a_text("title").alias("t2"),
+        F.coalesce(first_direct_text(inner_of(card, "p", "ad__card-price")), F.lit("0")).alias("price_txt"),
+        py_strip(_dec(F.regexp_extract(
+            card, r'(?is)<p\b[^>]*\bclass="[^"]*ad__card-location[^"]*"[^>]*>.*?<span\b[^>]*>([^<]*)', 1))).alias("address"),
         _img(card, "ad__card-img").alias("image_urls"),
+    )
+    t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
+                   F.when(F.col("t1") != "", F.col("t1")).otherwise(F.col("t2")).alias("title"))
+    hood, city = split_location(F.col("address"))
+    return t.select(
+        "page_id", "pos", "listing_url", "title",
+        price_digits(_dec(F.col("price_txt"))).alias("price"), "address",
+        hood.alias("neighborhood"), city.alias("city"),
+        N.type_from_title_b(F.col("title")).alias("property_type"),
+        N.offer_from_title_b(F.col("title")).alias("offer_type"),
+        "image_urls",
         F.lit(SOURCES["coinafrique"]).alias("source"), scraped_at.alias("scraped_at"),
         _null().alias("description"), _null().alias("bedrooms"), _null().alias("square_footage"),
         _null().alias("wc_interne"), F.lit(LEGAL_UNSPECIFIED).alias("legal_doc"),
@@ -193,34 +208,42 @@ def coinafrique_merge(j: DataFrame) -> DataFrame:
 def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
     h3 = F.regexp_extract(card, r'(?is)<h3\b[^>]*\bclass="entry-title"[^>]*>(.*?)</h3>', 1)
-    href = F.coalesce(attr_of(opening_tag(h3, "a"), "href"),
-                      attr_of(opening_tag(card, "a", exact_class="epl-more-link"), "href"))
-    t1 = py_strip(_dec(F.coalesce(first_direct_text(inner_of(h3, "a")), F.lit(""))))
-    t2 = py_strip(_dec(F.coalesce(first_direct_text(h3), F.lit(""))))
-    title = F.when(t1 != "", t1).otherwise(t2)
     p1 = F.regexp_extract(card, r'(?is)<div\b[^>]*\bclass="price"[^>]*>\s*<span\b[^>]*>([^<]*)', 1)
     p2 = first_direct_text(inner_of(card, "span", exact_class="page-price sold-status"))
     p3 = first_direct_text(inner_of(card, "span", exact_class="page-price"))
-    price_txt = F.coalesce(F.nullif(p1, F.lit("")), p2, p3, F.lit(""))
-    hood = py_strip(_dec(F.coalesce(first_direct_text(inner_of(card, "span", exact_class="item-suburb")), F.lit(""))))
-    badge = F.coalesce(first_direct_text(inner_of(card, "span", "status-sticker")), F.lit(""))
+
     def icon(kind):
-        block = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="[^"]*epl-icon-container-{kind}[^"]*"[^>]*>(.*?<div\b[^>]*\bclass="icon-value"[^>]*>[^<]*)', 1)
-        v = first_direct_text(inner_of(F.concat(block, F.lit("</div>")), "div", exact_class="icon-value"))
-        return F.when(F.coalesce(v, F.lit("")) != "", py_strip(_dec(v)))
-    excerpt = F.coalesce(F.nullif(F.regexp_extract(
-        card, r'(?is)<div\b[^>]*\bclass="epl-excerpt-content"[^>]*>\s*<p\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))
-    url = resolve_url(F.col("url"), _dec(href))
-    return c.select(
-        "page_id", "pos", url.alias("listing_url"), title.alias("title"),
-        price_digits_dotted(_dec(price_txt)).alias("price"),
-        hood.alias("neighborhood"), F.lit(DEFAULT_CITY).alias("city"),
-        F.when(hood != "", F.concat(hood, F.lit(", " + DEFAULT_CITY))).otherwise(F.lit(DEFAULT_CITY)).alias("address"),
-        N.offer_from_badge_c(_dec(badge)).alias("offer_type"),
+        v = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="[^"]*epl-icon-container-{kind}[^"]*"[^>]*>.*?'
+                                   rf'<div\b[^>]*\bclass="icon-value"[^>]*>([^<]*)', 1)
+        return F.when(v != "", py_strip(_dec(v)))
+    stage1 = c.select("page_id", "pos", "url", card.alias("card"), h3.alias("h3"))
+    raw = stage1.select(
+        "page_id", "pos", "url",
+        F.coalesce(attr_of(opening_tag(F.col("h3"), "a"), "href"),
+                   attr_of(opening_tag(card, "a", exact_class="epl-more-link"), "href")).alias("href"),
+        py_strip(_dec(F.coalesce(first_direct_text(inner_of(F.col("h3"), "a")), F.lit("")))).alias("t1"),
+        py_strip(_dec(F.coalesce(first_direct_text(F.col("h3")), F.lit("")))).alias("t2"),
+        F.coalesce(F.nullif(p1, F.lit("")), p2, p3, F.lit("")).alias("price_txt"),
+        py_strip(_dec(F.coalesce(first_direct_text(inner_of(card, "span", exact_class="item-suburb")), F.lit("")))).alias("neighborhood"),
+        F.coalesce(first_direct_text(inner_of(card, "span", "status-sticker")), F.lit("")).alias("badge"),
         icon("bed").alias("bedrooms"), icon("bath").alias("wc_interne"),
-        N.type_from_title_c(title, _dec(excerpt)).alias("property_type"),
-        py_strip(_dec(excerpt)).alias("description"),
+        _dec(F.coalesce(F.nullif(F.regexp_extract(
+            card, r'(?is)<div\b[^>]*\bclass="epl-excerpt-content"[^>]*>\s*<p\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))).alias("excerpt"),
         _img(card, "wp-post-image").alias("image_urls"),
+    )
+    t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
+                   F.when(F.col("t1") != "", F.col("t1")).otherwise(F.col("t2")).alias("title"))
+    hood = F.col("neighborhood")
+    return t.select(
+        "page_id", "pos", "listing_url", "title",
+        price_digits_dotted(_dec(F.col("price_txt"))).alias("price"),
+        hood, F.lit(DEFAULT_CITY).alias("city"),
+        F.when(hood != "", F.concat(hood, F.lit(", " + DEFAULT_CITY))).otherwise(F.lit(DEFAULT_CITY)).alias("address"),
+        N.offer_from_badge_c(_dec(F.col("badge"))).alias("offer_type"),
+        "bedrooms", "wc_interne",
+        N.type_from_title_c(F.col("title"), F.col("excerpt")).alias("property_type"),
+        py_strip(F.col("excerpt")).alias("description"),
+        "image_urls",
         F.lit(SOURCES["igoe"]).alias("source"), scraped_at.alias("scraped_at"),
         F.lit("").alias("square_footage"), F.lit("").alias("legal_doc"),
     ).where(F.col("listing_url").isNotNull() & (F.col("listing_url") != ""))

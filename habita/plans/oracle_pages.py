@@ -216,3 +216,40 @@ def page_oracles() -> dict[str, str]:
         f"SELECT crawl, listing_url, page_id, pos, title FROM (SELECT *, row_number() OVER (PARTITION BY crawl, listing_url "
         f"ORDER BY page_id, pos) AS rn FROM (SELECT lower({host('url')}) AS crawl, * FROM ({link_cards_sql('pages')}) c) d) e WHERE rn = 1")
     return q
+
+
+def site_oracles() -> dict[str, str]:
+    from ..functions.normalise import TITLE_TYPES_A
+    from ..sources.site_pages import (BADGES, DETAIL_TYPES, SITE_CITIES, SITE_TITLES,
+                                      intendance_price_text)
+    k, c = "o_orderkey", "o_custkey"
+    title = f"{pick(SITE_TITLES, f'{k} // 2 % 6')} || ' ' || {s(c)}"
+    price_text = intendance_price_text().replace(" div ", " // ").replace("AS STRING", "AS VARCHAR")
+    e4 = (f"CASE WHEN regexp_matches(pt, {lit(f'[{PY_DIGIT}{PY_WS_CHARS}]')}) THEN "
+          f"regexp_replace(regexp_extract(pt, {lit(f'[{PY_DIGIT}{PY_WS_CHARS}]+')}, 0), {lit(PY_WS)}, '', 'g') ELSE '0' END")
+    hood = f"'Q' || {s(f'{c} % 7')}"
+    city = pick(SITE_CITIES, f"{c} % 3")
+    type_a = contains_chain("lower(title)", TITLE_TYPES_A, "Autre")
+    img = f"'https://img.example/' || {s(k)}"
+    q = {}
+    q["site_intendance_extract"] = (
+        f"SELECT listing_url, md5(listing_url) AS listing_id, title, {e4} AS price, address, neighborhood, city, "
+        f"CASE WHEN {type_a} = 'Autre' THEN {pick(DETAIL_TYPES, f'{k} % 3')} ELSE {type_a} END AS property_type, "
+        f"offer_type, bedrooms, wc_interne, square_footage, description, legal_doc, image_urls, source FROM ("
+        f"SELECT {k}, 'https://intendance.tg/annonce/' || {s(k)} || '-' || {s(c)} AS listing_url, {title} AS title, "
+        f"{price_text} AS pt, "
+        f"'Quartier ' || {s(f'{c} % 7')} || CASE WHEN {k} % 3 = 2 THEN '' ELSE '   ' || {hood} || ' ,  ' || {city} END AS address, "
+        f"CASE WHEN {k} % 3 = 2 THEN '' ELSE {hood} END AS neighborhood, "
+        f"CASE WHEN {k} % 3 = 2 THEN 'Lomé' ELSE {city} END AS city, "
+        f"{contains_chain(pick(BADGES, f'{k} % 4'), [('Location', 'Location'), ('Vente', 'Vente')], 'Inconnu')} AS offer_type, "
+        f"{s(f'CASE WHEN {k} % 4 <> 3 THEN {k} % 6 + 1 ELSE {k} % 5 + 1 END')} AS bedrooms, "
+        f"{s(f'CASE WHEN {k} % 5 <> 2 THEN {k} % 3 + 1 ELSE {k} % 2 + 1 END')} AS wc_interne, "
+        f"{s(f'CASE WHEN {k} % 7 <> 6 THEN 50 + {k} % 400 ELSE 100 + {k} % 500 END')} AS square_footage, "
+        f"CASE {k} % 3 WHEN 0 THEN 'Villa ' || {s(k)} || ' avec titre foncier. Jardin' "
+        f"WHEN 1 THEN 'Bien de ' || {s(f'60 + {k} % 90')} || ' m2 et permis de construire' "
+        f"ELSE 'Desc ' || {s(k)} || ' & co' END AS description, "
+        f"CASE {k} % 3 WHEN 0 THEN 'Titre foncier' WHEN 1 THEN 'Permis de construire' ELSE 'Non spécifié' END AS legal_doc, "
+        f"CASE WHEN {k} % 4 IN (0, 1) THEN '[' || {img} || '/c.jpg, ' || {img} || '/g.jpg]' "
+        f"WHEN {k} % 2 = 0 THEN '[' || {img} || '/c.jpg]' ELSE '[]' END AS image_urls, "
+        f"'intendance.tg' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) x")
+    return q

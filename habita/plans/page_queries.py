@@ -203,3 +203,17 @@ def first_per_crawl_q(spark, sf_dir):
     cards = link_cards(_pages(spark, sf_dir)).withColumn("crawl", F.lower(url_host(F.col("url"))))
     first = first_per_crawl(cards.select("crawl", "listing_url", "page_id", "pos", "title"), "crawl")
     return first.select("crawl", "listing_url", "page_id", "pos", "title")
+
+
+def site_intendance_extract(spark, sf_dir):
+    """Site rules E1-E26 + J1 + A5 over pages rendered from ``orders``."""
+    from ..operators.sites import extract_site
+    from ..sources.site_pages import intendance_pages
+    orders = common.spread(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice"), spark)
+    lists, details = intendance_pages(orders)
+    items = extract_site("intendance", lists, details, F.lit("1970-01-01T00:00:00"))
+    return items.select("listing_url", "listing_id", "title", "price", "address", "neighborhood", "city",
+                        "property_type", "offer_type", "bedrooms", "wc_interne", "square_footage",
+                        "description", "legal_doc", F.col("image_urls").cast("string").alias("image_urls"),
+                        "source")

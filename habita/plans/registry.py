@@ -10,7 +10,7 @@ from . import listing_queries as lq
 from . import page_queries as pq
 from . import stream_queries as sq
 from .oracle import listing_oracles
-from .oracle_pages import page_oracles
+from .oracle_pages import page_oracles, site_oracles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -59,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ajax_cards": pq.ajax_cards_q,
         "source_union": pq.source_union,
         "first_per_crawl": pq.first_per_crawl_q,
+        "site_intendance_extract": pq.site_intendance_extract,
         "stream_to_lake": sq.stream_to_lake,
         "stream_batch_dedup": sq.stream_batch_dedup,
         "stream_watermark_dedup": sq.stream_watermark_dedup,
@@ -69,4 +70,5 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(listing_oracles())
     out.update(page_oracles())
+    out.update(site_oracles())
     return out
