@@ -252,4 +252,72 @@ def site_oracles() -> dict[str, str]:
         f"CASE WHEN {k} % 4 IN (0, 1) THEN '[' || {img} || '/c.jpg, ' || {img} || '/g.jpg]' "
         f"WHEN {k} % 2 = 0 THEN '[' || {img} || '/c.jpg]' ELSE '[]' END AS image_urls, "
         f"'intendance.tg' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) x")
+    q.update(_coin_igoe_oracles(e4))
+    return q
+
+
+def _duck(expr: str) -> str:
+    return expr.replace(" div ", " // ").replace("AS STRING", "AS VARCHAR")
+
+
+def _coin_igoe_oracles(e4: str) -> dict[str, str]:
+    from ..functions.normalise import TITLE_TYPES_B, TITLE_TYPES_C
+    from ..sources.site_pages import (COIN_TITLES, IGOE_EXCERPTS, IGOE_STICKERS, IGOE_TITLES, NBSP,
+                                      _groups, intendance_price_text)
+    k, c = "o_orderkey", "o_custkey"
+    q = {}
+    title = f"{pick(COIN_TITLES, f'{k} // 2 % 6')} || ' ' || {s(c)}"
+    hood = f"'Q' || {s(f'{c} % 7')}"
+    low = "lower(title)"
+    offer_b = (f"CASE WHEN contains({low}, 'location') OR contains({low}, 'louer') THEN 'Location' "
+               f"WHEN contains({low}, 'vente') OR contains({low}, 'vendre') THEN 'Vente' ELSE 'Inconnu' END")
+    img = f"'https://img.example/' || {s(k)}"
+    q["site_coinafrique_extract"] = (
+        f"SELECT listing_url, md5(listing_url) AS listing_id, title, {e4} AS price, address, neighborhood, city, "
+        f"{contains_chain(low, TITLE_TYPES_B, 'Autre')} AS property_type, {offer_b} AS offer_type, "
+        f"bedrooms, wc_interne, square_footage, description, legal_doc, image_urls, source FROM ("
+        f"SELECT {k}, 'https://tg.coinafrique.com/annonce/immobilier/' || {s(k)} || '-' || {s(c)} AS listing_url, "
+        f"{title} AS title, {_duck(intendance_price_text())} AS pt, "
+        f"CASE {k} % 4 WHEN 0 THEN {hood} || ', Lomé, Togo' WHEN 1 THEN {hood} || ', Kara' WHEN 2 THEN 'Sokodé' "
+        f"ELSE 'Bè , Lomé , Maritime Togo' END AS address, "
+        f"CASE {k} % 4 WHEN 0 THEN {hood} WHEN 1 THEN {hood} WHEN 2 THEN '' ELSE 'Bè' END AS neighborhood, "
+        f"CASE {k} % 4 WHEN 0 THEN 'Lomé' WHEN 1 THEN 'Kara' WHEN 2 THEN 'Sokodé' ELSE 'Lomé' END AS city, "
+        f"{s(f'CASE WHEN {k} % 4 = 1 THEN {k} % 7 + 2 WHEN {k} % 4 = 0 THEN {k} % 5 + 1 END')} AS bedrooms, "
+        f"{s(f'CASE WHEN {k} % 4 = 0 THEN 50 + {k} % 300 WHEN {k} % 3 = 0 THEN 100 + {k} % 900 END')} AS square_footage, "
+        f"{s(f'CASE WHEN {k} % 4 = 0 THEN {k} % 3 + 1 WHEN {k} % 3 = 1 THEN {k} % 4 + 1 END')} AS wc_interne, "
+        f"CASE {k} % 4 WHEN 0 THEN 'Maison de ' || {s(f'{k} % 5 + 1')} || ' chambres, ' || {s(f'50 + {k} % 300')} || "
+        f"' m², ' || {s(f'{k} % 3 + 1')} || ' wc. Titre foncier et permis de construire' "
+        f"WHEN 1 THEN 'Bel espace de ' || {s(f'{k} % 7 + 2')} || ' pièces' WHEN 2 THEN 'Acte de vente disponible' ELSE '' END AS description, "
+        f"CASE {k} % 4 WHEN 0 THEN 'Titre foncier, Permis de construire' WHEN 2 THEN 'Acte de vente' ELSE 'Non spécifié' END AS legal_doc, "
+        f"CASE WHEN {k} % 2 = 0 AND {k} % 5 <> 1 THEN '[' || {img} || '/a.jpg]' ELSE '[]' END AS image_urls, "
+        f"'coinafrique' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) x")
+
+    t5 = "pt"
+    run = f"regexp_extract({t5}, {lit(f'[{PY_DIGIT}{PY_WS_CHARS}.]+')}, 0)"
+    e5 = f"COALESCE(NULLIF(replace(replace({run}, '.', ''), ' ', ''), ''), '0')"
+    ititle = f"{pick(IGOE_TITLES, f'{k} // 2 % 6')} || ' ' || {s(c)}"
+    price_text = (f"CASE {k} % 3 WHEN 0 THEN {_duck(_groups('.'))} || ' FCFA' "
+                  f"WHEN 1 THEN {_duck(_groups(NBSP))} || ' CFA' ELSE 'Vendu' END")
+    full = (f"CASE {k} % 3 WHEN 0 THEN 'Villa de standing. Acte de vente disponible' "
+            f"WHEN 1 THEN 'Titre foncier en cours' END")
+    from ..functions.normalise import LEGAL_KEYWORDS
+    q["site_igoe_extract"] = (
+        f"SELECT listing_url, md5(listing_url) AS listing_id, title, {e5} AS price, "
+        f"CASE WHEN neighborhood <> '' THEN neighborhood || ', Lomé' ELSE 'Lomé' END AS address, neighborhood, 'Lomé' AS city, "
+        f"{contains_chain(f'lower(title || {lit(chr(32))} || excerpt)', TITLE_TYPES_C, 'Autre')} AS property_type, "
+        f"{contains_chain('lower(sticker)', [('louer', 'Location'), ('vente', 'Vente')], 'Inconnu')} AS offer_type, "
+        f"bedrooms, wc_interne, square_footage, description, "
+        f"CASE WHEN description <> '' THEN {contains_chain('lower(description)', LEGAL_KEYWORDS, 'Non spécifié')} ELSE '' END AS legal_doc, "
+        f"image_urls, source FROM (SELECT *, CASE WHEN full_text IS NULL THEN excerpt WHEN excerpt <> '' THEN excerpt || ' ' || full_text "
+        f"ELSE full_text END AS description FROM ("
+        f"SELECT {k}, 'https://www.igoeimmobilier.com/property/' || {s(k)} || '-' || {s(c)} || '/' AS listing_url, "
+        f"{ititle} AS title, {price_text} AS pt, "
+        f"CASE WHEN {k} % 4 = 3 THEN '' ELSE {hood} END AS neighborhood, "
+        f"{pick(IGOE_STICKERS, f'{k} % 3')} AS sticker, {pick(IGOE_EXCERPTS, f'{k} % 4')} AS excerpt, {full} AS full_text, "
+        f"CASE WHEN {k} % 4 <> 2 THEN {s(f'{k} % 5 + 1')} END AS bedrooms, "
+        f"CASE WHEN {k} % 6 <> 5 THEN {s(f'{k} % 2 + 1')} END AS wc_interne, "
+        f"{s(f'CASE WHEN {k} % 2 = 0 THEN 100 + {k} % 500 ELSE 30 + {k} % 70 END')} AS square_footage, "
+        f"CASE WHEN {k} % 4 IN (0, 1) THEN '[' || {img} || '/i.jpg, ' || {img} || '/j.jpg]' "
+        f"WHEN {k} % 2 = 0 THEN '[' || {img} || '/i.jpg]' ELSE '[]' END AS image_urls, "
+        f"'igoeimmobilier' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) a) b")
     return q

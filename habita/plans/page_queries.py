@@ -205,15 +205,27 @@ def first_per_crawl_q(spark, sf_dir):
     return first.select("crawl", "listing_url", "page_id", "pos", "title")
 
 
-def site_intendance_extract(spark, sf_dir):
+def _site_extract(spark, sf_dir, site):
     """Site rules E1-E26 + J1 + A5 over pages rendered from ``orders``."""
     from ..operators.sites import extract_site
-    from ..sources.site_pages import intendance_pages
+    from ..sources import site_pages
     orders = common.spread(read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice"), spark)
-    lists, details = intendance_pages(orders)
-    items = extract_site("intendance", lists, details, F.lit("1970-01-01T00:00:00"))
+    lists, details = getattr(site_pages, f"{site}_pages")(orders)
+    items = extract_site(site, lists, details, F.lit("1970-01-01T00:00:00"))
     return items.select("listing_url", "listing_id", "title", "price", "address", "neighborhood", "city",
                         "property_type", "offer_type", "bedrooms", "wc_interne", "square_footage",
                         "description", "legal_doc", F.col("image_urls").cast("string").alias("image_urls"),
                         "source")
+
+
+def site_intendance_extract(spark, sf_dir):
+    return _site_extract(spark, sf_dir, "intendance")
+
+
+def site_coinafrique_extract(spark, sf_dir):
+    return _site_extract(spark, sf_dir, "coinafrique")
+
+
+def site_igoe_extract(spark, sf_dir):
+    return _site_extract(spark, sf_dir, "igoe")

@@ -60,6 +60,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_union": pq.source_union,
         "first_per_crawl": pq.first_per_crawl_q,
         "site_intendance_extract": pq.site_intendance_extract,
+        "site_coinafrique_extract": pq.site_coinafrique_extract,
+        "site_igoe_extract": pq.site_igoe_extract,
         "stream_to_lake": sq.stream_to_lake,
         "stream_batch_dedup": sq.stream_batch_dedup,
         "stream_watermark_dedup": sq.stream_watermark_dedup,

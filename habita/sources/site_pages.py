@@ -80,3 +80,79 @@ def intendance_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     detail_pages = orders.where(f"{k} % 11 <> 10").selectExpr(
         f"{k} AS page_id", f"'https://intendance.tg' || {path} AS url", f"'<html><body>' || {detail} || '</body></html>' AS html")
     return list_pages, detail_pages
+
+
+# Fixed values of the classifieds and agency pages.
+COIN_TITLES = ["Terrain à vendre", "Appartement meublé à louer", "Villa en location",
+               "Maison vente rapide", "Studio", "Immeuble commercial"]
+COIN_LOCATIONS = ["'Q' || CAST(o_custkey % 7 AS STRING) || ', Lomé, Togo'",
+                  "'Q' || CAST(o_custkey % 7 AS STRING) || ', Kara'",
+                  "'Sokodé'", "' Bè , Lomé , Maritime Togo '"]
+IGOE_TITLES = ["Villa meublée", "Appartement F4", "Maison basse", "Studio", "Terrain urbain", "Bureau"]
+IGOE_EXCERPTS = ["Belle villa avec jardin", "Appartement lumineux", "", "Terrain et studio"]
+IGOE_STICKERS = ["A Louer", "Vente", "Vendu"]
+
+
+def _list_pages(cards: DataFrame, url_prefix: str, head: str = "") -> DataFrame:
+    return (cards.groupBy("page_id")
+            .agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cs"))
+            .select("page_id", F.concat(F.lit(url_prefix), F.col("page_id")).alias("url"),
+                    F.concat(F.lit("<html><body>" + head), F.array_join(F.transform("cs", lambda s: s["card"]), ""),
+                             F.lit("</body></html>")).alias("html")))
+
+
+def coinafrique_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    k = "o_orderkey"
+    title = f"{_case(f'({k} div 2) % 6', COIN_TITLES)} || ' ' || CAST(o_custkey AS STRING)"
+    path = f"'/annonce/immobilier/' || CAST({k} AS STRING) || '-' || CAST(o_custkey AS STRING)"
+    img = f"CASE WHEN {k} % 2 = 0 THEN '<img class=\"ad__card-img\" src=\"https://img.example/' || CAST({k} AS STRING) || '/a.jpg\">' ELSE '' END"
+    link = (f"CASE WHEN {k} % 9 = 4 THEN '' WHEN {k} % 5 = 1 THEN '<a class=\"card-image\" href=\"' || {path} || '\"></a>' "
+            f"ELSE '<a class=\"card-image ad__card-image waves-block\" href=\"' || {path} || '\">' || {img} || '</a>' END")
+    heading = (f"CASE WHEN {k} % 5 = 1 THEN '<p class=\"title\"><a href=\"' || {path} || '\"> ' || {title} || ' </a></p>' "
+               f"ELSE '<p class=\"ad__card-description\"><a href=\"' || {path} || '\">' || {title} || '</a></p>' END")
+    loc = "CASE o_orderkey % 4 " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(COIN_LOCATIONS)) + " END"
+    card = (f"'<div class=\"col s6\"><div class=\"card ad__card round\">' || {link} || {heading} || "
+            f"'<p class=\"ad__card-price\">' || {intendance_price_text()} || '</p>' || "
+            f"'<p class=\"ad__card-location\"><span>' || {loc} || '</span></p></div></div>'")
+    cards = orders.selectExpr(f"{k} div {CARDS_PER_PAGE} AS page_id", f"{k} AS k", f"{card} AS card")
+    desc = (f"CASE {k} % 4 WHEN 0 THEN 'Maison de ' || CAST({k} % 5 + 1 AS STRING) || ' chambres, ' || CAST(50 + {k} % 300 AS STRING) || "
+            f"' m², ' || CAST({k} % 3 + 1 AS STRING) || ' wc. Titre foncier et permis de construire' "
+            f"WHEN 1 THEN 'Bel espace de ' || CAST({k} % 7 + 2 AS STRING) || ' pièces' "
+            f"WHEN 2 THEN 'Acte de vente disponible' ELSE '' END")
+    details = (f"CASE {k} % 3 WHEN 0 THEN 'Surface : ' || CAST(100 + {k} % 900 AS STRING) "
+               f"WHEN 1 THEN CAST({k} % 4 + 1 AS STRING) || ' toilettes' ELSE '' END")
+    detail_pages = orders.where(f"{k} % 11 <> 10").selectExpr(
+        f"{k} AS page_id", f"'https://tg.coinafrique.com' || {path} AS url",
+        f"'<html><body><div class=\"ad-description\"><p>' || {desc} || '</p></div><div class=\"details\"><span>' || "
+        f"{details} || '</span></div></body></html>' AS html")
+    return _list_pages(cards, "https://tg.coinafrique.com/categorie/immobilier?page="), detail_pages
+
+
+def igoe_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    k = "o_orderkey"
+    title = f"{_case(f'({k} div 2) % 6', IGOE_TITLES)} || ' ' || CAST(o_custkey AS STRING)"
+    url = f"'https://www.igoeimmobilier.com/property/' || CAST({k} AS STRING) || '-' || CAST(o_custkey AS STRING) || '/'"
+    head = (f"CASE WHEN {k} % 9 = 4 THEN '<h3 class=\"entry-title\">' || {title} || '</h3>' "
+            f"WHEN {k} % 5 = 1 THEN '<h3 class=\"entry-title\"> ' || {title} || ' </h3><a class=\"epl-more-link\" href=\"' || {url} || '\">Voir</a>' "
+            f"ELSE '<h3 class=\"entry-title\"><a href=\"' || {url} || '\">' || {title} || '</a></h3>' END")
+    price = (f"CASE {k} % 3 WHEN 0 THEN '<div class=\"price\"><span>' || {_groups('.')} || ' FCFA</span></div>' "
+             f"WHEN 1 THEN '<span class=\"page-price\">' || {_groups(NBSP)} || ' CFA</span>' "
+             f"ELSE '<span class=\"page-price sold-status\">Vendu</span>' END")
+    card = (f"'<div class=\"epl-listing-post epl-property-blog\">' || {head} || {price} || "
+            f"'<span class=\"item-suburb\">' || CASE WHEN {k} % 4 = 3 THEN '' ELSE 'Q' || CAST(o_custkey % 7 AS STRING) END || '</span>' || "
+            f"'<span class=\"status-sticker st\">' || {_case(f'{k} % 3', IGOE_STICKERS)} || '</span>' || "
+            f"CASE WHEN {k} % 4 <> 2 THEN '<div class=\"epl-icon-container-bed\"><div class=\"icon-value\"> ' || CAST({k} % 5 + 1 AS STRING) || ' </div></div>' ELSE '' END || "
+            f"CASE WHEN {k} % 6 <> 5 THEN '<div class=\"epl-icon-container-bath\"><div class=\"icon-value\">' || CAST({k} % 2 + 1 AS STRING) || '</div></div>' ELSE '' END || "
+            f"'<div class=\"epl-excerpt-content\"><p>' || {_case(f'{k} % 4', IGOE_EXCERPTS)} || '</p></div>' || "
+            f"CASE WHEN {k} % 2 = 0 THEN '<img class=\"wp-post-image\" src=\"https://img.example/' || CAST({k} AS STRING) || '/i.jpg\">' ELSE '' END || "
+            f"'</div>'")
+    cards = orders.selectExpr(f"{k} div {CARDS_PER_PAGE} AS page_id", f"{k} AS k", f"{card} AS card")
+    detail = (f"CASE {k} % 3 WHEN 0 THEN '<div class=\"entry-content\"><p>Villa de standing.</p><p>Acte de vente disponible</p></div>' "
+              f"WHEN 1 THEN '<div class=\"property-description\"><span>Titre foncier</span> en cours</div>' ELSE '' END || "
+              f"CASE WHEN {k} % 2 = 0 THEN '<ul><li>Surface : ' || CAST(100 + {k} % 500 AS STRING) || ' m²</li></ul>' "
+              f"ELSE '<div class=\"epl-icon-container-size\"><div class=\"icon-value\">' || CAST(30 + {k} % 70 AS STRING) || '</div></div>' END || "
+              f"CASE WHEN {k} % 4 IN (0, 1) THEN '<div class=\"property-gallery\"><img src=\"https://img.example/' || CAST({k} AS STRING) || "
+              f"'/i.jpg\"><img src=\"https://img.example/' || CAST({k} AS STRING) || '/j.jpg\"></div>' ELSE '' END")
+    detail_pages = orders.where(f"{k} % 11 <> 10").selectExpr(
+        f"{k} AS page_id", f"{url} AS url", f"'<html><body>' || {detail} || '</body></html>' AS html")
+    return _list_pages(cards, "https://www.igoeimmobilier.com/les-annonces/page/"), detail_pages
