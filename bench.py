@@ -24,6 +24,7 @@ HEADLINE = [
     "upsert_insert_if_absent",   # D1 keyed load plan
     "page_cards",                # HTML card extraction
     "page_detail_join",          # card ⨝ detail (J1)
+    "site_intendance_extract",   # per-site card + detail rules over rendered pages
     "api_flatten",               # nested JSON flatten
     "source_union",              # U1 + clean
     "stream_to_lake",            # micro-batches into the Parquet lake
@@ -65,6 +66,7 @@ def main() -> None:
             "wire_msgs_per_sec_clean": round(n_orders / times["clean_listings"], 1),
             "wire_msgs_per_sec_flagship": round(n_orders / times["flagship_market_summary"], 1),
             "pages_per_sec_cards": round(n_pages / times["page_cards"], 1),
+            "listings_per_sec_site_extract": round(n_orders / times["site_intendance_extract"], 1),
             "wire_msgs_per_sec_stream_to_lake": round(n_orders / times["stream_to_lake"], 1),
         },
         "runs": runs,

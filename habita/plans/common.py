@@ -18,8 +18,12 @@ def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     JSON work would then run on one core. At cluster scale the scan already
     has thousands of splits and this is a no-op, so no shuffle is added.
     """
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- sessions without RDD access: leave the plan as is
+        return df
+    if current < target:
         return df.repartition(target)
     return df
 
