@@ -11,7 +11,7 @@ from ..operators.dedup import insert_if_absent, latest_per_url
 from ..operators.marts import (count_listings, distinct_sources, location_marts,
                                market_summary, price_per_m2, price_quantiles)
 from ..session import read_table
-from ..sources.wire import is_json_object
+from ..sources.wire import is_json_object, parse_wire
 from . import common
 
 
@@ -75,21 +75,15 @@ def clean_listings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = common.wire(spark, sf_dir)
-    from ..sources.wire import parse_wire
-    p = parse_wire(w.withColumn("valid_json", is_json_object(F.col("value"))),
-                   keep=["valid_json"])
-    return reject_counts(p)
+    w = common.wire(spark, sf_dir).withColumn("valid_json", is_json_object(F.col("value")))
+    return reject_counts(parse_wire(w, keep=["valid_json"]))
 
 
 def digits_only_cleanup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 per distinct raw combination (with its message count)."""
     p = common.parsed(spark, sf_dir).where(F.col("listing_id").isNotNull())
-    out = digits_only_cleanup(p.withColumnRenamed("msg_id", "msg_id"))
-    return out.select(F.col("listing_url"), "bedrooms", "square_footage", "wc_interne",
-                      "bedrooms_digits", F.col("surface_digits").cast("double").alias("surface_digits"),
-                      "wc_digits").groupBy(*["listing_url", "bedrooms", "square_footage", "wc_interne",
-                                             "bedrooms_digits", "surface_digits", "wc_digits"]) \
-              .agg(F.count(F.lit(1)).alias("n_rows"))
+    out = digits_only_cleanup(p).withColumn("surface_digits", F.col("surface_digits").cast("double"))
+    return out.groupBy(*out.columns).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def bedroom_outliers_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,14 @@ def test_fanout_writes_both_sinks_once(spark):
     assert target.read(spark).count() == 2
     # both sinks got the same processed_at per batch
     assert lake.select("processed_at").distinct().count() == target.read(spark).select("processed_at").distinct().count()
+
+
+def test_console_echo_runs(spark, capsys):
+    from habita.sinks.feeds import console_echo
+    from habita.sources.wire import wire_stream
+    d = stage([[msg(1, "u1")]])
+    raw = wire_stream(spark, source="files", path=f"{d}/in")
+    q = console_echo(raw)
+    q.processAllAvailable()
+    q.stop()
+    assert q.lastProgress is None or q.lastProgress["numInputRows"] >= 0
