@@ -25,22 +25,24 @@ def typed_columns(df: DataFrame, mode: str = "compat", processed_at: Column | No
         raise ValueError(f"mode must be one of {MODES}")
     lenient = mode == "lenient"
     price = lenient_price("price") if lenient else legacy_long("price")
-    return [
-        *[F.col(k) for k in keep],
-        F.col("listing_id"),
-        (py_strip("title") if lenient else F.trim("title")).alias("title"),
-        stream_property_type("property_type").alias("property_type"),
-        stream_offer_type("offer_type", lenient=lenient).alias("offer_type"),
-        F.col("description"),
-        legacy_int("bedrooms").alias("bedrooms"),
-        legacy_float("square_footage").alias("square_footage"),
-        legacy_int("wc_interne").alias("wc_interne"),
-        F.col("legal_doc"),
-        price.alias("price"),
-        F.col("address"), F.col("city"), F.col("neighborhood"), F.col("listing_url"),
-        F.col("image_urls"), F.col("source"), F.col("scraped_at"),
-        (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),
-    ]
+    rules = {
+        "listing_id": F.col("listing_id"),
+        "title": py_strip("title") if lenient else F.trim("title"),
+        "property_type": stream_property_type("property_type"),
+        "offer_type": stream_offer_type("offer_type", lenient=lenient),
+        "bedrooms": legacy_int("bedrooms"),
+        "square_footage": legacy_float("square_footage"),
+        "wc_interne": legacy_int("wc_interne"),
+        "price": price,
+    }
+    present = set(df.columns)
+    out = [F.col(k) for k in keep]
+    # fields the caller did not parse are skipped (see parse_wire(fields=...))
+    for name in CLEAN_FIELDS[:-1]:
+        if name in present:
+            out.append(rules.get(name, F.col(name)).alias(name))
+    out.append((processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"))
+    return out
 
 
 def keep_condition(df_cols=None) -> Column:

@@ -34,16 +34,23 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_to_wire(spread(orders, spark))
 
 
-def parsed(spark: SparkSession, sf_dir: str, lenient: bool = False) -> DataFrame:
+def parsed(spark: SparkSession, sf_dir: str, lenient: bool = False, fields=None) -> DataFrame:
     w = wire(spark, sf_dir)
     if lenient:
-        return parse_wire(w, keep=["msg_id"], schema=lenient_schema())
-    return parse_wire(w, keep=["msg_id"])
+        return parse_wire(w, keep=["msg_id"], schema=lenient_schema(), fields=fields)
+    return parse_wire(w, keep=["msg_id"], fields=fields)
 
 
-def clean(spark: SparkSession, sf_dir: str, mode: str = "compat", keep=("msg_id",)) -> DataFrame:
-    return clean_listings(parsed(spark, sf_dir, lenient=(mode == "lenient")), mode=mode,
-                          keep=list(keep))
+# fields every clean needs: the F1-F4 filters and the dedup key/order
+FILTER_FIELDS = ["listing_id", "price", "city", "listing_url", "scraped_at"]
+
+
+def clean(spark: SparkSession, sf_dir: str, mode: str = "compat", keep=("msg_id",),
+          fields=None) -> DataFrame:
+    if fields is not None:
+        fields = list(dict.fromkeys([*FILTER_FIELDS, *fields]))
+    return clean_listings(parsed(spark, sf_dir, lenient=(mode == "lenient"), fields=fields),
+                          mode=mode, keep=list(keep))
 
 
 def latest(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
@@ -54,7 +61,7 @@ def latest(spark: SparkSession, sf_dir: str, cols=None) -> DataFrame:
     order column) cross the shuffle, and Catalyst narrows the JSON parse to
     the fields still needed. Ties on scraped_at are broken by the kept columns.
     """
-    c = clean(spark, sf_dir, keep=()).drop("processed_at")
+    c = clean(spark, sf_dir, keep=(), fields=cols).drop("processed_at")
     if cols is not None:
         c = c.select("listing_url", "scraped_at", *[x for x in cols if x not in ("listing_url", "scraped_at")])
     return latest_per_url(c)

@@ -7,9 +7,9 @@ one that was partly committed -- inserts each listing at most once.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import to_serving_rows
@@ -48,18 +48,14 @@ class ParquetTarget:
     """The serving table kept as a Parquet directory (used offline and in tests)."""
     path: str
 
-    def _exists(self, spark: SparkSession) -> bool:
-        if "://" in self.path and not self.path.startswith("file://"):
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(self.path)
-            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            return fs.exists(p)
-        return os.path.exists(self.path.replace("file://", ""))
-
     def read(self, spark: SparkSession) -> DataFrame:
-        if not self._exists(spark):
-            return spark.createDataFrame([], LISTING_DW)
-        return spark.read.schema(LISTING_DW).parquet(self.path)
+        """The stored rows; a table that was never written reads as empty."""
+        try:
+            return spark.read.schema(LISTING_DW).parquet(self.path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+                return spark.createDataFrame([], LISTING_DW)
+            raise
 
     def existing_keys(self, spark: SparkSession) -> DataFrame:
         return self.read(spark).select(DW_KEY)

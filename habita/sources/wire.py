@@ -15,7 +15,7 @@ def lenient_schema() -> T.StructType:
 
 
 def parse_wire(df: DataFrame, value_col: str = "value", *, keep=(),
-               schema: T.StructType = LISTING_RAW) -> DataFrame:
+               schema: T.StructType = LISTING_RAW, fields=None) -> DataFrame:
     """S2+S3+P1: decode and parse permissively; flatten to the wire fields.
 
     Malformed text, a top-level array or an empty string gives an all-NULL row;
@@ -24,8 +24,13 @@ def parse_wire(df: DataFrame, value_col: str = "value", *, keep=(),
     ``inline(array(from_json(...)))`` makes the parse a Generate node: filters
     written later are not pushed below it, so each message is parsed exactly
     once (a plain ``select("data.*")`` lets Catalyst copy ``from_json`` into
-    every pushed-down predicate).
+    every pushed-down predicate). Because the Generate also hides the parse
+    from Catalyst's JSON schema pruning, callers that need only some fields
+    pass ``fields``: the parser then materialises just those.
     """
+    if fields is not None:
+        wanted = set(fields)
+        schema = T.StructType([f for f in schema.fields if f.name in wanted])
     value = F.col(value_col).cast("string")
     parsed = F.inline(F.array(F.from_json(value, schema)))
     return df.select(*keep, parsed)
