@@ -54,14 +54,22 @@ def start_warehouse(clean: DataFrame, target, checkpoint: str, *, trigger: dict
 
 
 def start_fanout(clean: DataFrame, lake_path: str, target, checkpoint: str, *,
-                 trigger: dict | None = None, on_error: str = "fail") -> StreamingQuery:
+                 trigger: dict | None = None, on_error: str = "fail",
+                 fail_after_lake=None) -> StreamingQuery:
     """T9, recommended form: one query reads and parses each batch once and
-    writes both sinks, so both get the same rows and the same processed_at."""
+    writes both sinks, so both get the same rows and the same processed_at.
+
+    Replays are harmless: each micro-batch overwrites its own ``batch_id=N``
+    directory of the lake (the batch id is stable across restarts), and the
+    serving table is loaded insert-if-absent by key. ``fail_after_lake`` is a
+    test hook that raises between the two writes.
+    """
     def _batch(df: DataFrame, batch_id: int) -> None:
         df.persist()
         try:
-            # lake first (append; Spark's commit protocol makes it atomic per job)
-            df.write.mode("append").parquet(lake_path)
+            df.write.mode("overwrite").parquet(f"{lake_path}/batch_id={batch_id}")
+            if fail_after_lake is not None:
+                fail_after_lake(batch_id)
             load_batch(df, target, batch_id=batch_id, on_error=on_error)
         finally:
             df.unpersist()
