@@ -5,8 +5,6 @@ Each follows one source's rule exactly (first match wins, in the stated order).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 

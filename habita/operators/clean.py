@@ -45,7 +45,7 @@ def typed_columns(df: DataFrame, mode: str = "compat", processed_at: Column | No
     return out
 
 
-def keep_condition(df_cols=None) -> Column:
+def keep_condition() -> Column:
     """F1-F4 as one predicate (Catalyst would merge them anyway)."""
     return (F.col("listing_id").isNotNull() & F.col("price").isNotNull()
             & (F.col("price") > 0) & F.col("city").isNotNull())

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import normalise as N
-from ..functions.html import (all_attrs, all_text, attr_of, class_block, decode_entities,
-                              direct_text_nodes, first_direct_text, has_element, inner_of,
-                              join_stripped, opening_tag, resolve_url, text_nodes)
+from ..functions.html import (all_attrs, all_text, attr_of, decode_entities, first_direct_text,
+                              inner_of, join_stripped, opening_tag, resolve_url, split_cards,
+                              text_nodes)
 from ..functions.text import (digits_only, first_integer, price_digits, price_digits_dotted,
                               py_strip, rooms_from_text, split_location, surface_from_text,
                               wc_from_text)
@@ -50,7 +50,6 @@ def _img(card: Column, cls: str) -> Column:
 
 def cards(pages: DataFrame, site: str) -> DataFrame:
     """S5 for one site: (page_id, url, pos, card)."""
-    from ..functions.html import split_cards
     return pages.select("page_id", "url", F.posexplode(split_cards(F.col("html"), CARD_MARKERS[site]))
                         .alias("pos", "card"))
 
