@@ -30,11 +30,38 @@ NAMED_ENTITIES = [
 ]
 
 
+# Entities whose decoded character is markup-significant; all others can be
+# decoded on raw HTML without changing its structure (and cannot create '&').
+MARKUP_ENTITIES = {"&lt;", "&gt;", "&quot;", "&#39;", "&apos;"}
+
+
 def decode_entities(x) -> Column:
-    out = _c(x)
+    """Decode the fixed entity list; text without '&' is returned after one scan."""
+    x = _c(x)
+    out = x
     for ent, ch in NAMED_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    return F.when(x.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(x)
+
+
+def decode_text_entities(html) -> Column:
+    """Page-level pre-pass: decode the markup-neutral entities of the list
+    once on raw HTML; ``decode_markup_entities`` then finishes each field.
+    The two together equal ``decode_entities`` on every extracted field."""
+    out = _c(html)
+    for ent, ch in NAMED_ENTITIES:
+        if ent not in MARKUP_ENTITIES:
+            out = F.replace(out, F.lit(ent), F.lit(ch))
+    return out
+
+
+def decode_markup_entities(x) -> Column:
+    x = _c(x)
+    out = x
+    for ent, ch in NAMED_ENTITIES:
+        if ent in MARKUP_ENTITIES:
+            out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(x.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(x)
 
 
 _UNESCAPE = []

@@ -13,6 +13,11 @@ PY_WS = f"[{PY_WS_CHARS}]"
 PY_DIGIT = r"\p{Nd}"
 PY_NON_DIGIT = r"\P{Nd}"
 
+# The same set as a plain string of characters (for btrim).
+PY_WS_STRING = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                + "".join(chr(c) for c in range(0x2000, 0x200B))
+                + "\u2028\u2029\u202f\u205f\u3000")
+
 # Leading/trailing whitespace as Python's strip() removes it.
 PY_STRIP = f"^{PY_WS}+|{PY_WS}+$"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .patterns import PY_DIGIT, PY_NON_DIGIT, PY_STRIP, PY_WS, PY_WS_CHARS
+from .patterns import PY_DIGIT, PY_NON_DIGIT, PY_WS, PY_WS_CHARS, PY_WS_STRING
 
 
 def _c(x) -> Column:
@@ -14,8 +14,8 @@ def _c(x) -> Column:
 
 def py_strip(x) -> Column:
     """Python ``str.strip()``: removes Unicode whitespace (Spark ``trim`` only
-    removes U+0020)."""
-    return F.regexp_replace(_c(x), PY_STRIP, "")
+    removes U+0020); ``btrim`` with the explicit character set, no regex."""
+    return F.btrim(_c(x), F.lit(PY_WS_STRING))
 
 
 def blank_to_null(x) -> Column:

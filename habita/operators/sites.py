@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import normalise as N
-from ..functions.html import (all_attrs, all_text, attr_of, decode_entities, first_direct_text,
+from ..functions.html import (all_attrs, all_text, attr_of, decode_markup_entities,
+                              decode_text_entities, first_direct_text,
                               inner_of, join_stripped, opening_tag, resolve_url, split_cards,
                               text_nodes)
 from ..functions.text import (digits_only, first_integer, price_digits, price_digits_dotted,
@@ -36,7 +37,8 @@ def _null() -> Column:
 
 
 def _dec(x: Column) -> Column:
-    return decode_entities(x)
+    # the page HTML was pre-decoded by decode_text_entities (see cards/details)
+    return decode_markup_entities(x)
 
 
 def _strip_or_empty(x: Column) -> Column:
@@ -50,7 +52,8 @@ def _img(card: Column, cls: str) -> Column:
 
 def cards(pages: DataFrame, site: str) -> DataFrame:
     """S5 for one site: (page_id, url, pos, card)."""
-    return pages.select("page_id", "url", F.posexplode(split_cards(F.col("html"), CARD_MARKERS[site]))
+    html = decode_text_entities(F.col("html"))
+    return pages.select("page_id", "url", F.posexplode(split_cards(html, CARD_MARKERS[site]))
                         .alias("pos", "card"))
 
 
@@ -301,6 +304,6 @@ def extract_site(site: str, list_pages: DataFrame, detail_pages: DataFrame,
     ts = scraped_at if scraped_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     c = card_rule(cards(list_pages, site), ts)
     c1 = pick_per_key(c, "listing_url", ["page_id", "pos"], largest=False).drop("page_id", "pos")
-    d = detail_rule(detail_pages)
+    d = detail_rule(detail_pages.withColumn("html", decode_text_entities(F.col("html"))))
     d1 = pick_per_key(d, "listing_url", ["page_id"], largest=False).drop("page_id")
     return merge(c1.join(d1, "listing_url", how))

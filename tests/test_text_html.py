@@ -111,3 +111,14 @@ def test_host_allow_list(spark):
             "https://intendance.tg.evil.com/", "not a url"]
     got = col(spark, urls, lambda c: host_allowed(c, ["intendance.tg"]))
     assert got == [True, True, False, False, False]
+
+
+def test_split_entity_decoding_equals_full(spark):
+    from habita.functions.html import decode_markup_entities, decode_text_entities
+    texts = ["&amp;nbsp;", "&amp;lt;b&amp;gt;", "a&nbsp;&lt;b&gt; &eacute;t&eacute;", "&amp;amp;",
+             "&quot;x&quot; &copy; 2024 &middot; &sup2;", "no entity", "&", None]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = df.select(decode_entities("x").alias("a"),
+                    decode_markup_entities(decode_text_entities("x")).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+    assert got[0]["a"] == "&nbsp;" and got[1]["a"] == "&lt;b&gt;"
