@@ -41,22 +41,25 @@ def first_per_crawl(df: DataFrame, crawl_col: str, key: str = "listing_url",
 
 
 def existing_conflicts(existing_keys: DataFrame, batch_keys: DataFrame, key: str,
-                       broadcast_batch: bool) -> DataFrame:
+                       broadcast_batch: bool, bucket_col: str | None = None) -> DataFrame:
     """Keys of the batch that are already stored.
 
     The stored side is only scanned for its key column; the batch keys are
     broadcast when the caller has checked their size, otherwise both sides
     shuffle on the key (AQE may still switch to a broadcast at run time).
+    With ``bucket_col`` (a store partitioned by key bucket) the join includes
+    the bucket, so dynamic partition pruning skips buckets the batch lacks.
     """
-    bk = batch_keys.select(key).distinct()
+    cols = [bucket_col, key] if bucket_col else [key]
+    bk = batch_keys.select(*cols).distinct()
     if broadcast_batch:
         bk = F.broadcast(bk)
-    return existing_keys.select(key).join(bk, key, "left_semi")
+    return existing_keys.select(*cols).join(bk, cols, "left_semi")
 
 
 def insert_if_absent(batch: DataFrame, existing_keys: DataFrame, key: str = "listing_url",
                      *, batch_rows: int | None = None, broadcast_limit: int = 2_000_000,
-                     order: str = "scraped_at") -> DataFrame:
+                     order: str = "scraped_at", bucket_col: str | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not stored yet, one row per key.
 
     Plan: dedup the batch (A1) -> find the batch keys already present with a
@@ -68,10 +71,10 @@ def insert_if_absent(batch: DataFrame, existing_keys: DataFrame, key: str = "lis
     """
     deduped = latest_per_url(batch, key, order) if order in batch.columns else batch.dropDuplicates([key])
     small = batch_rows is not None and batch_rows <= broadcast_limit
-    conflicts = existing_conflicts(existing_keys, deduped, key, small)
+    conflicts = existing_conflicts(existing_keys, deduped, key, small, bucket_col)
     if small:
         conflicts = F.broadcast(conflicts)
-    return deduped.join(conflicts, key, "left_anti")
+    return deduped.join(conflicts, [bucket_col, key] if bucket_col else key, "left_anti")
 
 
 def upsert_latest(existing: DataFrame, batch: DataFrame, key: str = "listing_url",
