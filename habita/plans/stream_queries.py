@@ -19,8 +19,9 @@ FILES_PER_TRIGGER = 2
 DRAIN = {"availableNow": True}
 # the crawl history spans under ten years: a URL re-sent within it is a copy
 WATERMARK_DELAY = "3650 days"
-# serving table partitioned by key bucket: conflict checks prune to the batch's buckets
-KEY_BUCKETS = 64
+# serving table partitioned by key bucket: conflict checks prune to the batch's
+# buckets (size the count to the table: ~1 GB of stored rows per bucket)
+KEY_BUCKETS = 16
 
 
 def _stage(spark: SparkSession, sf_dir: str, name: str) -> str:
