@@ -24,8 +24,10 @@ def stage(lines_per_file):
     d = tempfile.mkdtemp(prefix="habita-test-")
     os.makedirs(f"{d}/in")
     for n, lines in enumerate(lines_per_file):
-        with open(f"{d}/in/part-{n:03d}.txt", "w") as f:
+        path = f"{d}/in/part-{n:03d}.txt"
+        with open(path, "w") as f:
             f.write("\n".join(lines) + "\n")
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))   # the file source orders by mtime
     return d
 
 
@@ -163,3 +165,25 @@ def test_bucketed_store_prunes_buckets(spark):
     plan_df.count()
     plan = plan_df._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_watermark_dedup_drops_copies_within_delay_only(spark):
+    from habita.streaming.job import watermark_dedup
+    # state expiry is applied at the end of a micro-batch with the watermark of
+    # the previous one, so the re-sent u1 arrives two batches after the jump
+    d = stage([[msg(1, "u1", at="2024-01-01T00:00:00"), msg(2, "u1", at="2024-01-01T01:00:00")],
+               [msg(3, "u2", at="2024-03-01T00:00:00")],
+               [msg(5, "u3", at="2024-03-05T00:00:00")],
+               [msg(4, "u1", at="2024-03-06T00:00:00")]])     # u1 again, after its state expired
+    s = watermark_dedup(clean_stream(spark, source="files", path=f"{d}/in", max_per_trigger=1), "1 day")
+    start_lake(s.drop("event_time"), f"{d}/lake", f"{d}/ckpt", trigger=DRAIN).awaitTermination()
+    got = sorted((r["listing_url"], r["listing_id"]) for r in spark.read.parquet(f"{d}/lake").collect())
+    assert got == [("u1", "id1"), ("u1", "id4"), ("u2", "id3"), ("u3", "id5")]
+
+
+def test_lenient_stream_accepts_quoted_price(spark):
+    d = stage([[msg(1, "u1"), '{"listing_id":"q","price":"15000","city":"x","listing_url":"u9"}']])
+    for mode, n in (("compat", 1), ("lenient", 2)):
+        start_lake(clean_stream(spark, mode=mode, source="files", path=f"{d}/in"), f"{d}/lake-{mode}",
+                   f"{d}/ckpt-{mode}", trigger=DRAIN).awaitTermination()
+        assert spark.read.parquet(f"{d}/lake-{mode}").count() == n
