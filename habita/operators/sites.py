@@ -25,6 +25,32 @@ from .extract import image_merge
 SOURCES = {"intendance": "intendance.tg", "coinafrique": "coinafrique", "igoe": "igoeimmobilier"}
 DEFAULT_CITY = "Lomé"
 LEGAL_UNSPECIFIED = "Non spécifié"
+
+# The markup each site uses (class names, ids, row labels).
+INTENDANCE = {
+    "link": "property_listing", "link_url_attr": "data-link", "link_title_attr": "data-modal-title",
+    "price": "listing_unit_price_wrapper", "location": "property_location_image",
+    "badge": "action_tag_wrapper", "rooms": "inforoom", "baths": "infobath", "size": "infosize",
+    "details": "listing_details", "image": "wp-post-image",
+    "description_id": "description", "description_alt": "property_description",
+    "surface_rows": ["Surface", "Superficie"], "room_rows": ["Chambres", "Pièces"],
+    "bath_rows": ["Salle de bain", "Douche"], "type_rows": ["Type"], "gallery": "owl-carousel",
+}
+COINAFRIQUE = {
+    "link": "ad__card-image", "link_alt": "card-image", "title": "ad__card-description",
+    "title_alt": "title", "price": "ad__card-price", "location": "ad__card-location",
+    "image": "ad__card-img", "description": "description", "description_alt": "ad-description",
+    "details": "details",
+}
+IGOE = {
+    "title": "entry-title", "link_alt": "epl-more-link", "price": "price",
+    "price_sold": "page-price sold-status", "price_alt": "page-price", "suburb": "item-suburb",
+    "badge": "status-sticker", "beds": "epl-icon-container-bed", "baths": "epl-icon-container-bath",
+    "icon_value": "icon-value", "excerpt": "epl-excerpt-content", "image": "wp-post-image",
+    "content": "entry-content", "description_alt": "property-description",
+    "surface_rows": ["Surface", "superficie"], "size": "epl-icon-container-size",
+    "gallery": "property-gallery",
+}
 CARD_MARKERS = {
     "intendance": r'<div\b[^>]*\bclass="[^"]*listing_wrapper',
     "coinafrique": r'<div\b[^>]*\bclass="[^"]*ad__card(?![-\w])',
@@ -61,23 +87,23 @@ def cards(pages: DataFrame, site: str) -> DataFrame:
 def intendance_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
     h4_href = F.nullif(F.regexp_extract(card, r'(?is)<h4\b[^>]*>\s*<a\b[^>]*\bhref="([^"]*)"', 1), F.lit(""))
-    pl = opening_tag(card, "a", "property_listing")
-    size = F.try_element_at(text_nodes(F.concat(F.lit(">"), inner_of(card, "span", "infosize"), F.lit("<"))), F.lit(1))
+    pl = opening_tag(card, "a", INTENDANCE["link"])
+    size = F.try_element_at(text_nodes(F.concat(F.lit(">"), inner_of(card, "span", INTENDANCE["size"]), F.lit("<"))), F.lit(1))
     # stage 1: every selector is evaluated once
     raw = c.select(
         "page_id", "pos", "url",
-        F.coalesce(h4_href, attr_of(pl, "data-link")).alias("href"),
+        F.coalesce(h4_href, attr_of(pl, INTENDANCE["link_url_attr"])).alias("href"),
         py_strip(_dec(F.regexp_extract(card, r"(?is)<h4\b[^>]*>\s*<a\b[^>]*>([^<]*)", 1))).alias("title_a"),
-        _dec(attr_of(pl, "data-modal-title")).alias("title_b"),
-        F.coalesce(first_direct_text(inner_of(card, "div", "listing_unit_price_wrapper")), F.lit("0")).alias("price_txt"),
+        _dec(attr_of(pl, INTENDANCE["link_title_attr"])).alias("title_b"),
+        F.coalesce(first_direct_text(inner_of(card, "div", INTENDANCE["price"])), F.lit("0")).alias("price_txt"),
         F.regexp_extract_all(card, F.lit(r'(?is)<a\b[^>]*\brel="tag"[^>]*>([^<]*)'), 1).alias("tags"),
-        first_direct_text(inner_of(card, "span", "inforoom")).alias("room"),
-        first_direct_text(inner_of(card, "span", "infobath")).alias("bath"),
+        first_direct_text(inner_of(card, "span", INTENDANCE["rooms"])).alias("room"),
+        first_direct_text(inner_of(card, "span", INTENDANCE["baths"])).alias("bath"),
         size.alias("size"),
-        F.coalesce(first_direct_text(inner_of(card, "div", "action_tag_wrapper")), F.lit("")).alias("badge"),
-        all_text(F.concat(F.lit(">"), inner_of(card, "div", "property_location_image"), F.lit("<"))).alias("loc"),
-        first_direct_text(inner_of(card, "div", "listing_details")).alias("details"),
-        _img(card, "wp-post-image").alias("image_urls"),
+        F.coalesce(first_direct_text(inner_of(card, "div", INTENDANCE["badge"])), F.lit("")).alias("badge"),
+        all_text(F.concat(F.lit(">"), inner_of(card, "div", INTENDANCE["location"]), F.lit("<"))).alias("loc"),
+        first_direct_text(inner_of(card, "div", INTENDANCE["details"])).alias("details"),
+        _img(card, INTENDANCE["image"]).alias("image_urls"),
     )
     title = F.when(F.col("title_a") != "", F.col("title_a")).otherwise(F.coalesce(F.col("title_b"), F.lit("")))
     url = resolve_url(F.col("url"), _dec(F.col("href")))
@@ -108,20 +134,20 @@ def _li_after(html: Column, words) -> Column:
 
 def intendance_detail(d: DataFrame) -> DataFrame:
     h = F.col("html")
-    desc_div = F.regexp_extract(h, r'(?is)<div\b[^>]*\bid="description"[^>]*>(.*?)</div>', 1)
+    desc_div = F.regexp_extract(h, rf'(?is)<div\b[^>]*\bid="{INTENDANCE["description_id"]}"[^>]*>(.*?)</div>', 1)
     paras = F.regexp_extract_all(desc_div, F.lit(r"(?is)<p\b[^>]*>([^<]*)"), 1)
-    alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", "property_description"), F.lit("<")))
+    alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", INTENDANCE["description_alt"]), F.lit("<")))
     chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
-    surface_txt = F.coalesce(_li_after(h, ["Surface", "Superficie"]),
-                             F.nullif(F.regexp_extract(h, r"(?is)<strong\b[^>]*>[^<]*Surface[^<]*</strong>([^<]*)", 1), F.lit("")))
-    carousel = inner_of(h, "div", "owl-carousel")
+    surface_txt = F.coalesce(_li_after(h, INTENDANCE["surface_rows"]),
+                             F.nullif(F.regexp_extract(h, rf"(?is)<strong\b[^>]*>[^<]*{INTENDANCE['surface_rows'][0]}[^<]*</strong>([^<]*)", 1), F.lit("")))
+    carousel = inner_of(h, "div", INTENDANCE["gallery"])
     return d.select(
         "page_id", F.col("url").alias("listing_url"),
         F.when(F.size(chosen) > 0, _dec(join_stripped(chosen))).alias("d_description"),
         first_integer(surface_txt).alias("d_surface"),
-        first_integer(_li_after(h, ["Chambres", "Pièces"])).alias("d_rooms"),
-        first_integer(_li_after(h, ["Salle de bain", "Douche"])).alias("d_baths"),
-        py_strip(_dec(_li_after(h, ["Type"]))).alias("d_type"),
+        first_integer(_li_after(h, INTENDANCE["room_rows"])).alias("d_rooms"),
+        first_integer(_li_after(h, INTENDANCE["bath_rows"])).alias("d_baths"),
+        py_strip(_dec(_li_after(h, INTENDANCE["type_rows"]))).alias("d_type"),
         all_attrs(carousel, "img", "src").alias("d_images"),
     )
 
@@ -153,13 +179,13 @@ def coinafrique_card(c: DataFrame, scraped_at: Column) -> DataFrame:
             card, rf'(?is)<p\b[^>]*\bclass="[^"]*{cls}[^"]*"[^>]*>\s*<a\b[^>]*>([^<]*)', 1)))
     raw = c.select(
         "page_id", "pos", "url",
-        F.coalesce(attr_of(opening_tag(card, "a", "ad__card-image"), "href"),
-                   attr_of(opening_tag(card, "a", "card-image"), "href")).alias("href"),
-        p_a_text("ad__card-description").alias("t1"), p_a_text("title").alias("t2"),
-        F.coalesce(first_direct_text(inner_of(card, "p", "ad__card-price")), F.lit("0")).alias("price_txt"),
+        F.coalesce(attr_of(opening_tag(card, "a", COINAFRIQUE["link"]), "href"),
+                   attr_of(opening_tag(card, "a", COINAFRIQUE["link_alt"]), "href")).alias("href"),
+        p_a_text(COINAFRIQUE["title"]).alias("t1"), p_a_text(COINAFRIQUE["title_alt"]).alias("t2"),
+        F.coalesce(first_direct_text(inner_of(card, "p", COINAFRIQUE["price"])), F.lit("0")).alias("price_txt"),
         py_strip(_dec(F.regexp_extract(
-            card, r'(?is)<p\b[^>]*\bclass="[^"]*ad__card-location[^"]*"[^>]*>.*?<span\b[^>]*>([^<]*)', 1))).alias("address"),
-        _img(card, "ad__card-img").alias("image_urls"),
+            card, rf'(?is)<p\b[^>]*\bclass="[^"]*{COINAFRIQUE["location"]}[^"]*"[^>]*>.*?<span\b[^>]*>([^<]*)', 1))).alias("address"),
+        _img(card, COINAFRIQUE["image"]).alias("image_urls"),
     )
     t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
                    F.when(F.col("t1") != "", F.col("t1")).otherwise(F.col("t2")).alias("title"))
@@ -182,10 +208,10 @@ def coinafrique_detail(d: DataFrame) -> DataFrame:
     blocks = lambda alt: F.regexp_extract_all(
         h, F.lit(rf'(?is)<div\b[^>]*\bclass="[^"]*(?:{alt})[^"]*"[^>]*>(.*?)</div>'), 1)
     nodes = lambda arr: F.flatten(F.transform(arr, lambda b: text_nodes(F.concat(F.lit(">"), b, F.lit("<")))))
-    desc_nodes = nodes(blocks("description"))
-    alt_nodes = nodes(blocks("ad-description"))
+    desc_nodes = nodes(blocks(COINAFRIQUE["description"]))
+    alt_nodes = nodes(blocks(COINAFRIQUE["description_alt"]))
     chosen = F.when(F.size(desc_nodes) > 0, desc_nodes).otherwise(alt_nodes)
-    main = F.lower(_dec(F.array_join(nodes(blocks("description|details")), " ")))
+    main = F.lower(_dec(F.array_join(nodes(blocks(COINAFRIQUE["description"] + "|" + COINAFRIQUE["details"])), " ")))
     legal_all = N.legal_docs_all(main)
     return d.select(
         "page_id", F.col("url").alias("listing_url"),
@@ -209,29 +235,29 @@ def coinafrique_merge(j: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------- igoe
 def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
-    h3 = F.regexp_extract(card, r'(?is)<h3\b[^>]*\bclass="entry-title"[^>]*>(.*?)</h3>', 1)
-    p1 = F.regexp_extract(card, r'(?is)<div\b[^>]*\bclass="price"[^>]*>\s*<span\b[^>]*>([^<]*)', 1)
-    p2 = first_direct_text(inner_of(card, "span", exact_class="page-price sold-status"))
-    p3 = first_direct_text(inner_of(card, "span", exact_class="page-price"))
-
-    def icon(kind):
-        v = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="[^"]*epl-icon-container-{kind}[^"]*"[^>]*>.*?'
-                                   rf'<div\b[^>]*\bclass="icon-value"[^>]*>([^<]*)', 1)
+    h3 = F.regexp_extract(card, rf'(?is)<h3\b[^>]*\bclass="{IGOE["title"]}"[^>]*>(.*?)</h3>', 1)
+    p1 = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="{IGOE["price"]}"[^>]*>\s*<span\b[^>]*>([^<]*)', 1)
+    p2 = first_direct_text(inner_of(card, "span", exact_class=IGOE["price_sold"]))
+    p3 = first_direct_text(inner_of(card, "span", exact_class=IGOE["price_alt"]))
+
+    def icon(container):
+        v = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="[^"]*{container}[^"]*"[^>]*>.*?'
+                                   rf'<div\b[^>]*\bclass="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)
         return F.when(v != "", py_strip(_dec(v)))
     stage1 = c.select("page_id", "pos", "url", card.alias("card"), h3.alias("h3"))
     raw = stage1.select(
         "page_id", "pos", "url",
         F.coalesce(attr_of(opening_tag(F.col("h3"), "a"), "href"),
-                   attr_of(opening_tag(card, "a", exact_class="epl-more-link"), "href")).alias("href"),
+                   attr_of(opening_tag(card, "a", exact_class=IGOE["link_alt"]), "href")).alias("href"),
         py_strip(_dec(F.coalesce(first_direct_text(inner_of(F.col("h3"), "a")), F.lit("")))).alias("t1"),
         py_strip(_dec(F.coalesce(first_direct_text(F.col("h3")), F.lit("")))).alias("t2"),
         F.coalesce(F.nullif(p1, F.lit("")), p2, p3, F.lit("")).alias("price_txt"),
-        py_strip(_dec(F.coalesce(first_direct_text(inner_of(card, "span", exact_class="item-suburb")), F.lit("")))).alias("neighborhood"),
-        F.coalesce(first_direct_text(inner_of(card, "span", "status-sticker")), F.lit("")).alias("badge"),
-        icon("bed").alias("bedrooms"), icon("bath").alias("wc_interne"),
+        py_strip(_dec(F.coalesce(first_direct_text(inner_of(card, "span", exact_class=IGOE["suburb"])), F.lit("")))).alias("neighborhood"),
+        F.coalesce(first_direct_text(inner_of(card, "span", IGOE["badge"])), F.lit("")).alias("badge"),
+        icon(IGOE["beds"]).alias("bedrooms"), icon(IGOE["baths"]).alias("wc_interne"),
         _dec(F.coalesce(F.nullif(F.regexp_extract(
-            card, r'(?is)<div\b[^>]*\bclass="epl-excerpt-content"[^>]*>\s*<p\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))).alias("excerpt"),
-        _img(card, "wp-post-image").alias("image_urls"),
+            card, rf'(?is)<div\b[^>]*\bclass="{IGOE["excerpt"]}"[^>]*>\s*<p\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))).alias("excerpt"),
+        _img(card, IGOE["image"]).alias("image_urls"),
     )
     t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
                    F.when(F.col("t1") != "", F.col("t1")).otherwise(F.col("t2")).alias("title"))
@@ -253,15 +279,15 @@ def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
 
 def igoe_detail(d: DataFrame) -> DataFrame:
     h = F.col("html")
-    content = F.regexp_extract(h, r'(?is)<div\b[^>]*\bclass="[^"]*entry-content[^"]*"[^>]*>(.*?)</div>', 1)
+    content = F.regexp_extract(h, rf'(?is)<div\b[^>]*\bclass="[^"]*{IGOE["content"]}[^"]*"[^>]*>(.*?)</div>', 1)
     paras = F.regexp_extract_all(content, F.lit(r"(?is)<p\b[^>]*>([^<]*)"), 1)
-    alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", "property-description"), F.lit("<")))
+    alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", IGOE["description_alt"]), F.lit("<")))
     chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
-    li_surface = F.regexp_extract(h, r"(?is)<li\b[^>]*>((?:(?!</li>).)*?(?:Surface|superficie).*?)</li>", 1)
+    li_surface = F.regexp_extract(h, rf"(?is)<li\b[^>]*>((?:(?!</li>).)*?(?:{'|'.join(IGOE['surface_rows'])}).*?)</li>", 1)
     surface_txt = F.coalesce(first_direct_text(li_surface),
-                             first_direct_text(F.regexp_extract(h, r'(?is)epl-icon-container-size.*?<div\b[^>]*\bclass="icon-value"[^>]*>([^<]*)', 1)))
-    g1 = all_attrs(inner_of(h, "div", "property-gallery"), "img", "src")
-    g2 = all_attrs(F.regexp_extract(h, r'(?is)<div\b[^>]*\bid="property-gallery"[^>]*>(.*?)</div>', 1), "img", "src")
+                             first_direct_text(F.regexp_extract(h, rf'(?is){IGOE["size"]}.*?<div\b[^>]*\bclass="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)))
+    g1 = all_attrs(inner_of(h, "div", IGOE["gallery"]), "img", "src")
+    g2 = all_attrs(F.regexp_extract(h, rf'(?is)<div\b[^>]*\bid="{IGOE["gallery"]}"[^>]*>(.*?)</div>', 1), "img", "src")
     return d.select(
         "page_id", F.col("url").alias("listing_url"),
         F.when(F.size(chosen) > 0, _dec(join_stripped(chosen))).alias("d_full"),
