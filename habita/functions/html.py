@@ -82,46 +82,46 @@ def decode_entities_full(x) -> Column:
 def strip_tags(x, sep: str = " ") -> Column:
     """Drop comments, script/style bodies and tags; tags become ``sep``."""
     out = F.regexp_replace(_c(x), r"(?s)<!--.*?-->", "")
-    out = F.regexp_replace(out, r"(?is)<(script|style)\b[^>]*>.*?</\1>", "")
+    out = F.regexp_replace(out, r"(?s)<(?i:(script|style))\b[^>]*>.*?</\1>", "")
     return F.regexp_replace(out, r"<[^>]*>", sep)
 
 
 def class_block(html, tag: str, class_substring: str) -> Column:
     """Inner HTML of the first ``<tag ... class="...x...">`` element."""
-    pat = (rf'(?is)<{tag}\b[^>]*\bclass="[^"]*{_re_escape(class_substring)}[^"]*"[^>]*>'
-           rf"(.*?)</{tag}>")
+    pat = (rf'(?s)<(?i:{tag})\b[^>]*\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"[^>]*>'
+           rf"(.*?)</(?i:{tag})>")
     return F.regexp_extract(_c(html), pat, 1)
 
 
 def element_block(html, tag: str) -> Column:
     """Inner HTML of the first ``<tag>`` element (non-greedy)."""
-    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1)
+    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*>(.*?)</(?i:{tag})>", 1)
 
 
 def outer_block(html, tag: str) -> Column:
     """Inner HTML of the outermost ``<tag>`` element (greedy to the last close)."""
-    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*>(.*)</{tag}>", 1)
+    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*>(.*)</(?i:{tag})>", 1)
 
 
 def first_attr(html, tag: str, attr: str) -> Column:
     """First ``attr`` value on a ``<tag>`` element (double-quoted values)."""
-    return F.nullif(F.regexp_extract(_c(html), rf'(?is)<{tag}\b[^>]*\b{attr}="([^"]*)"', 1), F.lit(""))
+    return F.nullif(F.regexp_extract(_c(html), rf'(?s)<(?i:{tag})\b[^>]*\b(?i:{attr})="([^"]*)"', 1), F.lit(""))
 
 
 def first_tag_text(html, tag: str) -> Column:
     """Direct text right after the first ``<tag ...>`` opening (``tag/text()[1]``)."""
-    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*>([^<]*)", 1)
+    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*>([^<]*)", 1)
 
 
 def text_nodes(html) -> Column:
-    """Every text node (``//text()``), in document order, undecoded."""
-    return F.filter(F.regexp_extract_all(_c(html), F.lit(r">([^<]+)"), 1),
-                    lambda t: F.length(t) > 0)
+    """Every text node (``//text()``), in document order, undecoded
+    (``[^<]+`` never matches an empty node, so no filtering is needed)."""
+    return F.regexp_extract_all(_c(html), F.lit(r">([^<]+)"), 1)
 
 
 def direct_texts(html, tag: str) -> Column:
     """Text directly after each ``<tag>`` opening (``//tag/text()`` first node)."""
-    return F.regexp_extract_all(_c(html), F.lit(rf"(?is)<{tag}\b[^>]*>([^<]*)"), 1)
+    return F.regexp_extract_all(_c(html), F.lit(rf"(?s)<(?i:{tag})\b[^>]*>([^<]*)"), 1)
 
 
 def join_stripped(texts) -> Column:
@@ -192,46 +192,50 @@ def opening_tag(html, tag: str, class_substring: str | None = None, exact_class:
     """The first opening tag ``<tag ...>`` (optionally with a class containing
     ``class_substring`` or equal to ``exact_class``)."""
     if exact_class is not None:
-        cls = rf'\bclass="{_re_escape(exact_class)}"'
+        cls = rf'\b(?i:class)="{_re_escape(exact_class)}"'
     elif class_substring is not None:
-        cls = rf'\bclass="[^"]*{_re_escape(class_substring)}[^"]*"'
+        cls = rf'\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"'
     else:
         cls = ""
-    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*{cls}[^>]*>", 0)
+    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>", 0)
 
 
 def attr_of(opening, attr: str) -> Column:
     """Attribute value of an opening tag text, NULL when absent."""
-    return F.nullif(F.regexp_extract(_c(opening), rf'(?is)\b{attr}="([^"]*)"', 1), F.lit(""))
+    return F.nullif(F.regexp_extract(_c(opening), rf'(?s)\b(?i:{attr})="([^"]*)"', 1), F.lit(""))
 
 
 def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
     """Inner HTML of the first matching element (up to its first closing tag)."""
     if exact_class is not None:
-        cls = rf'\bclass="{_re_escape(exact_class)}"'
+        cls = rf'\b(?i:class)="{_re_escape(exact_class)}"'
     elif class_substring is not None:
-        cls = rf'\bclass="[^"]*{_re_escape(class_substring)}[^"]*"'
+        cls = rf'\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"'
     else:
         cls = ""
-    return F.regexp_extract(_c(html), rf"(?is)<{tag}\b[^>]*{cls}[^>]*>(.*?)</{tag}>", 1)
+    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>(.*?)</(?i:{tag})>", 1)
 
 
 def has_element(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
     return F.length(opening_tag(html, tag, class_substring, exact_class)) > 0
 
 
+def _own_text(inner) -> Column:
+    """The element's own text with every child element/tag replaced by U+0002."""
+    no_children = F.regexp_replace(_c(inner), r"(?s)<(\w+)\b[^>]*>.*?</\1>", "\u0002")
+    return F.regexp_replace(no_children, r"<[^>]*>", "\u0002")
+
+
 def direct_text_nodes(inner) -> Column:
     """``text()`` of an element: its own text nodes (children removed), in order."""
-    no_children = F.regexp_replace(_c(inner), r"(?s)<(\w+)\b[^>]*>.*?</\1>", "\u0002")
-    no_tags = F.regexp_replace(no_children, r"<[^>]*>", "\u0002")
-    return F.filter(F.split(no_tags, "\u0002"), lambda t: F.length(t) > 0)
+    return F.regexp_extract_all(_own_text(inner), F.lit("([^\u0002]+)"), 1)
 
 
 def first_direct_text(inner) -> Column:
     """``text()`` + ``.get()``: the first own text node, NULL when none."""
-    return F.try_element_at(direct_text_nodes(inner), F.lit(1))
+    return F.nullif(F.regexp_extract(_own_text(inner), "^\u0002*([^\u0002]+)", 1), F.lit(""))
 
 
 def all_attrs(html, tag: str, attr: str) -> Column:
     """Every ``attr`` value of ``tag`` elements, in document order."""
-    return F.regexp_extract_all(_c(html), F.lit(rf'(?is)<{tag}\b[^>]*\b{attr}="([^"]*)"'), 1)
+    return F.regexp_extract_all(_c(html), F.lit(rf'(?s)<(?i:{tag})\b[^>]*\b(?i:{attr})="([^"]*)"'), 1)

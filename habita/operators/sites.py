@@ -52,9 +52,9 @@ IGOE = {
     "gallery": "property-gallery",
 }
 CARD_MARKERS = {
-    "intendance": r'<div\b[^>]*\bclass="[^"]*listing_wrapper',
-    "coinafrique": r'<div\b[^>]*\bclass="[^"]*ad__card(?![-\w])',
-    "igoe": r'<div\b[^>]*\bclass="[^"]*epl-listing-post',
+    "intendance": r'<(?i:div)\b[^>]*\b(?i:class)="[^"]*listing_wrapper',
+    "coinafrique": r'<(?i:div)\b[^>]*\b(?i:class)="[^"]*ad__card(?![-\w])',
+    "igoe": r'<(?i:div)\b[^>]*\b(?i:class)="[^"]*epl-listing-post',
 }
 
 
@@ -86,17 +86,17 @@ def cards(pages: DataFrame, site: str) -> DataFrame:
 # ---------------------------------------------------------------- intendance
 def intendance_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
-    h4_href = F.nullif(F.regexp_extract(card, r'(?is)<h4\b[^>]*>\s*<a\b[^>]*\bhref="([^"]*)"', 1), F.lit(""))
+    h4_href = F.nullif(F.regexp_extract(card, r'(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*\b(?i:href)="([^"]*)"', 1), F.lit(""))
     pl = opening_tag(card, "a", INTENDANCE["link"])
     size = F.try_element_at(text_nodes(F.concat(F.lit(">"), inner_of(card, "span", INTENDANCE["size"]), F.lit("<"))), F.lit(1))
     # stage 1: every selector is evaluated once
     raw = c.select(
         "page_id", "pos", "url",
         F.coalesce(h4_href, attr_of(pl, INTENDANCE["link_url_attr"])).alias("href"),
-        py_strip(_dec(F.regexp_extract(card, r"(?is)<h4\b[^>]*>\s*<a\b[^>]*>([^<]*)", 1))).alias("title_a"),
+        py_strip(_dec(F.regexp_extract(card, r"(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*>([^<]*)", 1))).alias("title_a"),
         _dec(attr_of(pl, INTENDANCE["link_title_attr"])).alias("title_b"),
         F.coalesce(first_direct_text(inner_of(card, "div", INTENDANCE["price"])), F.lit("0")).alias("price_txt"),
-        F.regexp_extract_all(card, F.lit(r'(?is)<a\b[^>]*\brel="tag"[^>]*>([^<]*)'), 1).alias("tags"),
+        F.regexp_extract_all(card, F.lit(r'(?s)<(?i:a)\b[^>]*\b(?i:rel)="tag"[^>]*>([^<]*)'), 1).alias("tags"),
         first_direct_text(inner_of(card, "span", INTENDANCE["rooms"])).alias("room"),
         first_direct_text(inner_of(card, "span", INTENDANCE["baths"])).alias("bath"),
         size.alias("size"),
@@ -129,17 +129,17 @@ def intendance_card(c: DataFrame, scraped_at: Column) -> DataFrame:
 def _li_after(html: Column, words) -> Column:
     """Text of the ``li`` following an ``li`` whose own text holds a word."""
     alt = "|".join(words)
-    return F.nullif(F.regexp_extract(html, rf"(?is)<li\b[^>]*>[^<]*(?:{alt})[^<]*</li>\s*<li\b[^>]*>([^<]*)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(html, rf"(?s)<(?i:li)\b[^>]*>[^<]*(?:{alt})[^<]*</(?i:li)>\s*<(?i:li)\b[^>]*>([^<]*)", 1), F.lit(""))
 
 
 def intendance_detail(d: DataFrame) -> DataFrame:
     h = F.col("html")
-    desc_div = F.regexp_extract(h, rf'(?is)<div\b[^>]*\bid="{INTENDANCE["description_id"]}"[^>]*>(.*?)</div>', 1)
-    paras = F.regexp_extract_all(desc_div, F.lit(r"(?is)<p\b[^>]*>([^<]*)"), 1)
+    desc_div = F.regexp_extract(h, rf'(?s)<(?i:div)\b[^>]*\b(?i:id)="{INTENDANCE["description_id"]}"[^>]*>(.*?)</(?i:div)>', 1)
+    paras = F.regexp_extract_all(desc_div, F.lit(r"(?s)<(?i:p)\b[^>]*>([^<]*)"), 1)
     alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", INTENDANCE["description_alt"]), F.lit("<")))
     chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
     surface_txt = F.coalesce(_li_after(h, INTENDANCE["surface_rows"]),
-                             F.nullif(F.regexp_extract(h, rf"(?is)<strong\b[^>]*>[^<]*{INTENDANCE['surface_rows'][0]}[^<]*</strong>([^<]*)", 1), F.lit("")))
+                             F.nullif(F.regexp_extract(h, rf"(?s)<(?i:strong)\b[^>]*>[^<]*{INTENDANCE['surface_rows'][0]}[^<]*</(?i:strong)>([^<]*)", 1), F.lit("")))
     carousel = inner_of(h, "div", INTENDANCE["gallery"])
     return d.select(
         "page_id", F.col("url").alias("listing_url"),
@@ -176,7 +176,7 @@ def coinafrique_card(c: DataFrame, scraped_at: Column) -> DataFrame:
 
     def p_a_text(cls):
         return py_strip(_dec(F.regexp_extract(
-            card, rf'(?is)<p\b[^>]*\bclass="[^"]*{cls}[^"]*"[^>]*>\s*<a\b[^>]*>([^<]*)', 1)))
+            card, rf'(?s)<(?i:p)\b[^>]*\b(?i:class)="[^"]*{cls}[^"]*"[^>]*>\s*<(?i:a)\b[^>]*>([^<]*)', 1)))
     raw = c.select(
         "page_id", "pos", "url",
         F.coalesce(attr_of(opening_tag(card, "a", COINAFRIQUE["link"]), "href"),
@@ -184,7 +184,7 @@ def coinafrique_card(c: DataFrame, scraped_at: Column) -> DataFrame:
         p_a_text(COINAFRIQUE["title"]).alias("t1"), p_a_text(COINAFRIQUE["title_alt"]).alias("t2"),
         F.coalesce(first_direct_text(inner_of(card, "p", COINAFRIQUE["price"])), F.lit("0")).alias("price_txt"),
         py_strip(_dec(F.regexp_extract(
-            card, rf'(?is)<p\b[^>]*\bclass="[^"]*{COINAFRIQUE["location"]}[^"]*"[^>]*>.*?<span\b[^>]*>([^<]*)', 1))).alias("address"),
+            card, rf'(?s)<(?i:p)\b[^>]*\b(?i:class)="[^"]*{COINAFRIQUE["location"]}[^"]*"[^>]*>.*?<(?i:span)\b[^>]*>([^<]*)', 1))).alias("address"),
         _img(card, COINAFRIQUE["image"]).alias("image_urls"),
     )
     t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
@@ -206,7 +206,7 @@ def coinafrique_card(c: DataFrame, scraped_at: Column) -> DataFrame:
 def coinafrique_detail(d: DataFrame) -> DataFrame:
     h = F.col("html")
     blocks = lambda alt: F.regexp_extract_all(
-        h, F.lit(rf'(?is)<div\b[^>]*\bclass="[^"]*(?:{alt})[^"]*"[^>]*>(.*?)</div>'), 1)
+        h, F.lit(rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="[^"]*(?:{alt})[^"]*"[^>]*>(.*?)</(?i:div)>'), 1)
     nodes = lambda arr: F.flatten(F.transform(arr, lambda b: text_nodes(F.concat(F.lit(">"), b, F.lit("<")))))
     desc_nodes = nodes(blocks(COINAFRIQUE["description"]))
     alt_nodes = nodes(blocks(COINAFRIQUE["description_alt"]))
@@ -235,14 +235,14 @@ def coinafrique_merge(j: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------- igoe
 def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
     card = F.col("card")
-    h3 = F.regexp_extract(card, rf'(?is)<h3\b[^>]*\bclass="{IGOE["title"]}"[^>]*>(.*?)</h3>', 1)
-    p1 = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="{IGOE["price"]}"[^>]*>\s*<span\b[^>]*>([^<]*)', 1)
+    h3 = F.regexp_extract(card, rf'(?s)<(?i:h3)\b[^>]*\b(?i:class)="{IGOE["title"]}"[^>]*>(.*?)</(?i:h3)>', 1)
+    p1 = F.regexp_extract(card, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="{IGOE["price"]}"[^>]*>\s*<(?i:span)\b[^>]*>([^<]*)', 1)
     p2 = first_direct_text(inner_of(card, "span", exact_class=IGOE["price_sold"]))
     p3 = first_direct_text(inner_of(card, "span", exact_class=IGOE["price_alt"]))
 
     def icon(container):
-        v = F.regexp_extract(card, rf'(?is)<div\b[^>]*\bclass="[^"]*{container}[^"]*"[^>]*>.*?'
-                                   rf'<div\b[^>]*\bclass="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)
+        v = F.regexp_extract(card, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="[^"]*{container}[^"]*"[^>]*>.*?'
+                                   rf'<(?i:div)\b[^>]*\b(?i:class)="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)
         return F.when(v != "", py_strip(_dec(v)))
     stage1 = c.select("page_id", "pos", "url", card.alias("card"), h3.alias("h3"))
     raw = stage1.select(
@@ -256,7 +256,7 @@ def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
         F.coalesce(first_direct_text(inner_of(card, "span", IGOE["badge"])), F.lit("")).alias("badge"),
         icon(IGOE["beds"]).alias("bedrooms"), icon(IGOE["baths"]).alias("wc_interne"),
         _dec(F.coalesce(F.nullif(F.regexp_extract(
-            card, rf'(?is)<div\b[^>]*\bclass="{IGOE["excerpt"]}"[^>]*>\s*<p\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))).alias("excerpt"),
+            card, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="{IGOE["excerpt"]}"[^>]*>\s*<(?i:p)\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))).alias("excerpt"),
         _img(card, IGOE["image"]).alias("image_urls"),
     )
     t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
@@ -279,15 +279,15 @@ def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
 
 def igoe_detail(d: DataFrame) -> DataFrame:
     h = F.col("html")
-    content = F.regexp_extract(h, rf'(?is)<div\b[^>]*\bclass="[^"]*{IGOE["content"]}[^"]*"[^>]*>(.*?)</div>', 1)
-    paras = F.regexp_extract_all(content, F.lit(r"(?is)<p\b[^>]*>([^<]*)"), 1)
+    content = F.regexp_extract(h, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="[^"]*{IGOE["content"]}[^"]*"[^>]*>(.*?)</(?i:div)>', 1)
+    paras = F.regexp_extract_all(content, F.lit(r"(?s)<(?i:p)\b[^>]*>([^<]*)"), 1)
     alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", IGOE["description_alt"]), F.lit("<")))
     chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
-    li_surface = F.regexp_extract(h, rf"(?is)<li\b[^>]*>((?:(?!</li>).)*?(?:{'|'.join(IGOE['surface_rows'])}).*?)</li>", 1)
+    li_surface = F.regexp_extract(h, rf"(?s)<(?i:li)\b[^>]*>((?:(?!</(?i:li)>).)*?(?:{'|'.join(IGOE['surface_rows'])}).*?)</(?i:li)>", 1)
     surface_txt = F.coalesce(first_direct_text(li_surface),
-                             first_direct_text(F.regexp_extract(h, rf'(?is){IGOE["size"]}.*?<div\b[^>]*\bclass="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)))
+                             first_direct_text(F.regexp_extract(h, rf'(?s){IGOE["size"]}.*?<(?i:div)\b[^>]*\b(?i:class)="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)))
     g1 = all_attrs(inner_of(h, "div", IGOE["gallery"]), "img", "src")
-    g2 = all_attrs(F.regexp_extract(h, rf'(?is)<div\b[^>]*\bid="{IGOE["gallery"]}"[^>]*>(.*?)</div>', 1), "img", "src")
+    g2 = all_attrs(F.regexp_extract(h, rf'(?s)<(?i:div)\b[^>]*\b(?i:id)="{IGOE["gallery"]}"[^>]*>(.*?)</(?i:div)>', 1), "img", "src")
     return d.select(
         "page_id", F.col("url").alias("listing_url"),
         F.when(F.size(chosen) > 0, _dec(join_stripped(chosen))).alias("d_full"),

@@ -22,11 +22,11 @@ def decode(x):
 
 
 def first_attr(x, tag, attr):
-    return f"NULLIF(regexp_extract({x}, {lit(rf'(?is)<{tag}\b[^>]*\b{attr}=\"([^\"]*)\"')}, 1), '')"
+    return f"NULLIF(regexp_extract({x}, {lit(rf'(?s)<(?i:{tag})\b[^>]*\b(?i:{attr})=\"([^\"]*)\"')}, 1), '')"
 
 
 def first_tag_text(x, tag):
-    return f"regexp_extract({x}, {lit(rf'(?is)<{tag}\b[^>]*>([^<]*)')}, 1)"
+    return f"regexp_extract({x}, {lit(rf'(?s)<(?i:{tag})\b[^>]*>([^<]*)')}, 1)"
 
 
 def first_int(x):
@@ -56,7 +56,7 @@ def host(url):
 
 
 def class_block(x, tag, cls):
-    return f"regexp_extract({x}, {lit(rf'(?is)<{tag}\b[^>]*\bclass=\"[^\"]*{cls}[^\"]*\"[^>]*>(.*?)</{tag}>')}, 1)"
+    return f"regexp_extract({x}, {lit(rf'(?s)<(?i:{tag})\b[^>]*\b(?i:class)=\"[^\"]*{cls}[^\"]*\"[^>]*>(.*?)</(?i:{tag})>')}, 1)"
 
 
 def link_cards_sql(src: str) -> str:
@@ -128,7 +128,7 @@ def page_oracles() -> dict[str, str]:
 
     q = {}
     q["page_cards"] = f"SELECT page_id, pos, listing_url, listing_id, title FROM ({link_cards_sql('pages')}) x"
-    primary = f"NULLIF(regexp_extract(html, {lit(r'(?is)<h4\b[^>]*>\s*<a\b[^>]*\bhref=\"([^\"]*)\"')}, 1), '')"
+    primary = f"NULLIF(regexp_extract(html, {lit(r'(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*\b(?i:href)=\"([^\"]*)\"')}, 1), '')"
     href = f"COALESCE({primary}, {first_attr('html', 'a', 'href')})"
     q["page_listing_keys"] = (f"SELECT page_id, listing_url, md5(listing_url) AS listing_id FROM ("
                               f"SELECT page_id, {resolve('url', href)} AS listing_url FROM pages) x "
@@ -141,8 +141,8 @@ def page_oracles() -> dict[str, str]:
     q["page_title"] = f"SELECT page_id, COALESCE(NULLIF({h1}, ''), {tt}) AS title FROM pages"
     block = class_block("html", "div", "ad")
     q["page_ad_text"] = f"SELECT page_id, {decode(all_text(chr(39) + '>' + chr(39) + ' || ' + block + ' || ' + chr(39) + '<' + chr(39)))} AS ad_text FROM pages"
-    art = f"regexp_extract(html, {lit(r'(?is)<article\b[^>]*>(.*)</article>')}, 1)"
-    paras = (f"array_to_string(list_filter(list_transform(regexp_extract_all({art}, {lit(r'(?is)<p\b[^>]*>([^<]*)')}, 1), "
+    art = f"regexp_extract(html, {lit(r'(?s)<(?i:article)\b[^>]*>(.*)</(?i:article)>')}, 1)"
+    paras = (f"array_to_string(list_filter(list_transform(regexp_extract_all({art}, {lit(r'(?s)<(?i:p)\b[^>]*>([^<]*)')}, 1), "
              f"lambda t: {strip('t')}), lambda t: length(t) > 0), ' ')")
     canon = "regexp_extract(url, '^([^#]*)', 1)"
     q["page_detail_join"] = (
@@ -206,7 +206,7 @@ def page_oracles() -> dict[str, str]:
     q["api_flatten"] = (f"SELECT listing_id, title, description, price, bedrooms, square_footage, wc_interne, legal_doc, "
                         f"property_type, offer_type, address, city, neighborhood, listing_url, image_urls, source "
                         f"FROM ({api_rows_sql()}) a")
-    nav = f"regexp_extract(html, {lit(r'(?is)(<ul\b.*?</ul>)')}, 1)"
+    nav = f"regexp_extract(html, {lit(r'(?s)(<(?i:ul)\b.*?</(?i:ul)>)')}, 1)"
     q["ajax_cards"] = (f"SELECT page_id, pos, listing_url, listing_id, title FROM ({link_cards_sql(f'(SELECT page_id, url, {nav} AS html FROM pages WHERE page_id % 10 NOT IN (3, 4)) e WHERE html <> ' + chr(39) + chr(39))}) x")
     q["source_union"] = with_listings(
         f"SELECT source, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price FROM ("

@@ -36,7 +36,7 @@ def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_listing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 with its fallback: the first ``h4 > a`` link, else the first link."""
     pages = _pages(spark, sf_dir)
-    primary = F.nullif(F.regexp_extract("html", r'(?is)<h4\b[^>]*>\s*<a\b[^>]*\bhref="([^"]*)"', 1), F.lit(""))
+    primary = F.nullif(F.regexp_extract("html", r'(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*\b(?i:href)="([^"]*)"', 1), F.lit(""))
     href = F.coalesce(primary, first_attr(F.col("html"), "a", "href"))
     url = resolve_url(F.col("url"), href)
     return (pages.select("page_id", url.alias("listing_url"))

@@ -44,7 +44,7 @@ def ajax_envelopes_from_pages(pages: DataFrame) -> DataFrame:
     navigation list. Fixed edge rules: every 10th page (page_id % 10 = 3) sends
     truncated JSON, page_id % 10 = 4 sends an empty ``html``."""
     pid = F.col("page_id")
-    nav = F.regexp_extract("html", r"(?is)(<ul\b.*?</ul>)", 1)
+    nav = F.regexp_extract("html", r"(?s)(<(?i:ul)\b.*?</(?i:ul)>)", 1)
     html = F.when(pid % 10 == 4, F.lit("")).otherwise(nav)
     env = F.to_json(F.struct(html.alias("html"),
                              F.when(pid % 2 == 0, F.lit("more")).otherwise(F.lit("no_more")).alias("loadmore"),
