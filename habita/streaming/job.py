@@ -93,3 +93,30 @@ def watermark_dedup(clean: DataFrame, delay: str, key: str = "listing_url") -> D
 def run_until_any_stops(spark: SparkSession) -> None:
     """Block until any of the session's queries terminates."""
     spark.streams.awaitAnyTermination()
+
+
+def start_listing_job(spark: SparkSession, *, lake_path: str, target, checkpoint_root: str,
+                      fanout: bool = True, echo: bool = False, mode: str = "compat",
+                      trigger: dict | None = None, on_error: str = "fail",
+                      **source_opts) -> list[StreamingQuery]:
+    """The whole streaming job: wire source -> clean -> lake + serving table.
+
+    ``fanout=True`` runs one query writing both sinks from one read (same rows,
+    same processed_at); ``fanout=False`` runs the two sinks as independent
+    queries with their own checkpoints, as the reference did. ``echo`` adds the
+    raw-payload console query (K5). Pair with ``run_until_any_stops`` (T8).
+    """
+    from ..sinks.feeds import console_echo
+
+    queries = []
+    if echo:
+        queries.append(console_echo(wire_stream(spark, **source_opts)))
+    if fanout:
+        queries.append(start_fanout(clean_stream(spark, mode=mode, **source_opts), lake_path, target,
+                                    f"{checkpoint_root}/fanout", trigger=trigger, on_error=on_error))
+    else:
+        queries.append(start_lake(clean_stream(spark, mode=mode, **source_opts), lake_path,
+                                  f"{checkpoint_root}/lake", trigger=trigger))
+        queries.append(start_warehouse(clean_stream(spark, mode=mode, **source_opts), target,
+                                       f"{checkpoint_root}/warehouse", trigger=trigger, on_error=on_error))
+    return queries

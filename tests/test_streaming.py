@@ -187,3 +187,15 @@ def test_lenient_stream_accepts_quoted_price(spark):
         start_lake(clean_stream(spark, mode=mode, source="files", path=f"{d}/in"), f"{d}/lake-{mode}",
                    f"{d}/ckpt-{mode}", trigger=DRAIN).awaitTermination()
         assert spark.read.parquet(f"{d}/lake-{mode}").count() == n
+
+
+def test_listing_job_two_query_form(spark):
+    from habita.streaming.job import start_listing_job
+    d = stage([[msg(1, "u1"), msg(2, "u1", at="2024-05-01")], [msg(3, "u2")]])
+    target = ParquetTarget(f"{d}/dw")
+    qs = start_listing_job(spark, lake_path=f"{d}/lake", target=target, checkpoint_root=f"{d}/ckpt",
+                           fanout=False, trigger=DRAIN, source="files", path=f"{d}/in", max_per_trigger=1)
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.parquet(f"{d}/lake").count() == 3      # the lake keeps every message
+    assert target.read(spark).count() == 2                  # the serving table one per URL
