@@ -11,8 +11,13 @@ from ..sources.adapters import orders_to_wire
 from ..sources.wire import lenient_schema, parse_wire
 
 
+# the key each driver table is spread on (hash partitioning is deterministic
+# under task retries without the local sort a round-robin repartition needs)
+SPREAD_KEYS = {"o_orderkey", "page_id", "c_custkey", "p_partkey", "event_id"}
+
+
 def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
-    """Round-robin the rows when a scan yields fewer partitions than cores.
+    """Spread the rows when a scan yields fewer partitions than cores.
 
     The test tables are single row-group files (one scan task); regex and
     JSON work would then run on one core. At cluster scale the scan already
@@ -24,7 +29,8 @@ def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     except Exception:  # noqa: BLE001 -- sessions without RDD access: leave the plan as is
         return df
     if current < target:
-        return df.repartition(target)
+        keys = [c for c in df.columns if c in SPREAD_KEYS]
+        return df.repartition(target, *keys[:1]) if keys else df.repartition(target)
     return df
 
 
