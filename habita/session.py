@@ -48,19 +48,26 @@ def shared_dir(spark: SparkSession) -> str:
     Only when it is unset -- local runs and tests -- do we create one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="habita-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
-    else:
-        # keep RDD-level checkpoint() pointed at the same shared folder
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(path)
+    # keep Dataset.checkpoint() pointed at the same shared folder
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for remote sessions)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder (for sinks and checkpoints)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
