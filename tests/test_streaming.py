@@ -219,3 +219,16 @@ def test_command_lines(spark):
     lake = spark.read.parquet(f"{d}/lake")
     assert sorted(r["price"] for r in lake.collect()) == [15000000]
     assert spark.read.parquet(f"{d}/dw").count() == 1
+
+
+def test_api_command_line(spark):
+    import json
+    from habita.operators.__main__ import main as extract_main
+    d = tempfile.mkdtemp(prefix="habita-test-")
+    doc = {"data": {"getAllProperties": {"data": [
+        {"id": "7", "titre": "Villa", "cout_mensuel": 250000, "piece": "4", "ville": {"denomination": "Lomé"}}]}}}
+    spark.createDataFrame([(0, json.dumps(doc))], "doc_id long, response string").write.parquet(f"{d}/resp")
+    extract_main(["--site", "api", "--responses", f"{d}/resp", "--out", f"{d}/wire"])
+    got = clean_listings(parse_wire(spark.read.text(f"{d}/wire"))).collect()
+    assert len(got) == 1 and got[0]["price"] == 250000 and got[0]["bedrooms"] == 4
+    assert got[0]["source"] == "omnisoft_api" and got[0]["scraped_at"]
