@@ -43,3 +43,15 @@ def reset(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """K7: empty a lake path (overwrite with no rows). A stream restarted after
     a reset must use a *new* checkpoint location."""
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+
+
+def refresh_curated(spark: SparkSession, lake_path: str, curated_path: str) -> DataFrame:
+    """D2 as a batch job: the raw lake (every message ever appended) -> one
+    latest row per URL -> the curated zone, partitioned by source. Returns
+    the written table read back (partition-pruned reads by source)."""
+    from ..operators.dedup import latest_per_url
+
+    lake = spark.read.parquet(lake_path)
+    cols = [c for c in lake.columns if c not in ("processed_at", "batch_id")]
+    write_curated(latest_per_url(lake.select(*cols)), curated_path)
+    return spark.read.parquet(curated_path)

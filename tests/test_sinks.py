@@ -63,3 +63,15 @@ def test_reset_empties_lake(spark):
 def test_ddl_has_key():
     ddl = JdbcTarget("jdbc:x", "proprietes").ddl()
     assert "listing_url TEXT PRIMARY KEY" in ddl and ddl.count(",") == 17
+
+
+def test_refresh_curated_from_lake(spark):
+    from habita.sinks.lake import refresh_curated
+    d = tempfile.mkdtemp()
+    rows = [("u1", "2024-01-01", "s1", 10), ("u1", "2024-02-01", "s1", 12), ("u2", "2024-01-05", "s2", 7)]
+    spark.createDataFrame(rows, "listing_url string, scraped_at string, source string, price long") \
+        .write.parquet(f"{d}/lake")
+    cur = refresh_curated(spark, f"{d}/lake", f"{d}/curated")
+    got = sorted((r["listing_url"], r["price"], r["source"]) for r in cur.collect())
+    assert got == [("u1", 12, "s1"), ("u2", 7, "s2")]
+    assert sorted(os.listdir(f"{d}/curated")) == ["_SUCCESS", "source=s1", "source=s2"]
