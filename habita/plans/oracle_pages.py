@@ -67,7 +67,7 @@ def link_cards_sql(src: str) -> str:
     title = f"COALESCE(NULLIF({title_text}, ''), {first_attr('card', 'a', 'title')})"
     return (f"SELECT page_id, url, pos, listing_url, title, md5(listing_url) AS listing_id FROM ("
             f"SELECT page_id, url, pos, {resolve('url', href)} AS listing_url, {title} AS title FROM ("
-            f"SELECT page_id, url, unnest(cards) AS card, generate_subscripts(cards, 1) - 1 AS pos FROM ("
+            f"SELECT page_id, url, unnest(cards) AS card, CAST(generate_subscripts(cards, 1) - 1 AS INTEGER) AS pos FROM ("
             f"SELECT page_id, url, ({split})[2:] AS cards FROM {src}) a) b) c "
             f"WHERE listing_url IS NOT NULL AND listing_url <> ''")
 
