@@ -37,9 +37,17 @@ def _norm(cols, records):
     return sorted((tuple(v(r[i]) for i in order) for r in records), key=repr)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(st, st) == duck_types[f.name], (f.name, st, duck_types[f.name])
     assert _norm(sdf.columns, [tuple(r) for r in sdf.collect()]) == _norm(rel.columns, rel.fetchall())
