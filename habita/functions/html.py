@@ -146,26 +146,52 @@ def split_cards(html, open_tag_regex: str) -> Column:
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
+def _resolve_path(base_path: Column, ref_path: Column) -> Column:
+    """urljoin's path merge: base directory + reference, empty middle segments
+    dropped, '.' skipped, '..' popping (never above the root)."""
+    base_segs = F.split(base_path, "/")
+    base_dir = F.when(F.try_element_at(base_segs, F.lit(-1)) != "",
+                      F.slice(base_segs, 1, F.size(base_segs) - 1)).otherwise(base_segs)
+    ref_segs = F.split(ref_path, "/")
+    segs = F.when(ref_path.startswith("/"), ref_segs).otherwise(F.concat(base_dir, ref_segs))
+    n = F.size(segs)
+    middle = F.filter(F.slice(segs, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
+    # (Python collapses empty middle segments only for path-relative references)
+    segs = F.when((n <= 2) | ref_path.startswith("/"), segs).otherwise(
+        F.concat(F.slice(segs, 1, 1), middle, F.slice(segs, -1, 1)))
+    stack = F.aggregate(
+        segs, F.array().cast("array<string>"),
+        lambda acc, x: (F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+                         .when(x == ".", acc)
+                         .otherwise(F.concat(acc, F.array(x)))))
+    last = F.try_element_at(segs, F.lit(-1))
+    stack = F.when(last.isin(".", ".."), F.concat(stack, F.array(F.lit("")))).otherwise(stack)
+    joined = F.array_join(stack, "/")
+    return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+
+
 def resolve_url(base, href) -> Column:
-    """Urljoin for the common cases (absolute, '//', '/', '?', '#', '' and
-    relative paths); dot-segment normalisation is out of scope."""
+    """``urljoin(base, href)`` -- absolute, '//', '/', '?', '#', '' and
+    relative references, with the same path merge as Python (dot segments,
+    collapsed empty segments)."""
     base, href = _c(base), _c(href)
     authority = F.regexp_extract(base, URL_AUTHORITY, 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
     path = F.regexp_extract(base, URL_PATH, 1)
     base_no_frag = F.regexp_extract(base, r"^([^#]*)", 1)
     base_no_query = F.regexp_extract(base, r"^([^?#]*)", 1)
-    directory = F.concat(authority,
-                         F.when(path.contains("/"), F.regexp_extract(path, r"^(.*/)", 1))
-                          .otherwise(F.lit("/")))
+    ref_path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    ref_rest = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
+    simple = ~ref_path.contains(".") & ~ref_path.contains("//")
+    merged = F.when(simple & href.startswith("/"), F.concat(authority, href)).otherwise(
+        F.concat(authority, _resolve_path(path, ref_path), ref_rest))
     return (F.when(href.isNull(), F.lit(None).cast("string"))
              .when(href.rlike(URL_SCHEME), href)
              .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-             .when(href.startswith("/"), F.concat(authority, href))
              .when(href.startswith("?"), F.concat(base_no_query, href))
              .when(href.startswith("#"), F.concat(base_no_frag, href))
              .when(href == "", base)
-             .otherwise(F.concat(directory, href)))
+             .otherwise(merged))
 
 
 def url_host(url) -> Column:

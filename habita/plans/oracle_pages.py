@@ -39,6 +39,8 @@ def all_text(x):
 
 
 def resolve(base, href):
+    """urljoin without dot-segment handling: equal to the Spark expression on
+    references without '.'/'..' or empty path segments (the test pages have none)."""
     path = f"regexp_extract({base}, {lit(URL_PATH)}, 1)"
     auth = f"regexp_extract({base}, {lit(URL_AUTHORITY)}, 1)"
     return (f"CASE WHEN {href} IS NULL THEN NULL "

@@ -47,7 +47,8 @@ def test_py_strip_matches_python(spark):
 def test_resolve_url_matches_urljoin(spark):
     base = ["https://a.example/x/y/page.html?q=1#f", "https://a.example", "http://h.example/dir/"]
     hrefs = ["/abs", "rel/p", "//cdn.example/i.png", "?page=2", "#top", "", "https://o.example/z",
-             "mailto:x@y", "p.html"]
+             "mailto:x@y", "p.html", "../up", "../../../../x", "./here", "a/./b/../c", "..", ".",
+             "d//e", "/x//y/", "/a/b/..", "rel?q=1#f", "../?q", "é/ü"]
     pairs = [(b, h) for b in base for h in hrefs]
     df = spark.createDataFrame(pairs, "b string, h string")
     got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
@@ -122,3 +123,24 @@ def test_split_entity_decoding_equals_full(spark):
                     decode_markup_entities(decode_text_entities("x")).alias("b")).collect()
     assert all(r["a"] == r["b"] for r in got)
     assert got[0]["a"] == "&nbsp;" and got[1]["a"] == "&lt;b&gt;"
+
+
+def test_resolve_url_random_against_urljoin(spark):
+    import random
+    rnd = random.Random(7)
+    parts = ["a", "b", "..", ".", "", "x.html", "é"]
+    bases = ["https://h.example/d1/d2/f.html", "http://h.example/d1/", "https://h.example", "http://h.example/a/b/c?q#f"]
+    refs = []
+    for _ in range(400):
+        segs = [rnd.choice(parts) for _ in range(rnd.randint(1, 6))]
+        ref = ("/" if rnd.random() < 0.3 else "") + "/".join(segs)
+        if rnd.random() < 0.2:
+            ref += "?k=1"
+        if rnd.random() < 0.1:
+            ref += "#frag"
+        refs.append(ref)
+    pairs = [(rnd.choice(bases), r) for r in refs if not r.startswith("//")]
+    df = spark.createDataFrame(pairs, "b string, h string")
+    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
+    mism = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(pairs, got) if g != urljoin(b, h)]
+    assert not mism, mism[:5]
