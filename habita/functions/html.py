@@ -1,10 +1,11 @@
 """HTML handling with built-in string/regex expressions (no parser library).
 
-Rules (documented limits): ``contains(@class, 'x')`` is a substring test on the
-class attribute; element bodies are cut with non-greedy regexes, so nested
-elements of the same tag are not supported; only the listed named entities and
-decimal/hex numeric entities below U+0100 are decoded JVM-side
-(``decode_entities_full`` is the Arrow-batched fallback for everything else).
+Rules: ``contains(@class, 'x')`` is a substring test on the class attribute
+(values compare case-sensitively, tag and attribute names do not); element
+bodies are cut with a non-greedy regex, and an element that holds nested
+elements of its own tag is resolved by a depth-tracking pass; only the listed
+named entities are decoded JVM-side (``decode_entities_full`` is the
+Arrow-batched fallback for everything else).
 """
 
 import html as _html
@@ -88,9 +89,7 @@ def strip_tags(x, sep: str = " ") -> Column:
 
 def class_block(html, tag: str, class_substring: str) -> Column:
     """Inner HTML of the first ``<tag ... class="...x...">`` element."""
-    pat = (rf'(?s)<(?i:{tag})\b[^>]*\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"[^>]*>'
-           rf"(.*?)</(?i:{tag})>")
-    return F.regexp_extract(_c(html), pat, 1)
+    return inner_of(html, tag, class_substring)
 
 
 def element_block(html, tag: str) -> Column:
@@ -217,12 +216,7 @@ def _re_escape(s: str) -> str:
 def opening_tag(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
     """The first opening tag ``<tag ...>`` (optionally with a class containing
     ``class_substring`` or equal to ``exact_class``)."""
-    if exact_class is not None:
-        cls = rf'\b(?i:class)="{_re_escape(exact_class)}"'
-    elif class_substring is not None:
-        cls = rf'\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"'
-    else:
-        cls = ""
+    cls = _class_attr(class_substring, exact_class)
     return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>", 0)
 
 
@@ -231,15 +225,43 @@ def attr_of(opening, attr: str) -> Column:
     return F.nullif(F.regexp_extract(_c(opening), rf'(?s)\b(?i:{attr})="([^"]*)"', 1), F.lit(""))
 
 
-def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
-    """Inner HTML of the first matching element (up to its first closing tag)."""
+def _class_attr(class_substring: str | None, exact_class: str | None) -> str:
     if exact_class is not None:
-        cls = rf'\b(?i:class)="{_re_escape(exact_class)}"'
-    elif class_substring is not None:
-        cls = rf'\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"'
-    else:
-        cls = ""
-    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>(.*?)</(?i:{tag})>", 1)
+        return rf'\b(?i:class)="{_re_escape(exact_class)}"'
+    if class_substring is not None:
+        return rf'\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"'
+    return ""
+
+
+def _balanced_inner(html: Column, tag: str, cls: str) -> Column:
+    """Exact inner HTML of the first matching element, nested elements of the
+    same tag included: tokenise from its opening tag and track the depth."""
+    rest = F.regexp_extract(html, rf"(?s)(<(?i:{tag})\b[^>]*{cls}[^>]*>.*)", 1)
+    toks = F.regexp_extract_all(rest, F.lit(rf"(?s)(</?(?i:{tag})\b[^>]*>|[^<]+|<[^>]*>)"), 1)
+    init = F.struct(F.lit(0).alias("d"), F.lit(False).alias("done"),
+                    F.array().cast("array<string>").alias("out"))
+
+    def step(acc, t):
+        d = acc["d"]
+        is_open = t.rlike(rf"^<(?i:{tag})\b")
+        is_close = t.rlike(rf"^</(?i:{tag})\b")
+        closes_outer = is_close & (d == 1)
+        emit = ~acc["done"] & (d >= 1) & ~closes_outer
+        return F.struct(
+            F.when(is_open, d + 1).when(is_close, d - 1).otherwise(d).alias("d"),
+            (acc["done"] | closes_outer).alias("done"),
+            F.when(emit, F.concat(acc["out"], F.array(t))).otherwise(acc["out"]).alias("out"))
+    return F.array_join(F.aggregate(toks, init, step)["out"], "")
+
+
+def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
+    """Inner HTML of the first matching element. The fast non-greedy match
+    stops at the first closing tag; only when that text holds a nested
+    opening tag of the same name is the exact depth-tracking form used."""
+    cls = _class_attr(class_substring, exact_class)
+    html = _c(html)
+    fast = F.regexp_extract(html, rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>(.*?)</(?i:{tag})>", 1)
+    return F.when(fast.rlike(rf"<(?i:{tag})\b"), _balanced_inner(html, tag, cls)).otherwise(fast)
 
 
 def has_element(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:

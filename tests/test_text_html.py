@@ -144,3 +144,16 @@ def test_resolve_url_random_against_urljoin(spark):
     got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
     mism = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(pairs, got) if g != urljoin(b, h)]
     assert not mism, mism[:5]
+
+
+
+def test_inner_of_handles_nested_same_tag(spark):
+    from habita.functions.html import all_text, inner_of
+    h = ('<div class="wrap"><div class="loc"><div class="x">A</div> B <a rel="tag">Q</a>'
+         '<div><div>deep</div></div> C</div><div class="loc">second</div></div>')
+    got = col(spark, [h], lambda c: inner_of(c, "div", "loc"))[0]
+    assert got == '<div class="x">A</div> B <a rel="tag">Q</a><div><div>deep</div></div> C'
+    assert col(spark, [h], lambda c: all_text(F.concat(F.lit(">"), inner_of(c, "div", "loc"), F.lit("<"))))[0] == \
+        " ".join(["A", " B ", "Q", "deep", " C"]).strip()
+    flat = '<p class="price">15 000 F<span>x</span></p>'
+    assert col(spark, [flat], lambda c: inner_of(c, "p", "price"))[0] == "15 000 F<span>x</span>"
