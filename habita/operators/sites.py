@@ -279,7 +279,7 @@ def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
 
 def igoe_detail(d: DataFrame) -> DataFrame:
     h = F.col("html")
-    content = F.regexp_extract(h, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="[^"]*{IGOE["content"]}[^"]*"[^>]*>(.*?)</(?i:div)>', 1)
+    content = inner_of(h, "div", IGOE["content"])
     paras = F.regexp_extract_all(content, F.lit(r"(?s)<(?i:p)\b[^>]*>([^<]*)"), 1)
     alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", IGOE["description_alt"]), F.lit("<")))
     chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
