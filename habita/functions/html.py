@@ -87,9 +87,9 @@ def strip_tags(x, sep: str = " ") -> Column:
     return F.regexp_replace(out, r"<[^>]*>", sep)
 
 
-def class_block(html, tag: str, class_substring: str) -> Column:
+def class_block(html, tag: str, class_substring: str, nested: bool = False) -> Column:
     """Inner HTML of the first ``<tag ... class="...x...">`` element."""
-    return inner_of(html, tag, class_substring)
+    return inner_of(html, tag, class_substring, nested=nested)
 
 
 def element_block(html, tag: str) -> Column:
@@ -169,10 +169,12 @@ def _resolve_path(base_path: Column, ref_path: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
-def resolve_url(base, href) -> Column:
+def resolve_url(base, href, exact: bool = False) -> Column:
     """``urljoin(base, href)`` -- absolute, '//', '/', '?', '#', '' and
-    relative references, with the same path merge as Python (dot segments,
-    collapsed empty segments)."""
+    relative references. Plain references (no '.'/'..' or empty path segment)
+    take direct string expressions; ``exact=True`` adds Python's full path
+    merge for the others (opt-in: its lambda turns off whole-stage code
+    generation for the projection it appears in)."""
     base, href = _c(base), _c(href)
     authority = F.regexp_extract(base, URL_AUTHORITY, 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
@@ -181,9 +183,18 @@ def resolve_url(base, href) -> Column:
     base_no_query = F.regexp_extract(base, r"^([^?#]*)", 1)
     ref_path = F.regexp_extract(href, r"^([^?#]*)", 1)
     ref_rest = F.regexp_extract(href, r"^[^?#]*(.*)$", 1)
-    simple = ~ref_path.contains(".") & ~ref_path.contains("//")
-    merged = F.when(simple & href.startswith("/"), F.concat(authority, href)).otherwise(
-        F.concat(authority, _resolve_path(path, ref_path), ref_rest))
+    # plain references (no '.'/'..' segment, no empty segment) skip the
+    # segment-stack merge: root-relative ones append to the authority, others
+    # to the base directory
+    plain = ~ref_path.rlike(r"(^|/)\.\.?(/|$)") & ~ref_path.contains("//") & ~path.contains("//")
+    directory = F.concat(authority,
+                         F.when(path.contains("/"), F.regexp_extract(path, r"^(.*/)", 1))
+                          .otherwise(F.lit("/")))
+    simple = F.when(href.startswith("/"), F.concat(authority, href)).otherwise(F.concat(directory, href))
+    if exact:
+        merged = F.when(plain, simple).otherwise(F.concat(authority, _resolve_path(path, ref_path), ref_rest))
+    else:
+        merged = simple
     return (F.when(href.isNull(), F.lit(None).cast("string"))
              .when(href.rlike(URL_SCHEME), href)
              .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
@@ -254,13 +265,21 @@ def _balanced_inner(html: Column, tag: str, cls: str) -> Column:
     return F.array_join(F.aggregate(toks, init, step)["out"], "")
 
 
-def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
-    """Inner HTML of the first matching element. The fast non-greedy match
-    stops at the first closing tag; only when that text holds a nested
-    opening tag of the same name is the exact depth-tracking form used."""
+def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None,
+             nested: bool = False) -> Column:
+    """Inner HTML of the first matching element.
+
+    The default non-greedy match stops at the first closing tag, which is
+    exact unless the element nests elements of its own tag. ``nested=True``
+    adds the depth-tracking form for that case; it is opt-in because its
+    lambda (a higher-order function) turns off whole-stage code generation for
+    the whole projection it appears in (measured: ~3x slower card rules).
+    """
     cls = _class_attr(class_substring, exact_class)
     html = _c(html)
     fast = F.regexp_extract(html, rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>(.*?)</(?i:{tag})>", 1)
+    if not nested:
+        return fast
     return F.when(fast.rlike(rf"<(?i:{tag})\b"), _balanced_inner(html, tag, cls)).otherwise(fast)
 
 

@@ -51,8 +51,15 @@ def test_resolve_url_matches_urljoin(spark):
              "d//e", "/x//y/", "/a/b/..", "rel?q=1#f", "../?q", "é/ü"]
     pairs = [(b, h) for b in base for h in hrefs]
     df = spark.createDataFrame(pairs, "b string, h string")
-    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
+    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"), exact=True)).collect()]
     assert got == [urljoin(b, h) for b, h in pairs]
+    def is_plain(h):   # no '.'/'..' path segment and no empty segment in the path
+        path = re.split(r"[?#]", h, maxsplit=1)[0]
+        return h.startswith("//") or not (re.search(r"(^|/)\.\.?(/|$)", path) or "//" in path)
+    plain = [(b, h) for b, h in pairs if is_plain(h)]
+    fast = [r[0] for r in spark.createDataFrame(plain, "b string, h string")
+            .select(resolve_url(F.col("b"), F.col("h"))).collect()]
+    assert fast == [urljoin(b, h) for b, h in plain]
 
 
 def test_entities_and_text_nodes(spark):
@@ -141,7 +148,7 @@ def test_resolve_url_random_against_urljoin(spark):
         refs.append(ref)
     pairs = [(rnd.choice(bases), r) for r in refs if not r.startswith("//")]
     df = spark.createDataFrame(pairs, "b string, h string")
-    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
+    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"), exact=True)).collect()]
     mism = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(pairs, got) if g != urljoin(b, h)]
     assert not mism, mism[:5]
 
@@ -151,9 +158,9 @@ def test_inner_of_handles_nested_same_tag(spark):
     from habita.functions.html import all_text, inner_of
     h = ('<div class="wrap"><div class="loc"><div class="x">A</div> B <a rel="tag">Q</a>'
          '<div><div>deep</div></div> C</div><div class="loc">second</div></div>')
-    got = col(spark, [h], lambda c: inner_of(c, "div", "loc"))[0]
+    got = col(spark, [h], lambda c: inner_of(c, "div", "loc", nested=True))[0]
     assert got == '<div class="x">A</div> B <a rel="tag">Q</a><div><div>deep</div></div> C'
-    assert col(spark, [h], lambda c: all_text(F.concat(F.lit(">"), inner_of(c, "div", "loc"), F.lit("<"))))[0] == \
+    assert col(spark, [h], lambda c: all_text(F.concat(F.lit(">"), inner_of(c, "div", "loc", nested=True), F.lit("<"))))[0] == \
         " ".join(["A", " B ", "Q", "deep", " C"]).strip()
     flat = '<p class="price">15 000 F<span>x</span></p>'
     assert col(spark, [flat], lambda c: inner_of(c, "p", "price"))[0] == "15 000 F<span>x</span>"
