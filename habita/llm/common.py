@@ -62,7 +62,7 @@ def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndar
     shingle, a text without words none. ``hashes[offsets[i]:offsets[i + 1]]``
     are text i's, sorted.
     """
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     words = pc.list_flatten(lists)
     starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     # splitting leaves empty strings at the ends of a text
@@ -70,7 +70,7 @@ def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndar
     seen = np.concatenate([[0], np.cumsum(filled)])
     starts = seen[starts]
     coded = words.filter(pa.array(filled)).dictionary_encode()
-    known = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_pylist()), dtype=U64, count=len(coded.dictionary))
+    known = np.fromiter(map(xxhash.xxh64_intdigest, pc.ascii_lower(coded.dictionary).to_pylist()), dtype=U64, count=len(coded.dictionary))
     h = known[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, U64)
     n_words = np.diff(starts)
     counts = np.where(n_words == 0, 0, np.maximum(n_words - width + 1, 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import minhash, reputation
+from . import huffman, minhash, packing, reputation
 
 
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.roundtrip(read_table(spark, sf_dir, "documents"))
+
+
+def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
+        "op5_huffman_ids": op5_huffman_ids,
+        "op8_pattern_packing": op8_pattern_packing,
         "op6_url_reputation": op6_url_reputation,
         "op10_fingerprints": op10_fingerprints,
     }
