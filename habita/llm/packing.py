@@ -112,8 +112,12 @@ def plan(histogram: np.ndarray, limit: int = MAX_TOKENS, units: int = UNITS, dep
             while todo > 0:
                 need: dict[int, int] = defaultdict(int)
                 run, pick = todo, []
-                for b in ways[j]:           # the longest remaining pieces of each bin of the pattern
-                    found = next((int(v) for v in lengths_in[b] if v and left[v] > need[v]), 0)
+                for b in ways[j]:
+                    if len(pick) + 1 < len(ways[j]) or not pick:    # the longest remaining piece of the pattern's bin
+                        found = next((int(v) for v in lengths_in[b] if v and left[v] > need[v]), 0)
+                    else:                   # the last part: whatever fills the sequence best
+                        room = limit - sum(pick)
+                        found = next((int(v) for v in np.nonzero(left[:room + 1])[0][::-1] if v and left[v] > need[v]), 0)
                     if not found:
                         run = 0
                         break
