@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import huffman, minhash, packing, reputation
+from . import huffman, minhash, packing, reputation, toxicity
 
 
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.roundtrip(read_table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op3_toxicity": op3_toxicity,
         "op5_huffman_ids": op5_huffman_ids,
         "op8_pattern_packing": op8_pattern_packing,
         "op6_url_reputation": op6_url_reputation,
