@@ -75,17 +75,16 @@ def shingle_hashes(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndar
     n_words = np.diff(starts)
     counts = np.where(n_words == 0, 0, np.maximum(n_words - width + 1, 1))
     offsets = np.concatenate([[0], np.cumsum(counts)])
-    out = np.empty(int(offsets[-1]), U64)
+    odd = list(mix64(np.arange(1, width + 1, dtype=U64)) | U64(1))      # unrelated odd factors, one per place
+    total = int(offsets[-1])
     doc = np.repeat(np.arange(len(n_words)), counts)
-    first = starts[:-1][doc] + (np.arange(len(out)) - offsets[:-1][doc])
-    acc = np.zeros(len(out), U64)
-    last = starts[1:][doc] - 1
-    for k in range(width):
-        at = first + k
-        inside = at <= last
-        acc = mix64(acc * U64(0x9E3779B97F4A7C15) + U64(k + 1)
-                    + np.where(inside, h[np.minimum(at, max(len(h) - 1, 0))] if len(h) else U64(0), U64(0)))
-    out[:] = acc
+    first = starts[:-1][doc] + (np.arange(total) - offsets[:-1][doc])
+    padded = np.concatenate([h, np.zeros(width, U64)])
+    rolled = sum(padded[k:len(h) + k] * odd[k] for k in range(width))
+    out = mix64(rolled[first]) if total else np.empty(0, U64)
+    for i in np.nonzero((n_words > 0) & (n_words < width))[0]:      # a short text: its words only
+        own = h[starts[i]:starts[i + 1]]
+        out[offsets[i]] = mix64(np.array([(own * np.array(odd[:len(own)], U64)).sum(dtype=U64) + U64(len(own))], U64))[0]
     # distinct per text: sort by (text, hash) through one sort per text
     keep = np.ones(len(out), bool)
     for i in np.nonzero(counts > 1)[0]:
