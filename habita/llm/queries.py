@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import huffman, minhash, packing, reputation, toxicity
+from . import huffman, minhash, packing, parity_join, reputation, toxicity
 
 
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +13,10 @@ def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.link_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_edits(read_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def queries() -> dict:
         "op5_huffman_ids": op5_huffman_ids,
         "op8_pattern_packing": op8_pattern_packing,
         "op6_url_reputation": op6_url_reputation,
+        "op9_parity_join": op9_parity_join,
         "op10_fingerprints": op10_fingerprints,
     }
 
