@@ -373,14 +373,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     rows = docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
     marked = _with_marks(rows).drop("mark_id", "mark_name")
+    columns = docs.columns
 
     def run(batches):
         for batch in batches:
             spans, copied = batch.column("spans").to_pylist(), batch.column("copied").to_pylist()
             texts = [_cut(x.as_py(), s, bool(c))[0].decode("utf-8", "ignore") for x, s, c in zip(batch.column("text").cast(pa.large_binary()), spans, copied)]
-            out = batch.select(docs.columns)
+            out = batch.select(columns)
             out = out.set_column(out.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
-            if "n_chars" in docs.columns:
+            if "n_chars" in columns:
                 at = out.schema.get_field_index("n_chars")
                 out = out.set_column(at, "n_chars", pa.array([len(t) for t in texts], pa.int64()).cast(out.schema.field(at).type))
             yield out
