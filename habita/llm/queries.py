@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import huffman, minhash, packing, parity_join, reputation, suffix_dedup, toxicity
+from . import embedding_dedup, huffman, minhash, packing, parity_join, reputation, suffix_dedup, toxicity
 
 
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest_without_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_embedding_dedup": op2_embedding_dedup,
         "op3_toxicity": op3_toxicity,
         "op5_huffman_ids": op5_huffman_ids,
         "op8_pattern_packing": op8_pattern_packing,
