@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import embedding_dedup, huffman, minhash, packing, parity_join, reputation, suffix_dedup, toxicity
+from . import (embedding_dedup, huffman, minhash, packing, parity_join, reputation, suffix_dedup, toxicity,
+               wfst, wrapper)
 
 
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,10 +34,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.main_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.roundtrip(read_table(spark, sf_dir, "documents"))
 
 
+def op7_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wfst.encode_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -46,7 +55,9 @@ def queries() -> dict:
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_embedding_dedup": op2_embedding_dedup,
         "op3_toxicity": op3_toxicity,
+        "op4_main_text": op4_main_text,
         "op5_huffman_ids": op5_huffman_ids,
+        "op7_piece_transducer": op7_piece_transducer,
         "op8_pattern_packing": op8_pattern_packing,
         "op6_url_reputation": op6_url_reputation,
         "op9_parity_join": op9_parity_join,
