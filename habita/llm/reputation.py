@@ -18,7 +18,7 @@ RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
          ("net", "/es/", "block"), ("net", "/fr/", "block")]
 MAX_BAD = 0.3       # block when the posterior lower bound of the bad share is above this
 Z = 1.645           # one-sided 95 % bound
-WEAKEST, STRONGEST = 1.0, 1000.0    # limits of a fitted prior strength
+WEAKEST, STRONGEST, UNFITTED = 1.0, 1000.0, 10.0     # limits of a fitted prior strength; where groups cannot tell it
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,7 +48,7 @@ def _strength(groups: DataFrame) -> float:
         F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("kk")).first()
     m, n = g["m"], g["n"] or 0
     if m < 2 or n <= m:
-        return STRONGEST
+        return UNFITTED
     p = g["k"] / n
     between = (g["kk"] - n * p * p) / (m - 1)
     within = (g["k"] - g["kk"]) / (n - m)
@@ -76,7 +76,7 @@ def host_reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("dn"), F.sum("bad").alias("dbad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("dn").alias("sn"), F.sum("dbad").alias("sbad"))
     total = suffixes.agg(F.sum("sn").alias("n"), F.sum("sbad").alias("bad")).first()
-    mean = (total["bad"] + 1) / (total["n"] + 2) if total["n"] else 0.5
+    mean = total["bad"] / total["n"] if total["n"] else 0.0       # nothing labelled: nothing is known against a host
     ks = _strength(suffixes.select(F.col("sn").alias("n"), F.col("sbad").alias("bad")))
     kd = _strength(domains.select(F.col("dn").alias("n"), F.col("dbad").alias("bad")))
     kh = _strength(hosts)

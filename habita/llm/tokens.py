@@ -108,7 +108,7 @@ def encoder(path: str) -> WordEncoder:
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES):
-    """Consecutive parts of a batch of about ``size`` bytes of text; a longer text is a part of its own."""
+    """Consecutive parts of a batch of about ``size`` bytes of text, more only where one text is longer."""
     length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(length) // size
     cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), batch.num_rows]
