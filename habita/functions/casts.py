@@ -47,4 +47,4 @@ def lenient_price(raw_text) -> Column:
     ``raw_text`` is the price field read as text; only plain integers count.
     """
     t = F.trim(_c(raw_text))
-    return F.when(t.rlike(r"^[+-]?[0-9]{1,18}$"), t.try_cast("long"))
+    return F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("long"))

@@ -1,16 +1,8 @@
-"""HTML handling with built-in string/regex expressions (no parser library).
+"""URLs and text lists of pages as column expressions.
 
-Rules: ``contains(@class, 'x')`` is a substring test on the class attribute
-(values compare case-sensitively, tag and attribute names do not); element
-bodies are cut with a non-greedy regex, and an element that holds nested
-elements of its own tag is resolved by a depth-tracking pass; only the listed
-named entities are decoded JVM-side (``decode_entities_full`` is the
-Arrow-batched fallback for everything else).
+What needs the extent of an element is in ``habita.functions.dom``.
 """
 
-import html as _html
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from .patterns import URL_AUTHORITY, URL_PATH, URL_SCHEME
@@ -21,130 +13,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# Named entities decoded JVM-side; '&amp;' is applied last so
-# that '&amp;lt;' decodes to the text '&lt;' (single decoding, like a parser).
-NAMED_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
-    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"),
-    ("&ccedil;", "ç"), ("&euro;", "€"), ("&sup2;", "²"),
-]
-
-
-# Entities whose decoded character is markup-significant; all others can be
-# decoded on raw HTML without changing its structure (and cannot create '&').
-MARKUP_ENTITIES = {"&lt;", "&gt;", "&quot;", "&#39;", "&apos;"}
-
-
-def decode_entities(x) -> Column:
-    """Decode the fixed entity list; text without '&' is returned after one scan."""
-    x = _c(x)
-    out = x
-    for ent, ch in NAMED_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(x.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(x)
-
-
-def decode_text_entities(html) -> Column:
-    """Page-level pre-pass: decode the markup-neutral entities of the list
-    once on raw HTML; ``decode_markup_entities`` then finishes each field.
-    The two together equal ``decode_entities`` on every extracted field."""
-    out = _c(html)
-    for ent, ch in NAMED_ENTITIES:
-        if ent not in MARKUP_ENTITIES:
-            out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
-
-
-def decode_markup_entities(x) -> Column:
-    x = _c(x)
-    out = x
-    for ent, ch in NAMED_ENTITIES:
-        if ent in MARKUP_ENTITIES:
-            out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(x.contains("&"), F.replace(out, F.lit("&amp;"), F.lit("&"))).otherwise(x)
-
-
-_UNESCAPE = []
-
-
-def _unescape_series(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else _html.unescape(v))
-
-
-def decode_entities_full(x) -> Column:
-    """All HTML5 entities via ``html.unescape`` in an Arrow-batched pandas UDF
-    (the slow path: only for text that holds entities beyond the fixed list)."""
-    if not _UNESCAPE:
-        _UNESCAPE.append(F.pandas_udf(_unescape_series, "string"))
-    return _UNESCAPE[0](_c(x))
-
-
-def strip_tags(x, sep: str = " ") -> Column:
-    """Drop comments, script/style bodies and tags; tags become ``sep``."""
-    out = F.regexp_replace(_c(x), r"(?s)<!--.*?-->", "")
-    out = F.regexp_replace(out, r"(?s)<(?i:(script|style))\b[^>]*>.*?</\1>", "")
-    return F.regexp_replace(out, r"<[^>]*>", sep)
-
-
-def class_block(html, tag: str, class_substring: str, nested: bool = False) -> Column:
-    """Inner HTML of the first ``<tag ... class="...x...">`` element."""
-    return inner_of(html, tag, class_substring, nested=nested)
-
-
-def element_block(html, tag: str) -> Column:
-    """Inner HTML of the first ``<tag>`` element (non-greedy)."""
-    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*>(.*?)</(?i:{tag})>", 1)
-
-
-def outer_block(html, tag: str) -> Column:
-    """Inner HTML of the outermost ``<tag>`` element (greedy to the last close)."""
-    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*>(.*)</(?i:{tag})>", 1)
-
-
-def first_attr(html, tag: str, attr: str) -> Column:
-    """First ``attr`` value on a ``<tag>`` element (double-quoted values)."""
-    return F.nullif(F.regexp_extract(_c(html), rf'(?s)<(?i:{tag})\b[^>]*\b(?i:{attr})="([^"]*)"', 1), F.lit(""))
-
-
-def first_tag_text(html, tag: str) -> Column:
-    """Direct text right after the first ``<tag ...>`` opening (``tag/text()[1]``)."""
-    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*>([^<]*)", 1)
-
-
-def text_nodes(html) -> Column:
-    """Every text node (``//text()``), in document order, undecoded
-    (``[^<]+`` never matches an empty node, so no filtering is needed)."""
-    return F.regexp_extract_all(_c(html), F.lit(r">([^<]+)"), 1)
-
-
-def direct_texts(html, tag: str) -> Column:
-    """Text directly after each ``<tag>`` opening (``//tag/text()`` first node)."""
-    return F.regexp_extract_all(_c(html), F.lit(rf"(?s)<(?i:{tag})\b[^>]*>([^<]*)"), 1)
-
-
 def join_stripped(texts) -> Column:
     """Strip each text, drop blanks, join with one space."""
     stripped = F.transform(_c(texts), lambda t: py_strip(t))
     return F.array_join(F.filter(stripped, lambda t: F.length(t) > 0), " ")
 
 
-def all_text(html) -> Column:
-    """All text nodes joined by a space, then stripped."""
-    return py_strip(F.array_join(text_nodes(html), " "))
-
-
-def split_cards(html, open_tag_regex: str) -> Column:
-    """Array of card fragments, one per opening tag matching the regex.
-
-    A sentinel (U+0001) is put before each card's opening tag, the text is split
-    on it and the part before the first card is dropped.
-    """
-    marked = F.regexp_replace(_c(html), f"({open_tag_regex})", "\u0001$1")
-    parts = F.split(marked, "\u0001")
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-
-
 def _resolve_path(base_path: Column, ref_path: Column) -> Column:
     """urljoin's path merge: base directory + reference, empty middle segments
     dropped, '.' skipped, '..' popping (never above the root)."""
@@ -169,12 +43,10 @@ def _resolve_path(base_path: Column, ref_path: Column) -> Column:
     return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
 
 
-def resolve_url(base, href, exact: bool = False) -> Column:
+def resolve_url(base, href) -> Column:
     """``urljoin(base, href)`` -- absolute, '//', '/', '?', '#', '' and
-    relative references. Plain references (no '.'/'..' or empty path segment)
-    take direct string expressions; ``exact=True`` adds Python's full path
-    merge for the others (opt-in: its lambda turns off whole-stage code
-    generation for the projection it appears in)."""
+    relative references, with Python's path merge. Plain references (no
+    '.'/'..' or empty path segment) take direct string expressions."""
     base, href = _c(base), _c(href)
     authority = F.regexp_extract(base, URL_AUTHORITY, 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
@@ -191,10 +63,7 @@ def resolve_url(base, href, exact: bool = False) -> Column:
                          F.when(path.contains("/"), F.regexp_extract(path, r"^(.*/)", 1))
                           .otherwise(F.lit("/")))
     simple = F.when(href.startswith("/"), F.concat(authority, href)).otherwise(F.concat(directory, href))
-    if exact:
-        merged = F.when(plain, simple).otherwise(F.concat(authority, _resolve_path(path, ref_path), ref_rest))
-    else:
-        merged = simple
+    merged = F.when(plain, simple).otherwise(F.concat(authority, _resolve_path(path, ref_path), ref_rest))
     return (F.when(href.isNull(), F.lit(None).cast("string"))
              .when(href.rlike(URL_SCHEME), href)
              .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
@@ -217,92 +86,3 @@ def host_allowed(url, domains) -> Column:
         d = d.lower()
         cond = cond | (host == d) | host.endswith("." + d)
     return F.coalesce(cond, F.lit(False))
-
-
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
-def opening_tag(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
-    """The first opening tag ``<tag ...>`` (optionally with a class containing
-    ``class_substring`` or equal to ``exact_class``)."""
-    cls = _class_attr(class_substring, exact_class)
-    return F.regexp_extract(_c(html), rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>", 0)
-
-
-def attr_of(opening, attr: str) -> Column:
-    """Attribute value of an opening tag text, NULL when absent."""
-    return F.nullif(F.regexp_extract(_c(opening), rf'(?s)\b(?i:{attr})="([^"]*)"', 1), F.lit(""))
-
-
-def _class_attr(class_substring: str | None, exact_class: str | None) -> str:
-    if exact_class is not None:
-        return rf'\b(?i:class)="{_re_escape(exact_class)}"'
-    if class_substring is not None:
-        return rf'\b(?i:class)="[^"]*{_re_escape(class_substring)}[^"]*"'
-    return ""
-
-
-def _balanced_inner(html: Column, tag: str, cls: str) -> Column:
-    """Exact inner HTML of the first matching element, nested elements of the
-    same tag included: tokenise from its opening tag and track the depth."""
-    rest = F.regexp_extract(html, rf"(?s)(<(?i:{tag})\b[^>]*{cls}[^>]*>.*)", 1)
-    toks = F.regexp_extract_all(rest, F.lit(rf"(?s)(</?(?i:{tag})\b[^>]*>|[^<]+|<[^>]*>)"), 1)
-    init = F.struct(F.lit(0).alias("d"), F.lit(False).alias("done"),
-                    F.array().cast("array<string>").alias("out"))
-
-    def step(acc, t):
-        d = acc["d"]
-        is_open = t.rlike(rf"^<(?i:{tag})\b")
-        is_close = t.rlike(rf"^</(?i:{tag})\b")
-        closes_outer = is_close & (d == 1)
-        emit = ~acc["done"] & (d >= 1) & ~closes_outer
-        return F.struct(
-            F.when(is_open, d + 1).when(is_close, d - 1).otherwise(d).alias("d"),
-            (acc["done"] | closes_outer).alias("done"),
-            F.when(emit, F.concat(acc["out"], F.array(t))).otherwise(acc["out"]).alias("out"))
-    return F.array_join(F.aggregate(toks, init, step)["out"], "")
-
-
-def inner_of(html, tag: str, class_substring: str | None = None, exact_class: str | None = None,
-             nested: bool = False) -> Column:
-    """Inner HTML of the first matching element.
-
-    The default non-greedy match stops at the first closing tag, which is
-    exact unless the element nests elements of its own tag. ``nested=True``
-    adds the depth-tracking form for that case; it is opt-in because its
-    lambda (a higher-order function) turns off whole-stage code generation for
-    the whole projection it appears in (measured: ~3x slower card rules).
-    """
-    cls = _class_attr(class_substring, exact_class)
-    html = _c(html)
-    fast = F.regexp_extract(html, rf"(?s)<(?i:{tag})\b[^>]*{cls}[^>]*>(.*?)</(?i:{tag})>", 1)
-    if not nested:
-        return fast
-    return F.when(fast.rlike(rf"<(?i:{tag})\b"), _balanced_inner(html, tag, cls)).otherwise(fast)
-
-
-def has_element(html, tag: str, class_substring: str | None = None, exact_class: str | None = None) -> Column:
-    return F.length(opening_tag(html, tag, class_substring, exact_class)) > 0
-
-
-def _own_text(inner) -> Column:
-    """The element's own text with every child element/tag replaced by U+0002."""
-    no_children = F.regexp_replace(_c(inner), r"(?s)<(\w+)\b[^>]*>.*?</\1>", "\u0002")
-    return F.regexp_replace(no_children, r"<[^>]*>", "\u0002")
-
-
-def direct_text_nodes(inner) -> Column:
-    """``text()`` of an element: its own text nodes (children removed), in order."""
-    return F.regexp_extract_all(_own_text(inner), F.lit("([^\u0002]+)"), 1)
-
-
-def first_direct_text(inner) -> Column:
-    """``text()`` + ``.get()``: the first own text node, NULL when none."""
-    return F.nullif(F.regexp_extract(_own_text(inner), "^\u0002*([^\u0002]+)", 1), F.lit(""))
-
-
-def all_attrs(html, tag: str, attr: str) -> Column:
-    """Every ``attr`` value of ``tag`` elements, in document order."""
-    return F.regexp_extract_all(_c(html), F.lit(rf'(?s)<(?i:{tag})\b[^>]*\b(?i:{attr})="([^"]*)"'), 1)

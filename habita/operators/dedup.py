@@ -8,7 +8,7 @@ being shuffled whole into one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def pick_per_key(df: DataFrame, keys, order_cols, *, largest: bool = True) -> DataFrame:
@@ -29,52 +29,35 @@ def latest_per_url(df: DataFrame, key: str = "listing_url", order: str = "scrape
     return pick_per_key(df, key, order, largest=True)
 
 
-def drop_duplicates_any(df: DataFrame, key: str = "listing_url") -> DataFrame:
-    """A1 as the stream job wrote it: arbitrary survivor."""
-    return df.dropDuplicates([key])
-
-
 def first_per_crawl(df: DataFrame, crawl_col: str, key: str = "listing_url",
                     order=("page_id", "pos")) -> DataFrame:
     """A5: one item per URL per crawl, the first seen (page order, then position)."""
     return pick_per_key(df, [crawl_col, key], list(order), largest=False)
 
 
-def existing_conflicts(existing_keys: DataFrame, batch_keys: DataFrame, key: str,
-                       broadcast_batch: bool, bucket_col: str | None = None) -> DataFrame:
-    """Keys of the batch that are already stored.
+def insert_if_absent(batch: DataFrame, existing_keys: DataFrame, key: str = "listing_url",
+                     *, order: str = "scraped_at", bucket_col: str | None = None) -> DataFrame:
+    """Rows of ``batch`` whose key is not stored yet, one row per key.
 
-    The stored side is only scanned for its key column; the batch keys are
-    broadcast when the caller has checked their size, otherwise both sides
-    shuffle on the key (AQE may still switch to a broadcast at run time).
-    With ``bucket_col`` (a store partitioned by key bucket) the join includes
-    the bucket, so dynamic partition pruning skips buckets the batch lacks.
+    A row without a key can match nothing that is stored, so it is rejected
+    (``load_batch`` counts it). The batch is reduced to one row per key (A1)
+    and anti-joined with the key column of the store; Spark picks the join from
+    the sizes it measures. With ``bucket_col`` (a store partitioned by key
+    bucket) the join includes the bucket.
     """
+    keyed = batch.where(F.col(key).isNotNull())
+    deduped = latest_per_url(keyed, key, order) if order in batch.columns else keyed.dropDuplicates([key])
     cols = [bucket_col, key] if bucket_col else [key]
-    bk = batch_keys.select(*cols).distinct()
-    if broadcast_batch:
-        bk = F.broadcast(bk)
-    return existing_keys.select(*cols).join(bk, cols, "left_semi")
+    return deduped.join(existing_keys.select(*cols), cols, "left_anti")
 
 
-def insert_if_absent(batch: DataFrame, existing_keys: DataFrame, key: str = "listing_url",
-                     *, batch_rows: int | None = None, broadcast_limit: int = 2_000_000,
-                     order: str = "scraped_at", bucket_col: str | None = None) -> DataFrame:
-    """Rows of ``batch`` whose key is not stored yet, one row per key.
-
-    Plan: dedup the batch (A1) -> find the batch keys already present with a
-    semi join that reads only the key column of the store -> anti join the
-    batch against those conflicts. The conflict set is bounded by the batch,
-    so it is the side that may be broadcast -- never the store. ``batch_rows``
-    is the batch's counted size (a streaming micro-batch counts it anyway); a
-    broadcast is used only when it is known and under ``broadcast_limit``.
-    """
-    deduped = latest_per_url(batch, key, order) if order in batch.columns else batch.dropDuplicates([key])
-    small = batch_rows is not None and batch_rows <= broadcast_limit
-    conflicts = existing_conflicts(existing_keys, deduped, key, small, bucket_col)
-    if small:
-        conflicts = F.broadcast(conflicts)
-    return deduped.join(conflicts, [bucket_col, key] if bucket_col else key, "left_anti")
+def insert_if_absent_marked(rows: DataFrame, stored: Column, key: str = "listing_url", order: str = "scraped_at") -> DataFrame:
+    """D1 where stored and new rows are in one table: the latest new row of each key that has no
+    stored row. One aggregation, whatever the sizes; rows without a key are rejected."""
+    rest = [c for c in rows.columns if c not in (key, order)]
+    new = F.when(~stored, F.struct(order, *rest))
+    return (rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(stored.cast("int")).alias("__stored"), F.max(new).alias("__row"))
+            .where("__stored = 0").select(*[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in rows.columns]))
 
 
 def upsert_latest(existing: DataFrame, batch: DataFrame, key: str = "listing_url",

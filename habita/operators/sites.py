@@ -2,26 +2,30 @@
 
 Each site has a card rule (list page -> one row per card) and a detail rule
 (detail page -> fields that complete the card); ``extract_site`` joins them by
-URL. Selectors follow the documented limits of ``habita.functions.html``.
-Items keep the wire types: numbers are text, ``image_urls`` an array.
+URL. Selectors run on the element tree (``habita.functions.dom``) and return
+raw texts; everything that is done with the texts is a Spark expression. Items
+keep the wire types: numbers are text, ``image_urls`` an array.
 """
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import normalise as N
-from ..functions.html import (all_attrs, all_text, attr_of, decode_markup_entities,
-                              decode_text_entities, first_direct_text,
-                              inner_of, join_stripped, opening_tag, resolve_url, split_cards,
-                              text_nodes)
+from ..functions.dom import Element, attr_is, first, has_class, select_rows, texts_within
+from ..functions.html import host_allowed, join_stripped
 from ..functions.text import (digits_only, first_integer, price_digits, price_digits_dotted,
                               py_strip, rooms_from_text, split_location, surface_from_text,
                               wc_from_text)
+from ..sources.pages import ajax_html
 from .dedup import pick_per_key
 from .extract import image_merge
 
 # Source labels and defaults of the three sites.
+# Hosts whose pages a source follows; a source without an entry follows any.
+ALLOWED_DOMAINS = {"intendance": ["intendance.tg"], "igoe": ["igoeimmobilier.com"]}
 SOURCES = {"intendance": "intendance.tg", "coinafrique": "coinafrique", "igoe": "igoeimmobilier"}
 DEFAULT_CITY = "Lomé"
 LEGAL_UNSPECIFIED = "Non spécifié"
@@ -51,105 +55,147 @@ IGOE = {
     "surface_rows": ["Surface", "superficie"], "size": "epl-icon-container-size",
     "gallery": "property-gallery",
 }
-CARD_MARKERS = {
-    "intendance": r'<(?i:div)\b[^>]*\b(?i:class)="[^"]*listing_wrapper',
-    "coinafrique": r'<(?i:div)\b[^>]*\b(?i:class)="[^"]*ad__card(?![-\w])',
-    "igoe": r'<(?i:div)\b[^>]*\b(?i:class)="[^"]*epl-listing-post',
-}
+CARD_CLASS = {"intendance": "listing_wrapper", "coinafrique": "ad__card", "igoe": "epl-listing-post"}
 
 
 def _null() -> Column:
     return F.lit(None).cast("string")
 
 
-def _dec(x: Column) -> Column:
-    # the page HTML was pre-decoded by decode_text_entities (see cards/details)
-    return decode_markup_entities(x)
+def _strip_or_empty(c: str) -> Column:
+    return F.coalesce(py_strip(c), F.lit(""))
+
+
+def _absolute(root: Element, url: str | None, link: str) -> str:
+    """The link against the page's address, or its ``base`` element."""
+    base = first(e.attrs["href"] for e in root.find("base") if e.attrs.get("href"))
+    return urljoin(urljoin(url or "", base) if base else url or "", link)
+
+
+def _first_text(elements) -> str | None:
+    """``.../text()`` + ``.get()``: the first own text node of the first element that has one."""
+    return first(t for e in elements for t in e.texts())
 
 
-def _strip_or_empty(x: Column) -> Column:
-    return py_strip(F.coalesce(_dec(x), F.lit("")))
+def _sources(elements) -> list[str]:
+    return [e.attrs["src"] for e in elements if "src" in e.attrs]
 
 
-def _img(card: Column, cls: str) -> Column:
-    src = attr_of(opening_tag(card, "img", cls), "src")
-    return F.when(src.isNotNull(), F.array(src)).otherwise(F.array().cast("array<string>"))
+def _first_image(card: Element, cls: str) -> list[str]:
+    src = first(_sources(card.find("img", has_class(cls))))
+    return [src] if src else []
 
 
 def cards(pages: DataFrame, site: str) -> DataFrame:
-    """S5 for one site: (page_id, url, pos, card)."""
-    html = decode_text_entities(F.col("html"))
-    return pages.select("page_id", "url", F.posexplode(split_cards(html, CARD_MARKERS[site]))
-                        .alias("pos", "card"))
+    """S5 for one site: the fields of every card, (page_id, url, pos, ...). A card is the
+    element itself, to its own closing tag; cards without a link are dropped (F5)."""
+    rule, fields = CARD_RULES[site]
+    cls = CARD_CLASS[site]
+
+    def rows(root, url):
+        for pos, card in enumerate(root.find("div", has_class(cls))):
+            got = rule(card)
+            if got[0]:
+                yield (pos, _absolute(root, url, got[0]), *got[1:])
+    return select_rows(pages, rows, "pos int, listing_url string, " + fields)
 
 
 # ---------------------------------------------------------------- intendance
+INTENDANCE_CARD = ("title_a string, title_b string, price_txt string, tag1 string, tag2 string, room string, bath string, "
+                   "size string, badge string, loc array<string>, details string, image_urls array<string>")
+
+
+def intendance_fields(card: Element):
+    m = INTENDANCE
+    links = [a for h in card.find("h4") for a in h.children("a")]
+    modal = list(card.find("a", has_class(m["link"])))
+    href = first(a.attrs["href"] for a in links if "href" in a.attrs)
+
+    def tag(index):
+        # the index counts among the links of one parent
+        return _first_text(t[index] for e in [card, *card.walk()] if len(t := e.children("a", attr_is("rel", "tag"))) > index)
+    return (href or first(a.attrs[m["link_url_attr"]] for a in modal if m["link_url_attr"] in a.attrs),
+            _first_text(links), first(a.attrs[m["link_title_attr"]] for a in modal if m["link_title_attr"] in a.attrs),
+            _first_text(card.find("div", has_class(m["price"]))), tag(0), tag(1),
+            _first_text(card.find("span", has_class(m["rooms"]))), _first_text(card.find("span", has_class(m["baths"]))),
+            first(t for e in card.find("span", has_class(m["size"])) for t in e.all_texts()),
+            _first_text(card.find("div", has_class(m["badge"]))), texts_within(card, has_class(m["location"])),
+            _first_text(card.find("div", has_class(m["details"]))), _first_image(card, m["image"]))
+
+
 def intendance_card(c: DataFrame, scraped_at: Column) -> DataFrame:
-    card = F.col("card")
-    h4_href = F.nullif(F.regexp_extract(card, r'(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*\b(?i:href)="([^"]*)"', 1), F.lit(""))
-    pl = opening_tag(card, "a", INTENDANCE["link"])
-    size = F.try_element_at(text_nodes(F.concat(F.lit(">"), inner_of(card, "span", INTENDANCE["size"]), F.lit("<"))), F.lit(1))
-    # stage 1: every selector is evaluated once
-    raw = c.select(
-        "page_id", "pos", "url",
-        F.coalesce(h4_href, attr_of(pl, INTENDANCE["link_url_attr"])).alias("href"),
-        py_strip(_dec(F.regexp_extract(card, r"(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*>([^<]*)", 1))).alias("title_a"),
-        _dec(attr_of(pl, INTENDANCE["link_title_attr"])).alias("title_b"),
-        F.coalesce(first_direct_text(inner_of(card, "div", INTENDANCE["price"])), F.lit("0")).alias("price_txt"),
-        F.regexp_extract_all(card, F.lit(r'(?s)<(?i:a)\b[^>]*\b(?i:rel)="tag"[^>]*>([^<]*)'), 1).alias("tags"),
-        first_direct_text(inner_of(card, "span", INTENDANCE["rooms"])).alias("room"),
-        first_direct_text(inner_of(card, "span", INTENDANCE["baths"])).alias("bath"),
-        size.alias("size"),
-        F.coalesce(first_direct_text(inner_of(card, "div", INTENDANCE["badge"])), F.lit("")).alias("badge"),
-        all_text(F.concat(F.lit(">"), inner_of(card, "div", INTENDANCE["location"]), F.lit("<"))).alias("loc"),
-        first_direct_text(inner_of(card, "div", INTENDANCE["details"])).alias("details"),
-        _img(card, INTENDANCE["image"]).alias("image_urls"),
-    )
-    title = F.when(F.col("title_a") != "", F.col("title_a")).otherwise(F.coalesce(F.col("title_b"), F.lit("")))
-    url = resolve_url(F.col("url"), _dec(F.col("href")))
-    t = raw.select("*", url.alias("listing_url"), title.alias("title"))
+    title = py_strip("title_a")
+    t = c.withColumn("title", F.when(title != "", title).otherwise(F.coalesce("title_b", F.lit(""))))
     return t.select(
         "page_id", "pos", "listing_url", "title",
-        price_digits(_dec(F.col("price_txt"))).alias("price"),
-        py_strip(_dec(F.col("loc"))).alias("address"),
-        F.coalesce(py_strip(_dec(F.try_element_at("tags", F.lit(1)))), F.lit("")).alias("neighborhood"),
-        F.coalesce(py_strip(_dec(F.try_element_at("tags", F.lit(2)))), F.lit(DEFAULT_CITY)).alias("city"),
+        price_digits(F.coalesce("price_txt", F.lit("0"))).alias("price"),
+        py_strip(F.array_join("loc", " ")).alias("address"),
+        _strip_or_empty("tag1").alias("neighborhood"),
+        F.coalesce(py_strip("tag2"), F.lit(DEFAULT_CITY)).alias("city"),
         N.type_from_title_a(F.col("title")).alias("property_type"),
-        N.offer_from_badge_a(_dec(F.col("badge"))).alias("offer_type"),
-        F.when(F.coalesce(F.col("room"), F.lit("")) != "", digits_only(F.col("room"))).alias("bedrooms"),
-        F.when(F.coalesce(F.col("bath"), F.lit("")) != "", digits_only(F.col("bath"))).alias("wc_interne"),
+        N.offer_from_badge_a(F.coalesce("badge", F.lit(""))).alias("offer_type"),
+        F.when(F.col("room") != "", digits_only(F.col("room"))).alias("bedrooms"),
+        F.when(F.col("bath") != "", digits_only(F.col("bath"))).alias("wc_interne"),
         first_integer(F.col("size")).alias("square_footage"),
-        _strip_or_empty(F.col("details")).alias("description"),
+        _strip_or_empty("details").alias("description"),
         "image_urls",
         F.lit(SOURCES["intendance"]).alias("source"), scraped_at.alias("scraped_at"),
         F.lit(LEGAL_UNSPECIFIED).alias("legal_doc"),
-    ).where(F.col("listing_url").isNotNull() & (F.col("listing_url") != ""))
+    )
+
+
+def _after_label(root: Element, words) -> str | None:
+    """First text of an ``li`` that follows, anywhere later among its siblings, an ``li`` whose first text holds a word."""
+    for e in [root, *root.walk()]:
+        seen = False
+        for li in e.children("li"):
+            if seen and (t := li.texts()):
+                return t[0]
+            own = li.texts()
+            seen = seen or bool(own) and any(w in own[0] for w in words)
+    return None
+
+
+def _text_after(root: Element, tag: str, word: str) -> str | None:
+    """First text node after, among its siblings, a ``tag`` whose first text holds the word."""
+    for e in [root, *root.walk()]:
+        seen = False
+        for k in e.kids:
+            if isinstance(k, str):
+                if seen:
+                    return k
+            elif k.tag == tag and (own := k.texts()) and word in own[0]:
+                seen = True
+    return None
 
 
-def _li_after(html: Column, words) -> Column:
-    """Text of the ``li`` following an ``li`` whose own text holds a word."""
-    alt = "|".join(words)
-    return F.nullif(F.regexp_extract(html, rf"(?s)<(?i:li)\b[^>]*>[^<]*(?:{alt})[^<]*</(?i:li)>\s*<(?i:li)\b[^>]*>([^<]*)", 1), F.lit(""))
+INTENDANCE_DETAIL = "parts array<string>, surface string, rooms string, baths string, kind string, d_images array<string>"
+
+
+def intendance_detail_fields(root: Element, url: str | None):
+    m = INTENDANCE
+    paras = [t for d in root.find("div", attr_is("id", m["description_id"])) for p in d.find("p") for t in p.texts()]
+    yield (paras or texts_within(root, has_class(m["description_alt"])),
+           _after_label(root, m["surface_rows"]) or _text_after(root, "strong", m["surface_rows"][0]),
+           _after_label(root, m["room_rows"]), _after_label(root, m["bath_rows"]), _after_label(root, m["type_rows"]),
+           _images_within(root, has_class(m["gallery"])))
+
+
+def _images_within(root: Element, test) -> list[str]:
+    """``src`` of every image inside a ``div`` that passes, each element once."""
+    seen: dict[int, Element] = {}
+    for d in root.find("div", test):
+        for e in d.find("img"):
+            seen[id(e)] = e
+    return _sources(seen.values())
 
 
 def intendance_detail(d: DataFrame) -> DataFrame:
-    h = F.col("html")
-    desc_div = F.regexp_extract(h, rf'(?s)<(?i:div)\b[^>]*\b(?i:id)="{INTENDANCE["description_id"]}"[^>]*>(.*?)</(?i:div)>', 1)
-    paras = F.regexp_extract_all(desc_div, F.lit(r"(?s)<(?i:p)\b[^>]*>([^<]*)"), 1)
-    alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", INTENDANCE["description_alt"]), F.lit("<")))
-    chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
-    surface_txt = F.coalesce(_li_after(h, INTENDANCE["surface_rows"]),
-                             F.nullif(F.regexp_extract(h, rf"(?s)<(?i:strong)\b[^>]*>[^<]*{INTENDANCE['surface_rows'][0]}[^<]*</(?i:strong)>([^<]*)", 1), F.lit("")))
-    carousel = inner_of(h, "div", INTENDANCE["gallery"])
     return d.select(
         "page_id", F.col("url").alias("listing_url"),
-        F.when(F.size(chosen) > 0, _dec(join_stripped(chosen))).alias("d_description"),
-        first_integer(surface_txt).alias("d_surface"),
-        first_integer(_li_after(h, INTENDANCE["room_rows"])).alias("d_rooms"),
-        first_integer(_li_after(h, INTENDANCE["bath_rows"])).alias("d_baths"),
-        py_strip(_dec(_li_after(h, INTENDANCE["type_rows"]))).alias("d_type"),
-        all_attrs(carousel, "img", "src").alias("d_images"),
-    )
+        F.when(F.size("parts") > 0, join_stripped("parts")).alias("d_description"),
+        first_integer(F.col("surface")).alias("d_surface"), first_integer(F.col("rooms")).alias("d_rooms"),
+        first_integer(F.col("baths")).alias("d_baths"), py_strip("kind").alias("d_type"), "d_images")
 
 
 def intendance_merge(j: DataFrame) -> DataFrame:
@@ -171,53 +217,50 @@ def intendance_merge(j: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------- coinafrique
+COINAFRIQUE_CARD = "t1 string, t2 string, price_txt string, location string, image_urls array<string>"
+
+
+def coinafrique_fields(card: Element):
+    m = COINAFRIQUE
+    href = lambda cls: first(a.attrs["href"] for a in card.find("a", has_class(cls)) if "href" in a.attrs)     # noqa: E731
+    inner = lambda cls, tag: _first_text(x for p in card.find("p", has_class(cls)) for x in p.children(tag))     # noqa: E731
+    return (href(m["link"]) or href(m["link_alt"]), inner(m["title"], "a"), inner(m["title_alt"], "a"),
+            _first_text(card.find("p", has_class(m["price"]))), inner(m["location"], "span"), _first_image(card, m["image"]))
+
+
 def coinafrique_card(c: DataFrame, scraped_at: Column) -> DataFrame:
-    card = F.col("card")
-
-    def p_a_text(cls):
-        return py_strip(_dec(F.regexp_extract(
-            card, rf'(?s)<(?i:p)\b[^>]*\b(?i:class)="[^"]*{cls}[^"]*"[^>]*>\s*<(?i:a)\b[^>]*>([^<]*)', 1)))
-    raw = c.select(
-        "page_id", "pos", "url",
-        F.coalesce(attr_of(opening_tag(card, "a", COINAFRIQUE["link"]), "href"),
-                   attr_of(opening_tag(card, "a", COINAFRIQUE["link_alt"]), "href")).alias("href"),
-        p_a_text(COINAFRIQUE["title"]).alias("t1"), p_a_text(COINAFRIQUE["title_alt"]).alias("t2"),
-        F.coalesce(first_direct_text(inner_of(card, "p", COINAFRIQUE["price"])), F.lit("0")).alias("price_txt"),
-        py_strip(_dec(F.regexp_extract(
-            card, rf'(?s)<(?i:p)\b[^>]*\b(?i:class)="[^"]*{COINAFRIQUE["location"]}[^"]*"[^>]*>.*?<(?i:span)\b[^>]*>([^<]*)', 1))).alias("address"),
-        _img(card, COINAFRIQUE["image"]).alias("image_urls"),
-    )
-    t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
-                   F.when(F.col("t1") != "", F.col("t1")).otherwise(F.col("t2")).alias("title"))
+    t1 = _strip_or_empty("t1")
+    t = c.select("*", F.when(t1 != "", t1).otherwise(_strip_or_empty("t2")).alias("title"), _strip_or_empty("location").alias("address"))
     hood, city = split_location(F.col("address"))
     return t.select(
         "page_id", "pos", "listing_url", "title",
-        price_digits(_dec(F.col("price_txt"))).alias("price"), "address",
+        price_digits(F.coalesce("price_txt", F.lit("0"))).alias("price"), "address",
         hood.alias("neighborhood"), city.alias("city"),
         N.type_from_title_b(F.col("title")).alias("property_type"),
         N.offer_from_title_b(F.col("title")).alias("offer_type"),
         "image_urls",
         F.lit(SOURCES["coinafrique"]).alias("source"), scraped_at.alias("scraped_at"),
         _null().alias("description"), _null().alias("bedrooms"), _null().alias("square_footage"),
-        _null().alias("wc_interne"), F.lit(LEGAL_UNSPECIFIED).alias("legal_doc"),
-    ).where(F.col("listing_url").isNotNull() & (F.col("listing_url") != ""))
+        _null().alias("wc_interne"), F.lit(LEGAL_UNSPECIFIED).alias("legal_doc"))
+
+
+COINAFRIQUE_DETAIL = "parts array<string>, about array<string>"
+
+
+def coinafrique_detail_fields(root: Element, url: str | None):
+    m = COINAFRIQUE
+    either = lambda e: m["description"] in e.attrs.get("class", "") or m["details"] in e.attrs.get("class", "")     # noqa: E731
+    yield (texts_within(root, has_class(m["description"])) or texts_within(root, has_class(m["description_alt"])), texts_within(root, either))
 
 
 def coinafrique_detail(d: DataFrame) -> DataFrame:
-    h = F.col("html")
-    blocks = lambda alt: F.regexp_extract_all(
-        h, F.lit(rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="[^"]*(?:{alt})[^"]*"[^>]*>(.*?)</(?i:div)>'), 1)
-    nodes = lambda arr: F.flatten(F.transform(arr, lambda b: text_nodes(F.concat(F.lit(">"), b, F.lit("<")))))
-    desc_nodes = nodes(blocks(COINAFRIQUE["description"]))
-    alt_nodes = nodes(blocks(COINAFRIQUE["description_alt"]))
-    chosen = F.when(F.size(desc_nodes) > 0, desc_nodes).otherwise(alt_nodes)
-    main = F.lower(_dec(F.array_join(nodes(blocks(COINAFRIQUE["description"] + "|" + COINAFRIQUE["details"])), " ")))
-    legal_all = N.legal_docs_all(main)
-    return d.select(
+    t = d.select("page_id", "url", "parts", F.lower(F.array_join("about", " ")).alias("main"))
+    legal_all = N.legal_docs_all(F.col("main"))
+    return t.select(
         "page_id", F.col("url").alias("listing_url"),
-        _dec(join_stripped(chosen)).alias("d_description"),
-        surface_from_text(main).alias("d_surface"), rooms_from_text(main).alias("d_rooms"),
-        wc_from_text(main).alias("d_wc"),
+        join_stripped("parts").alias("d_description"),
+        surface_from_text(F.col("main")).alias("d_surface"), rooms_from_text(F.col("main")).alias("d_rooms"),
+        wc_from_text(F.col("main")).alias("d_wc"),
         F.when(legal_all != LEGAL_UNSPECIFIED, legal_all).alias("d_legal"))
 
 
@@ -233,66 +276,63 @@ def coinafrique_merge(j: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- igoe
+IGOE_CARD = ("t1 string, t2 string, price_txt string, suburb string, badge string, beds string, baths string, "
+             "excerpt string, image_urls array<string>")
+
+
+def _icon(root: Element, container: str) -> str | None:
+    return _first_text(v for c in root.find("div", has_class(container)) for v in c.find("div", attr_is("class", IGOE["icon_value"])))
+
+
+def igoe_fields(card: Element):
+    m = IGOE
+    heads = list(card.find("h3", attr_is("class", m["title"])))
+    links = [a for h in heads for a in h.children("a")]
+    span = lambda cls: _first_text(card.find("span", attr_is("class", cls)))      # noqa: E731
+    return (first(a.attrs["href"] for a in links if "href" in a.attrs)
+            or first(a.attrs["href"] for a in card.find("a", attr_is("class", m["link_alt"])) if "href" in a.attrs),
+            _first_text(links), _first_text(heads),
+            _first_text(s for d in card.find("div", attr_is("class", m["price"])) for s in d.children("span")) or span(m["price_sold"]) or span(m["price_alt"]),
+            span(m["suburb"]), _first_text(card.find("span", has_class(m["badge"]))), _icon(card, m["beds"]), _icon(card, m["baths"]),
+            _first_text(p for d in card.find("div", attr_is("class", m["excerpt"])) for p in d.children("p")), _first_image(card, m["image"]))
+
+
 def igoe_card(c: DataFrame, scraped_at: Column) -> DataFrame:
-    card = F.col("card")
-    h3 = F.regexp_extract(card, rf'(?s)<(?i:h3)\b[^>]*\b(?i:class)="{IGOE["title"]}"[^>]*>(.*?)</(?i:h3)>', 1)
-    p1 = F.regexp_extract(card, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="{IGOE["price"]}"[^>]*>\s*<(?i:span)\b[^>]*>([^<]*)', 1)
-    p2 = first_direct_text(inner_of(card, "span", exact_class=IGOE["price_sold"]))
-    p3 = first_direct_text(inner_of(card, "span", exact_class=IGOE["price_alt"]))
-
-    def icon(container):
-        v = F.regexp_extract(card, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="[^"]*{container}[^"]*"[^>]*>.*?'
-                                   rf'<(?i:div)\b[^>]*\b(?i:class)="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)
-        return F.when(v != "", py_strip(_dec(v)))
-    stage1 = c.select("page_id", "pos", "url", card.alias("card"), h3.alias("h3"))
-    raw = stage1.select(
-        "page_id", "pos", "url",
-        F.coalesce(attr_of(opening_tag(F.col("h3"), "a"), "href"),
-                   attr_of(opening_tag(card, "a", exact_class=IGOE["link_alt"]), "href")).alias("href"),
-        py_strip(_dec(F.coalesce(first_direct_text(inner_of(F.col("h3"), "a")), F.lit("")))).alias("t1"),
-        py_strip(_dec(F.coalesce(first_direct_text(F.col("h3")), F.lit("")))).alias("t2"),
-        F.coalesce(F.nullif(p1, F.lit("")), p2, p3, F.lit("")).alias("price_txt"),
-        py_strip(_dec(F.coalesce(first_direct_text(inner_of(card, "span", exact_class=IGOE["suburb"])), F.lit("")))).alias("neighborhood"),
-        F.coalesce(first_direct_text(inner_of(card, "span", IGOE["badge"])), F.lit("")).alias("badge"),
-        icon(IGOE["beds"]).alias("bedrooms"), icon(IGOE["baths"]).alias("wc_interne"),
-        _dec(F.coalesce(F.nullif(F.regexp_extract(
-            card, rf'(?s)<(?i:div)\b[^>]*\b(?i:class)="{IGOE["excerpt"]}"[^>]*>\s*<(?i:p)\b[^>]*>([^<]*)', 1), F.lit("")), F.lit(""))).alias("excerpt"),
-        _img(card, IGOE["image"]).alias("image_urls"),
-    )
-    t = raw.select("*", resolve_url(F.col("url"), _dec(F.col("href"))).alias("listing_url"),
-                   F.when(F.col("t1") != "", F.col("t1")).otherwise(F.col("t2")).alias("title"))
+    t1 = _strip_or_empty("t1")
+    t = c.select("*", F.when(t1 != "", t1).otherwise(_strip_or_empty("t2")).alias("title"),
+                 _strip_or_empty("suburb").alias("neighborhood"), F.coalesce("excerpt", F.lit("")).alias("short"))
     hood = F.col("neighborhood")
     return t.select(
         "page_id", "pos", "listing_url", "title",
-        price_digits_dotted(_dec(F.col("price_txt"))).alias("price"),
+        price_digits_dotted(F.coalesce("price_txt", F.lit(""))).alias("price"),
         hood, F.lit(DEFAULT_CITY).alias("city"),
         F.when(hood != "", F.concat(hood, F.lit(", " + DEFAULT_CITY))).otherwise(F.lit(DEFAULT_CITY)).alias("address"),
-        N.offer_from_badge_c(_dec(F.col("badge"))).alias("offer_type"),
-        "bedrooms", "wc_interne",
-        N.type_from_title_c(F.col("title"), F.col("excerpt")).alias("property_type"),
-        py_strip(F.col("excerpt")).alias("description"),
+        N.offer_from_badge_c(F.coalesce("badge", F.lit(""))).alias("offer_type"),
+        F.when(F.col("beds") != "", py_strip("beds")).alias("bedrooms"), F.when(F.col("baths") != "", py_strip("baths")).alias("wc_interne"),
+        N.type_from_title_c(F.col("title"), F.col("short")).alias("property_type"),
+        py_strip("short").alias("description"),
         "image_urls",
         F.lit(SOURCES["igoe"]).alias("source"), scraped_at.alias("scraped_at"),
-        F.lit("").alias("square_footage"), F.lit("").alias("legal_doc"),
-    ).where(F.col("listing_url").isNotNull() & (F.col("listing_url") != ""))
+        F.lit("").alias("square_footage"), F.lit("").alias("legal_doc"))
+
+
+IGOE_DETAIL = "parts array<string>, surface string, d_images array<string>"
+
+
+def igoe_detail_fields(root: Element, url: str | None):
+    m = IGOE
+    inside: dict[int, Element] = {}
+    for d in root.find("div", has_class(m["content"])):
+        inside.update((id(p), p) for p in d.find("p"))
+    paras = [t for p in inside.values() for t in p.texts()]
+    rows = (li for li in root.find("li") if any(w in "".join(li.all_texts()) for w in m["surface_rows"]))
+    yield (paras or texts_within(root, has_class(m["description_alt"])), _first_text(rows) or _icon(root, m["size"]),
+           _images_within(root, has_class(m["gallery"])) or _images_within(root, attr_is("id", m["gallery"])))
 
 
 def igoe_detail(d: DataFrame) -> DataFrame:
-    h = F.col("html")
-    content = inner_of(h, "div", IGOE["content"])
-    paras = F.regexp_extract_all(content, F.lit(r"(?s)<(?i:p)\b[^>]*>([^<]*)"), 1)
-    alt = text_nodes(F.concat(F.lit(">"), inner_of(h, "div", IGOE["description_alt"]), F.lit("<")))
-    chosen = F.when(F.size(paras) > 0, paras).otherwise(alt)
-    li_surface = F.regexp_extract(h, rf"(?s)<(?i:li)\b[^>]*>((?:(?!</(?i:li)>).)*?(?:{'|'.join(IGOE['surface_rows'])}).*?)</(?i:li)>", 1)
-    surface_txt = F.coalesce(first_direct_text(li_surface),
-                             first_direct_text(F.regexp_extract(h, rf'(?s){IGOE["size"]}.*?<(?i:div)\b[^>]*\b(?i:class)="{IGOE["icon_value"]}"[^>]*>([^<]*)', 1)))
-    g1 = all_attrs(inner_of(h, "div", IGOE["gallery"]), "img", "src")
-    g2 = all_attrs(F.regexp_extract(h, rf'(?s)<(?i:div)\b[^>]*\b(?i:id)="{IGOE["gallery"]}"[^>]*>(.*?)</(?i:div)>', 1), "img", "src")
-    return d.select(
-        "page_id", F.col("url").alias("listing_url"),
-        F.when(F.size(chosen) > 0, _dec(join_stripped(chosen))).alias("d_full"),
-        first_integer(surface_txt).alias("d_surface"),
-        F.when(F.size(g1) > 0, g1).otherwise(g2).alias("d_images"))
+    return d.select("page_id", F.col("url").alias("listing_url"), F.when(F.size("parts") > 0, join_stripped("parts")).alias("d_full"),
+                    first_integer(F.col("surface")).alias("d_surface"), "d_images")
 
 
 def igoe_merge(j: DataFrame) -> DataFrame:
@@ -311,6 +351,10 @@ def igoe_merge(j: DataFrame) -> DataFrame:
         images.alias("image_urls"), "source", "scraped_at")
 
 
+CARD_RULES = {"intendance": (intendance_fields, INTENDANCE_CARD), "coinafrique": (coinafrique_fields, COINAFRIQUE_CARD),
+              "igoe": (igoe_fields, IGOE_CARD)}
+DETAIL_RULES = {"intendance": (intendance_detail_fields, INTENDANCE_DETAIL), "coinafrique": (coinafrique_detail_fields, COINAFRIQUE_DETAIL),
+                "igoe": (igoe_detail_fields, IGOE_DETAIL)}
 RULES = {
     "intendance": (intendance_card, intendance_detail, intendance_merge),
     "coinafrique": (coinafrique_card, coinafrique_detail, coinafrique_merge),
@@ -319,17 +363,27 @@ RULES = {
 
 
 def extract_site(site: str, list_pages: DataFrame, detail_pages: DataFrame,
-                 scraped_at: Column | None = None, how: str = "inner") -> DataFrame:
+                 scraped_at: Column | None = None, how: str = "inner", ajax: DataFrame | None = None) -> DataFrame:
     """Cards of the list pages joined to their detail pages.
 
     One card per URL per crawl (A5, first page/position) and one detail page
-    per URL, so repeated URLs never multiply. The result has the wire fields
-    (price and counts as text) and goes to ``habita.sources.wire.to_wire``.
+    per URL, so repeated URLs never multiply. Links to hosts the source does
+    not follow are dropped (F6). ``ajax``: 'load more' responses (S7), whose
+    cards go through the same card rule, after those of the list pages. The
+    result has the wire fields (price and counts as text) and goes to
+    ``habita.sources.wire.to_wire``.
     """
     card_rule, detail_rule, merge = RULES[site]
     ts = scraped_at if scraped_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    c = card_rule(cards(list_pages, site), ts)
+    found = cards(list_pages, site).withColumn("turn", F.lit(0))
+    if ajax is not None:
+        found = found.unionByName(cards(ajax_html(ajax), site).withColumn("turn", F.lit(1)))
+    if site in ALLOWED_DOMAINS:
+        found = found.where(host_allowed("listing_url", ALLOWED_DOMAINS[site]))
+    order = found.withColumn("pos", F.struct("turn", "pos")).drop("turn")
+    c = card_rule(order, ts)
     c1 = pick_per_key(c, "listing_url", ["page_id", "pos"], largest=False).drop("page_id", "pos")
-    d = detail_rule(detail_pages.withColumn("html", decode_text_entities(F.col("html"))))
+    rule, fields = DETAIL_RULES[site]
+    d = detail_rule(select_rows(detail_pages, rule, fields))
     d1 = pick_per_key(d, "listing_url", ["page_id"], largest=False).drop("page_id")
     return merge(c1.join(d1, "listing_url", how))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.casts import legacy_float, legacy_int
 from ..functions.normalise import stream_offer_type, stream_property_type
 from ..operators.clean import bedroom_outliers, digits_only_cleanup, reject_counts
-from ..operators.dedup import insert_if_absent, latest_per_url
+from ..operators.dedup import insert_if_absent_marked, latest_per_url
 from ..operators.marts import (count_listings, distinct_sources, location_marts,
                                market_summary, price_per_m2, price_quantiles)
 from ..session import read_table
@@ -131,9 +131,6 @@ def price_quantiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store holds the first crawl (scraped before the cutoff); the
     second crawl inserts only URLs the store does not have yet."""
-    c = common.clean(spark, sf_dir, keep=()).drop("processed_at")
-    cutoff = F.lit("1998-01-01")
-    store = latest_per_url(c.where(F.col("scraped_at") < cutoff))
-    batch = c.where(F.col("scraped_at") >= cutoff)
-    ins = insert_if_absent(batch, store)
+    c = common.clean(spark, sf_dir, keep=(), fields=["source"]).select("listing_url", "scraped_at", "listing_id", "price", "source")
+    ins = insert_if_absent_marked(c, F.col("scraped_at") < "1998-01-01")
     return ins.select("listing_url", "listing_id", "scraped_at", "price", "source")

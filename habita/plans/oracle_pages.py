@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from ..functions.html import NAMED_ENTITIES
 from ..functions.patterns import (PY_DIGIT, PY_NON_DIGIT, PY_STRIP, PY_WS, PY_WS_CHARS,
                                   URL_AUTHORITY, URL_HOST, URL_PATH, URL_SCHEME)
 from ..functions.text import ROOM_PATTERNS, SURFACE_PATTERNS, WC_PATTERN
-from ..sources.api import API_CAP, API_PAGE_SIZE, API_SOURCE, API_URL_PREFIX
+from ..sources.api import API_PAGE_SIZE, API_SOURCE, API_URL_PREFIX
 from .oracle import lit, pick, s, with_listings
 
+# The named references that the driver's pages use.
+NAMED_ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"),
+    ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"),
+    ("&ccedil;", "ç"), ("&euro;", "€"), ("&sup2;", "²"),
+]
+
 
 def strip(x):
     return f"regexp_replace({x}, {lit(PY_STRIP)}, '', 'g')"
@@ -120,7 +127,7 @@ def api_rows_sql() -> str:
              f"row_number() OVER (PARTITION BY {p} // {API_PAGE_SIZE} ORDER BY {p}) AS rk, "
              f"{p} // {API_PAGE_SIZE} AS doc_id FROM part")
     return (f"SELECT * EXCLUDE (piece, rk, doc_id), {rooms} AS bedrooms FROM ({inner}) a "
-            f"WHERE rk <= {API_CAP} AND doc_id % 4 <> 1")
+            f"WHERE doc_id % 16 <> 5")
 
 
 def page_oracles() -> dict[str, str]:
@@ -209,7 +216,7 @@ def page_oracles() -> dict[str, str]:
                         f"property_type, offer_type, address, city, neighborhood, listing_url, image_urls, source "
                         f"FROM ({api_rows_sql()}) a")
     nav = f"regexp_extract(html, {lit(r'(?s)(<(?i:ul)\b.*?</(?i:ul)>)')}, 1)"
-    q["ajax_cards"] = (f"SELECT page_id, pos, listing_url, listing_id, title FROM ({link_cards_sql(f'(SELECT page_id, url, {nav} AS html FROM pages WHERE page_id % 10 NOT IN (3, 4)) e WHERE html <> ' + chr(39) + chr(39))}) x")
+    q["ajax_cards"] = (f"SELECT page_id, pos, listing_url, listing_id, title FROM ({link_cards_sql(f'(SELECT page_id, url, {nav} AS html FROM pages WHERE page_id % 50 NOT IN (3, 4)) e WHERE html <> ' + chr(39) + chr(39))}) x")
     q["source_union"] = with_listings(
         f"SELECT source, count(*) AS n_rows, CAST(sum(price) AS BIGINT) AS sum_price FROM ("
         f"SELECT source, price FROM clean UNION ALL SELECT source, price FROM ({api_rows_sql()}) a "
@@ -253,7 +260,8 @@ def site_oracles() -> dict[str, str]:
         f"CASE {k} % 3 WHEN 0 THEN 'Titre foncier' WHEN 1 THEN 'Permis de construire' ELSE 'Non spécifié' END AS legal_doc, "
         f"CASE WHEN {k} % 4 IN (0, 1) THEN '[' || {img} || '/c.jpg, ' || {img} || '/g.jpg]' "
         f"WHEN {k} % 2 = 0 THEN '[' || {img} || '/c.jpg]' ELSE '[]' END AS image_urls, "
-        f"'intendance.tg' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) x")
+        f"'intendance.tg' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 101 <> 100) x")
+    q["site_intendance_ajax"] = q["site_intendance_extract"]
     q.update(_coin_igoe_oracles(e4))
     return q
 
@@ -292,7 +300,7 @@ def _coin_igoe_oracles(e4: str) -> dict[str, str]:
         f"WHEN 1 THEN 'Bel espace de ' || {s(f'{k} % 7 + 2')} || ' pièces' WHEN 2 THEN 'Acte de vente disponible' ELSE '' END AS description, "
         f"CASE {k} % 4 WHEN 0 THEN 'Titre foncier, Permis de construire' WHEN 2 THEN 'Acte de vente' ELSE 'Non spécifié' END AS legal_doc, "
         f"CASE WHEN {k} % 2 = 0 AND {k} % 5 <> 1 THEN '[' || {img} || '/a.jpg]' ELSE '[]' END AS image_urls, "
-        f"'coinafrique' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) x")
+        f"'coinafrique' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 101 <> 100) x")
 
     t5 = "pt"
     run = f"regexp_extract({t5}, {lit(f'[{PY_DIGIT}{PY_WS_CHARS}.]+')}, 0)"
@@ -321,5 +329,5 @@ def _coin_igoe_oracles(e4: str) -> dict[str, str]:
         f"{s(f'CASE WHEN {k} % 2 = 0 THEN 100 + {k} % 500 ELSE 30 + {k} % 70 END')} AS square_footage, "
         f"CASE WHEN {k} % 4 IN (0, 1) THEN '[' || {img} || '/i.jpg, ' || {img} || '/j.jpg]' "
         f"WHEN {k} % 2 = 0 THEN '[' || {img} || '/i.jpg]' ELSE '[]' END AS image_urls, "
-        f"'igoeimmobilier' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 11 <> 10) a) b")
+        f"'igoeimmobilier' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 101 <> 100) a) b")
     return q

@@ -6,9 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import normalise as N
-from ..functions.html import (all_text, class_block, decode_entities, direct_texts,
-                              first_attr, first_tag_text, host_allowed, join_stripped,
-                              outer_block, resolve_url, url_host)
+from ..functions.dom import first, has_class, select_rows
+from ..functions.html import host_allowed, join_stripped, resolve_url, url_host
 from ..functions.text import (digits_only, first_integer, price_digits, price_digits_dotted,
                               py_strip, rooms_from_text, split_location, surface_from_text,
                               wc_from_text)
@@ -33,13 +32,15 @@ def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_cards(_pages(spark, sf_dir)).select("page_id", "pos", "listing_url", "listing_id", "title")
 
 
+def _first_link(root, url):
+    link = first(a.attrs["href"] for h in root.find("h4") for a in h.children("a") if "href" in a.attrs)
+    yield (link or first(a.attrs["href"] for a in root.find("a") if "href" in a.attrs),)
+
+
 def page_listing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 with its fallback: the first ``h4 > a`` link, else the first link."""
-    pages = _pages(spark, sf_dir)
-    primary = F.nullif(F.regexp_extract("html", r'(?s)<(?i:h4)\b[^>]*>\s*<(?i:a)\b[^>]*\b(?i:href)="([^"]*)"', 1), F.lit(""))
-    href = F.coalesce(primary, first_attr(F.col("html"), "a", "href"))
-    url = resolve_url(F.col("url"), href)
-    return (pages.select("page_id", url.alias("listing_url"))
+    links = select_rows(_pages(spark, sf_dir), _first_link, "href string")
+    return (links.select("page_id", resolve_url("url", "href").alias("listing_url"))
             .where(F.col("listing_url").isNotNull())
             .withColumn("listing_id", F.md5("listing_url")))
 
@@ -50,36 +51,44 @@ def page_host_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "url", F.lower(url_host(F.col("url"))).alias("host")))
 
 
+def _headings(root, url):
+    yield first(t for e in root.find("h1") for t in e.texts()), first(t for e in root.find("title") for t in e.texts())
+
+
 def page_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page heading, else the document title (both stripped, decoded)."""
-    pages = _pages(spark, sf_dir)
-    h1 = py_strip(decode_entities(first_tag_text(F.col("html"), "h1")))
-    doc_title = py_strip(decode_entities(first_tag_text(F.col("html"), "title")))
-    return pages.select("page_id", F.coalesce(F.nullif(h1, F.lit("")), doc_title).alias("title"))
+    heads = select_rows(_pages(spark, sf_dir), _headings, "h1 string, doc_title string")
+    return heads.select("page_id", F.coalesce(F.nullif(py_strip("h1"), F.lit("")), py_strip("doc_title"), F.lit("")).alias("title"))
+
+
+def _ad_texts(root):
+    ad = first(root.find("div", has_class("ad")))
+    return [] if ad is None else ad.all_texts()
 
 
 def page_ad_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text node of the ``ad`` block joined by a space, stripped."""
-    pages = _pages(spark, sf_dir)
-    block = class_block(F.col("html"), "div", "ad")
-    return pages.select("page_id", decode_entities(all_text(F.concat(F.lit(">"), block, F.lit("<"))))
-                        .alias("ad_text"))
+    ads = select_rows(_pages(spark, sf_dir), lambda root, url: [(_ad_texts(root),)], "texts array<string>")
+    return ads.select("page_id", py_strip(F.array_join("texts", " ")).alias("ad_text"))
+
+
+def _card_and_detail(root, url):
+    article = first(root.find("article"))
+    yield (first(t for e in root.find("h1") for t in e.texts()), _ad_texts(root),
+           [] if article is None else [t for p in article.find("p") for t in p.texts()],
+           [] if article is None else article.all_texts())
 
 
 def page_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + E18 + E23: card (heading, ad block) joined to detail (article) by URL."""
-    pages = _pages(spark, sf_dir)
+    found = select_rows(_pages(spark, sf_dir), _card_and_detail, "h1 string, ad array<string>, paras array<string>, body array<string>")
     canon = F.regexp_extract("url", r"^([^#]*)", 1)
-    cards = pages.select(
-        "page_id", F.lit(0).alias("pos"), canon.alias("listing_url"),
-        py_strip(decode_entities(first_tag_text(F.col("html"), "h1"))).alias("title"),
-        first_integer(decode_entities(class_block(F.col("html"), "div", "ad"))).alias("square_footage"))
-    article = outer_block(F.col("html"), "article")
-    details = pages.select(
-        "page_id", canon.alias("listing_url"),
-        decode_entities(join_stripped(direct_texts(article, "p"))).alias("description"),
-        first_integer(decode_entities(all_text(F.concat(F.lit(">"), article, F.lit("<")))))
-        .alias("detail_surface"))
+    cards = found.select(
+        "page_id", F.lit(0).alias("pos"), canon.alias("listing_url"), F.coalesce(py_strip("h1"), F.lit("")).alias("title"),
+        first_integer(F.array_join("ad", " ")).alias("square_footage"))
+    details = found.select(
+        "page_id", canon.alias("listing_url"), join_stripped("paras").alias("description"),
+        first_integer(F.array_join("body", " ")).alias("detail_surface"))
     return join_card_detail(cards, details).select(
         "listing_url", "title", "description", "square_footage")
 
@@ -205,20 +214,29 @@ def first_per_crawl_q(spark, sf_dir):
     return first.select("crawl", "listing_url", "page_id", "pos", "title")
 
 
-def _site_extract(spark, sf_dir, site):
-    """Site rules E1-E26 + J1 + A5 over pages rendered from ``orders``."""
+def _site_extract(spark, sf_dir, site, by_ajax=False):
+    """Site rules E1-E26 + J1 + A5 over pages rendered from ``orders``. ``by_ajax``: every
+    second list page arrives in a 'load more' response (S7)."""
     from ..operators.sites import extract_site
     from ..sources import site_pages
     orders = common.spread(read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice"), spark)
     lists, details = getattr(site_pages, f"{site}_pages")(orders)
-    items = extract_site(site, lists, details, F.lit("1970-01-01T00:00:00"))
+    ajax = None
+    if by_ajax:
+        ajax = lists.where("page_id % 2 = 1").select("page_id", "url", F.to_json(F.struct("html", F.lit("more").alias("loadmore"))).alias("response"))
+        lists = lists.where("page_id % 2 = 0")
+    items = extract_site(site, lists, details, F.lit("1970-01-01T00:00:00"), ajax=ajax)
     return items.select("listing_url", "listing_id", "title", "price", "address", "neighborhood", "city",
                         "property_type", "offer_type", "bedrooms", "wc_interne", "square_footage",
                         "description", "legal_doc", F.col("image_urls").cast("string").alias("image_urls"),
                         "source")
 
 
+def site_intendance_ajax(spark, sf_dir):
+    return _site_extract(spark, sf_dir, "intendance", by_ajax=True)
+
+
 def site_intendance_extract(spark, sf_dir):
     return _site_extract(spark, sf_dir, "intendance")
 

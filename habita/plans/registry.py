@@ -60,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_union": pq.source_union,
         "first_per_crawl": pq.first_per_crawl_q,
         "site_intendance_extract": pq.site_intendance_extract,
+        "site_intendance_ajax": pq.site_intendance_ajax,
         "site_coinafrique_extract": pq.site_coinafrique_extract,
         "site_igoe_extract": pq.site_igoe_extract,
         "stream_to_lake": sq.stream_to_lake,

@@ -88,7 +88,7 @@ API_PROPERTY = T.StructType([
     T.StructField("id", S),
     T.StructField("titre", S),
     T.StructField("descriptif", S),
-    T.StructField("piece", S),
+    T.StructField("piece", T.VariantType()),      # a number or a text
     T.StructField("surface", S),
     T.StructField("cout_mensuel", T.LongType()),
     T.StructField("wc_douche_interne", S),

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every session of ours wants; a cluster session keeps whatever the
@@ -30,11 +31,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    asked = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # defaults give way to what the deployment has set (submit options, a running session)
+    deployed = SparkContext._active_spark_context.getConf() if SparkContext._active_spark_context else SparkConf()
+    for k, v in {**{k: v for k, v in DEFAULT_CONF.items() if not deployed.contains(k)}, **asked}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,13 +47,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting must point at shared storage (HDFS, S3, ...).
-    Only when it is unset -- local runs and tests -- do we create one.
+    Only a local master (tests) may leave it unset; a folder is then created.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="habita-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     # keep Dataset.checkpoint() pointed at the same shared folder

@@ -9,12 +9,12 @@ from ..schemas import RAW_FIELDS
 
 def write_csv_feed(items: DataFrame, path: str, mode: str = "append") -> bool:
     """K2: UTF-8 CSV with a header in item column order; lists joined with ','.
-    Nothing is written for an empty input (returns False)."""
+    Quotes inside a value are doubled. Nothing is written for an empty input (returns False)."""
     if items.isEmpty():
         return False
     cols = [F.array_join(F.col(c), ",").alias(c) if c == "image_urls" else F.col(c)
             for c in RAW_FIELDS if c in items.columns]
-    items.select(*cols).write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+    items.select(*cols).write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
     return True
 
 

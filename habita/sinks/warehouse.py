@@ -97,31 +97,39 @@ class ParquetTarget:
             df.write.mode("append").parquet(self.path)
 
 
+def stored_keys_of(keyed_rows: DataFrame, target) -> DataFrame:
+    """Key column of the store's buckets that a batch has rows for: the bucket numbers (at most
+    ``key_buckets``) are read first, so the scan of the store skips all other partitions."""
+    used = [r[0] for r in keyed_rows.select(BUCKET_COL).distinct().collect()]
+    return target.existing_keys(keyed_rows.sparkSession).where(F.col(BUCKET_COL).isin(used))
+
+
 def load_batch(batch: DataFrame, target, *, batch_id: int | None = None,
                on_error: str = "fail") -> dict:
     """K4 + D1: load one batch of cleaned listings into the serving table.
 
     The batch is persisted while it is counted and written (T11) and always
-    unpersisted. Read/kept/written counts are reported separately (A2 logged
+    unpersisted. Counts of rows read, without a key (rejected) and written are reported separately (A2 logged
     the pre-dedup count as "inserted"). ``on_error='fail'`` re-raises so the
     streaming batch is retried from its checkpoint; ``'skip'`` reproduces the
     reference, which logged and dropped the batch.
     """
     spark = batch.sparkSession
-    metrics = {"batch_id": batch_id, "read": 0, "written": 0, "error": None}
+    metrics = {"batch_id": batch_id, "read": 0, "no_key": 0, "written": 0, "error": None}
     batch.persist()
     new = None
     try:
-        n = batch.count()
-        metrics["read"] = n
+        n, keyed = batch.agg(F.count("*"), F.count(DW_KEY)).first()
+        metrics["read"], metrics["no_key"] = n, n - keyed
         if n > 0:
             rows = to_serving_rows(batch)
             bucketed = getattr(target, "key_buckets", None)
             if bucketed:
-                new = insert_if_absent(target.with_bucket(rows), target.existing_keys(spark), DW_KEY,
-                                       batch_rows=n, bucket_col=BUCKET_COL).drop(BUCKET_COL).persist()
+                keyed_rows = target.with_bucket(rows)
+                new = insert_if_absent(keyed_rows, stored_keys_of(keyed_rows, target), DW_KEY,
+                                       bucket_col=BUCKET_COL).drop(BUCKET_COL).persist()
             else:
-                new = insert_if_absent(rows, target.existing_keys(spark), DW_KEY, batch_rows=n).persist()
+                new = insert_if_absent(rows, target.existing_keys(spark), DW_KEY).persist()
             metrics["written"] = new.count()
             if metrics["written"]:
                 target.append(new)

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import API_RESPONSE
 
-# Source label, result cap and the listing URL rule of the API.
+# Source label and the listing URL rule of the API.
 API_SOURCE = "omnisoft_api"
-API_CAP = 2000
-API_URL_PREFIX = "https://api.example/property/"
+API_URL_PREFIX = "https://devapi.omnisoft.africa/property/"
 API_PAGE_SIZE = 2500
 
 
@@ -22,7 +21,7 @@ def api_documents_from_part(part: DataFrame, page_size: int = API_PAGE_SIZE) ->
 
     Rows are grouped into documents by key range (``p_partkey div page_size``),
     so every document holds at most ``page_size`` properties however large
-    the table grows. Documents with doc_id % 4 = 1 lack ``getAllProperties``.
+    the table grows. Documents with doc_id % 16 = 5 lack ``getAllProperties``.
     """
     p = F.col("p_partkey")
     named = lambda x: F.struct(x.alias("denomination"))
@@ -54,29 +53,33 @@ def api_documents_from_part(part: DataFrame, page_size: int = API_PAGE_SIZE) ->
                .dropFields("piece_fixed", "piece_size")
     docs = (part.select((p / page_size).cast("bigint").alias("doc_id"), prop.alias("prop"))
             .groupBy("doc_id").agg(F.array_sort(F.collect_list("prop")).alias("props")))
-    body = F.when(F.col("doc_id") % 4 == 1, F.to_json(F.struct(F.struct().alias("data")))) \
+    body = F.when(F.col("doc_id") % 16 == 5, F.to_json(F.struct(F.struct().alias("data")))) \
             .otherwise(F.to_json(F.struct(F.struct(F.struct(F.col("props").alias("data"))
                                                    .alias("getAllProperties")).alias("data"))))
     return docs.select("doc_id", body.alias("response"))
 
 
 def _rooms(piece):
-    """int(piece or 0); text that is not an integer gives NULL (the
-    reference aborts the whole response instead)."""
-    return (F.when(piece.isNull() | (piece == ""), F.lit(0))
-             .when(piece.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(piece).try_cast("int")))
+    """int(piece or 0) of a JSON value. A number is truncated; a text must
+    be an integer, any other gives NULL (instead of aborting the response)."""
+    text = piece.try_cast("string")
+    number = F.try_variant_get(piece, "$", "double")
+    return (F.when(piece.isNull() | F.is_variant_null(piece) | (text == ""), F.lit(0))
+             .when(F.schema_of_variant(piece) != "STRING", F.floor(F.abs(number)).try_cast("int") * F.signum(number).cast("int"))
+             .when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(text).try_cast("int")))
 
 
-def flatten_api(docs: DataFrame, response_col: str = "response", cap: int = API_CAP,
+def flatten_api(docs: DataFrame, response_col: str = "response", cap: int | None = None,
                 url_prefix: str = API_URL_PREFIX, source: str = API_SOURCE) -> DataFrame:
     """``data.getAllProperties.data[]`` -> one listing per property.
 
-    Missing levels give no rows; at most ``cap`` properties per response (L1,
-    the API's ``first:`` argument).
+    Missing levels give no rows. Every property of a response is read; the
+    number per response is the request's ``first:`` argument (L1), so a bound
+    here is only for callers that ask for one.
     """
     parsed = docs.select(F.col("doc_id"), F.from_json(F.col(response_col), API_RESPONSE).alias("r"))
-    props = parsed.select("doc_id", F.posexplode(F.slice("r.data.getAllProperties.data", 1, cap))
-                          .alias("pos", "p"))
+    data = F.col("r.data.getAllProperties.data")
+    props = parsed.select("doc_id", F.posexplode(data if cap is None else F.slice(data, 1, cap)).alias("pos", "p"))
     p = lambda f: F.col(f"p.{f}")
     urls = F.filter(F.transform(p("visuels"), lambda v: v["url"]),
                     lambda u: u.isNotNull() & (u != ""))

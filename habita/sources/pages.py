@@ -1,25 +1,27 @@
 """HTML pages as a table ``pages(page_id, url, html)``.
 
-Crawling is out of scope: pages arrive as rows. Cards are cut out of list
-pages with a sentinel split (one row per card, ``posexplode`` keeps their
-order); detail pages are matched to cards by URL (J1, see operators.extract).
+Crawling is out of scope: pages arrive as rows. Cards are elements of list
+pages (one row per card, in document order); detail pages are matched to cards
+by URL (J1, see operators.extract).
 """
 
 from __future__ import annotations
 
+from urllib.parse import urljoin
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.html import (decode_entities, first_attr, first_tag_text, resolve_url,
-                              split_cards)
+from ..functions.dom import first, select_rows
 from ..functions.text import py_strip
 from ..schemas import AJAX_ENVELOPE
 
 
-def explode_cards(pages: DataFrame, card_open_regex: str, html_col: str = "html",
-                  keep=("page_id", "url")) -> DataFrame:
-    """One row per card fragment: (*keep, pos, card)."""
-    return pages.select(*keep, F.posexplode(split_cards(F.col(html_col), card_open_regex))
-                        .alias("pos", "card"))
+def _link_cards(root, url):
+    """Every list item is a card: its first link, that link's first text and title attribute."""
+    for pos, li in enumerate(root.find("li")):
+        a = first(li.find("a"))
+        if a is not None and "href" in a.attrs:
+            yield pos, urljoin(url or "", a.attrs["href"]), first(a.texts()), a.attrs.get("title")
 
 
 def link_cards(pages: DataFrame, html_col: str = "html", keep=("page_id", "url")) -> DataFrame:
@@ -29,35 +31,35 @@ def link_cards(pages: DataFrame, html_col: str = "html", keep=("page_id", "url")
     md5 of it (E2), title = the stripped link text, falling back to the
     link's ``title`` attribute (E3). Cards without a URL are dropped (F5).
     """
-    cards = explode_cards(pages, r"<li\b", html_col, keep)
-    href = first_attr(F.col("card"), "a", "href")
-    url = resolve_url(F.col("url"), href)
-    text_title = py_strip(decode_entities(first_tag_text(F.col("card"), "a")))
-    title = F.coalesce(F.nullif(text_title, F.lit("")), first_attr(F.col("card"), "a", "title"))
-    return (cards.select(*keep, "pos", url.alias("listing_url"), title.alias("title"))
-            .where(F.col("listing_url").isNotNull() & (F.col("listing_url") != ""))
+    cards = select_rows(pages, _link_cards, "pos int, listing_url string, text string, alt string", keep, html_col)
+    title = F.coalesce(F.nullif(py_strip("text"), F.lit("")), F.col("alt"))
+    return (cards.select(*keep, "pos", "listing_url", title.alias("title"))
+            .where(F.col("listing_url") != "")
             .withColumn("listing_id", F.md5("listing_url")))
 
 
 def ajax_envelopes_from_pages(pages: DataFrame) -> DataFrame:
     """Adapter: one 'load more' envelope per page, whose ``html`` is the page's
-    navigation list. Fixed edge rules: every 10th page (page_id % 10 = 3) sends
-    truncated JSON, page_id % 10 = 4 sends an empty ``html``."""
+    navigation list. Fixed edge rules: one page in 50 (page_id % 50 = 3) sends
+    truncated JSON, page_id % 50 = 4 sends an empty ``html``."""
     pid = F.col("page_id")
     nav = F.regexp_extract("html", r"(?s)(<(?i:ul)\b.*?</(?i:ul)>)", 1)
-    html = F.when(pid % 10 == 4, F.lit("")).otherwise(nav)
+    html = F.when(pid % 50 == 4, F.lit("")).otherwise(nav)
     env = F.to_json(F.struct(html.alias("html"),
                              F.when(pid % 2 == 0, F.lit("more")).otherwise(F.lit("no_more")).alias("loadmore"),
                              (pid % 5 + 2).cast("int").alias("next_page")))
-    body = F.when(pid % 10 == 3, F.expr("substring(__env, 1, length(__env) - 1)")).otherwise(F.col("__env"))
+    body = F.when(pid % 50 == 3, F.expr("substring(__env, 1, length(__env) - 1)")).otherwise(F.col("__env"))
     return (pages.select("page_id", "url", env.alias("__env"))
             .select("page_id", "url", body.alias("response")))
 
 
-def ajax_cards(envelopes: DataFrame, response_col: str = "response") -> DataFrame:
-    """Parse the envelope; invalid JSON or an empty ``html`` yields no card;
-    the cards inside ``html`` are resolved against the request URL."""
+def ajax_html(envelopes: DataFrame, response_col: str = "response") -> DataFrame:
+    """(page_id, url, html) of the envelopes that parse and hold any HTML."""
     env = envelopes.select("page_id", "url",
                            F.inline(F.array(F.from_json(F.col(response_col), AJAX_ENVELOPE))))
-    with_html = env.where(F.col("html").isNotNull() & (F.col("html") != ""))
-    return link_cards(with_html, html_col="html")
+    return env.where(F.col("html").isNotNull() & (F.col("html") != "")).select("page_id", "url", "html")
+
+
+def ajax_cards(envelopes: DataFrame, response_col: str = "response") -> DataFrame:
+    """S7 with the generic card rule, resolved against the request URL."""
+    return link_cards(ajax_html(envelopes, response_col))

@@ -4,7 +4,10 @@ Each order becomes one listing card on a list page (20 cards per page, grouped
 by key range, so a page never grows with the table) and one detail page. Card
 and page variants cycle through the cases the extraction rules must handle:
 missing links, fallback selectors, absent icons, missing detail pages, cards
-repeated in the slider. The oracle derives the expected items from the same
+repeated in the slider; links that climb a directory, character references,
+all three ways of quoting attributes, galleries and contents with nested
+elements, labels whose value is not the next row, and a page footer that looks
+like fields of a card. The oracle derives the expected items from the same
 order columns without reading any HTML.
 """
 
@@ -27,6 +30,14 @@ BADGES = ["Ventes", "Location", "Locations", "Réservé"]
 DETAIL_TYPES = ["Bureau", "Immeuble", "Entrepôt"]
 SITE_CITIES = ["Lomé", "Kara", "Sokodé"]
 NBSP, NNBSP = "\u00a0", "\u202f"
+# a footer after the last card, with elements that the card rules look for
+FOOTER = ('<footer><h4><a href="/mentions">Mentions</a></h4><a rel="tag" href="/f">Pied</a><span class="inforoom">99</span>'
+          '<img class="wp-post-image ad__card-img" src="/logo.png"><p class="ad__card-price">1</p></footer>')
+
+
+def _referenced(text: str) -> str:
+    """Accents of a text as character references, named and numeric."""
+    return f"replace(replace(replace({text}, 'é', '&eacute;'), 'à', '&#224;'), 'm²', 'm&sup2;')"
 
 
 def _groups(sep: str) -> str:
@@ -48,7 +59,8 @@ def intendance_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     path = f"'/annonce/' || CAST({k} AS STRING) || '-' || CAST(o_custkey AS STRING)"
     link = (f"CASE WHEN {k} % 9 = 4 THEN '' "
             f"WHEN {k} % 5 = 1 THEN '<a class=\"property_listing\" data-link=\"' || {path} || '\" data-modal-title=\"' || {title} || '\"></a>' "
-            f"ELSE '<h4><a href=\"' || {path} || '\">  ' || {title} || ' </a></h4>' END")
+            f"WHEN {k} % 4 = 0 THEN '<h4><a href=\"..' || {path} || '\"><i class=\"icon\"></i>  ' || {_referenced(title)} || ' </a></h4>' "
+            f"ELSE '<h4><a href=' || chr(39) || {path} || chr(39) || '>  ' || {title} || ' </a></h4>' END")
     loc = (f"'<div class=\"property_location_image\"><span>Quartier ' || CAST(o_custkey % 7 AS STRING) || '</span>' || "
            f"CASE WHEN {k} % 3 = 2 THEN '' ELSE ' <a rel=\"tag\" href=\"/q\">Q' || CAST(o_custkey % 7 AS STRING) || "
            f"'</a>, <a rel=\"tag\" href=\"/c\">' || {_case('o_custkey % 3', SITE_CITIES)} || '</a>' END || '</div>'")
@@ -69,15 +81,15 @@ def intendance_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
                           F.concat(F.lit("https://intendance.tg/page/"), F.col("page_id")).alias("url"),
                           F.concat(F.lit('<html><body><div class="slider_prop_wrapper"></div>'),
                                    F.array_join(F.transform("cs", lambda s: s["card"]), ""),
-                                   F.lit("</body></html>")).alias("html")))
-    detail = (f"CASE {k} % 3 WHEN 0 THEN '<div id=\"description\"><p>Villa ' || CAST({k} AS STRING) || ' avec titre foncier.</p><p>  </p><p>Jardin</p></div>' "
+                                   F.lit(FOOTER + "</body></html>")).alias("html")))
+    detail = (f"CASE {k} % 3 WHEN 0 THEN '<div id=\"description\"><div class=text><p>Villa ' || CAST({k} AS STRING) || ' avec titre foncier.</p><p>  </p></div><p>Jardin</p></div>' "
               f"WHEN 1 THEN '<div class=\"property_description\"><span>Bien</span> de ' || CAST(60 + {k} % 90 AS STRING) || ' m2 et permis de construire</div>' ELSE '' END || "
-              f"'<ul class=\"property_details_list\"><li>Surface</li><li>' || CAST(100 + {k} % 500 AS STRING) || ' m²</li><li>Chambres</li><li>' || "
+              f"'<ul class=\"property_details_list\"><li>Surface</li><li><i></i></li><li>' || CAST(100 + {k} % 500 AS STRING) || ' m²</li><li>Chambres</li><li>' || "
               f"CAST({k} % 5 + 1 AS STRING) || '</li><li>Salle de bain</li><li>' || CAST({k} % 2 + 1 AS STRING) || '</li><li>Type</li><li> ' || "
               f"{_case(f'{k} % 3', DETAIL_TYPES)} || ' </li></ul>' || "
-              f"CASE WHEN {k} % 4 IN (0, 1) THEN '<div class=\"owl-carousel\"><img src=\"https://img.example/' || CAST({k} AS STRING) || "
-              f"'/c.jpg\"><img src=\"https://img.example/' || CAST({k} AS STRING) || '/g.jpg\"></div>' ELSE '' END")
-    detail_pages = orders.where(f"{k} % 11 <> 10").selectExpr(
+              f"CASE WHEN {k} % 4 IN (0, 1) THEN '<div class=\"owl-carousel\"><div class=item><img src=\"https://img.example/' || CAST({k} AS STRING) || "
+              f"'/c.jpg\"></div><div class=item><img src=https://img.example/' || CAST({k} AS STRING) || '/g.jpg></div></div>' ELSE '' END")
+    detail_pages = orders.where(f"{k} % 101 <> 100").selectExpr(
         f"{k} AS page_id", f"'https://intendance.tg' || {path} AS url", f"'<html><body>' || {detail} || '</body></html>' AS html")
     return list_pages, detail_pages
 
@@ -98,7 +110,7 @@ def _list_pages(cards: DataFrame, url_prefix: str, head: str = "") -> DataFrame:
             .agg(F.array_sort(F.collect_list(F.struct("k", "card"))).alias("cs"))
             .select("page_id", F.concat(F.lit(url_prefix), F.col("page_id")).alias("url"),
                     F.concat(F.lit("<html><body>" + head), F.array_join(F.transform("cs", lambda s: s["card"]), ""),
-                             F.lit("</body></html>")).alias("html")))
+                             F.lit(FOOTER + "</body></html>")).alias("html")))
 
 
 def coinafrique_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -121,7 +133,7 @@ def coinafrique_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
             f"WHEN 2 THEN 'Acte de vente disponible' ELSE '' END")
     details = (f"CASE {k} % 3 WHEN 0 THEN 'Surface : ' || CAST(100 + {k} % 900 AS STRING) "
                f"WHEN 1 THEN CAST({k} % 4 + 1 AS STRING) || ' toilettes' ELSE '' END")
-    detail_pages = orders.where(f"{k} % 11 <> 10").selectExpr(
+    detail_pages = orders.where(f"{k} % 101 <> 100").selectExpr(
         f"{k} AS page_id", f"'https://tg.coinafrique.com' || {path} AS url",
         f"'<html><body><div class=\"ad-description\"><p>' || {desc} || '</p></div><div class=\"details\"><span>' || "
         f"{details} || '</span></div></body></html>' AS html")
@@ -147,12 +159,12 @@ def igoe_pages(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
             f"CASE WHEN {k} % 2 = 0 THEN '<img class=\"wp-post-image\" src=\"https://img.example/' || CAST({k} AS STRING) || '/i.jpg\">' ELSE '' END || "
             f"'</div>'")
     cards = orders.selectExpr(f"{k} div {CARDS_PER_PAGE} AS page_id", f"{k} AS k", f"{card} AS card")
-    detail = (f"CASE {k} % 3 WHEN 0 THEN '<div class=\"entry-content\"><p>Villa de standing.</p><p>Acte de vente disponible</p></div>' "
+    detail = (f"CASE {k} % 3 WHEN 0 THEN '<div class=\"entry-content\"><div><p>Villa de standing.</p></div><p>Acte de vente disponible</p></div>' "
               f"WHEN 1 THEN '<div class=\"property-description\"><span>Titre foncier</span> en cours</div>' ELSE '' END || "
               f"CASE WHEN {k} % 2 = 0 THEN '<ul><li>Surface : ' || CAST(100 + {k} % 500 AS STRING) || ' m²</li></ul>' "
               f"ELSE '<div class=\"epl-icon-container-size\"><div class=\"icon-value\">' || CAST(30 + {k} % 70 AS STRING) || '</div></div>' END || "
-              f"CASE WHEN {k} % 4 IN (0, 1) THEN '<div class=\"property-gallery\"><img src=\"https://img.example/' || CAST({k} AS STRING) || "
-              f"'/i.jpg\"><img src=\"https://img.example/' || CAST({k} AS STRING) || '/j.jpg\"></div>' ELSE '' END")
-    detail_pages = orders.where(f"{k} % 11 <> 10").selectExpr(
+              f"CASE WHEN {k} % 4 IN (0, 1) THEN '<div class=\"property-gallery\"><div><img src=\"https://img.example/' || CAST({k} AS STRING) || "
+              f"'/i.jpg\"></div><div><img src=' || chr(39) || 'https://img.example/' || CAST({k} AS STRING) || '/j.jpg' || chr(39) || '></div></div>' ELSE '' END")
+    detail_pages = orders.where(f"{k} % 101 <> 100").selectExpr(
         f"{k} AS page_id", f"{url} AS url", f"'<html><body>' || {detail} || '</body></html>' AS html")
     return _list_pages(cards, "https://www.igoeimmobilier.com/les-annonces/page/"), detail_pages

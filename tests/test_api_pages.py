@@ -32,10 +32,18 @@ def test_api_missing_levels_and_fields(spark):
     assert out["a"]["listing_url"].endswith("/a") and out["a"]["source"] == "omnisoft_api"
 
 
-def test_api_cap(spark):
+def test_api_reads_every_property_of_a_response(spark):
     doc = {"data": {"getAllProperties": {"data": [{"id": str(i)} for i in range(2500)]}}}
     df = spark.createDataFrame([(0, json.dumps(doc))], "doc_id int, response string")
-    assert flatten_api(df).count() == 2000
+    assert flatten_api(df).count() == 2500 and flatten_api(df, cap=2000).count() == 2000
+
+
+def test_api_rooms_of_numbers_and_texts(spark):
+    rooms = [3.0, 3.9, -2.5, 4, "3.0", " 5 ", 0, None, "", "x", True]
+    doc = {"data": {"getAllProperties": {"data": [{"id": str(i), "piece": p} for i, p in enumerate(rooms)]}}}
+    df = spark.createDataFrame([(0, json.dumps(doc))], "doc_id int, response string")
+    got = {int(r["listing_id"]): r["bedrooms"] for r in flatten_api(df).collect()}
+    assert [got[i] for i in range(10)] == [3, 3, -2, 4, None, 5, 0, 0, 0, None]
 
 
 def test_ajax_envelopes(spark):

@@ -3,7 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from habita.operators.dedup import first_per_crawl, insert_if_absent, latest_per_url, upsert_latest
+from habita.operators.dedup import first_per_crawl, insert_if_absent, insert_if_absent_marked, latest_per_url, upsert_latest
 
 
 def test_latest_per_url_brute_force(spark):
@@ -38,20 +38,24 @@ def test_first_per_crawl(spark):
 
 
 def test_insert_if_absent_and_upsert(spark):
-    store = spark.createDataFrame([("a", "2020"), ("b", "2020")], "listing_url string, scraped_at string")
-    batch = spark.createDataFrame([("b", "2021"), ("c", "2021"), ("c", "2022")],
+    store = spark.createDataFrame([("a", "2020"), ("b", "2020"), (None, "2020")], "listing_url string, scraped_at string")
+    batch = spark.createDataFrame([("b", "2021"), ("c", "2021"), ("c", "2022"), (None, "2023")],
                                   "listing_url string, scraped_at string")
-    for rows in (None, 3):
-        got = sorted(tuple(r) for r in insert_if_absent(batch, store.select("listing_url"), batch_rows=rows).collect())
-        assert got == [("c", "2022")]
-    up = sorted(tuple(r) for r in upsert_latest(store, batch).collect())
+    assert [tuple(r) for r in insert_if_absent(batch, store.select("listing_url")).collect()] == [("c", "2022")]
+    both = store.withColumn("stored", F.lit(True)).unionByName(batch.withColumn("stored", F.lit(False)))
+    assert [tuple(r) for r in insert_if_absent_marked(both, F.col("stored")).drop("stored").collect()] == [("c", "2022")]
+    keyed = [x.where("listing_url is not null") for x in (store, batch)]
+    up = sorted(tuple(r) for r in upsert_latest(*keyed).collect())
     assert up == [("a", "2020"), ("b", "2021"), ("c", "2022")]
 
 
-def test_insert_plan_never_broadcasts_the_store(spark):
-    store = spark.range(1000).select(F.col("id").cast("string").alias("listing_url"))
-    batch = spark.createDataFrame([("5", "x")], "listing_url string, scraped_at string")
-    plan = insert_if_absent(batch, store, batch_rows=1)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan
-    # the broadcast side is derived from the batch (its keys / conflicts), never the 1000-row store
-    assert insert_if_absent(batch, store, batch_rows=1).count() == 0
+def test_a_row_without_a_key_is_rejected_and_counted(spark, tmp_path):
+    from habita.schemas import LISTING_DW
+    from habita.sinks.warehouse import ParquetTarget, load_batch
+    rows = [{"listing_id": str(k), "listing_url": u, "scraped_at": "2024-01-01"} for k, u in enumerate(["u1", None, "u2", "u1"])]
+    for buckets in (None, 4):
+        target = ParquetTarget(str(tmp_path / f"dw{buckets}"), key_buckets=buckets)
+        batch = spark.createDataFrame([[r.get(f) for f in LISTING_DW.fieldNames()] for r in rows], LISTING_DW)
+        first, again = load_batch(batch, target), load_batch(batch, target)
+        assert (first["read"], first["no_key"], first["written"], again["written"]) == (4, 1, 2, 0)
+        assert sorted(r["listing_url"] for r in target.read(spark).collect()) == ["u1", "u2"]

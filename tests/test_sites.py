@@ -130,3 +130,53 @@ def test_igoe(spark):
     assert v["description"] == "Belle villa avec jardin Villa de standing. Acte de vente disponible"
     assert v["legal_doc"] == "Acte de vente"
     assert v["image_urls"] == ["https://img.example/i7.jpg", "https://img.example/i8.jpg"]
+
+
+def one_item(spark, site, card, detail, list_url, url, wrap="<html><body>%s</body></html>"):
+    lists = spark.createDataFrame([(1, list_url, wrap % card)], "page_id int, url string, html string")
+    details = spark.createDataFrame([(1, url, wrap % detail)], "page_id int, url string, html string")
+    return extract_site(site, lists, details, F.lit(TS_TEXT)).collect()
+
+
+def test_elements_are_read_to_their_own_end(spark):
+    card = ("<div class=listing_wrapper><div><h4><a href='../../a/1?x=1&amp;y=2'><i></i> Villa X</a></h4></div>"
+            "<span><a rel=tag href=/q>Kodjo</a></span><span><a rel=tag href=/c>Kara</a></span>"
+            "<img class='wp-post-image' src='/i?a=1&amp;b=2'></div><footer><h4><a href=/z>z</a></h4><span class=infobath>9</span></footer>")
+    detail = ("<div id=description><div><div><p>Un</p></div></div><p>titre foncier &ecirc;</p></div>"
+              "<ul><li>Surface</li><li><b>no</b></li><li>77 m2</li></ul>"
+              "<div class='owl-carousel'><div><img src=1.jpg></div><div><img src='2.jpg'></div></div>")
+    (r,) = one_item(spark, "intendance", card, detail, "https://intendance.tg/p/q/list", "https://intendance.tg/a/1?x=1&y=2")
+    assert r["title"] == "Villa X" and r["city"] == "Lomé" and r["neighborhood"] == "Kodjo"    # the index counts per parent
+    assert r["description"] == "Un titre foncier ê" and r["legal_doc"] == "Titre foncier"
+    assert r["square_footage"] == "77" and r["wc_interne"] is None
+    assert r["image_urls"] == ["/i?a=1&b=2", "1.jpg", "2.jpg"]
+
+
+def test_empty_city_link_takes_the_default(spark):
+    card = '<div class="listing_wrapper"><h4><a href="/a">V</a></h4><a rel="tag">Q</a><a rel="tag"></a></div>'
+    (r,) = one_item(spark, "intendance", card, "", "https://intendance.tg/", "https://intendance.tg/a")
+    assert (r["neighborhood"], r["city"]) == ("Q", "Lomé")
+
+
+def test_other_hosts_are_not_followed(spark):
+    card = '<div class="listing_wrapper"><h4><a href="https://elsewhere.example/a">V</a></h4></div>'
+    assert one_item(spark, "intendance", card, "", "https://intendance.tg/", "https://elsewhere.example/a") == []
+    card = '<div class="ad__card"><a class="ad__card-image" href="https://elsewhere.example/a"></a></div>'
+    assert len(one_item(spark, "coinafrique", card, "", "https://tg.coinafrique.com/", "https://elsewhere.example/a")) == 1
+
+
+def test_class_is_matched_as_a_substring(spark):
+    card = '<div class="my-ad__card-box"><a class="x card-image" href=/a></a><p class="title"><a>T</a></p></div>'
+    (r,) = one_item(spark, "coinafrique", card, "", "https://tg.coinafrique.com/", "https://tg.coinafrique.com/a")
+    assert r["title"] == "T"
+
+
+def test_ajax_cards_use_the_site_rule(spark):
+    import json
+    env = [(5, "https://intendance.tg/ajax", json.dumps({"html": '<div class="listing_wrapper"><h4><a href="/a">V</a></h4></div>', "loadmore": "more", "next_page": 2})),
+           (6, "https://intendance.tg/ajax", '{"html": "<div'), (7, "https://intendance.tg/ajax", json.dumps({"html": "", "loadmore": "no_more"}))]
+    ajax = spark.createDataFrame(env, "page_id int, url string, response string")
+    none = spark.createDataFrame([], "page_id int, url string, html string")
+    details = spark.createDataFrame([(1, "https://intendance.tg/a", "<p>x</p>")], "page_id int, url string, html string")
+    (r,) = extract_site("intendance", none, details, F.lit(TS_TEXT), ajax=ajax).collect()
+    assert r["title"] == "V" and r["listing_url"] == "https://intendance.tg/a"

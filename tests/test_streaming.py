@@ -149,9 +149,8 @@ def test_fanout_replay_does_not_duplicate_lake(spark):
 
 def test_bucketed_store_prunes_buckets(spark):
     """Key-bucketed serving table: loads stay idempotent and the conflict
-    check reads only the buckets present in the batch (dynamic pruning)."""
-    from habita.operators.dedup import insert_if_absent
-    from habita.sinks.warehouse import BUCKET_COL
+    check reads only the buckets present in the batch."""
+    from habita.sinks.warehouse import stored_keys_of
     d = tempfile.mkdtemp(prefix="habita-test-")
     target = ParquetTarget(f"{d}/dw", key_buckets=16)
     first = clean_listings(parse_wire(spark.createDataFrame([(msg(i, f"u{i}"),) for i in range(40)], "value string")))
@@ -160,11 +159,10 @@ def test_bucketed_store_prunes_buckets(spark):
     assert load_batch(batch, target)["written"] == 1
     assert target.read(spark).count() == 41 and target.read(spark).columns[-1] == "processed_at"
     from habita.operators.clean import to_serving_rows
-    plan_df = insert_if_absent(target.with_bucket(to_serving_rows(batch)), target.existing_keys(spark),
-                               batch_rows=2, bucket_col=BUCKET_COL)
-    plan_df.count()
-    plan = plan_df._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan.lower()
+    keys = stored_keys_of(target.with_bucket(to_serving_rows(batch)), target)
+    assert 0 < keys.count() < 41 and len(keys.inputFiles()) > 0
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
 def test_watermark_dedup_drops_copies_within_delay_only(spark):

@@ -1,14 +1,13 @@
 """E1-E22 expressions checked against golden values and Python brute force."""
 
-import html as pyhtml
 import re
 from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
 from habita.functions import normalise as N
-from habita.functions.html import (all_text, decode_entities, decode_entities_full, host_allowed,
-                                   join_stripped, resolve_url, split_cards, text_nodes)
+from habita.functions import dom
+from habita.functions.html import host_allowed, join_stripped, resolve_url
 from habita.functions.text import (first_integer, price_digits, price_digits_dotted, py_strip,
                                    rooms_from_text, split_location, surface_from_text, wc_from_text)
 
@@ -51,7 +50,7 @@ def test_resolve_url_matches_urljoin(spark):
              "d//e", "/x//y/", "/a/b/..", "rel?q=1#f", "../?q", "é/ü"]
     pairs = [(b, h) for b in base for h in hrefs]
     df = spark.createDataFrame(pairs, "b string, h string")
-    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"), exact=True)).collect()]
+    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
     assert got == [urljoin(b, h) for b, h in pairs]
     def is_plain(h):   # no '.'/'..' path segment and no empty segment in the path
         path = re.split(r"[?#]", h, maxsplit=1)[0]
@@ -62,22 +61,27 @@ def test_resolve_url_matches_urljoin(spark):
     assert fast == [urljoin(b, h) for b, h in plain]
 
 
-def test_entities_and_text_nodes(spark):
-    s = "<p>a &amp; b &lt;c&gt; &amp;lt; &quot;q&quot;</p><b> x </b>"
-    assert col(spark, [s], decode_entities) == [s.replace("&amp;lt;", "\0")
-                                               .replace("&amp;", "&").replace("&lt;", "<")
-                                               .replace("&gt;", ">").replace("&quot;", '"')
-                                               .replace("\0", "&lt;")]
-    assert col(spark, ["&eacute;&#233;&hellip;"], decode_entities_full) == [pyhtml.unescape("&eacute;&#233;&hellip;")]
-    assert col(spark, ["<div> a <i>b</i>  </div>"], lambda c: all_text(c)) == [" ".join([" a ", "b", "  "]).strip()]
-    assert col(spark, ["<p> x </p><p>  </p><p>y</p>"], lambda c: join_stripped(text_nodes(c))) == ["x y"]
+def test_tree_of_odd_markup():
+    root = dom.parse("<p a=1 B='x &amp; y' c>one &eacute;&#8217;<b>two<p>three<ul><li>f<li>g<ul><li>h</ul></ul><!-- <i>no</i> --><script>if (a<b) '</p>'</script><img src=/i?a=1&amp;b=2>")
+    p, q = root.find("p")
+    assert p.attrs == {"a": "1", "b": "x & y", "c": ""} and p.all_texts() == ["one é’", "two"] and q.texts() == ["three"]
+    ul = next(root.find("ul"))
+    assert [li.texts() for li in ul.children("li")] == [["f"], ["g"]] and len(list(root.find("li"))) == 3
+    assert not list(root.find("i")) and next(root.find("img")).attrs["src"] == "/i?a=1&b=2"
+    assert dom.parse(None).kids == [] and dom.parse("a < b <c").all_texts() == ["a < b <c"]
 
 
-def test_split_cards(spark):
-    h = '<ul><li><a href="/1">1</a></li><li><a href="/2">2</a></li></ul>'
-    assert col(spark, [h], lambda c: split_cards(c, r"<li\b")) == [
-        ['<li><a href="/1">1</a></li>', '<li><a href="/2">2</a></li></ul>']]
-    assert col(spark, ["<p>none</p>"], lambda c: split_cards(c, r"<li\b")) == [[]]
+def test_elements_end_at_their_own_tag():
+    h = ('<div class="wrap"><div class="loc"><div class="x">A</div> B <a rel="tag">Q</a>'
+         '<div><div>deep</div></div> C</div><div class="loc">second</div></div>')
+    loc = next(dom.parse(h).find("div", dom.has_class("loc")))
+    assert loc.all_texts() == ["A", " B ", "Q", "deep", " C"] and loc.texts() == [" B ", " C"]
+    assert dom.texts_within(dom.parse(h), dom.has_class("loc")) == ["A", " B ", "Q", "deep", " C", "second"]
+
+
+def test_join_stripped(spark):
+    df = spark.createDataFrame([([" x ", "  ", "y"],)], "t array<string>")
+    assert df.select(join_stripped("t")).first()[0] == "x y"
 
 
 def test_location_split_matches_python(spark):
@@ -121,17 +125,6 @@ def test_host_allow_list(spark):
     assert got == [True, True, False, False, False]
 
 
-def test_split_entity_decoding_equals_full(spark):
-    from habita.functions.html import decode_markup_entities, decode_text_entities
-    texts = ["&amp;nbsp;", "&amp;lt;b&amp;gt;", "a&nbsp;&lt;b&gt; &eacute;t&eacute;", "&amp;amp;",
-             "&quot;x&quot; &copy; 2024 &middot; &sup2;", "no entity", "&", None]
-    df = spark.createDataFrame([(t,) for t in texts], "x string")
-    got = df.select(decode_entities("x").alias("a"),
-                    decode_markup_entities(decode_text_entities("x")).alias("b")).collect()
-    assert all(r["a"] == r["b"] for r in got)
-    assert got[0]["a"] == "&nbsp;" and got[1]["a"] == "&lt;b&gt;"
-
-
 def test_resolve_url_random_against_urljoin(spark):
     import random
     rnd = random.Random(7)
@@ -148,19 +141,6 @@ def test_resolve_url_random_against_urljoin(spark):
         refs.append(ref)
     pairs = [(rnd.choice(bases), r) for r in refs if not r.startswith("//")]
     df = spark.createDataFrame(pairs, "b string, h string")
-    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"), exact=True)).collect()]
+    got = [r[0] for r in df.select(resolve_url(F.col("b"), F.col("h"))).collect()]
     mism = [(b, h, g, urljoin(b, h)) for (b, h), g in zip(pairs, got) if g != urljoin(b, h)]
     assert not mism, mism[:5]
-
-
-
-def test_inner_of_handles_nested_same_tag(spark):
-    from habita.functions.html import all_text, inner_of
-    h = ('<div class="wrap"><div class="loc"><div class="x">A</div> B <a rel="tag">Q</a>'
-         '<div><div>deep</div></div> C</div><div class="loc">second</div></div>')
-    got = col(spark, [h], lambda c: inner_of(c, "div", "loc", nested=True))[0]
-    assert got == '<div class="x">A</div> B <a rel="tag">Q</a><div><div>deep</div></div> C'
-    assert col(spark, [h], lambda c: all_text(F.concat(F.lit(">"), inner_of(c, "div", "loc", nested=True), F.lit("<"))))[0] == \
-        " ".join(["A", " B ", "Q", "deep", " C"]).strip()
-    flat = '<p class="price">15 000 F<span>x</span></p>'
-    assert col(spark, [flat], lambda c: inner_of(c, "p", "price"))[0] == "15 000 F<span>x</span>"
