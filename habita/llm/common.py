@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import inspect
 import math
 
 import numpy as np
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import scratch_path
 
 U64 = np.uint64
+BATCH_ROWS = 1000
 
 
 def text_rows(docs: DataFrame) -> DataFrame:
@@ -21,14 +25,50 @@ def text_rows(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Few rows per Arrow batch while something is written: texts are long, and both sides hold whole batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(run):
+    """Give freed memory back to the system after each batch or group of a function that runs in tasks.
+
+    A Python worker outlives its task; without this it keeps the most it ever used.
+    """
+    def trim():
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    def per_group(pdf):
+        out = run(pdf)
+        trim()
+        return out
+
+    def per_batch(batches):
+        for out in run(batches):
+            yield out
+            trim()
+        trim()
+    return per_batch if inspect.isgeneratorfunction(run) else per_group
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -19,7 +19,6 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     now = materialize(both, "cc")
     if now.isEmpty():
         return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    nodes = now
     for _ in range(rounds):
         out = now.select("a", "b").unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = out.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -32,13 +31,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         new = materialize(small, "cc")
         # done when every node points straight at a node that points nowhere
         stars = new.groupBy("a").agg(F.count("*").alias("n"))
-        broken = stars.where("n > 1").isEmpty() is False
-        chained = broken or not new.join(new.select(F.col("a").alias("t")).distinct(), new.b == F.col("t"), "left_semi").isEmpty()
+        chained = not stars.where("n > 1").isEmpty() or not new.join(new.select(F.col("a").alias("t")).distinct(), new.b == F.col("t"), "left_semi").isEmpty()
         now = new
         if not chained:
             break
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    del nodes
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

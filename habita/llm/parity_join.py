@@ -13,8 +13,10 @@ use the same, a linked pair shares one of those. What shares a lane is compared
 by one-bit-per-shingle parity sketches and then verified on the full sets.
 
 Documents with equal sets are one class from the start. In the first round a
-class is paired with the smallest class of each lane; lanes whose classes end
-up in different components are gone through again in blocks of classes.
+class is paired with the smallest class of each lane. The classes paired with
+one smallest class are a group that holds every other pair of those lanes; a
+group whose classes end up in different components is gone through again in
+blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, materialize, mix64, parts_for, shingle_hashes, text_rows, total_bytes
+from .common import U64, materialize, mix64, parts_for, release, shingle_hashes, text_rows, total_bytes
 from .components import connected_components
 from .tokens import slices
 
@@ -32,7 +34,9 @@ NUMERATOR, DENOMINATOR = 75, 100
 SKETCH_BITS = 512
 LANES = 0.4             # lanes per shingle of the largest set of a size band
 LEAST_LANES = 64
-PART_BYTES = 20 << 20   # text whose lanes one part of the exchange holds
+PART_BYTES = 10 << 20   # text whose lanes one part of the exchange holds
+SLICE = 3 << 20
+TURNS = 2               # further classes that the rest of a group is tried against
 BLOCK = 1024            # classes per block when a lane is gone through again
 
 
@@ -89,7 +93,7 @@ def lane_entries(h: np.ndarray, off: np.ndarray):
         differ = most_different(n, np.full(len(n), bool(use)))
         pick = wanted[doc]
         d, x = doc[pick], h[pick]
-        lane = ((mix64(x + U64(use * 0) + band[d].astype(U64)) >> U64(32)) * lanes[d].astype(U64) >> U64(32)).astype(np.int64)
+        lane = ((mix64(x + band[d].astype(U64)) >> U64(32)) * lanes[d].astype(U64) >> U64(32)).astype(np.int64)
         order = np.lexsort((lane, d))
         d, lane, x = d[order], lane[order], x[order]
         begin = np.concatenate([[0], np.nonzero((np.diff(d) != 0) | (np.diff(lane) != 0))[0] + 1]).astype(np.int64)
@@ -127,7 +131,7 @@ def _sketch(parts: int):
     """Per slice of documents: one row of documents with class, size and parity sketch, one row of lane keys per part."""
     def run(batches):
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, size=SLICE):
                 h, off = shingle_hashes(piece.column("text"))
                 n = np.diff(off)
                 name = class_ids(h, off)
@@ -171,71 +175,71 @@ def _documents(batches):
                                 "n_shingles": size, "sketch": [sketch[i * width:(i + 1) * width] for i in range(len(size))]})
 
 
-SHARED = "name long, use int, filled int, differ int, keys binary, often binary"
-
-
-def _shared_keys(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Keys of one part that at least two classes have, per class and use, with the number of classes."""
-    part = int(pdf["part"].iloc[0])
-    count = np.concatenate([np.frombuffer(x, "<i4") for x in pdf["counts"]])
-    key = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["keys"]])
-    name = np.concatenate([np.frombuffer(x, "<i8") for x in pdf["names"]])
-    use = np.concatenate([np.frombuffer(x, np.int8) for x in pdf["uses"]])
-    filled = np.concatenate([np.frombuffer(x, "<i4") for x in pdf["filled"]])
-    differ = np.concatenate([np.frombuffer(x, "<i4") for x in pdf["differ"]])
-    # keys that stand in one entry only are no use to anyone
-    group = np.repeat(np.arange(len(count)), count)
-    by = np.argsort(key, kind="stable")
-    k = key[by]
-    twin = np.zeros(len(k), bool)
-    same = k[1:] == k[:-1]
-    twin[1:] |= same
-    twin[:-1] |= same
-    by = by[twin]
-    key, group = key[by], group[by]
-    order = np.lexsort((use[group], name[group], key))
-    key, group = key[order], group[order]
-    new_key = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.empty(0, bool)
-    new_name = new_key.copy()
-    new_name[1:] |= name[group[1:]] != name[group[:-1]]
-    new_entry = new_name.copy()
-    new_entry[1:] |= use[group[1:]] != use[group[:-1]]
-    often = np.bincount(np.cumsum(new_key) - 1, new_name).astype(np.int64) if len(key) else np.empty(0, np.int64)
-    often = np.repeat(often, np.diff(np.concatenate([np.nonzero(new_key)[0], [len(key)]]))) if len(key) else often
-    keep = new_entry & (often >= 2)
-    key, group, often = key[keep], group[keep], often[keep]
-    order = np.lexsort((use[group], name[group]))
-    key, group, often = key[order], group[order], often[order]
-    cut = np.nonzero((np.diff(name[group]) != 0) | (np.diff(use[group]) != 0))[0] + 1
-    cuts = np.concatenate([[0], cut, [len(key)]]).astype(int) if len(key) else []
-    whole = key.astype(np.int64) | (part << 32)
-    rows = [(name[group[a]], use[group[a]], filled[group[a]], differ[group[a]], whole[a:b].astype("<i8").tobytes(), often[a:b].astype("<i8").tobytes())
-            for a, b in zip(cuts, cuts[1:])]
-    return pd.DataFrame(rows, columns=["name", "use", "filled", "differ", "keys", "often"])
-
-
-def _rarest(batches):
-    """The keys a class is looked up by: of its lanes the rarest, one more than may differ."""
-    for pdf in batches:
-        names, keys = [], []
-        for name, filled, differ, ks, os in zip(pdf["name"], pdf["filled"], pdf["differ"], pdf["keys"], pdf["often"]):
-            key = np.concatenate([np.frombuffer(k, "<i8") for k in ks])
-            often = np.concatenate([np.frombuffer(o, "<i8") for o in os])
-            take = differ + 1 - (filled - len(key))
-            if take > 0:
-                pick = np.lexsort((key, often))[:take]
-                names.append(np.full(len(pick), name))
-                keys.append(key[pick])
-        if names:
-            yield pd.DataFrame({"key": np.concatenate(keys), "name": np.concatenate(names)})
+SHARED = "bucket int, names binary, uses binary, filled binary, differ binary, keys binary, often binary"
+
+
+def _shared_keys(buckets: int):
+    """Keys of one part that at least two classes have, with the number of classes, packed by bucket of class."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = int(pdf["part"].iloc[0])
+        count = np.concatenate([np.frombuffer(x, "<i4") for x in pdf["counts"]])
+        key = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["keys"]])
+        info = [np.concatenate([np.frombuffer(x, k) for x in pdf[c]]) for c, k in (("names", "<i8"), ("uses", np.int8), ("filled", "<i4"), ("differ", "<i4"))]
+        # keys that stand in one entry only are no use to anyone
+        by = np.argsort(key, kind="stable")
+        twin = np.zeros(len(key), bool)
+        same = key[by][1:] == key[by][:-1]
+        twin[1:] |= same
+        twin[:-1] |= same
+        by = by[twin]
+        key, group = key[by], np.repeat(np.arange(len(count), dtype=np.int32), count)[by]
+        name, use, filled, differ = (x[group] for x in info)
+        order = np.lexsort((use, name, key))
+        key, name, use, filled, differ = (x[order] for x in (key, name, use, filled, differ))
+        new_key = np.ones(len(key), bool)
+        new_key[1:] = key[1:] != key[:-1]
+        new_name = new_key.copy()
+        new_name[1:] |= name[1:] != name[:-1]
+        new_entry = new_name.copy()
+        new_entry[1:] |= use[1:] != use[:-1]
+        nth = np.cumsum(new_key) - 1
+        often = np.bincount(nth, new_name).astype(np.int32)[nth] if len(key) else np.empty(0, np.int32)
+        keep = new_entry & (often >= 2)
+        key, name, use, filled, differ, often = (x[keep] for x in (key, name, use, filled, differ, often))
+        whole = key.astype(np.int64) | (part << 32)
+        to = (mix64(name.view(U64)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.concatenate([[0], np.nonzero(np.diff(to[order]))[0] + 1, [len(to)]]) if len(to) else [0]
+        rows = []
+        for x, y in zip(cuts, cuts[1:]):
+            o = order[x:y]
+            rows.append((int(to[o[0]]), name[o].tobytes(), use[o].tobytes(), filled[o].tobytes(), differ[o].tobytes(), whole[o].tobytes(), often[o].tobytes()))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in SHARED.split(", ")])
+    return run
+
+
+def _rarest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The keys each class of a bucket is looked up by: of its lanes the rarest, one more than may differ."""
+    name, use, filled, differ, key, often = (np.concatenate([np.frombuffer(x, k) for x in pdf[c]]) for c, k in (
+        ("names", "<i8"), ("uses", np.int8), ("filled", "<i4"), ("differ", "<i4"), ("keys", "<i8"), ("often", "<i4")))
+    order = np.lexsort((key, often, use, name))
+    name, use, filled, differ, key = (x[order] for x in (name, use, filled, differ, key))
+    new = np.ones(len(name), bool)
+    new[1:] = (name[1:] != name[:-1]) | (use[1:] != use[:-1])
+    begin = np.nonzero(new)[0]
+    size = np.diff(np.concatenate([begin, [len(name)]]))
+    rank = np.arange(len(name)) - np.repeat(begin, size)
+    keep = rank < differ + 1 - (filled - np.repeat(size, size))      # lanes not shared with anyone are the rarest
+    return pd.DataFrame({"key": key[keep], "name": name[keep]})
 
 
 def _hash_sets(batches):
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, size=SLICE):
             h, off = shingle_hashes(part.column("text"))
+            own = pa.array(class_ids(h, off) == part.column("name").to_numpy(zero_copy_only=False))     # a doc_id may stand for several texts
             yield pa.RecordBatch.from_arrays([part.column("name"), pa.array([h[a:b].astype("<u8").tobytes() for a, b in zip(off, off[1:])], pa.binary())],
-                                             names=["name", "hashes"])
+                                             names=["name", "hashes"]).filter(own)
 
 
 def _verify(batches):
@@ -265,27 +269,51 @@ def _near_pairs(batches):
             yield pdf.loc[_near(pdf["n_a"].to_numpy(), pdf["n_b"].to_numpy(), distance), ["a", "b"]]
 
 
-def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block of classes with another (or itself) that sizes, sketches and components leave open."""
-    left = pdf[pdf["block"] == pdf["i"]].drop_duplicates("name").reset_index(drop=True)
-    right = left if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf[pdf["block"] == pdf["j"]].drop_duplicates("name").reset_index(drop=True)
-    if not len(left) or not len(right):
-        return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    words = lambda f: np.frombuffer(b"".join(f["sketch"]), "<u8").reshape(len(f), -1)      # noqa: E731
-    wr, nr, cr, mr = words(right), right["n_shingles"].to_numpy(), right["component"].to_numpy(), right["name"].to_numpy()
-    a, b = [], []
-    for s, n, c, m in zip(words(left), left["n_shingles"], left["component"], left["name"]):
-        hit = _near(n, nr, np.bitwise_count(wr ^ s).sum(axis=1, dtype=np.int64)) & (cr != c)
-        a.append(np.full(int(hit.sum()), m))
-        b.append(mr[hit])
-    a, b = np.concatenate(a), np.concatenate(b)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+def _open_pairs(batches):
+    """Pairs of classes of the same group (rows arrive sorted by group) that sizes, sketches and components leave open.
+
+    A row's group is a block of classes, or two blocks (then only pairs across count).
+    """
+    def pairs(f):
+        group = f.groupby(["key", "i", "j"], sort=False).ngroup().to_numpy()
+        name, n, component, block, key = (f[c].to_numpy() for c in ("name", "n_shingles", "component", "block", "key"))
+        inside = [frozenset(k.tolist()) for k in f["keys"]]
+        alone = (f["i"] == f["j"]).to_numpy()
+        words = np.frombuffer(b"".join(f["sketch"]), "<u8").reshape(len(f), -1)
+        a, b, live, d = [], [], np.arange(len(f)), 1
+        while True:
+            live = live[live + d < len(f)]
+            live = live[group[live + d] == group[live]]
+            if not len(live):
+                break
+            x, y = live, live + d
+            ok = (component[x] != component[y]) & (alone[x] | (block[x] != block[y])) & _near(n[x], n[y], 0)
+            x, y = x[ok], y[ok]
+            ok = _near(n[x], n[y], np.bitwise_count(words[x] ^ words[y]).sum(axis=1, dtype=np.int64))
+            x, y = x[ok], y[ok]
+            # a pair that meets in several groups counts in the one with the smallest key
+            ok = np.fromiter((min(inside[i] & inside[j]) == key[i] for i, j in zip(x.tolist(), y.tolist())), bool, len(x))
+            a.append(np.minimum(name[x[ok]], name[y[ok]]))
+            b.append(np.maximum(name[x[ok]], name[y[ok]]))
+            d += 1
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates() if a else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    held = None
+    for pdf in batches:
+        held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        last = held.iloc[-1] if len(held) else None
+        if last is not None:
+            tail = ((held["key"] == last["key"]) & (held["i"] == last["i"]) & (held["j"] == last["j"])).to_numpy()
+            if not tail.all():
+                yield pairs(held[~tail])
+                held = held[tail].reset_index(drop=True)
+    if held is not None and len(held):
+        yield pairs(held)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return (pairs.join(sets.select(F.col("name").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("name").alias("b"), F.col("hashes").alias("hb")), "b")
-            .select("a", "b", "ha", "hb").mapInPandas(_verify, "a long, b long"))
+            .select("a", "b", "ha", "hb").mapInPandas(release(_verify), "a long, b long"))
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -301,44 +329,64 @@ def link_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = text_rows(docs)
     parts = parts_for(spark, total_bytes(rows), PART_BYTES)
-    sketched = materialize(rows.mapInArrow(_sketch(parts), SKETCHED), "lanes")
+    sketched = materialize(rows.mapInArrow(release(_sketch(parts)), SKETCHED), "lanes")
     documents = sketched.where("kind = 0").select("names", "uses", "filled", "differ", "keys").mapInPandas(
-        _documents, "doc_id long, name long, n_shingles long, sketch binary")
-    shared = sketched.where("kind = 1").groupBy("part").applyInPandas(_shared_keys, SHARED)
-    entries = materialize(
-        shared.groupBy("name", "use").agg(F.first("filled").alias("filled"), F.first("differ").alias("differ"),
-                                          F.collect_list("keys").alias("keys"), F.collect_list("often").alias("often"))
-        .select("name", "filled", "differ", "keys", "often").mapInPandas(_rarest, "key long, name long").distinct(), "entries")
-    hubs = entries.groupBy("key").agg(F.min("name").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    open_entries = entries.join(hubs.select("key", "hub"), "key")
-    members = open_entries.select("name").distinct()
-    known = materialize(documents.join(members, "name", "left_semi").groupBy("name").agg(
-        F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-    stars = open_entries.where("name <> hub").select(F.col("hub").alias("a"), F.col("name").alias("b")).distinct()
+        release(_documents), "doc_id long, name long, n_shingles long, sketch binary")
+    entries = materialize(sketched.where("kind = 1").groupBy("part").applyInPandas(release(_shared_keys(parts)), SHARED)
+                          .groupBy("bucket").applyInPandas(release(_rarest), "key long, name long"), "entries")
+    # a lane's smallest class stands for it: (key, name) now says that name shares a lane with that class
+    hubs = entries.groupBy("key").agg(F.min("name").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
+    groups = materialize(entries.join(hubs, "key").select(F.col("hub").alias("key"), "name").distinct(), "groups")
+    known = materialize(documents.select("name", "n_shingles", "sketch").join(groups.select("name").distinct(), "name", "left_semi")
+                        .groupBy("name").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     side = lambda x: known.select(F.col("name").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))     # noqa: E731
-    pairs = materialize(stars.join(side("a"), "a").join(side("b"), "b").mapInPandas(_near_pairs, "a long, b long"), "pairs")
-    # full shingle sets of the classes that have something to verify, from one document each
+
+    def plausible(pairs, tag):
+        return materialize(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+                           .mapInPandas(release(_near_pairs), "a long, b long"), tag)
+    pairs = plausible(groups.where("name <> key").select(F.col("key").alias("a"), F.col("name").alias("b")), "pairs")
     one = documents.where("doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    wanted = one.join(members, "name", "left_semi")
-    texts = rows.join(wanted, "doc_id")
-    sets = materialize(texts.select("name", "text").mapInArrow(_hash_sets, "name long, hashes binary").dropDuplicates(["name"]), "sets")
-    links = materialize(_verified(pairs, sets), "links")
+
+    def verified(pairs, tag):
+        """Full shingle sets of the classes in question, from one document each; then every pair."""
+        names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+        sets = materialize(rows.join(one.join(names, "name"), "doc_id").select("name", "text").mapInArrow(release(_hash_sets), "name long, hashes binary"), "sets")
+        return materialize(_verified(pairs, sets), tag)
+    links = verified(pairs, "links")
     cc = connected_components(links)
-    # lanes whose classes are in several components: every pair of theirs that is still open, block against block
-    placed = (open_entries.select("key", "name").join(cc.withColumnRenamed("node", "name"), "name", "left")
-              .select("key", "name", F.coalesce("component", "name").alias("component")))
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    again = placed.join(split.where("n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key")
-    again = again.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-    again = again.join(known, "name")
-    again = (again.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "block", "name", "component", "n_shingles", "sketch",
-                     F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    more = (again.groupBy("key", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    links2 = materialize(_verified(more, sets), "links")
-    if not links2.isEmpty():
-        cc = connected_components(links.unionByName(links2))
+
+    def place(cc):
+        return (groups.join(cc.withColumnRenamed("node", "name"), "name", "left")
+                .select("key", "name", F.coalesce("component", "name").alias("component")))
+    # the classes around one smallest class hold every other pair that shares one of its lanes; what is
+    # not connected to it is tried against a few more classes of the group ...
+    for turn in range(TURNS):
+        placed = place(cc)
+        hubs = placed.groupBy("key").agg(F.min_by(F.struct("name", "component"), F.xxhash64("name", F.lit(turn))).alias("h"))
+        tried = (placed.join(hubs, "key").where("component <> h.component")
+                 .select(F.least("name", "h.name").alias("a"), F.greatest("name", "h.name").alias("b")).distinct()
+                 .join(pairs, ["a", "b"], "left_anti"))
+        tried = plausible(tried, "pairs")
+        if tried.isEmpty():
+            break
+        pairs, links = pairs.unionByName(tried), links.unionByName(verified(tried, "links"))
+        cc = connected_components(links)
+    # ... and where a group is in several components still, go through it again, block against block
+    placed = place(cc)
+    split = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+             .where("lo <> hi and n > 2").select("key", "n"))
+    memberships = groups.groupBy("name").agg(F.collect_list("key").alias("keys"))       # at most one per lane of the class
+    again = (placed.join(split, "key").join(known, "name").join(memberships, "name")
+             .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                     "block", "name", "component", "n_shingles", "sketch", "keys"))
+    more = materialize(again.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+                       .mapInPandas(release(_open_pairs), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if not more.isEmpty():
+        links = links.unionByName(verified(more, "links"))
+        cc = connected_components(links)
     least = (documents.where("n_shingles > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
              .join(cc, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("component", "name").alias("component")))
     lowest = least.groupBy("component").agg(F.min("least").alias("component_id"))
