@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def market_summary(latest: DataFrame) -> DataFrame:
@@ -47,6 +47,32 @@ def price_quantiles(latest: DataFrame, accuracy: int = 10000) -> DataFrame:
                  F.percentile_approx("price", [0.25, 0.5, 0.75], accuracy).alias("price_quartiles")))
 
 
+def price_quartiles(latest: DataFrame, group=("city", "property_type")) -> DataFrame:
+    """D3: exact quartiles (the smallest price with at least k/4 of the group at or below it).
+
+    Rows are counted per price, prices per bucket of their logarithm. The few
+    thousand buckets a group can have are ranked first; only the buckets that
+    hold a quartile are then ranked price by price, so no task sorts a group.
+    """
+    keys = list(group)
+    counts = latest.groupBy(*keys, "price").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("bucket", F.when(F.col("price") > 0, F.floor(F.log2("price") * 64)).otherwise(F.lit(-1)))
+    buckets = counts.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*keys)
+    ranked = buckets.select(*keys, "bucket", F.sum("n").over(whole).alias("total"),
+                            (F.sum("n").over(whole.orderBy("bucket")) - F.col("n")).alias("before"), F.col("n").alias("inside"))
+    wanted = (ranked.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+              .withColumn("rank", F.floor((F.col("k") * F.col("total") + 3) / 4))
+              .where("rank > before and rank <= before + inside"))
+    same = F.lit(True)
+    for c in [*keys, "bucket"]:
+        same = same & F.col(f"w.{c}").eqNullSafe(F.col(f"c.{c}"))
+    near = wanted.alias("w").join(counts.alias("c"), same).select(*[F.col(f"w.{c}") for c in keys], "total", "k", "rank", "before", "price", F.col("c.n").alias("n"))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy(*keys, "k").orderBy("price"))
+    found = near.withColumn("upto", upto).where("upto >= rank")
+    return found.groupBy(*keys).agg(F.max("total").alias("n_listings"), *[F.min(F.when(F.col("k") == k, F.col("price"))).alias(f"q{25 * k}") for k in (1, 2, 3)])
+
+
 def price_per_m2(latest: DataFrame) -> DataFrame:
     """D3: price per square metre over listings with a positive surface."""
     return (latest.where(F.col("square_footage") > 0)

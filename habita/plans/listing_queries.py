@@ -8,7 +8,7 @@ from ..functions.casts import legacy_float, legacy_int
 from ..functions.normalise import stream_offer_type, stream_property_type
 from ..operators.clean import bedroom_outliers, digits_only_cleanup, reject_counts
 from ..operators.dedup import insert_if_absent_marked, latest_per_url
-from ..operators.marts import (count_listings, distinct_sources, location_marts,
+from ..operators.marts import (price_quartiles, count_listings, distinct_sources, location_marts,
                                market_summary, price_per_m2, price_quantiles)
 from ..session import read_table
 from ..sources.wire import is_json_object, parse_wire
@@ -128,6 +128,10 @@ def price_quantiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_quantiles(common.latest(spark, sf_dir, LOCATION_COLS))
 
 
+def price_quartiles_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return price_quartiles(common.latest(spark, sf_dir, LOCATION_COLS))
+
+
 def upsert_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store holds the first crawl (scraped before the cutoff); the
     second crawl inserts only URLs the store does not have yet."""

@@ -230,4 +230,25 @@ def listing_oracles() -> dict[str, str]:
                      "(SELECT DISTINCT listing_url, source FROM clean) d")
     q["stream_batch_dedup"] = with_listings(distinct_urls)
     q["stream_watermark_dedup"] = with_listings(distinct_urls)
+    q["curated_zone_refresh"] = q["dedup_latest_per_url"]
+    q["lake_compact"] = q["stream_to_lake"]
+    q["wire_roundtrip"] = with_listings(
+        "SELECT " + ", ".join(STRING_FIELDS) + ", price, " + array_text("image_urls") + " AS image_urls FROM parsed")
+    q["csv_feed_roundtrip"] = with_listings(
+        "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in STRING_FIELDS) + ", CAST(price AS VARCHAR) AS price, "
+        "NULLIF(array_to_string(list_filter(image_urls, lambda x: x IS NOT NULL), ','), '') AS image_urls FROM parsed")
+    q["serving_view_sql"] = with_listings(
+        "SELECT source, count(*) AS n_rows, min(scraped_at) AS first_seen, max(price) AS max_price FROM latest "
+        "WHERE listing_url IS NOT NULL GROUP BY source")
+    q["fanout_both_sinks"] = with_listings(
+        "SELECT source, count(*) AS n_rows, 'lake' AS sink FROM clean GROUP BY source UNION ALL "
+        "SELECT source, count(DISTINCT listing_url) AS n_rows, 'store' AS sink FROM clean WHERE listing_url IS NOT NULL GROUP BY source")
+    q["load_metrics"] = with_listings(
+        "SELECT count(*) AS n_read, count(*) - count(listing_url) AS n_no_key, count(DISTINCT listing_url) AS n_written FROM clean")
+    q["processed_at_injected"] = with_listings("SELECT msg_id, '2024-05-01 10:00:00' AS processed_at FROM clean")
+    at = lambda k: f"min(CASE WHEN rn >= ({k} * n + 3) // 4 THEN price END)"        # noqa: E731
+    q["price_quartiles_exact"] = with_listings(
+        f"SELECT city, property_type, max(n) AS n_listings, {at(1)} AS q25, {at(2)} AS q50, {at(3)} AS q75 FROM ("
+        "SELECT city, property_type, price, row_number() OVER (PARTITION BY city, property_type ORDER BY price) AS rn, "
+        "count(*) OVER (PARTITION BY city, property_type) AS n FROM latest) x GROUP BY city, property_type")
     return q

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import listing_queries as lq
 from . import page_queries as pq
 from . import stream_queries as sq
+from .sink_queries import SINK_QUERIES
 from .oracle import listing_oracles
 from .oracle_pages import page_oracles, site_oracles
 
@@ -66,6 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_to_lake": sq.stream_to_lake,
         "stream_batch_dedup": sq.stream_batch_dedup,
         "stream_watermark_dedup": sq.stream_watermark_dedup,
+        "price_quartiles_exact": lq.price_quartiles_exact,
+        **SINK_QUERIES,
     }
 
 

@@ -14,7 +14,8 @@ def write_csv_feed(items: DataFrame, path: str, mode: str = "append") -> bool:
         return False
     cols = [F.array_join(F.col(c), ",").alias(c) if c == "image_urls" else F.col(c)
             for c in RAW_FIELDS if c in items.columns]
-    items.select(*cols).write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
+    (items.select(*cols).write.mode(mode).option("header", True).option("encoding", "UTF-8").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return True
 
 

@@ -20,23 +20,27 @@ def write_curated(latest: DataFrame, path: str, mode: str = "overwrite") -> None
     latest.write.mode(mode).partitionBy("source").parquet(path)
 
 
-def compact(spark: SparkSession, src_path: str, dst_path: str, files_per_value: int = 4,
+def compact(spark: SparkSession, src_path: str, dst_path: str, rows_per_file: int = 2_000_000,
             partition_cols=(), spread_col: str = "listing_url") -> None:
-    """Rewrite the small files of a streaming lake into a few large ones.
+    """Rewrite the small files of a streaming lake into few large ones.
 
-    Rows are shuffled on (partition columns, hash(spread_col) mod files_per_value),
-    so one partition value that holds a third of the data is still written by
-    ``files_per_value`` tasks instead of one. The hash is deterministic, so a
-    retried task rebuilds exactly the same file.
+    Each partition value gets as many writers as its own rows need, however much
+    of the lake it holds: rows are dealt by (partition columns, hash of
+    ``spread_col`` mod that number). The hash is deterministic, so a retried
+    task rebuilds exactly the same file.
     """
     df = spark.read.parquet(src_path)
-    spread = F.pmod(F.xxhash64(F.col(spread_col)), F.lit(files_per_value))
-    n = spark.sparkContext.defaultParallelism
-    if partition_cols:
-        (df.repartition(n, *[F.col(c) for c in partition_cols], spread)
-           .write.mode("overwrite").partitionBy(*partition_cols).parquet(dst_path))
+    cols = list(partition_cols)
+    counts = df.groupBy(*cols).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("__files"))
+    total = counts.agg(F.sum("__files")).first()[0] or 1
+    spread = F.pmod(F.xxhash64(F.col(spread_col)), F.col("__files"))
+    if cols:
+        named = counts.select(*[F.col(c).alias(f"__{c}") for c in cols], "__files")
+        joined = df.join(named, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cols], "left").select(*df.columns, "__files")
+        (joined.repartition(total, *cols, spread).drop("__files")
+         .write.mode("overwrite").partitionBy(*cols).parquet(dst_path))
     else:
-        df.repartition(files_per_value, spread).write.mode("overwrite").parquet(dst_path)
+        df.repartition(total, F.pmod(F.xxhash64(F.col(spread_col)), F.lit(total))).write.mode("overwrite").parquet(dst_path)
 
 
 def reset(spark: SparkSession, path: str, schema: T.StructType) -> None:

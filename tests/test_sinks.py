@@ -24,6 +24,9 @@ def test_csv_feed(spark):
     assert write_csv_feed(listings(spark).limit(0), f"{d}/empty") is False
     assert not os.path.exists(f"{d}/empty")
     assert write_csv_feed(listings(spark), f"{d}/feed")
+    quoted = spark.createDataFrame([('Villa "luxe", vue\nmer', "")], "title string, city string")
+    assert write_csv_feed(quoted, f"{d}/quoted")
+    assert '"Villa ""luxe"", vue' in open(glob.glob(f"{d}/quoted/*.csv")[0]).read()
     back = spark.read.option("header", True).csv(f"{d}/feed")
     assert back.count() == 50
     assert back.columns == ["price", "listing_url", "image_urls", "source"]   # item field order
@@ -46,11 +49,11 @@ def test_compact_keeps_rows_and_spreads_hot_partition(spark):
     for _ in range(5):
         append_lake(listings(spark).repartition(4), f"{d}/lake")
     before = spark.read.parquet(f"{d}/lake")
-    compact(spark, f"{d}/lake", f"{d}/compact", files_per_value=2, partition_cols=("source",))
+    compact(spark, f"{d}/lake", f"{d}/compact", rows_per_file=50, partition_cols=("source",))
     after = spark.read.parquet(f"{d}/compact")
     assert after.count() == before.count() == 250
     hot_files = glob.glob(f"{d}/compact/source=hot/*.parquet")
-    assert 1 <= len(hot_files) <= 2
+    assert 1 <= len(hot_files) <= 2         # 85 rows
 
 
 def test_reset_empties_lake(spark):
