@@ -38,14 +38,14 @@ def events_props_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def property_type_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = common.parsed(spark, sf_dir).where(F.col("listing_id").isNotNull())
+    p = common.parsed(spark, sf_dir, fields=["listing_id", "property_type"]).where(F.col("listing_id").isNotNull())
     return (p.select(F.col("property_type").alias("raw_property_type"),
                      stream_property_type("property_type").alias("property_type"))
              .groupBy("raw_property_type", "property_type").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def offer_type_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = common.parsed(spark, sf_dir).where(F.col("listing_id").isNotNull())
+    p = common.parsed(spark, sf_dir, fields=["listing_id", "offer_type"]).where(F.col("listing_id").isNotNull())
     return (p.select(F.col("offer_type").alias("raw_offer_type"),
                      stream_offer_type("offer_type").alias("offer_type"),
                      stream_offer_type("offer_type", lenient=True).alias("offer_type_lenient"))
@@ -54,7 +54,7 @@ def offer_type_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_casts_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = common.parsed(spark, sf_dir)
+    p = common.parsed(spark, sf_dir, fields=["bedrooms", "square_footage", "wc_interne", "price"])
     return p.select("msg_id", "bedrooms", "square_footage", "wc_interne",
                     legacy_int("bedrooms").alias("bedrooms_int"),
                     legacy_float("square_footage").cast("double").alias("surface_float"),
@@ -63,7 +63,7 @@ def typed_casts_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = common.clean(spark, sf_dir, mode="lenient")
+    c = common.clean(spark, sf_dir, mode="lenient", fields=["offer_type", "title"])
     return c.select("msg_id", "price", "offer_type", "title")
 
 
@@ -75,7 +75,7 @@ def clean_listings_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = parse_wire(common.wire(spark, sf_dir), keep=["value"])
+    p = parse_wire(common.wire(spark, sf_dir), keep=["value"], fields=["listing_id", "price", "city", "source"])
     # a parsed listing_id proves the text was an object: only the others are
     # re-checked, so most messages are parsed once
     valid = F.when(F.col("listing_id").isNotNull(), F.lit(True)).otherwise(is_json_object(F.col("value")))
@@ -90,7 +90,7 @@ def digits_only_cleanup_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bedroom_outliers_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = common.clean(spark, sf_dir)
+    c = common.clean(spark, sf_dir, fields=["bedrooms"])
     return c.select("msg_id", F.col("bedrooms").alias("bedrooms_raw"),
                     bedroom_outliers(F.col("bedrooms")).alias("bedrooms"))
 
@@ -109,7 +109,7 @@ def distinct_sources_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def image_urls_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = common.clean(spark, sf_dir)
+    c = common.clean(spark, sf_dir, fields=["image_urls"])
     return c.select("msg_id", common.image_text().alias("image_urls_text"),
                     F.coalesce(F.size("image_urls"), F.lit(-1)).alias("n_images"))
 

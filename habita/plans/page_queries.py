@@ -111,68 +111,69 @@ def location_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("c_custkey", "location_text", hood.alias("neighborhood"), city.alias("city"))
 
 
-def _texts(spark, sf_dir) -> DataFrame:
-    return common.parsed(spark, sf_dir).where(F.col("listing_id").isNotNull())
+def _texts(spark, sf_dir, *fields) -> DataFrame:
+    """Messages with an id, only the named fields parsed."""
+    return common.parsed(spark, sf_dir, fields=["listing_id", *fields]).where(F.col("listing_id").isNotNull())
 
 
 def type_from_title_a(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", py_strip("title").alias("title"),
+    return _texts(spark, sf_dir, "title").select("msg_id", py_strip("title").alias("title"),
                                         N.type_from_title_a(py_strip("title")).alias("property_type"))
 
 
 def type_from_title_b(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", py_strip("title").alias("title"),
+    return _texts(spark, sf_dir, "title").select("msg_id", py_strip("title").alias("title"),
                                         N.type_from_title_b(py_strip("title")).alias("property_type"))
 
 
 def type_from_title_c(spark, sf_dir):
-    return _texts(spark, sf_dir).select(
+    return _texts(spark, sf_dir, "title", "description").select(
         "msg_id", py_strip("title").alias("title"),
         N.type_from_title_c(py_strip("title"), F.col("description")).alias("property_type"))
 
 
 def offer_from_text_a(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", F.col("offer_type").alias("badge"),
+    return _texts(spark, sf_dir, "offer_type").select("msg_id", F.col("offer_type").alias("badge"),
                                         N.offer_from_badge_a("offer_type").alias("offer_type"))
 
 
 def offer_from_text_b(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", py_strip("title").alias("title"),
+    return _texts(spark, sf_dir, "title").select("msg_id", py_strip("title").alias("title"),
                                         N.offer_from_title_b(py_strip("title")).alias("offer_type"))
 
 
 def offer_from_text_c(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", F.col("offer_type").alias("badge"),
+    return _texts(spark, sf_dir, "offer_type").select("msg_id", F.col("offer_type").alias("badge"),
                                         N.offer_from_badge_c("offer_type").alias("offer_type"))
 
 
 def first_integer_q(spark, sf_dir):
-    return _texts(spark, sf_dir).select(
+    return _texts(spark, sf_dir, "description", "bedrooms").select(
         "msg_id", first_integer("description").alias("first_int"),
         digits_only("bedrooms").alias("bedrooms_digits"))
 
 
 def pattern_priority(spark, sf_dir):
     low = F.lower("description")
-    return _texts(spark, sf_dir).select("msg_id", surface_from_text(low).alias("surface"),
+    return _texts(spark, sf_dir, "description").select("msg_id", surface_from_text(low).alias("surface"),
                                         rooms_from_text(low).alias("rooms"))
 
 
 def wc_count(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", wc_from_text(F.lower("description")).alias("wc"))
+    return _texts(spark, sf_dir, "description").select("msg_id", wc_from_text(F.lower("description")).alias("wc"))
 
 
 def legal_doc_first_q(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", N.legal_doc_first("description").alias("legal_doc"))
+    return _texts(spark, sf_dir, "description").select("msg_id", N.legal_doc_first("description").alias("legal_doc"))
 
 
 def legal_docs_all_q(spark, sf_dir):
-    return _texts(spark, sf_dir).select("msg_id", N.legal_docs_all("description").alias("legal_doc"))
+    return _texts(spark, sf_dir, "description").select("msg_id", N.legal_docs_all("description").alias("legal_doc"))
 
 
 def image_union(spark, sf_dir):
     """E21 + U2: card image (one per listing) merged with the gallery."""
-    t = _texts(spark, sf_dir)
+    t = _texts(spark, sf_dir, "listing_url", "image_urls")
     card = F.array(F.concat(F.regexp_replace("listing_url", "/annonce/", "/img/"), F.lit(".jpg")))
     merged = image_merge(card, F.col("image_urls"))
     return t.select("msg_id", merged.cast("string").alias("image_urls"))
