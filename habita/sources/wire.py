@@ -36,28 +36,39 @@ def parse_wire(df: DataFrame, value_col: str = "value", *, keep=(),
     return df.select(*keep, parsed)
 
 
+# Fixed value: messages per micro-batch of the original job.
+COMPAT_INTAKE = 500
+
+
 def wire_stream(spark: SparkSession, *, source: str = "files", path: str | None = None,
                 bootstrap: str | None = None, topic: str | None = None,
-                max_per_trigger: int = 500, starting: str = "earliest",
+                max_per_trigger: int | None = None, max_bytes: int | None = None, starting: str = "earliest",
                 fail_on_data_loss: bool = False, extra_options: dict | None = None) -> DataFrame:
     """S1 + T3-T5: a streaming DataFrame with one string column ``value``.
 
     source='kafka' subscribes one topic (needs the Kafka connector on the
     classpath); source='files' reads newline-delimited messages from ``path``.
-    ``max_per_trigger`` is the intake cap (offsets or files per micro-batch).
+    A micro-batch takes all there is unless ``max_per_trigger`` (offsets or
+    files; ``COMPAT_INTAKE`` is the original job's) or ``max_bytes`` (files:
+    bytes, so batches do not shrink with the files) bounds it.
     """
     if source == "kafka":
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", bootstrap)
                   .option("subscribe", topic)
                   .option("startingOffsets", starting)
-                  .option("failOnDataLoss", str(fail_on_data_loss).lower())
-                  .option("maxOffsetsPerTrigger", max_per_trigger))
+                  .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+        if max_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
         for k, v in (extra_options or {}).items():
             reader = reader.option(k, v)
         return reader.load().select(F.col("value").cast("string").alias("value"))
     if source == "files":
-        reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_per_trigger)
+        reader = spark.readStream.format("text")
+        if max_bytes:
+            reader = reader.option("maxBytesPerTrigger", max_bytes)
+        elif max_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
         for k, v in (extra_options or {}).items():
             reader = reader.option(k, v)
         return reader.load(path)

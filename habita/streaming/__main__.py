@@ -21,7 +21,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="habita.streaming")
     p.add_argument("--source", choices=["kafka", "files"], default="kafka")
     p.add_argument("--bootstrap"), p.add_argument("--topic"), p.add_argument("--path")
-    p.add_argument("--max-per-trigger", type=int, default=500)
+    p.add_argument("--max-per-trigger", type=int, help="offsets or files per micro-batch; 500 in the original job")
+    p.add_argument("--max-bytes", type=int, help="bytes per micro-batch of a file source")
     p.add_argument("--lake", required=True)
     p.add_argument("--checkpoints", required=True)
     p.add_argument("--serving", help="Parquet serving table path (when no JDBC target)")
@@ -48,7 +49,7 @@ def main(argv=None) -> list:
         spark, lake_path=a.lake, target=target, checkpoint_root=a.checkpoints,
         fanout=not a.separate_queries, echo=a.echo, mode=a.mode, trigger=trigger, on_error=a.on_error,
         source=a.source, bootstrap=a.bootstrap, topic=a.topic, path=a.path,
-        max_per_trigger=a.max_per_trigger)
+        max_per_trigger=a.max_per_trigger, max_bytes=a.max_bytes)
     if trigger.get("availableNow"):
         for q in queries:
             q.awaitTermination()
