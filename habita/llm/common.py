@@ -43,7 +43,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"llm-{name}")
     with small_batches(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(run):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -32,6 +32,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # done when every node points straight at a node that points nowhere
         stars = new.groupBy("a").agg(F.count("*").alias("n"))
         chained = not stars.where("n > 1").isEmpty() or not new.join(new.select(F.col("a").alias("t")).distinct(), new.b == F.col("t"), "left_semi").isEmpty()
+        discard(now)
         now = new
         if not chained:
             break

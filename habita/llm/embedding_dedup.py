@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, materialize, mix64
+from .common import U64, discard, materialize, mix64
 from .components import connected_components
 
 LIKENESS = 0.98
@@ -190,6 +190,7 @@ def link_vectors(embeddings: DataFrame, likeness: float = LIKENESS, bucket: int
              .select("label", "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "vec_id", "copies", "vector", "keys"))
     names = ["label", "bucket", "i", "j"]
     found = materialize(dealt.repartition(*names).sortWithinPartitions(*names).mapInPandas(_links(likeness), "vec_id long, n long, least long"), "links")
+    discard(placed)
     cc = connected_components(found.select(F.col("vec_id").alias("a"), F.col("least").alias("b")))
     counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
     named = (groups.join(counts, "vec_id", "left").join(cc, F.col("vec_id") == F.col("node"), "left")

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from .common import U64, materialize, parts_for, text_rows, total_bytes
+from .common import U64, discard, materialize, parts_for, text_rows, total_bytes
 from .tokens import encoder, slices, tokenizer_path
 
 END_ID = 1
@@ -219,6 +219,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
     share = spark.sparkContext.broadcast
     (raw.where("kind = 0").repartition(n, "bucket").groupBy("bucket").applyInPandas(_encode_bucket(share((lengths, codes)), share(starts)), BLOCKS)
      .write.partitionBy("bucket").option("compression", "none").parquet(f"{path}/blocks"))
+    discard(raw)
     used = np.nonzero(lengths)[0]
     spark.createDataFrame(pd.DataFrame({"id": used, "bits": lengths[used].astype(np.int64)}), "id long, bits long").coalesce(1).write.parquet(f"{path}/code")
 

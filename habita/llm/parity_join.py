@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, materialize, mix64, parts_for, release, shingle_hashes, text_rows, total_bytes
+from .common import U64, discard, materialize, mix64, parts_for, release, shingle_hashes, text_rows, total_bytes
 from .components import connected_components
 from .tokens import slices
 
@@ -330,13 +330,15 @@ def link_documents(docs: DataFrame) -> DataFrame:
     rows = text_rows(docs)
     parts = parts_for(spark, total_bytes(rows), PART_BYTES)
     sketched = materialize(rows.mapInArrow(release(_sketch(parts)), SKETCHED), "lanes")
-    documents = sketched.where("kind = 0").select("names", "uses", "filled", "differ", "keys").mapInPandas(
-        release(_documents), "doc_id long, name long, n_shingles long, sketch binary")
+    documents = materialize(sketched.where("kind = 0").select("names", "uses", "filled", "differ", "keys").mapInPandas(
+        release(_documents), "doc_id long, name long, n_shingles long, sketch binary"), "documents")
     entries = materialize(sketched.where("kind = 1").groupBy("part").applyInPandas(release(_shared_keys(parts)), SHARED)
                           .groupBy("bucket").applyInPandas(release(_rarest), "key long, name long"), "entries")
+    discard(sketched)
     # a lane's smallest class stands for it: (key, name) now says that name shares a lane with that class
     hubs = entries.groupBy("key").agg(F.min("name").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     groups = materialize(entries.join(hubs, "key").select(F.col("hub").alias("key"), "name").distinct(), "groups")
+    discard(entries)
     known = materialize(documents.select("name", "n_shingles", "sketch").join(groups.select("name").distinct(), "name", "left_semi")
                         .groupBy("name").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     side = lambda x: known.select(F.col("name").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))     # noqa: E731
@@ -351,7 +353,9 @@ def link_documents(docs: DataFrame) -> DataFrame:
         """Full shingle sets of the classes in question, from one document each; then every pair."""
         names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
         sets = materialize(rows.join(one.join(names, "name"), "doc_id").select("name", "text").mapInArrow(release(_hash_sets), "name long, hashes binary"), "sets")
-        return materialize(_verified(pairs, sets), tag)
+        found = materialize(_verified(pairs, sets), tag)
+        discard(sets)
+        return found
     links = verified(pairs, "links")
     cc = connected_components(links)
 

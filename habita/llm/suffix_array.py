@@ -17,11 +17,11 @@ WIDEST = 4096       # names beyond which the recursion ends in rank doubling
 
 def classify(t: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one; the last (the end mark) is."""
-    step = np.zeros(len(t), np.int8)
-    step[:-1] = np.sign(t[1:].astype(np.int64) - t[:-1].astype(np.int64))
-    step[-1] = 1
-    where = np.where(step != 0, np.arange(len(t)), len(t) - 1)
-    return step[np.minimum.accumulate(where[::-1])[::-1]] > 0
+    up = np.ones(len(t), bool)
+    up[:-1] = t[1:] > t[:-1]
+    # within a run of one symbol the step after the run decides
+    runs = np.nonzero(np.append(t[1:] != t[:-1], True))[0]
+    return np.repeat(up[runs], np.diff(np.concatenate([[-1], runs])))
 
 
 def _place(sa: np.ndarray, edge: np.ndarray, items: np.ndarray, symbols: np.ndarray, sign: int) -> None:
@@ -42,7 +42,7 @@ def induce(t: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, symbols: in
     size = np.bincount(t, minlength=symbols)
     end = np.cumsum(size)
     start = end - size
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32 if n < 1 << 31 else np.int64)
     # leftmost S suffixes wait at the ends of their buckets while L suffixes are induced
     seeds = leftmost[np.argsort(t[leftmost], kind="stable")]
     seed_end = np.cumsum(np.bincount(t[leftmost], minlength=symbols))
@@ -94,14 +94,16 @@ def _doubling(names: np.ndarray, depth: int | None) -> np.ndarray:
     """Order of the suffixes of ``names`` by rank doubling, on their first ``depth`` symbols (None: all)."""
     rank, k, n = names.astype(np.int64), 1, len(names)
     while True:
-        order = np.argsort(rank, kind="stable")
-        if (depth is not None and k >= depth) or k >= n or (np.diff(rank[order]) > 0).all():
-            return order
-        after = np.full(n, -1, np.int64)
-        after[:-k] = rank[k:]
-        pair = rank * (rank.max() + 2) + after + 1
-        _, rank = np.unique(pair, return_inverse=True)
+        pair = rank * (int(rank.max()) + 2)
+        pair[:-k] += rank[k:] + 1
+        order = np.argsort(pair)
+        sorted_pairs = pair[order]
+        new = np.concatenate([[0], np.cumsum(sorted_pairs[1:] != sorted_pairs[:-1])])
         k *= 2
+        if new[-1] == n - 1 or k >= n or (depth is not None and k >= depth):
+            return order
+        rank = np.empty(n, np.int64)
+        rank[order] = new
 
 
 def suffix_array(t: np.ndarray, symbols: int, depth: int | None = None) -> np.ndarray:
@@ -112,6 +114,7 @@ def suffix_array(t: np.ndarray, symbols: int, depth: int | None = None) -> np.nd
     n = len(t)
     if n == 1:
         return np.zeros(1, np.int64)
+    t = t.astype(np.uint16 if symbols <= 1 << 16 else np.int64, copy=False)      # short symbols are sorted by radix
     smaller = classify(t)
     is_left = smaller.copy()
     is_left[0] = False
@@ -149,21 +152,23 @@ def suffix_array(t: np.ndarray, symbols: int, depth: int | None = None) -> np.nd
 
 def permuted_common(t: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """For each position of ``order`` but the first, in text order of positions: whether it and its
-    predecessor in the array share ``length`` symbols (bytes); returned in array order."""
-    by = np.argsort(order[1:], kind="stable")               # text order
-    here, before = order[1:][by], order[:-1][by]
-    padded = np.concatenate([t, np.zeros(8, np.uint8)])
-    word = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    predecessor in the array share ``length`` bytes (each has so many left); returned in array order."""
+    before_of = np.full(len(t), -1, np.int64)
+    before_of[order[1:]] = order[:-1]
+    here = np.nonzero(before_of >= 0)[0]                    # text order
+    before = before_of[here]
     equal = np.ones(len(here), bool)
     live = np.arange(len(here))
-    at = 0
-    while at < length and len(live):
-        w = min(at, length - 8) if length >= 8 else at
-        width = min(8, length)
-        ok = (word[here[live] + w][:, :width] == word[before[live] + w][:, :width]).all(axis=1)
-        equal[live[~ok]] = False
-        live = live[ok]
-        at += 8
-    out = np.empty(len(here), bool)
-    out[by] = equal
-    return out
+    if length < 8:
+        for k in range(length):
+            equal &= t[np.minimum(here + k, len(t) - 1)] == t[np.minimum(before + k, len(t) - 1)]
+    else:
+        padded = np.concatenate([t, np.zeros(8, np.uint8)])
+        word = np.ndarray((len(t),), np.uint64, padded, 0, (1,))        # the eight bytes from each position
+        for at in [*range(0, length - 8, 8), length - 8]:
+            ok = word[here[live] + at] == word[before[live] + at]
+            equal[live[~ok]] = False
+            live = live[ok]
+    flag = np.zeros(len(t), bool)
+    flag[here] = equal
+    return flag[order[1:]]

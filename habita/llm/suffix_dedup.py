@@ -4,14 +4,14 @@ A byte goes when a string of ``WIDTH`` bytes that covers it also starts in a
 document with a smaller id. Equal strings must meet in one suffix array, and no
 array may hold the whole corpus, so text is dealt out by content: every window
 of ``WIDTH`` bytes belongs to its anchor, the k-gram with the least hash in it,
-and equal windows have equal anchors. First only anchor hashes are exchanged,
-to find the anchors that different texts share. The stretch of text around a
-shared anchor then goes to the anchor's part; there a suffix array over all
-stretches is built by induced sorting, and neighbours in it whose common prefix
-is long enough form the groups of equal windows, whose smallest document id is
-reported back to each slice of documents. Anchors that very many texts share
-send their windows one by one, dealt by the window, so that no part grows with
-a popular passage.
+and equal windows have equal anchors. First only hashes are exchanged, of each
+anchor with some bytes before or after it, to find what different texts share.
+The stretches of text around shared anchors then go to the anchor's part; there
+a suffix array over all of them is built by induced sorting, and neighbours in
+it whose common prefix is long enough form the groups of equal windows, whose
+smallest document id is reported back to each slice of documents. Where very
+many texts share an anchor, its windows travel one by one, dealt by the window,
+so that no part grows with a popular passage.
 """
 
 from __future__ import annotations
@@ -21,61 +21,92 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, materialize, mix64, parts_for, text_rows, total_bytes
+from .common import U64, discard, materialize, mix64, parts_for, release, text_rows, total_bytes
 from .suffix_array import permuted_common, suffix_array
 from .tokens import slices
 
 WIDTH = 50
-GRAM = 24
-SLICE = 2 << 20
-PART_BYTES = 32 << 20       # text whose anchor hashes one part of the first exchange holds
+GRAM = 16
+SLICE = 3 << 20
+PART_BYTES = 16 << 20       # text whose anchor hashes one part of the first exchange holds
+ARRAY_BYTES = 6 << 20       # text whose shared stretches one suffix array holds
 POPULAR = 2000              # texts that share an anchor, beyond which its windows travel one by one
 
 _ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                          0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
 
-def _gram_hashes(b: np.ndarray, window: bool = False) -> np.ndarray:
-    """Hash of the ``GRAM`` (or ``WIDTH``) bytes from each position, by joining shorter ones."""
-    h1 = mix64(np.arange(256, dtype=U64) + U64(1))[b]
-    h2 = h1[:-1] * _ODD[0] + h1[1:]
-    h4 = h2[:-2] * _ODD[1] + h2[2:]
-    h8 = h4[:-4] * _ODD[2] + h4[4:]
-    h16 = h8[:-8] * _ODD[3] + h8[8:]
-    if not window:
-        return mix64(h16[:-8] * _ODD[4] + h8[16:])
-    h32 = h16[:-16] * _ODD[5] + h16[16:]
-    return mix64((h32[:-18] * _ODD[6] + h16[32:-2]) * _ODD[0] + h2[48:])
+_BYTE = mix64(np.arange(256, dtype=U64) + U64(1))
+SIDE = (WIDTH - GRAM) // 2      # a window has so many bytes before its anchor, or as many after it
+BLOCK = 1 << 17                 # positions hashed at a time
 
 
-def anchors(b: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _window_hashes(b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of the ``WIDTH`` bytes from each of the positions."""
+    out = np.zeros(len(at), U64)
+    for k in range(WIDTH):
+        out = out * _ODD[0] + _BYTE[b[at + k]]
+    return mix64(out)
+
+
+def anchors(b: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Stretches of the joined texts ``b`` (text i ends at ``ends[i]``) whose windows share an anchor.
 
-    Returns the text, first window, last window and anchor hash of each stretch.
+    Returns, per stretch, its text, first and last window, the anchor's place
+    and hash, and the hashes of the anchor with ``SIDE`` bytes before it and
+    after it (0 where no window of the stretch holds them). A window that begins
+    at least ``SIDE`` bytes before its anchor holds the first, any other the
+    second; equal windows have equal anchors and the same one of the two.
     """
     none = np.empty(0, np.int64)
-    if len(b) < WIDTH:
-        return none, none, none, np.empty(0, U64)
-    h = _gram_hashes(b)
-    v = (h & U64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=U64)
-    k, span = 1, WIDTH - GRAM + 1
-    while 2 * k <= span:
-        v = np.minimum(v[:-k], v[k:])
-        k *= 2
-    if k < span:
-        v = np.minimum(v[:-(span - k)], v[span - k:])
-    at = (v & U64(0xFFFFFFFF)).astype(np.int64)
-    starts = np.concatenate([[0], ends[:-1]])
-    n = np.maximum(ends - starts - WIDTH + 1, 0)
-    doc = np.repeat(np.arange(len(ends)), n)
-    s = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + starts[doc]
-    at = at[s]
-    cut = np.concatenate([[0], np.nonzero((np.diff(at) != 0) | (np.diff(doc) != 0))[0] + 1]) if len(s) else none
-    last = np.concatenate([cut[1:], [len(s)]]) - 1 if len(s) else none
-    return doc[cut], s[cut], s[last], h[at[cut]]
+    span = WIDTH - GRAM + 1
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else none
+    rows: list[tuple] = []
+    for start in range(0, len(b) - WIDTH + 1, BLOCK):
+        seg = b[start:start + BLOCK + WIDTH - 1]
+        h1 = _BYTE[seg]
+        h2 = h1[:-1] * _ODD[0] + h1[1:]
+        h4 = h2[:-2] * _ODD[1] + h2[2:]
+        h8 = h4[:-4] * _ODD[2] + h4[4:]
+        h16 = h8[:-8] * _ODD[3] + h8[8:]
+        v = (h16 & U64(0xFFFFFFFF00000000)) | np.arange(len(h16), dtype=U64)
+        k = 1
+        while 2 * k <= span:
+            v = np.minimum(v[:-k], v[k:])
+            k *= 2
+        if k < span:
+            v = np.minimum(v[:-(span - k)], v[span - k:])
+        # a new stretch where the anchor changes or a text begins
+        new = np.ones(len(v), bool)
+        new[1:] = v[1:] != v[:-1]
+        lo, hi = np.searchsorted(begins, [start, start + len(v)])
+        new[begins[lo:hi] - start] = True
+        first = np.nonzero(new)[0]
+        last = np.concatenate([first[1:], [len(v)]]) - 1
+        at = (v[first] & U64(0xFFFFFFFF)).astype(np.int64)
+        gram = h16[at]
+        # the longer grams: 16 bytes and the SIDE before them, or after them
+        left = np.zeros(len(at), U64)
+        ok = first <= at - SIDE
+        p = at[ok] - SIDE
+        left[ok] = mix64(h16[p] * _ODD[4] + h8[p + 16] * _ODD[5] + h8[p + SIDE + GRAM - 8]) | U64(1)
+        right = np.zeros(len(at), U64)
+        ok = (last > at - SIDE) & (at + GRAM + SIDE <= len(seg))
+        p = at[ok]
+        right[ok] = mix64(h16[p] * _ODD[5] + h8[p + 16] * _ODD[6] + h8[p + SIDE + GRAM - 8]) | U64(1)
+        rows.append((first + start, last + start, at + start, gram, left, right))
+    if not rows:
+        return none, none, none, none, *[np.empty(0, U64)] * 3
+    first, last, at, gram, left, right = (np.concatenate(x) for x in zip(*rows))
+    doc = np.searchsorted(begins, first, side="right") - 1
+    # texts without bytes begin where the next one does
+    last = np.minimum(last, ends[doc] - WIDTH)
+    ok = first <= last
+    return doc[ok], first[ok], last[ok], at[ok], mix64(gram[ok]), left[ok], right[ok]
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -99,25 +130,31 @@ def _anchor_keys(parts: int):
         for batch in batches:
             for piece in slices(batch, size=SLICE):
                 b, ends = _bytes_of(piece.column("text"))
-                doc, _, _, h = anchors(b, ends)
+                doc, _, _, _, _, left, right = anchors(b, ends)
                 name = piece.column("name").to_numpy(zero_copy_only=False)
+                doc, h = np.concatenate([doc[left > 0], doc[right > 0]]), np.concatenate([left[left > 0], right[right > 0]])
                 part, key = _part_and_key(h, parts)
-                order = np.lexsort((key, name[doc], part))
-                part, key, owner = part[order], key[order], name[doc[order]]
-                keep = np.ones(len(key), bool)
-                keep[1:] = (np.diff(part) != 0) | (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-                part, key, owner = part[keep], key[keep], owner[keep]
+                # one sort of part, text and key together; repeats within a text go
+                if parts < 1 << 16 and len(name) < 1 << 16:
+                    both = np.sort(part.astype(U64) << U64(48) | doc.astype(U64) << U64(32) | key)
+                    both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
+                    part, key = (both >> U64(48)).astype(np.int64), both.astype(np.uint32)
+                    owner = name[(both >> U64(32)).astype(np.int64) & 0xFFFF]
+                else:
+                    order = np.lexsort((key, doc, part))
+                    part, key, owner = part[order], key[order], name[doc[order]]
                 rows = []
                 cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else [0]
                 for x, y in zip(cuts, cuts[1:]):
-                    who, count = np.unique(owner[x:y], return_counts=True)
-                    rows.append((int(part[x]), who.astype("<i8").tobytes(), count.astype("<i4").tobytes(), key[x:y].astype("<u4").tobytes()))
+                    begin = np.concatenate([[0], np.nonzero(np.diff(owner[x:y]))[0] + 1])
+                    count = np.diff(np.concatenate([begin, [y - x]]))
+                    rows.append((int(part[x]), owner[x:y][begin].astype("<i8").tobytes(), count.astype("<i4").tobytes(), key[x:y].astype("<u4").tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
                                                  names=["part", "names", "counts", "keys"])
     return run
 
 
-def _shared_keys(popular: int):
+def _shared_keys(popular: int, buckets: int):
     def _keys(pdf: pd.DataFrame) -> pd.DataFrame:
         """Anchors of one part that at least two different texts have, per text; popular ones are marked."""
         part = int(pdf["part"].iloc[0])
@@ -139,16 +176,31 @@ def _shared_keys(popular: int):
         _, back, often = np.unique(key, return_inverse=True, return_counts=True)
         keep = often[back] >= 2 if len(key) else np.empty(0, bool)
         key, name, hot = key[keep], name[keep], (often[back] > popular)[keep] if len(key) else keep
-        order = np.argsort(name, kind="stable")
-        key, name, hot = key[order], name[order], hot[order]
         # part and key in 63 bits, the mark in the lowest
         whole = ((np.int64(part) << 32 | key.astype(np.int64)) << 1) | hot
-        cuts = np.concatenate([[0], np.nonzero(np.diff(name))[0] + 1, [len(name)]]) if len(name) else [0]
-        return pd.DataFrame([(name[x], whole[x:y].astype("<i8").tobytes()) for x, y in zip(cuts, cuts[1:])], columns=["name", "keys"])
+        to = (mix64(name.view(U64)) % U64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.concatenate([[0], np.nonzero(np.diff(to[order]))[0] + 1, [len(to)]]) if len(to) else [0]
+        return pd.DataFrame([(int(to[order[x]]), name[order[x:y]].tobytes(), whole[order[x:y]].tobytes()) for x, y in zip(cuts, cuts[1:])],
+                            columns=["bucket", "names", "keys"])
     return _keys
 
 
-STRETCHES = "uid long, part int, contents binary, lengths binary, least binary, several binary, owner binary, doc_ids binary, starts binary"
+def _keys_by_text(pdf: pd.DataFrame) -> pd.DataFrame:
+    """All shared keys of each text of a bucket, sorted."""
+    name = np.concatenate([np.frombuffer(x, "<i8") for x in pdf["names"]])
+    key = np.concatenate([np.frombuffer(x, "<i8") for x in pdf["keys"]])
+    order = np.lexsort((key, name))
+    name, key = name[order], key[order]
+    cuts = np.concatenate([[0], np.nonzero(np.diff(name))[0] + 1, [len(name)]])
+    return pd.DataFrame({"name": name[cuts[:-1]], "keys": [key[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]})
+
+
+STRETCHES = "uid long, part int, n int, size int, stretches binary, n_uses int, uses binary"
+
+
+def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x if isinstance(x, bytes) else x.tobytes() for x in arrays))
 
 
 def _stretches(parts: int, deal: int):
@@ -160,52 +212,68 @@ def _stretches(parts: int, deal: int):
                 b, ends = _bytes_of(piece.column("text"))
                 begins = np.concatenate([[0], ends[:-1]])
                 ids = piece.column("doc_id").to_numpy(zero_copy_only=False)
-                doc, first, last, h = anchors(b, ends)
-                part, key = _part_and_key(h, parts)
-                whole = part << 32 | key.astype(np.int64)
-                shared, hot = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
+                name = piece.column("name").to_numpy(zero_copy_only=False)
+                doc, first, last, place, h, left, right = anchors(b, ends)
                 at = np.searchsorted(doc, np.arange(piece.num_rows + 1))
-                for i, ks in enumerate(piece.column("keys").to_pylist()):
-                    mine = np.sort(np.concatenate([np.frombuffer(k, "<i8") for k in ks]))
-                    w = whole[at[i]:at[i + 1]]
-                    j = np.minimum(np.searchsorted(mine >> 1, w), len(mine) - 1)
-                    ok = mine[j] >> 1 == w
-                    shared[at[i]:at[i + 1]] = ok
-                    hot[at[i]:at[i + 1]] = ok & (mine[j] & 1 == 1)
-                calm = shared & ~hot
-                d, f, n, to = doc[calm], first[calm], last[calm] - first[calm] + WIDTH, h[calm]
-                if hot.any():
-                    many = (last - first + 1)[hot]
-                    wd = np.repeat(doc[hot], many)
-                    wf = np.repeat(first[hot], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+                shared, hot = [], []
+                for x in (left, right):
+                    part, key = _part_and_key(x, parts)
+                    whole = np.where(x > 0, part << 32 | key.astype(np.int64), -1)
+                    shared.append(np.zeros(len(doc), bool))
+                    hot.append(np.zeros(len(doc), bool))
+                    for i, ks in enumerate(piece.column("keys").to_pylist()):
+                        mine = np.frombuffer(ks, "<i8")
+                        w = whole[at[i]:at[i + 1]]
+                        j = np.minimum(np.searchsorted(mine >> 1, w), len(mine) - 1)
+                        shared[-1][at[i]:at[i + 1]] = ok = mine[j] >> 1 == w
+                        hot[-1][at[i]:at[i + 1]] = ok & (mine[j] & 1 == 1)
+                # windows whose own gram is shared: both sides of a stretch together, or either
+                turn = place - SIDE
+                calm = [x & ~y for x, y in zip(shared, hot)]
+                both, lefts, rights = calm[0] & calm[1], calm[0] & ~calm[1], calm[1] & ~calm[0]
+                d = np.concatenate([doc[both], doc[lefts], doc[rights]])
+                f = np.concatenate([first[both], first[lefts], np.maximum(first, turn + 1)[rights]])
+                e = np.concatenate([last[both], np.minimum(last, turn)[lefts], last[rights]])
+                to = np.concatenate([h[both], h[lefts], h[rights]])
+                ok = f <= e
+                d, f, n, to = d[ok], f[ok], (e - f)[ok] + WIDTH, to[ok]
+                if hot[0].any() or hot[1].any():
+                    hd = np.concatenate([doc[hot[0]], doc[hot[1]]])
+                    hf = np.concatenate([first[hot[0]], np.maximum(first, turn + 1)[hot[1]]])
+                    many = np.maximum(np.concatenate([np.minimum(last, turn)[hot[0]], last[hot[1]]]) - hf + 1, 0)
+                    wd = np.repeat(hd, many)
+                    wf = np.repeat(hf, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
                     d, f = np.concatenate([d, wd]), np.concatenate([f, wf])
                     n = np.concatenate([n, np.full(len(wd), WIDTH)])
-                    to = np.concatenate([to, _gram_hashes(b, window=True)[wf]])
+                    to = np.concatenate([to, _window_hashes(b, wf)])
                 if not len(d):
                     continue
                 target = ((to >> U64(8)) % U64(deal)).astype(np.int64)
                 # equal stretches of a slice travel once
                 text = [b[x:x + m].tobytes() for x, m in zip(f.tolist(), n.tolist())]
-                number: dict[tuple[int, bytes], int] = {}
-                which = np.fromiter((number.setdefault((t, x), len(number)) for t, x in zip(target.tolist(), text)), np.int64, len(text))
+                number: dict[bytes, int] = {}
+                which = np.fromiter((number.setdefault(x, len(number)) for x in text), np.int64, len(text))
                 least = np.full(len(number), np.iinfo(np.int64).max)
                 most = np.full(len(number), np.iinfo(np.int64).min)
                 np.minimum.at(least, which, ids[d])
                 np.maximum.at(most, which, ids[d])
                 names = list(number)
-                where = np.fromiter((t for t, _ in names), np.int64, len(names))
+                where = np.empty(len(names), np.int64)
+                where[which] = target           # equal stretches have equal targets
                 rows = []
                 local = np.empty(len(names), np.int64)
                 for p in np.unique(where):
                     mine = np.nonzero(where == p)[0]
                     local[mine] = np.arange(len(mine))
                     occ = np.nonzero(target == p)[0]
-                    rows.append((uid, int(p), b"".join(names[i][1] for i in mine), np.array([len(names[i][1]) for i in mine], "<i4").tobytes(),
-                                 least[mine].astype("<i8").tobytes(), (most[mine] > least[mine]).astype(np.int8).tobytes(),
-                                 local[which[occ]].astype("<i4").tobytes(), ids[d[occ]].astype("<i8").tobytes(), (f[occ] - begins[d[occ]]).astype("<i8").tobytes()))
+                    own = [names[i] for i in mine]
+                    contents = b"".join(own)
+                    rows.append((uid, int(p), len(mine), len(contents),
+                                 _squeeze(contents, np.fromiter(map(len, own), "<i2", len(own)), least[mine].astype("<i8"), (most[mine] > least[mine]).astype(np.int8)),
+                                 len(occ), _squeeze(local[which[occ]].astype("<i4"), (f[occ] - begins[d[occ]]).astype("<i8"), ids[d[occ]].astype("<i8"), name[d[occ]].astype("<i8"))))
                 uid += 1
-                kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(9)], names=[c.split()[0] for c in STRETCHES.split(", ")])
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(7)], names=[c.split()[0] for c in STRETCHES.split(", ")])
     return run
 
 
@@ -220,7 +288,7 @@ def equal_windows(contents: np.ndarray, lengths: np.ndarray, least: np.ndarray,
     place = np.arange(len(contents)) + np.repeat(np.arange(len(lengths)), lengths)
     t[place] = contents.astype(np.int32) + 2
     t[ends + np.arange(len(lengths))] = 1
-    sa = suffix_array(t, 258, depth=width // 2 + 8)
+    sa = suffix_array(t, 258, depth=width // 2 + 1)
     b = np.full(len(t), 10, np.uint8)
     b[place] = contents
     owner = np.full(len(t), -1, np.int64)
@@ -232,21 +300,45 @@ def equal_windows(contents: np.ndarray, lengths: np.ndarray, least: np.ndarray,
     group = np.concatenate([[True], ~permuted_common(b, sa, width)])
     low = np.minimum.reduceat(least[owner[sa]], np.nonzero(group)[0])
     low = np.repeat(low, np.diff(np.concatenate([np.nonzero(group)[0], [len(sa)]])))
-    order = np.argsort(sa, kind="stable")
-    sa, low = sa[order], low[order]
-    who = owner[sa]
+    low_at = np.empty(len(t), np.int64)
+    low_at[sa] = low
+    sa = np.nonzero(owner >= 0)[0]
+    low, who = low_at[sa], owner[sa]
     begin = ends - lengths + np.arange(len(lengths))
     return sa - begin[who], who, low
 
 
 def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     """Windows of one part that some smaller document has, as runs per slice."""
-    counts = [len(x) // 4 for x in pdf["lengths"]]
-    lengths = np.concatenate([np.frombuffer(x, "<i4") for x in pdf["lengths"]]).astype(np.int64)
-    least = np.concatenate([np.frombuffer(x, "<i8") for x in pdf["least"]])
-    several = np.concatenate([np.frombuffer(x, np.int8) for x in pdf["several"]]) == 1
-    contents = np.frombuffer(b"".join(pdf["contents"]), np.uint8)
-    at, who, low = equal_windows(contents, lengths, least)
+    counts = pdf["n"].tolist()
+    lengths, least, several, contents = [], [], [], []
+    unzip = zstandard.ZstdDecompressor()
+    for n, size, blob in zip(counts, pdf["size"], pdf["stretches"]):
+        raw = unzip.decompress(blob, max_output_size=size + 11 * n)
+        contents.append(raw[:size])
+        lengths.append(np.frombuffer(raw, "<i2", n, size))
+        least.append(np.frombuffer(raw, "<i8", n, size + 2 * n))
+        several.append(np.frombuffer(raw, np.int8, n, size + 10 * n))
+    lengths, least, several = np.concatenate(lengths).astype(np.int64), np.concatenate(least), np.concatenate(several) == 1
+    # equal stretches of different slices stand in the array once
+    number: dict[bytes, int] = {}
+    which = np.empty(len(lengths), np.int64)
+    i = 0
+    for raw, n in zip(contents, counts):
+        end = 0
+        for m in lengths[i:i + n].tolist():
+            which[i] = number.setdefault(raw[end:end + m], len(number))
+            end += m
+            i += 1
+    smallest = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, which, least)
+    at, who, low = equal_windows(np.frombuffer(b"".join(number), np.uint8), np.fromiter(map(len, number), np.int64, len(number)), smallest)
+    # windows of each different stretch, for every slice that has it
+    begin = np.searchsorted(who, np.arange(len(number)))
+    size = np.searchsorted(who, np.arange(len(number)), side="right") - begin
+    n = size[which]
+    pick = np.repeat(begin[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    at, who, low = at[pick], np.repeat(np.arange(len(which)), n), low[pick]
     keep = (low < least[who]) | several[who]
     at, who, low = at[keep], who[keep], low[keep]
     cut = np.concatenate([[True], (np.diff(who) != 0) | (np.diff(low) != 0) | (np.diff(at) != 1)]) if len(at) else np.empty(0, bool)
@@ -262,27 +354,36 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["uid", "part", "owner", "first", "last", "least"])
 
 
-def _spans(batches):
-    """Covered byte ranges per document, from the runs of a slice's stretches and who has them."""
-    for pdf in batches:
-        for row in pdf.itertuples(index=False):
-            owner, first, last = (np.frombuffer(x, "<i4").astype(np.int64) for x in (row.owner, row.first, row.last))
-            low = np.frombuffer(row.least, "<i8")
-            has, ids, starts = np.frombuffer(row.has, "<i4").astype(np.int64), np.frombuffer(row.doc_ids, "<i8"), np.frombuffer(row.starts, "<i8")
-            lo = np.searchsorted(owner, has, side="left")
-            n = np.searchsorted(owner, has, side="right") - lo
-            occ = np.repeat(np.arange(len(has)), n)
-            run = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            ok = low[run] < ids[occ]
-            occ, run = occ[ok], run[ok]
-            if not len(occ):
-                continue
-            order = np.argsort(ids[occ], kind="stable")
-            occ, run = occ[order], run[order]
-            doc = ids[occ]
-            pairs = np.stack([starts[occ] + first[run], starts[occ] + last[run] + WIDTH], axis=1).astype("<i8")
-            cuts = np.concatenate([[0], np.nonzero(np.diff(doc))[0] + 1, [len(doc)]])
-            yield pd.DataFrame({"doc_id": doc[cuts[:-1]], "spans": [pairs[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]})
+def _spans(uses: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
+    """Covered byte ranges per document of one slice, from the runs of its stretches and who has them."""
+    unzip = zstandard.ZstdDecompressor()
+    have = {p: (n, u) for p, n, u in zip(uses["part"], uses["n_uses"], uses["uses"])}
+    docs, names, pairs = [], [], []
+    for row in runs.itertuples(index=False):
+        owner, first, last = (np.frombuffer(x, "<i4").astype(np.int64) for x in (row.owner, row.first, row.last))
+        low = np.frombuffer(row.least, "<i8")
+        size, blob = have[row.part]
+        raw = unzip.decompress(blob, max_output_size=28 * size)
+        has, starts, ids = np.frombuffer(raw, "<i4", size).astype(np.int64), np.frombuffer(raw, "<i8", size, 4 * size), np.frombuffer(raw, "<i8", size, 12 * size)
+        names.append(np.frombuffer(raw, "<i8", size, 20 * size))
+        lo = np.searchsorted(owner, has, side="left")
+        n = np.searchsorted(owner, has, side="right") - lo
+        occ = np.repeat(np.arange(len(has)), n)
+        run = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        ok = low[run] < ids[occ]
+        occ, run = occ[ok], run[ok]
+        docs.append(ids[occ])
+        names[-1] = names[-1][occ]
+        pairs.append(np.stack([starts[occ] + first[run], starts[occ] + last[run] + WIDTH], axis=1))
+    doc = np.concatenate(docs) if docs else np.empty(0, np.int64)
+    if not len(doc):
+        return pd.DataFrame({"doc_id": doc, "name": doc, "spans": []})
+    name = np.concatenate(names)
+    order = np.lexsort((name, doc))
+    doc, name, pair = doc[order], name[order], np.concatenate(pairs)[order]
+    cuts = np.concatenate([[0], np.nonzero((np.diff(doc) != 0) | (np.diff(name) != 0))[0] + 1, [len(doc)]])
+    return pd.DataFrame({"doc_id": doc[cuts[:-1]], "name": name[cuts[:-1]],
+                         "spans": [_merge(pair[x:y]).astype("<i8").tobytes() for x, y in zip(cuts, cuts[1:])]})
 
 
 def _merge(pairs: np.ndarray) -> np.ndarray:
@@ -307,39 +408,47 @@ def _cut(raw: bytes, spans: list | None, copied: bool) -> tuple[bytes, int]:
     return b"".join(kept), len(runs)
 
 
-def find_repeats(docs: DataFrame, popular: int = POPULAR) -> DataFrame:
+def find_repeats(docs: DataFrame, popular: int = POPULAR, written: list | None = None) -> DataFrame:
     """``doc_id, name, spans, copied`` of the documents that lose bytes.
 
     ``name`` is the text's xxhash64 (rows may share a ``doc_id``); ``copied``
     marks an equal text of a smaller id, at least ``WIDTH`` bytes long, which
     goes whole; ``spans`` are covered ranges (pairs of 64-bit integers), several
     lists that may overlap. Rows with a null ``doc_id`` have no order: they
-    neither remove nor lose anything.
+    neither remove nor lose anything. ``written`` collects the tables that the
+    result still reads, to be discarded after it.
     """
     spark = docs.sparkSession
     rows = text_rows(docs).where("doc_id is not null").withColumn("name", F.xxhash64("text"))
-    parts = parts_for(spark, total_bytes(rows), PART_BYTES)
-    # equal texts first: only the one with the smallest id is searched
-    sums = rows.select("doc_id", "name", F.octet_length("text").alias("n"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    firsts = sums.groupBy("sha").agg(F.min("doc_id").alias("first"), F.first("name").alias("name"), F.first("n").alias("n"), F.max("doc_id").alias("last"))
-    copies = (sums.select("doc_id", "name", "sha").join(firsts.where((F.col("n") >= WIDTH) & (F.col("first") < F.col("last"))).select("sha", "first"), "sha")
+    size = total_bytes(rows)
+    parts, arrays = parts_for(spark, size, PART_BYTES), parts_for(spark, size, ARRAY_BYTES)
+    # equal texts first: only the one with the smallest id is searched (128 bits of hash stand for a text)
+    sums = rows.select("doc_id", "name", F.xxhash64("text", F.lit(1)).alias("name2"), F.octet_length("text").alias("n"))
+    firsts = sums.groupBy("name", "name2", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    copies = (sums.where(F.col("n") >= WIDTH).select("doc_id", "name", "name2")
+              .join(firsts.where((F.col("n") >= WIDTH) & (F.col("first") < F.col("last"))).select("name", "name2", "first"), ["name", "name2"])
               .where("doc_id > first").select("doc_id", "name").distinct())
-    shared = (rows.select("text", "name").mapInArrow(_anchor_keys(parts), GRAMS)
-              .groupBy("part").applyInPandas(_shared_keys(popular), "name long, keys binary")
-              .groupBy("name").agg(F.collect_list("keys").alias("keys")))
+    shared = (rows.select("text", "name").mapInArrow(release(_anchor_keys(parts)), GRAMS)
+              .groupBy("part").applyInPandas(release(_shared_keys(popular, parts)), "bucket int, names binary, keys binary")
+              .groupBy("bucket").applyInPandas(release(_keys_by_text), "name long, keys binary"))
     wanted = shared.join(firsts.select("name", F.col("first").alias("doc_id")), "name")
-    found = materialize(rows.join(wanted, ["doc_id", "name"]).select("doc_id", "text", "keys")
-                        .mapInArrow(_stretches(parts, parts), STRETCHES), "stretches")
-    runs = (found.select("uid", "part", "contents", "lengths", "least", "several").groupBy("part").applyInPandas(_search, FOUND))
-    spans = (runs.join(found.select("uid", "part", F.col("owner").alias("has"), "doc_ids", "starts"), ["uid", "part"])
-             .mapInPandas(_spans, "doc_id long, spans binary").groupBy("doc_id").agg(F.collect_list("spans").alias("spans")))
-    named = spans.join(firsts.select(F.col("first").alias("doc_id"), "name"), "doc_id")
-    return (named.withColumn("copied", F.lit(False))
+    found = materialize(rows.join(wanted, ["doc_id", "name"]).select("doc_id", "name", "text", "keys")
+                        .mapInArrow(release(_stretches(parts, arrays)), STRETCHES), "stretches")
+    if written is not None:
+        written.append(found)
+    runs = (found.select("uid", "part", "n", "size", "stretches").repartition(arrays, "part").groupBy("part")
+            .applyInPandas(release(_search), FOUND))
+    spans = (found.select("uid", "part", "n_uses", "uses").groupBy("uid").cogroup(runs.groupBy("uid"))
+             .applyInPandas(_spans, "doc_id long, name long, spans binary").groupBy("doc_id", "name").agg(F.collect_list("spans").alias("spans")))
+    return (spans.withColumn("copied", F.lit(False))
             .unionByName(copies.select("doc_id", "name", F.lit(None).cast("array<binary>").alias("spans"), F.lit(True).alias("copied"))))
 
 
 def _with_marks(docs: DataFrame, popular: int = POPULAR) -> DataFrame:
-    marks = materialize(find_repeats(docs, popular), "marks").select(F.col("doc_id").alias("mark_id"), F.col("name").alias("mark_name"), "spans", "copied")
+    written: list[DataFrame] = []
+    marks = materialize(find_repeats(docs, popular, written), "marks")
+    discard(*written)
+    marks = marks.select(F.col("doc_id").alias("mark_id"), F.col("name").alias("mark_name"), "spans", "copied")
     return docs.join(marks, (docs["doc_id"] == marks["mark_id"]) & (F.xxhash64(docs["text"]) == marks["mark_name"]), "left")
 
 
@@ -362,7 +471,7 @@ def digest_without_repeats(docs: DataFrame, popular: int = POPULAR) -> DataFrame
     empty table gives no rows.
     """
     return (_with_marks(text_rows(docs), popular).select("doc_id", "text", "spans", "copied")
-            .mapInArrow(_digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
+            .mapInArrow(release(_digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -385,4 +494,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 at = out.schema.get_field_index("n_chars")
                 out = out.set_column(at, "n_chars", pa.array([len(t) for t in texts], pa.int64()).cast(out.schema.field(at).type))
             yield out
-    return marked.mapInArrow(run, docs.schema)
+    return marked.mapInArrow(release(run), docs.schema)

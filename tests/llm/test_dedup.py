@@ -131,3 +131,10 @@ def test_connected_components(spark):
     want = brute.components({x for e in edges for x in e}, edges)
     assert got == {n: c for n, c in want.items() if any(n in e and e[0] != e[1] for e in edges)}
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_id_for_two_texts(spark):
+    a, b, c = "a" * 10 + "first passage of more than fifty bytes, long enough to count", "b" * 90, "c" * 70
+    rows = [(1, a), (2, "x " + a), (2, b + c), (3, b), (4, c + " tail")]
+    got = {(r["doc_id"], r["n_bytes"]): (r["n_removed"], r["n_spans"]) for r in suffix_dedup.digest_without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, len(a)): (0, 0), (2, len(a) + 2): (len(a), 1), (2, 160): (0, 0), (3, 90): (90, 1), (4, 75): (70, 1)}
