@@ -8,9 +8,10 @@ segmentation is the one in which every two neighbours are what merging gives
 for their own joined text. That is a condition on pairs, so a bigram acceptor
 (weight 0 where a pair may stand together, infinite where not, worked out when
 first met) is composed as well, and the tropical shortest path is the model's
-segmentation: there is exactly one path of finite weight. A piece never
-continues past the end of a word, so words are composed one by one and a
-worker remembers their paths.
+segmentation: there is exactly one path of finite weight. No path crosses a
+place whose two characters stand next to each other in no piece, so texts are
+cut into words, and words at such places, and composed part by part; a worker
+remembers the paths of words and parts seen (a bounded number).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from .tokens import slices, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-CACHED_WORDS = 400_000
+CACHED_WORDS, CACHED_PARTS = 800_000, 600_000
 SLICE = 3 << 20
 
 
@@ -65,8 +66,11 @@ class Transducer:
         alone = "".join(c for c in "\n\t" if c not in known)
         cut = re.escape(alone)
         self.words = re.compile(f"[{cut}]|{MARK}*[^{MARK}{cut}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+").findall
+        self.neighbours = {p[k:k + 2] for p in self.id_of for k in range(len(p) - 1)}
         self.together: dict[tuple[str, str], bool] = {}
-        self.paths: dict[str, list[int]] = {}
+        self.kind = np.dtype("<u2" if len(self.bytes_of) <= 1 << 16 else "<u4")
+        self.of_word: dict[str, bytes] = {}
+        self.of_part: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """What merging gives for a short text: best score first, leftmost among equals."""
@@ -90,33 +94,45 @@ class Transducer:
             ok = self.together[left, right] = self.merged(left + right) == [left, right]
         return ok
 
+    def _arcs(self, word: str, i: int) -> list[str]:
+        """Arcs of the lattice that leave state ``i``, shortest first; one character without a piece is read as bytes."""
+        out = [word[i]]
+        for j in range(i + 2, len(word) + 1):
+            arc = word[i:j]
+            if arc not in self.begins:
+                break
+            if arc in self.id_of:
+                out.append(arc)
+        return out
+
     def shortest_path(self, word: str) -> list[int]:
         """Ids along the path of least weight through the lattice of one word."""
-        n, id_of, begins, together = len(word), self.id_of, self.begins, self.together
-        # last arc of the path of finite weight to each state; a state has at most one, as the text
-        # up to it has one segmentation, so an arc to a state that is reached has infinite weight
-        ends: list[str | None] = [None] * (n + 1)
-        ends[0] = ""
-        for i in range(n):
-            last = ends[i]
-            if last is None:
-                continue
-            for j in range(i + 1, n + 1):
-                arc = word[i:j]
-                if arc not in begins and j > i + 1:
+        n, together = len(word), self.together
+        # only one path has finite weight, so the first complete one is shortest: depth first,
+        # longest arc first; a state that leads nowhere is not entered twice
+        path: list[str] = []
+        open_arcs, at, dead = [self._arcs(word, 0)], 0, set()
+        while at < n:
+            arcs = open_arcs[-1]
+            while arcs:
+                arc = arcs.pop()
+                if path:
+                    ok = together.get((path[-1], arc))
+                    if not (self.accepts(path[-1], arc) if ok is None else ok):
+                        continue
+                if (at + len(arc), arc) not in dead:
+                    path.append(arc)
+                    at += len(arc)
+                    open_arcs.append(self._arcs(word, at) if at < n else [])
                     break
-                if ends[j] is None and (arc in id_of or j == i + 1):        # one character without a piece: bytes
-                    ok = not last or together.get((last, arc))
-                    if ok or ok is None and self.accepts(last, arc):
-                        ends[j] = arc
-        if ends[n] is None:
-            raise ValueError(f"no path through {word!r}")
-        path, at = [], n
-        while at:
-            path.append(ends[at])
-            at -= len(ends[at])
+            else:
+                if not path:
+                    raise ValueError(f"no path through {word!r}")
+                open_arcs.pop()
+                dead.add((at, path[-1]))
+                at -= len(path.pop())
         ids: list[int] = []
-        for arc in reversed(path):
+        for arc in path:
             ids += [self.id_of[arc]] if arc in self.id_of else [self.byte_id[b] for b in arc.encode()]
         return ids
 
@@ -125,17 +141,27 @@ class Transducer:
         if not text:
             return np.empty(0, np.uint32)
         words = self.words(MARK + text.replace(" ", MARK))
-        if len(self.paths) > CACHED_WORDS:
-            self.paths = {}
-        paths, out = self.paths, []
+        if len(self.of_word) > CACHED_WORDS:
+            self.of_word = {}
+        of_word = self.of_word
         for w in words:
-            ids = paths.get(w)
-            if ids is None:
-                ids = self.shortest_path(w)
-                if len(w) < 64:
-                    paths[w] = ids
-            out += ids
-        return np.array(out, np.uint32)
+            if w not in of_word:
+                of_word[w] = self._ids_of_word(w)
+        return np.frombuffer(b"".join([of_word[w] for w in words]), self.kind).astype(np.uint32)
+
+    def _ids_of_word(self, word: str) -> bytes:
+        if len(self.of_part) > CACHED_PARTS:
+            self.of_part = {}
+        out, start, end = [], 0, len(word)
+        for k in range(1, end + 1):
+            if k == end or word[k - 1:k + 1] not in self.neighbours:
+                part = word[start:k]
+                ids = self.of_part.get(part)
+                if ids is None:
+                    ids = self.of_part[part] = np.array(self.shortest_path(part), self.kind).tobytes()
+                out.append(ids)
+                start = k
+        return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids: pieces and bytes joined, marks to spaces, the first mark dropped."""
