@@ -125,13 +125,20 @@ def is_furniture(node: Node, inside_article: bool) -> bool:
         return not inside_article
     if node.tag in ("article", "main", "body", "html", "h1") and not {"comment", "comments", "related", "ad", "ads"} & set(node.words):
         return False
-    return bool(FURNITURE_WORDS & set(node.words)) or "complementary" in node.words or "contentinfo" in node.words
+    words = FURNITURE_WORDS & set(node.words)
+    if inside_article:
+        words -= {"header"}         # an article's own heading
+    return bool(words) or "complementary" in node.words or "contentinfo" in node.words
 
 
 def is_article(node: Node) -> bool:
     return node.tag == "article" or "articlebody" in node.words
 
 
+def is_main(node: Node) -> bool:
+    return node.tag == "main" or "main" in node.words and node.tag == "div"
+
+
 def _clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
@@ -278,9 +285,9 @@ def extract(page: str, template: dict | None) -> str:
     blocks: list[list[str]] = [[]]
     skip: set[int] = set()          # nodes whose own text is template
     main: set[int] | None = None    # without a marked article: nodes of the main subtree
-    article = _find_article(root)
+    marked = is_article if _holds(root, is_article) else is_main if _holds(root, is_main) else None
     if template is not None:
-        keep = _has_article(template) or bool(article)
+        keep = _has_article(template) or marked is not None
         path = {id(t) for t in main_subtree(template)[-1:]} if not keep else set()
         if path:
             main = set()
@@ -306,15 +313,15 @@ def extract(page: str, template: dict | None) -> str:
                 if (inside or in_main) and (inside or id(node) not in skip):
                     blocks[-1].append(c)
             elif not is_furniture(c, inside):
-                walk(c, inside or is_article(c), in_main or main is not None and id(c) in main)
+                walk(c, inside or marked is not None and marked(c), in_main or main is not None and id(c) in main)
         if block and blocks[-1]:
             blocks.append([])
-    walk(root, False, not article and not main)
+    walk(root, False, marked is None and not main)
     return "\n".join(t for t in (_clean("".join(b)) for b in blocks) if t)
 
 
-def _find_article(node: Node) -> bool:
-    return any(not isinstance(c, str) and not is_furniture(c, False) and (is_article(c) or _find_article(c)) for c in node.children)
+def _holds(node: Node, test) -> bool:
+    return any(not isinstance(c, str) and not is_furniture(c, False) and (test(c) or _holds(c, test)) for c in node.children)
 
 
 def _extract_all(batches):

@@ -114,6 +114,8 @@ PAGES = [
     ("<p>only", "only"), ("", ""), (None, ""), ("x &lt; y &#8217; <b", "x < y ’ <b"),
     ("<article><header><h1>A</h1></header><p>b<br>c</p><section class='comments'><article class=comment>no</article></section><form>f</form></article><p>out</p>", "A\nb c"),
     ("<main><p>m</p><script>var a='</p>'</script><style>p{}</style></main><footer>f</footer>", "m"),
+    ("<div class=top>Site</div><main><div class=head><h1>T</h1></div><p>m</p></main><div class=x>y</div>", "T\nm"),
+    ("<div>Site</div><article><div class='post-header'><h1>T</h1></div><div class=ad>a</div><p>m</p></article>", "T\nm"),
     ("<nav><ul><li>a</li></ul></nav><article><h1>H</h1><p><b>x.<br><p>y</p></article>", "H\nx.\ny"),
 ]
 
