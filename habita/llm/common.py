@@ -26,22 +26,22 @@ def text_rows(docs: DataFrame) -> DataFrame:
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession):
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
     """Few rows per Arrow batch while something is written: texts are long, and both sides hold whole batches."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
-    spark.conf.set(key, BATCH_ROWS)
+    spark.conf.set(key, rows)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    with small_batches(spark):
+    with small_batches(spark, batch_rows):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path

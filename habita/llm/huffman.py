@@ -18,14 +18,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from .common import U64, discard, materialize, parts_for, text_rows, total_bytes
-from .tokens import encoder, slices, tokenizer_path
+from .common import U64, discard, materialize, parts_for, release, text_rows, total_bytes
+from .tokens import BATCH_ROWS, encoder, slices, tokenizer_path
 
 END_ID = 1
 LONGEST = 20
 STEP = 512
 BLOCK_IDS = 1 << 20
-PART_BYTES = 24 << 20
+PART_BYTES = 16 << 20
 
 
 def code_lengths(counts: np.ndarray, longest: int = LONGEST) -> np.ndarray:
@@ -136,8 +136,9 @@ def _tokenise(path: str, end_id: int, cuts: np.ndarray):
                 rows = {k: [] for k in ("kind", "bucket", "doc_ids", "sizes", "data", "n")}
                 for group in np.split(by, cut):
                     group = group[np.argsort(doc[group], kind="stable")]
-                    own = (np.concatenate([ids[off[i]:off[i + 1]] for i in group]) if len(group) else ids[:0]).astype("<u4")
-                    planes = own.view(np.uint8).reshape(-1, 4).T.tobytes()
+                    own = np.concatenate([ids[off[i]:off[i + 1]] for i in group])
+                    own = own.astype("<u2" if own.max() < 1 << 16 else "<u4")
+                    planes = own.view(np.uint8).reshape(len(own), -1).T.tobytes()      # low bytes together, high bytes together
                     for k, v in (("kind", 0), ("bucket", int(where[group[0]])), ("doc_ids", doc[group].astype("<i8").tobytes()),
                                  ("sizes", size[group].astype("<i8").tobytes()), ("data", squeeze.compress(planes)), ("n", len(own))):
                         rows[k].append(v)
@@ -169,9 +170,9 @@ def _encode_bucket(tables, starts):
         unzip = zstandard.ZstdDecompressor()
         parts = []
         for i, s, d, n in zip(pdf["doc_ids"], pdf["sizes"], pdf["data"], pdf["n"]):
-            own = np.frombuffer(unzip.decompress(d, max_output_size=max(1, 4 * int(n))), np.uint8).reshape(4, -1)
-            size = np.frombuffer(s, "<i8")
-            parts.append((np.frombuffer(i, "<i8"), size, np.ascontiguousarray(own.T).view("<u4").ravel()))
+            planes = np.frombuffer(unzip.decompress(d, max_output_size=4 * int(n)), np.uint8).reshape(-1, int(n))
+            own = np.ascontiguousarray(planes.T).view("<u2" if len(planes) == 2 else "<u4").ravel().astype("<u4")
+            parts.append((np.frombuffer(i, "<i8"), np.frombuffer(s, "<i8"), own))
         doc = np.concatenate([p[0] for p in parts])
         size = np.concatenate([p[1] for p in parts])
         ids = np.concatenate([p[2] for p in parts])
@@ -205,7 +206,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
     rows = text_rows(docs)
     n = parts_for(spark, total_bytes(rows), PART_BYTES)
     cuts = np.array(sorted(set(rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)))) if n > 1 else [], np.float64).astype(np.int64)
-    raw = materialize(rows.mapInArrow(_tokenise(tokenizer or tokenizer_path(), end_id, cuts), RAW), "ids")
+    raw = materialize(rows.mapInArrow(_tokenise(tokenizer or tokenizer_path(), end_id, cuts), RAW), "ids", BATCH_ROWS)
     counted = raw.where("kind = 1").select("doc_ids", "sizes").mapInPandas(_unpack_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r["id"] for r in counted], default=0) + 1, np.int64)
     for r in counted:
@@ -217,7 +218,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         starts[r["bucket"]] = total
         total += r["n"]
     share = spark.sparkContext.broadcast
-    (raw.where("kind = 0").repartition(n, "bucket").groupBy("bucket").applyInPandas(_encode_bucket(share((lengths, codes)), share(starts)), BLOCKS)
+    (raw.where("kind = 0").repartition(n, "bucket").groupBy("bucket").applyInPandas(release(_encode_bucket(share((lengths, codes)), share(starts))), BLOCKS)
      .write.partitionBy("bucket").option("compression", "none").parquet(f"{path}/blocks"))
     discard(raw)
     used = np.nonzero(lengths)[0]
@@ -245,7 +246,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
         lengths[r["id"]] = r["bits"]
     table = spark.sparkContext.broadcast(canonical(lengths)[1])
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks").select("start", "n_ids", "doc_ids", "sizes", "checkpoints", "payload")
-    return blocks.mapInPandas(_decode_blocks(table), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blocks.mapInPandas(release(_decode_blocks(table)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def roundtrip(docs: DataFrame, tokenizer: str | None = None, path: str | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import materialize, text_rows
-from .tokens import encoder, slices, tokenizer_path
+from .tokens import BATCH_ROWS, encoder, slices, tokenizer_path
 
 MAX_TOKENS = 2048
 END_ID = 0
@@ -212,7 +212,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, limit: int = M
     """
     spark = docs.sparkSession
     path = tokenizer or tokenizer_path()
-    pieces = materialize(text_rows(docs).mapInArrow(_pieces(path, end_id, limit), PIECES), "pieces")
+    pieces = materialize(text_rows(docs).mapInArrow(_pieces(path, end_id, limit), PIECES), "pieces", BATCH_ROWS)
     counts = pieces.groupBy("pid", "length").agg(F.count("*").alias("n"))
     histogram = np.zeros(limit + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():      # at most `limit` rows

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
 SLICE_BYTES = 8 << 20
+BATCH_ROWS = 4000        # documents per Arrow batch: a larger batch repeats more words
 CACHED_WORDS = 600_000
 CUT = r"([a-z])([.,;:!?*#$%&])"     # between these the tokenizer always cuts
 PLAIN = re.compile("[a-z]+").fullmatch
