@@ -1,15 +1,15 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host come from one template. Each page's element tree is folded to
-a skeleton (siblings with the same label become one node) and aligned with the
-host's template by simple tree matching; aligned nodes add up how often a node
-occurs, which texts it holds and how much of that is link text. Nodes whose
-text stays the same are template, nodes whose text varies are slots. Partial
-templates are built where pages are read, and merged per host by the same
-matching, so no task sees a host's pages. A page is then aligned with its
-host's template: the article is the marked article element if the template has
-one, else the smallest subtree with nearly all varying running text; page furniture
-and constant nodes around it are left out.
+Pages of one host come from one template. The block elements of each page are
+folded to a skeleton (siblings with the same label become one node) and aligned
+with the host's template by simple tree matching; aligned nodes add up how often
+a node occurs, which lines it holds and how much of that is link text. Lines that
+stay the same are template, the others are slots. Partial templates are built
+where pages are read, and merged per host by the same matching, so no task sees
+a host's pages. A page is then aligned with its host's template. Of marked
+article elements those count whose template node has most of the varying running
+text; without one the article is the smallest subtree with nearly all of it. Page
+furniture and constant lines, inside the article too, are left out.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from .reputation import url_parts
 
-CONSTANT = 0.8          # share of pages with the same text that makes a node template
+CONSTANT = 0.8          # share of a node's pages with the same line that makes the line template
 ENOUGH = 5              # pages that a node must occur in before that counts
-TEXTS = 8               # texts per node whose counts are kept (frequent ones survive)
+TEXTS = 16              # lines per node whose counts are kept, times its lines a page (frequent ones survive)
 MAIN_SHARE = 0.8        # of the varying running text, that the article's subtree holds
+TEASER = 0.5            # of the main article's running text, that another article must hold
+VARIES = 0.2            # of an article's running text, that must vary before its constant lines are taken as template
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr br img".split())
@@ -143,32 +145,89 @@ def _clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-class Fold:
-    """Skeleton node: all siblings of one label, their children folded again."""
-    __slots__ = ("label", "members", "children", "text", "linked")
+class Line:
+    """Text between two block borders: all of it, what is left without inline furniture, characters in links."""
+    __slots__ = ("text", "shown", "linked")
 
-    def __init__(self, label: str, members: list[Node], inside_link: bool = False):
-        self.label, self.members = label, members
-        inside_link = inside_link or members[0].tag == "a"
-        groups: dict[str, list[Node]] = {}
-        texts = []
-        for n in members:
+    def __init__(self, pieces: list[tuple[str, bool, bool]]):
+        self.text = _clean("".join(t for t, _, _ in pieces))
+        self.shown = self.text if all(p[2] for p in pieces) else _clean("".join(t for t, _, shown in pieces if shown))
+        self.linked = min(sum(len(_clean(t)) for t, linked, _ in pieces if linked), len(self.text))
+
+    @property
+    def key(self) -> str:
+        """Hash, and characters outside links."""
+        return hashlib.blake2b(self.text.encode("utf-8", "replace"), digest_size=6).hexdigest() + f"{len(self.text) - self.linked:x}"
+
+
+class Block:
+    """Block element; inline elements are dissolved into its lines."""
+    __slots__ = ("node", "inside", "furniture", "items")
+
+    def __init__(self, node: Node, marked, inside: bool = False, linked: bool = False):
+        self.node, self.inside, self.items = node, inside, []      # items: lines and blocks
+        self.furniture = is_furniture(node, inside)
+        self.inside = inside = inside or marked is not None and marked(node)
+        pieces: list[tuple[str, bool, bool]] = []
+
+        def end():
+            if any(not t.isspace() for t, _, _ in pieces):
+                line = Line(pieces)
+                if line.text:
+                    self.items.append(line)
+            pieces.clear()
+
+        def add(n, linked, shown):
+            if n.tag == "br":
+                pieces.append((" ", linked, shown))
             for c in n.children:
                 if isinstance(c, str):
-                    if not c.isspace():
-                        texts.append(c)
+                    pieces.append((c, linked, shown))
+                elif c.tag in INLINE:
+                    add(c, linked or c.tag == "a", shown and not is_furniture(c, inside))
                 else:
-                    groups.setdefault(c.label, []).append(c)
-        self.text = _clean(" ".join(texts)) if texts and members[0].tag not in RAW else ""
-        self.linked = inside_link
-        self.children = [Fold(k, v, inside_link) for k, v in groups.items()]
+                    end()
+                    if c.tag not in FURNITURE and shown:
+                        self.items.append(Block(c, marked, inside, linked))
+        add(node, linked, True)
+        end()
+
+    @property
+    def blocks(self) -> list[Block]:
+        return [x for x in self.items if isinstance(x, Block)]
+
+    @property
+    def lines(self) -> list[Line]:
+        return [x for x in self.items if isinstance(x, Line)]
+
+
+def layout(root: Node) -> tuple[Block, object]:
+    """Blocks of a page's tree, and the test that marks its articles (None without any)."""
+    marked = is_article if _holds(root, is_article) else is_main if _holds(root, is_main) else None
+    return Block(root, marked), marked
+
+
+class Fold:
+    """Skeleton node: all siblings of one label, their blocks folded again."""
+    __slots__ = ("label", "members", "children")
+
+    def __init__(self, label: str, members: list[Block | Node]):
+        members = [layout(m)[0] if isinstance(m, Node) else m for m in members]
+        self.label, self.members = label, members
+        groups: dict[str, list[Block]] = {}
+        for m in members:
+            for c in m.blocks:
+                groups.setdefault(c.node.label, []).append(c)
+        self.children = [Fold(k, v) for k, v in groups.items()]
 
 
 def new_template(fold: Fold) -> dict:
-    """Template of one page: label, pages, texts (hash -> count), characters, of them in links, article, children."""
-    texts = {hashlib.blake2b(fold.text.encode(), digest_size=6).hexdigest(): 1} if fold.text else {}
-    return {"l": fold.label, "n": 1, "t": texts, "c": len(fold.text), "k": len(fold.text) if fold.linked else 0,
-            "a": int(is_article(fold.members[0])), "f": int(is_furniture(fold.members[0], False)), "x": [new_template(c) for c in fold.children]}
+    """Template of one page: label, pages, members, lines (key -> pages), their number and what their counts lack,
+    characters, of them in links, article, furniture, children."""
+    lines = [x for m in fold.members for x in m.lines]
+    texts = dict.fromkeys((x.key for x in lines), 1)
+    return {"l": fold.label, "n": 1, "m": len(fold.members), "t": texts, "s": len(texts), "e": 0, "c": sum(len(x.text) for x in lines), "k": sum(x.linked for x in lines),
+            "a": int(is_article(fold.members[0].node)), "f": int(fold.members[0].furniture), "x": [new_template(c) for c in fold.children]}
 
 
 def match(a: list, b: list, label_a, label_b, children_a, children_b) -> tuple[int, list]:
@@ -205,15 +264,16 @@ def _kids(x):
 
 def merge(into: dict, other: dict) -> dict:
     """Add another template of the same host; nodes without a partner are put in at their place."""
-    into["n"] += other["n"]
-    for k in ("c", "k"):
+    for k in ("n", "m", "s", "e", "c", "k"):
         into[k] += other[k]
     counts = into["t"]
     for k, v in other["t"].items():
         counts[k] = counts.get(k, 0) + v
-    if len(counts) > TEXTS:         # frequent texts survive: every count gives up what the next one has
-        cut = sorted(counts.values(), reverse=True)[TEXTS]
+    room = TEXTS * -(-into["s"] // into["n"])
+    if len(counts) > room:          # frequent lines survive: every count gives up what the next one has
+        cut = sorted(counts.values(), reverse=True)[room]
         into["t"] = {k: v - cut for k, v in counts.items() if v > cut}
+        into["e"] += cut
     _, pairs = match(into["x"], other["x"], _same_label, _same_label, _kids, _kids)
     partner = {j: into["x"][i] for i, j in pairs}
     at = 0
@@ -245,79 +305,154 @@ def _local_templates(batches):
         yield flush()
 
 
-def _merge_templates(pdf: pd.DataFrame) -> pd.DataFrame:
+def _merged(pdf: pd.DataFrame) -> dict:
     first, *rest = map(json.loads, sorted(pdf["template"]))
     for t in rest:
         merge(first, t)
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "template": [json.dumps(first)]})
+    return first
 
 
-def _constant(t: dict) -> bool:
-    return t["n"] >= ENOUGH and max(t["t"].values(), default=0) >= CONSTANT * t["n"]
+def _merge_templates(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "template": [json.dumps(_merged(pdf))]})
 
 
-def _running(t: dict) -> int:
-    """Characters of varying text outside links and furniture, in a template's subtree."""
-    if t["f"]:
-        return 0
-    own = 0 if _constant(t) else max(t["c"] - t["k"], 0)
-    return own + sum(map(_running, t["x"]))
+def _finished_templates(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "template": [json.dumps(_finish(_merged(pdf)))]})
 
 
-def _has_article(t: dict) -> bool:
-    return not t["f"] and (bool(t["a"]) and _running(t) > 0 or any(map(_has_article, t["x"])))
+def _finish(t: dict) -> dict:
+    """Only constant lines are needed from here on."""
+    t["t"] = {k: t["t"][k] for k in _constants(t)}
+    for c in t["x"]:
+        _finish(c)
+    return t
 
 
-def main_subtree(template: dict) -> list[dict]:
+def _constants(t: dict) -> list[str]:
+    """Lines that nearly all pages with the node have; a count lacks at most ``e``."""
+    return [k for k, v in t["t"].items() if v + t["e"] >= CONSTANT * t["n"] and 2 * v >= t["n"]] if t["n"] >= ENOUGH else []
+
+
+def _chars(t: dict) -> int:
+    """Characters outside links and furniture, in a template's subtree."""
+    return 0 if t["f"] else max(t["c"] - t["k"], 0) + sum(map(_chars, t["x"]))
+
+
+def _running(t: dict, articles: bool = True) -> int:
+    """Of these the characters of lines that vary; on demand without article elements."""
+    if t["f"] or t["a"] and not articles:
+        return 0
+    constant = sum((t["t"][k] + t["e"]) * int(k[12:], 16) for k in _constants(t))
+    return max(t["c"] - t["k"] - constant, 0) + sum(_running(c, articles) for c in t["x"])
+
+
+def main_subtree(template: dict, articles: bool = True) -> list[dict]:
     """Path to the smallest subtree with nearly all varying running text."""
-    path, total = [template], _running(template)
+    path, total = [template], _running(template, articles)
     while total:
-        nxt = next((c for c in path[-1]["x"] if _running(c) >= MAIN_SHARE * total and c["l"].split(".")[0] not in INLINE | {"p", "h1", "h2", "h3"}), None)
+        nxt = next((c for c in path[-1]["x"] if _running(c, articles) >= MAIN_SHARE * total and c["l"].split(".")[0] not in {"p", "h1", "h2", "h3"}), None)
         if nxt is None:
             break
         path.append(nxt)
     return path
 
 
+class Page:
+    """A page's blocks aligned with its host's template."""
+
+    def __init__(self, page: str, template: dict | None):
+        self.root, self.marked = layout(parse(page))
+        self.template = template
+        self.known: dict[int, dict] = {}        # block -> template node
+        if template is not None:
+            self.known[id(self.root)] = template
+            self._align(Fold("#root", [self.root]).children, template["x"])
+
+    def _align(self, folds, nodes):
+        _, pairs = match(folds, nodes, lambda f: f.label, _same_label, lambda f: f.children, _kids)
+        for i, j in pairs:
+            for m in folds[i].members:
+                self.known[id(m)] = nodes[j]
+            self._align(folds[i].children, nodes[j]["x"])
+
+    def constants(self, block: Block) -> set[str]:
+        t = self.known.get(id(block))
+        return set(_constants(t)) if t is not None and not t["f"] else set()
+
+    def own(self, block: Block) -> int:
+        """Characters of varying running text on the page itself."""
+        fixed = self.constants(block)
+        return sum(len(x.text) - x.linked for x in block.lines if not fixed or x.key not in fixed) + sum(self.own(c) for c in block.blocks if not c.furniture)
+
+    def articles(self, block: Block) -> list[Block]:
+        """Outermost marked elements."""
+        out = []
+        for c in block.blocks:
+            if not c.furniture:
+                out += [c] if self.marked(c.node) else self.articles(c)
+        return out
+
+    def main(self) -> list[Block]:
+        """Blocks that hold the main text; none: the whole page but furniture."""
+        found = self.articles(self.root) if self.marked is not None else []
+        if len(found) > 1:
+            nodes = [self.known.get(id(b)) for b in found]
+            if all(t is not None and t["n"] >= ENOUGH for t in nodes):
+                score = [_running(t) / t["m"] for t in nodes]
+                best = max(score)
+                found = [b for b, x in zip(found, score) if x >= TEASER * best]
+                outside = _running(self.template, False) / self.template["n"]
+                if outside > best / TEASER and all(map(points_elsewhere, found)):
+                    return self._subtree(False) or found
+            size = [self.own(b) for b in found]
+            found = [b for b, x in zip(found, size) if x >= TEASER * max(size) or not points_elsewhere(b)]
+        if found or self.template is None:
+            return found
+        return self._subtree()
+
+    def _subtree(self, articles: bool = True) -> list[Block]:
+        node, out = main_subtree(self.template, articles)[-1], []
+
+        def look(block):
+            for c in block.blocks:
+                if self.known.get(id(c)) is node:
+                    out.append(c)
+                else:
+                    look(c)
+        if node is not self.template:
+            look(self.root)
+        return out
+
+
+def points_elsewhere(block: Block) -> bool:
+    """A line that is all link: a teaser's heading, or 'read more'."""
+    return any(x.linked >= len(x.text) for x in block.lines) or any(map(points_elsewhere, block.blocks))
+
+
 def extract(page: str, template: dict | None) -> str:
     """Main text of a page, one line per block."""
-    root = parse(page)
-    blocks: list[list[str]] = [[]]
-    skip: set[int] = set()          # nodes whose own text is template
-    main: set[int] | None = None    # without a marked article: nodes of the main subtree
-    marked = is_article if _holds(root, is_article) else is_main if _holds(root, is_main) else None
-    if template is not None:
-        keep = _has_article(template) or marked is not None
-        path = {id(t) for t in main_subtree(template)[-1:]} if not keep else set()
-        if path:
-            main = set()
-
-        def align(folds, nodes):
-            _, pairs = match(folds, nodes, lambda f: f.label, _same_label, lambda f: f.children, _kids)
-            for i, j in pairs:
-                if _constant(nodes[j]) and not nodes[j]["f"]:
-                    skip.update(map(id, folds[i].members))
-                if id(nodes[j]) in path:
-                    main.update(map(id, folds[i].members))
-                align(folds[i].children, nodes[j]["x"])
-        align(Fold("#root", [root]).children, template["x"])
-
-    def walk(node, inside, in_main):
-        block = node.tag not in INLINE
-        if block and blocks[-1]:
-            blocks.append([])
-        if node.tag == "br":
-            blocks[-1].append(" ")
-        for c in node.children:
-            if isinstance(c, str):
-                if (inside or in_main) and (inside or id(node) not in skip):
-                    blocks[-1].append(c)
-            elif not is_furniture(c, inside):
-                walk(c, inside or marked is not None and marked(c), in_main or main is not None and id(c) in main)
-        if block and blocks[-1]:
-            blocks.append([])
-    walk(root, False, marked is None and not main)
-    return "\n".join(t for t in (_clean("".join(b)) for b in blocks) if t)
+    at = Page(page, template)
+    main = at.main()
+    chosen = set(map(id, main))
+    nodes = {id(t): t for t in (at.known.get(id(b)) for b in main) if t is not None}.values()
+    trusted = not main or sum(map(_running, nodes)) >= VARIES * sum(map(_chars, nodes))     # else copies of one page
+    out: list[str] = []
+
+    def walk(block, inside, size, skip):
+        """``size``: running text of the main block around, 0 outside one."""
+        if id(block) in chosen:
+            inside, size = True, at.own(block)
+        fixed = at.constants(block) if skip and inside else ()
+        for x in block.items:
+            if isinstance(x, Line):
+                if inside and x.shown and not (fixed and x.key in fixed):
+                    out.append(x.shown)
+            elif not (x.furniture or size and x.node.tag == "article" and id(x) not in chosen and points_elsewhere(x) and at.own(x) < TEASER * size):
+                walk(x, inside, size, skip)
+    walk(at.root, not main, 0, trusted)
+    if not out and main:            # nothing of it varies
+        walk(at.root, False, 0, False)
+    return "\n".join(out)
 
 
 def _holds(node: Node, test) -> bool:
@@ -341,7 +476,7 @@ def templates(pages: DataFrame) -> DataFrame:
     local = pages.select(host.alias("host"), F.coalesce("html", F.lit("")).alias("html")).mapInPandas(_local_templates, "host string, task int, template string")
     # two levels, so that a host with pages in very many tasks has no large group
     return (local.groupBy("host", (F.col("task") % 64).alias("part")).applyInPandas(_merge_templates, "host string, template string")
-            .groupBy("host").applyInPandas(_merge_templates, "host string, template string"))
+            .groupBy("host").applyInPandas(_finished_templates, "host string, template string"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -349,7 +484,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     Null html is empty and gives an empty text, as does a page without an
     article. Pages with a null url form the host ''. A host's only page has no
-    template to lean on: marked furniture is left out. Repeated rows each get a
+    template to lean on: marked furniture is left out. Where under a fifth of a
+    host's article text varies, its pages are taken as copies of one article and
+    nothing in it as template. Repeated rows each get a
     row; extra columns are ignored; an empty table gives no rows.
     """
     host, _ = url_parts(F.col("url"))

@@ -158,6 +158,48 @@ def test_merging_templates_does_not_depend_on_grouping():
     assert both["n"] == all_in_turn["n"] == 9 and wrapper._running(both) == wrapper._running(all_in_turn)
 
 
+def _words(rnd, n):
+    return " ".join("w%d" % rnd.randrange(500) for _ in range(n))
+
+
+def _of_one_host(spark, made):
+    """Main texts of pages of one host, and what they should be."""
+    pages = spark.createDataFrame([(k, "https://one.example/p/%d" % k, h) for k, (h, _) in enumerate(made)], "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in wrapper.main_texts(pages).collect()}
+    for k, (_, want) in enumerate(made):
+        assert got[k] == want, k
+
+
+def test_constant_lines_inside_a_marked_article(spark):
+    """An unnamed block and a line among the paragraphs, the same on every page, go; a constant word in a varying line stays."""
+    rnd, made = random.Random(4), []
+    for k in range(40):
+        para = [_words(rnd, 30) for _ in range(rnd.randrange(1, 9))]
+        own = "".join(f"<p><b>Note:</b> {p}</p>" for p in para)
+        made.append((f"<html><body><article><h1>{k} title</h1>{own}<p>Always the same line.</p><div class=x>Tell <a href=/a>friends</a> of it</div></article></body></html>",
+                     "\n".join([f"{k} title"] + [f"Note: {p}" for p in para])))
+    _of_one_host(spark, made)
+
+
+def test_teasers_are_not_main_text(spark):
+    """Articles in another place, of another class, beside or inside the main one."""
+    rnd = random.Random(5)
+    for shape in ("<article>{a}</article><div class=more>{t}</div>", "<div class=q>{t}</div><article class=post>{a}</article>", "<article>{a}</article>{t}",
+                  "<article>{a}<div class=q>{t}</div></article>", "<div class=content>{a}</div><div class=q>{t}</div>"):
+        made = []
+        for k in range(20):
+            para = [_words(rnd, 30) for _ in range(rnd.randrange(3, 6))]
+            teasers = "".join(f"<article><h3><a href=/{rnd.random()}>{_words(rnd, 4)}</a></h3><p>{_words(rnd, 8)}</p></article>" for _ in range(3))
+            made.append(("<body>" + shape.format(a="".join(f"<p>{p}</p>" for p in para), t=teasers) + "</body>", "\n".join(para)))
+        _of_one_host(spark, made)
+
+
+def test_copies_of_one_article_stay_whole(spark):
+    copy = ("<article><h1>T</h1><p>one two three</p><p>four five six</p></article>", "T\none two three\nfour five six")
+    near = ("<article><h1>T</h1><p>one two three</p><p>four five seven</p></article>", "T\none two three\nfour five seven")
+    _of_one_host(spark, [copy] * 30 + [near])
+
+
 # reputation
 
 def test_rules_and_parts(spark):
