@@ -41,6 +41,12 @@ FURNITURE_WORDS = set("""ad ads advert adverts advertisement advertising banner
 breadcrumb breadcrumbs sidebar aside rail footer header masthead topbar toolbar cookie cookies consent gdpr notice notices notification alert
 popup modal overlay newsletter subscribe subscription signup login form search share sharing social comment comments disqus replies reply
 responses discussion related recommended recommendations widget widgets pagination pager tags toc skip legal copyright""".split())
+# names of comments, adverts and forms: left out of an article whatever its template says
+SURE_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored comment comments disqus signup login form".split())
+# words that may stand beside these in a whole name
+BOX_WORDS = set("""area article articles bar block body bottom box button buttons col container content entry google group icons inner item items label
+left link links list main outer page panel post posts right row section site slot text thread top unit wrap wrapper""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 BARRIER = {"ul": {"li"}, "ol": {"li"}, "dl": {"dt", "dd"}, "table": {"tr", "td", "th"}, "select": {"option"}}
@@ -51,10 +57,11 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "children")
+    __slots__ = ("tag", "words", "names", "slug", "children")
 
-    def __init__(self, tag: str, words: tuple = ()):
-        self.tag, self.words, self.children = tag, words, []     # children: nodes and strings
+    def __init__(self, tag: str, words: tuple = (), names: tuple = (), slug: tuple = ()):
+        self.tag, self.words, self.names, self.slug = tag, words, names, slug     # words and whole names; words of a section's id
+        self.children = []                                                        # nodes and strings
 
     @property
     def label(self) -> str:
@@ -85,16 +92,24 @@ def parse(page: str) -> Node:
                     break
             continue
         words: list[str] = []
+        names: list[str] = []
+        slug: list[str] = []
         raw = m.group(3)
         if raw and not raw.isspace():
             for a in _ATTRIBUTE.finditer(raw):
                 key, value = a.group(1).lower(), (a.group(2) or a.group(3) or a.group(4) or "").lower()
                 if key == "hidden" or (key == "aria-hidden" and value == "true"):
                     words.append("hidden")
+                    names.append("hidden")
                 elif key == "itemprop":
                     words += ["articlebody"] if value == "articlebody" else []
+                elif key == "id" and tag in HEADINGS:       # the heading's own text
+                    continue
+                elif key == "id" and tag == "section":
+                    slug += _WORD.findall(value)
                 elif key != "aria-hidden":
                     words += _WORD.findall(value)
+                    names += value.split()
         closes = CLOSES.get(tag, set())
         if tag in ENDS_P:
             closes = closes | {"p"}
@@ -106,7 +121,7 @@ def parse(page: str) -> Node:
                     break
                 if here in BARRIER and closes & BARRIER[here] or here not in INLINE and here not in closes and here not in {"p", "td", "th", "tr", "tbody"}:
                     break
-        node = Node(tag, tuple(dict.fromkeys(words)))
+        node = Node(tag, tuple(dict.fromkeys(words)), tuple(names), tuple(slug))
         stack[-1].children.append(node)
         if tag in RAW and not raw.rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -121,16 +136,30 @@ def parse(page: str) -> Node:
 
 
 def is_furniture(node: Node, inside_article: bool) -> bool:
-    if node.tag in FURNITURE or "hidden" in node.words:
+    """Left out whatever the template says."""
+    if node.tag in FURNITURE:
+        return True
+    if inside_article:
+        return "hidden" in node.names or node.tag != "h1" and _named(node, SURE_WORDS) or bool({"complementary", "contentinfo"} & set(node.names))
+    if "hidden" in node.words or node.tag == "header":
         return True
-    if node.tag == "header":
-        return not inside_article
     if node.tag in ("article", "main", "body", "html", "h1") and not {"comment", "comments", "related", "ad", "ads"} & set(node.words):
         return False
-    words = FURNITURE_WORDS & set(node.words)
-    if inside_article:
-        words -= {"header"}         # an article's own heading
-    return bool(words) or "complementary" in node.words or "contentinfo" in node.words
+    return bool(FURNITURE_WORDS & {*node.words, *node.slug}) or "complementary" in node.words or "contentinfo" in node.words
+
+
+def may_be_furniture(node: Node) -> bool:
+    """Named so inside an article; the template has to confirm it."""
+    return node.tag != "h1" and _named(node, FURNITURE_WORDS)
+
+
+def _named(node: Node, which: set) -> bool:
+    """A whole name is made of furniture words, one of ``which`` among them, and words for boxes; an article may have a header."""
+    for name in node.names:
+        words = set(_WORD.findall(name)) - {"header"}
+        if words & which and words <= FURNITURE_WORDS | BOX_WORDS:
+            return True
+    return False
 
 
 def is_article(node: Node) -> bool:
@@ -146,29 +175,33 @@ def _clean(text: str) -> str:
 
 
 class Line:
-    """Text between two block borders: all of it, what is left without inline furniture, characters in links."""
-    __slots__ = ("text", "shown", "linked")
+    """Text between two block borders: all of it, characters in links, and its pieces where some are of named inline elements."""
+    __slots__ = ("text", "linked", "pieces")
 
-    def __init__(self, pieces: list[tuple[str, bool, bool]]):
+    def __init__(self, pieces: list):
         self.text = _clean("".join(t for t, _, _ in pieces))
-        self.shown = self.text if all(p[2] for p in pieces) else _clean("".join(t for t, _, shown in pieces if shown))
         self.linked = min(sum(len(_clean(t)) for t, linked, _ in pieces if linked), len(self.text))
+        self.pieces = list(pieces) if any(p[2] for p in pieces) else None
 
     @property
     def key(self) -> str:
         """Hash, and characters outside links."""
         return hashlib.blake2b(self.text.encode("utf-8", "replace"), digest_size=6).hexdigest() + f"{len(self.text) - self.linked:x}"
 
+    def shown(self, drop) -> str:
+        """Without the inline elements that ``drop`` says are furniture."""
+        return self.text if self.pieces is None else _clean("".join(t for t, _, names in self.pieces if not any(map(drop, names))))
+
 
 class Block:
-    """Block element; inline elements are dissolved into its lines."""
-    __slots__ = ("node", "inside", "furniture", "items")
+    """Block element; inline elements are dissolved into its lines, named ones kept aside as well for the template."""
+    __slots__ = ("node", "inside", "furniture", "items", "inline")
 
-    def __init__(self, node: Node, marked, inside: bool = False, linked: bool = False):
-        self.node, self.inside, self.items = node, inside, []      # items: lines and blocks
-        self.furniture = is_furniture(node, inside)
+    def __init__(self, node: Node, marked, inside: bool = False, linked: bool = False, inline: bool = False):
+        self.node, self.items, self.inline = node, [], [] if not inline else None      # items: lines and blocks
+        self.furniture = is_furniture(node, inside) or inline
         self.inside = inside = inside or marked is not None and marked(node)
-        pieces: list[tuple[str, bool, bool]] = []
+        pieces: list[tuple[str, bool, tuple]] = []
 
         def end():
             if any(not t.isspace() for t, _, _ in pieces):
@@ -177,19 +210,23 @@ class Block:
                     self.items.append(line)
             pieces.clear()
 
-        def add(n, linked, shown):
+        def add(n, linked, names):
             if n.tag == "br":
-                pieces.append((" ", linked, shown))
+                pieces.append((" ", linked, names))
             for c in n.children:
                 if isinstance(c, str):
-                    pieces.append((c, linked, shown))
+                    pieces.append((c, linked, names))
                 elif c.tag in INLINE:
-                    add(c, linked or c.tag == "a", shown and not is_furniture(c, inside))
+                    into = names
+                    if c.names and not inline and (is_furniture(c, inside) or may_be_furniture(c)):
+                        self.inline.append(Block(c, marked, inside, linked or c.tag == "a", True))
+                        into = (*names, self.inline[-1])
+                    add(c, linked or c.tag == "a", into)
                 else:
                     end()
-                    if c.tag not in FURNITURE and shown:
+                    if c.tag not in FURNITURE:
                         self.items.append(Block(c, marked, inside, linked))
-        add(node, linked, True)
+        add(node, linked, ())
         end()
 
     @property
@@ -216,7 +253,7 @@ class Fold:
         self.label, self.members = label, members
         groups: dict[str, list[Block]] = {}
         for m in members:
-            for c in m.blocks:
+            for c in m.blocks + (m.inline or []):
                 groups.setdefault(c.node.label, []).append(c)
         self.children = [Fold(k, v) for k, v in groups.items()]
 
@@ -338,6 +375,13 @@ def _chars(t: dict) -> int:
     return 0 if t["f"] else max(t["c"] - t["k"], 0) + sum(map(_chars, t["x"]))
 
 
+def _named_text(t: dict) -> tuple[int, int, int]:
+    """Characters of a named element's subtree, of them in links, and outside links in lines that vary."""
+    constant = sum((t["t"][k] + t["e"]) * int(k[12:], 16) for k in _constants(t))
+    parts = [(t["c"], t["k"], max(t["c"] - t["k"] - constant, 0)), *(_named_text(c) for c in t["x"])]
+    return tuple(map(sum, zip(*parts)))
+
+
 def _running(t: dict, articles: bool = True) -> int:
     """Of these the characters of lines that vary; on demand without article elements."""
     if t["f"] or t["a"] and not articles:
@@ -377,7 +421,15 @@ class Page:
 
     def constants(self, block: Block) -> set[str]:
         t = self.known.get(id(block))
-        return set(_constants(t)) if t is not None and not t["f"] else set()
+        return set(_constants(t)) if t is not None else set()
+
+    def confirmed(self, block: Block, trusted: bool) -> bool:
+        """Constant or link-heavy in the host's template; without one, link-heavy on the page."""
+        t = self.known.get(id(block))
+        if t is None or t["n"] < ENOUGH:
+            t = new_template(Fold("", [block]))
+        every, linked, varying = _named_text(t)
+        return 2 * linked >= every or trusted and varying <= (1 - CONSTANT) * every
 
     def own(self, block: Block) -> int:
         """Characters of varying running text on the page itself."""
@@ -437,21 +489,34 @@ def extract(page: str, template: dict | None) -> str:
     nodes = {id(t): t for t in (at.known.get(id(b)) for b in main) if t is not None}.values()
     trusted = not main or sum(map(_running, nodes)) >= VARIES * sum(map(_chars, nodes))     # else copies of one page
     out: list[str] = []
+    judged: dict[int, bool] = {}
+
+    def drop(block, inside, trusted):
+        """Furniture: inside the main text by whole names and the template, elsewhere by any word of a name."""
+        if id(block) not in judged:
+            if not inside:
+                judged[id(block)] = block.furniture if block.inline is not None else is_furniture(block.node, block.inside)
+            else:
+                judged[id(block)] = is_furniture(block.node, True) or (may_be_furniture(block.node) or block.node.tag == "header" and block.furniture) and at.confirmed(block, trusted)
+        return judged[id(block)]
 
-    def walk(block, inside, size, skip):
-        """``size``: running text of the main block around, 0 outside one."""
+    def walk(block, inside, size, skip, article):
+        """``size``: running text of the main block around, 0 outside one; ``article``: that block is no page frame."""
         if id(block) in chosen:
-            inside, size = True, at.own(block)
+            inside, size, article = True, at.own(block), block.node.tag not in ("body", "html")
         fixed = at.constants(block) if skip and inside else ()
         for x in block.items:
             if isinstance(x, Line):
-                if inside and x.shown and not (fixed and x.key in fixed):
-                    out.append(x.shown)
-            elif not (x.furniture or size and x.node.tag == "article" and id(x) not in chosen and points_elsewhere(x) and at.own(x) < TEASER * size):
-                walk(x, inside, size, skip)
-    walk(at.root, not main, 0, trusted)
+                if inside and not (fixed and x.key in fixed):
+                    shown = x.shown(lambda b: drop(b, article, skip))
+                    if shown:
+                        out.append(shown)
+            elif not (drop(x, article, skip) or size and x.node.tag == "article" and id(x) not in chosen and points_elsewhere(x) and at.own(x) < TEASER * size):
+                walk(x, inside, size, skip, article)
+    walk(at.root, not main, 0, trusted, False)
     if not out and main:            # nothing of it varies
-        walk(at.root, False, 0, False)
+        judged.clear()
+        walk(at.root, False, 0, False, False)
     return "\n".join(out)
 
 

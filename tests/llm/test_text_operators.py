@@ -194,6 +194,26 @@ def test_teasers_are_not_main_text(spark):
         _of_one_host(spark, made)
 
 
+def test_named_slots_of_an_article_stay(spark):
+    """Ids and classes with a furniture word in them; whole names go only if constant or mostly links, comments and adverts always."""
+    rnd, made = random.Random(6), []
+    for frame in ("<article>%s</article>", "<main>%s</main>"):
+        for k in range(20):
+            w = [_words(rnd, 12) for _ in range(9)]
+            made.append(("<body>" + frame % (
+                f"<h2 id='discussion'>{w[0]}</h2><h2 id='legal-history'>{w[1]}</h2><section id='search-methods'><p>{w[2]}</p></section><p class='notice-period'>{w[3]}</p>"
+                f"<ul class='tags'><li>{w[4]}</li></ul><p>{w[5]} <span class=notice>{w[6]}</span> <span class=share>Pass it on</span></p><div class='share-box'><a href=/{k}>{w[7]}</a></div>"
+                f"<div class=newsletter>Write your address here</div><div class=advert>{w[8]}</div><div class='comment-list'><p>{w[8]}</p></div>") + "</body>",
+                "\n".join([*w[:5], f"{w[5]} {w[6]}"])))
+        _of_one_host(spark, made)
+        made.clear()
+
+
+def test_named_slots_without_a_template():
+    page = "<article><h2 id='discussion'>A</h2><section id='search-methods'>b</section><p class='notice-period'>c</p><ul class=tags><li>d</ul><ul class=related><li><a href=x>e</a></ul></article>"
+    assert wrapper.extract(page, None) == "A\nb\nc\nd"
+
+
 def test_copies_of_one_article_stay_whole(spark):
     copy = ("<article><h1>T</h1><p>one two three</p><p>four five six</p></article>", "T\none two three\nfour five six")
     near = ("<article><h1>T</h1><p>one two three</p><p>four five seven</p></article>", "T\none two three\nfour five seven")
