@@ -19,7 +19,9 @@ TOKENIZER = "word_bpe_49k.json"
 SLICE_BYTES = 8 << 20
 BATCH_ROWS = 4000        # documents per Arrow batch: a larger batch repeats more words
 CACHED_WORDS = 600_000
-CUT = r"([a-z])([.,;:!?*#$%&])"     # between these the tokenizer always cuts
+CUT = r"([A-Za-z])([.,;:!?*#$%&])"     # between these the tokenizer always cuts
+# parts in which nothing composes with the character before it: lower-casing their ASCII letters first changes no ids, unless an added token begins
+CASELESS = r"\A[\x00-\x7F\x{A0}-\x{24F}\x{2010}-\x{201F}]*\z"
 PLAIN = re.compile("[a-z]+").fullmatch
 
 
@@ -42,6 +44,23 @@ def _ends_of_lists(lists: pa.Array, item_ends: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], item_ends])[items].astype(np.int64)
 
 
+def _lower(parts: pa.Array) -> pa.Array:
+    """ASCII letters of the parts that allow it in lower case."""
+    odd = pc.invert(pc.string_is_ascii(parts))
+    at = np.nonzero(odd.to_numpy(zero_copy_only=False))[0]
+    if len(at):
+        safe = pc.match_substring_regex(parts.take(pa.array(at)), CASELESS).to_numpy(zero_copy_only=False)
+        at = at[~safe]
+    added = np.nonzero(pc.match_substring(parts, "<|").to_numpy(zero_copy_only=False))[0]
+    keep = np.union1d(at, added)
+    low = pc.ascii_lower(parts)
+    if not len(keep):
+        return low
+    mask = np.zeros(len(parts), bool)
+    mask[keep] = True
+    return pc.replace_with_mask(low, pa.array(mask), parts.take(pa.array(keep)))
+
+
 class WordEncoder:
     """Encodes batches of texts; keeps the ids of parts of words seen."""
 
@@ -78,8 +97,9 @@ class WordEncoder:
         """Ids of all texts one after another and the offset of each (one more than texts)."""
         lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         words = pc.list_flatten(lists).dictionary_encode()
-        parts_of = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(words.dictionary), CUT, r"\1 \2"))
-        parts = pc.list_flatten(parts_of).dictionary_encode()
+        parts_of = pc.ascii_split_whitespace(pc.replace_substring_regex(words.dictionary, CUT, r"\1 \2"))
+        raw = pc.list_flatten(parts_of)
+        parts = _lower(raw).dictionary_encode()
         if len(self.slot) > CACHED_WORDS:
             self._forget()
         names = parts.dictionary.to_pylist()

@@ -32,6 +32,18 @@ def test_words_give_the_tokenizers_ids(tokenizer):
             assert ids[off[i]:off[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
 
 
+def test_case_before_the_tokenizers_own_rules(tokenizer):
+    """Added tokens are matched on raw text, and marks compose before letters are lower-cased."""
+    texts = ["<|ENDOFTEXT|>", "a<|EndOfText|>B", "<|STARTOFTEXT|>.<|endoftext|>X", "H\u0331", "xT\u0308y", "W\u030a", "J\u030c.", "h\u0331 t\u0308", "ÀÉ’S Réaction’s ŁÓDŹ", "\u212a \u2126 Å\u0301", "A\u00a0B\x85C",
+             "<\u0338", "IT'S O'RE\u0301"]
+    marks = "".join(map(chr, [*range(0x300, 0x345), 0x338, 0x1161, 0x11a8]))
+    texts += [c + m for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ<=>" for m in marks]
+    texts += [a + chr(c) for a in "AHJTW" for c in [*range(0xa0, 0x250), *range(0x2010, 0x2020)]]
+    ids, off = WordEncoder(tokenizer_path()).encode(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[off[i]:off[i + 1]].tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 def test_slices_cover_the_batch():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * n for n in (1, 50, 3, 0, 200, 7, 7)])], names=["text"])
     parts = [p.column("text").to_pylist() for p in slices(batch, size=60)]
