@@ -8,7 +8,9 @@ segmentation is the one in which every two neighbours are what merging gives
 for their own joined text. That is a condition on pairs, so a bigram acceptor
 (weight 0 where a pair may stand together, infinite where not, worked out when
 first met) is composed as well, and the tropical shortest path is the model's
-segmentation: there is exactly one path of finite weight. No path crosses a
+segmentation: there is exactly one path of finite weight, so it is found by a
+depth-first search for the first accepted path, without weights. Models of other
+types, and normalisers that do more, are rejected. No path crosses a
 place whose two characters stand next to each other in no piece, so texts are
 cut into words, and words at such places, and composed part by part; a worker
 remembers the paths of words and parts seen (a bounded number).
@@ -33,12 +35,43 @@ CACHED_WORDS, CACHED_PARTS = 800_000, 600_000
 SLICE = 3 << 20
 
 
+def _fields(raw: bytes):
+    """Field numbers and values of a protocol buffer message."""
+    at = 0
+
+    def varint():
+        nonlocal at
+        value, shift = 0, 0
+        while True:
+            b = raw[at]
+            at += 1
+            value |= (b & 127) << shift
+            shift += 7
+            if b < 128:
+                return value
+    while at < len(raw):
+        tag = varint()
+        if tag & 7 == 0:
+            yield tag >> 3, varint()
+            continue
+        size = {1: 8, 5: 4}.get(tag & 7) or varint()
+        yield tag >> 3, raw[at:at + size]
+        at += size
+
+
+def merge_built(model: bytes) -> bool:
+    """Whether the trainer's specification (field 2) names the model type (field 3) BPE (2); unigram is 1, the default."""
+    return [v for k, spec in _fields(model) if k == 2 for n, v in _fields(spec) if n == 3][-1:] == [2]
+
+
 class Transducer:
     """Pieces, byte fallback and pair acceptor of one model file."""
 
     def __init__(self, path: str):
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        if not merge_built(model.serialized_model_proto()):
+            raise ValueError("only merge-built (BPE) models are supported")
         self.id_of: dict[str, int] = {}
         self.score: dict[str, float] = {}
         self.byte_id = [0] * 256

@@ -174,6 +174,22 @@ def test_pieces_equal_the_library():
         assert t.decode(ids) == x.replace("▁", " ") == sp.decode(ids.tolist()).replace("▁", " ") or "▁" in x, x
 
 
+def test_other_model_types_are_rejected(tmp_path):
+    import sentencepiece
+    rnd = random.Random(1)
+    texts = [" ".join(rnd.choice(["one", "two", "three", "four", "seven"]) for _ in range(9)) for _ in range(200)]
+    for kind in ("unigram", "char", "bpe"):
+        path = str(tmp_path / kind)
+        sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(texts), model_prefix=path, model_type=kind, vocab_size=300, hard_vocab_limit=False, byte_fallback=kind != "char",
+                                                 normalization_rule_name="identity", remove_extra_whitespaces=False, minloglevel=2)
+        if kind == "bpe":
+            sp, t = sentencepiece.SentencePieceProcessor(model_file=path + ".model"), wfst.Transducer(path + ".model")
+            assert all(t.encode(x).tolist() == sp.encode(x) for x in texts)
+        else:
+            with pytest.raises(ValueError, match="merge-built"):
+                wfst.Transducer(path + ".model")
+
+
 def test_transducer_query(odd_docs, no_docs):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(wfst.MODEL))
