@@ -79,7 +79,7 @@ def bucket_keys(x: np.ndarray, hashes: int, tables: int = TABLES) -> np.ndarray:
     return out
 
 
-PLACED = "label int, bucket long, vec_id long, copies long, vector binary, keys binary"
+PLACED = "label int, bucket long, name long, copies long, vector binary, keys binary"
 
 
 def _place(hashes: int):
@@ -93,13 +93,13 @@ def _place(hashes: int):
                 carried = [r.astype("<i8").tobytes() for r in flat]
                 for s in range(flat.shape[1]):
                     # vectors of different widths never meet
-                    yield pd.DataFrame({"label": same["label"].to_numpy(), "bucket": flat[:, s] ^ width, "vec_id": same["vec_id"].to_numpy(),
+                    yield pd.DataFrame({"label": same["label"].to_numpy(), "bucket": flat[:, s] ^ width, "name": same["name"].to_numpy(),
                                         "copies": same["copies"].to_numpy(), "vector": raw, "keys": carried})
     return run
 
 
 def _components(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Smallest id reachable in a dense link matrix."""
+    """Smallest name reachable in a dense link matrix."""
     low = ids.copy()
     big = np.iinfo(np.int64).max
     while True:
@@ -110,17 +110,16 @@ def _components(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _compare(f: pd.DataFrame, likeness: float) -> pd.DataFrame:
-    f = f.drop_duplicates(["vec_id", "block"])
     x = np.frombuffer(b"".join(f["vector"]), "<f4").reshape(len(f), -1).astype(np.float64)
     x /= np.sqrt((x * x).sum(axis=1))[:, None]
-    ids, copies, block = f["vec_id"].to_numpy(), f["copies"].to_numpy(), f["block"].to_numpy()
+    ids, copies, block = f["name"].to_numpy(), f["copies"].to_numpy(), f["block"].to_numpy()
     linked = x @ x.T >= likeness
     np.fill_diagonal(linked, False)
     if f["i"].iloc[0] != f["j"].iloc[0]:
         linked &= block[:, None] != block[None, :]
     rows = np.nonzero(linked.any(axis=1))[0]
     if not len(rows):
-        return pd.DataFrame({"vec_id": ids[:0], "n": copies[:0], "least": ids[:0]})
+        return pd.DataFrame({"name": ids[:0], "n": copies[:0], "least": ids[:0]})
     linked = linked[np.ix_(rows, rows)]
     ids, copies = ids[rows], copies[rows]
     # count a pair only in the first bucket it shares
@@ -136,7 +135,7 @@ def _compare(f: pd.DataFrame, likeness: float) -> pd.DataFrame:
                 if t == table:
                     both &= keys[:, t, p][:, None] < here
                 first &= ~both
-    return pd.DataFrame({"vec_id": ids, "n": first @ copies, "least": _components(linked, ids)})
+    return pd.DataFrame({"name": ids, "n": first @ copies, "least": _components(linked, ids)})
 
 
 def _links(likeness: float):
@@ -175,26 +174,28 @@ def link_vectors(embeddings: DataFrame, likeness: float = LIKENESS, bucket: int
              & F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
              & F.exists("vector", lambda v: v != 0))
     good = rows.where(F.coalesce(sound, F.lit(False)))
-    # equal vectors once, under their smallest id
+    # equal vectors once, under the hash of label and vector; their smallest id is their part of the component's
     groups = materialize(good.groupBy("label", "vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
                          .select("label", "vector", "vec_id", "copies", F.xxhash64("label", "vector").alias("name")), "vectors")
     largest = groups.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n"), F.max(F.lit(0))).first()[0] or 1
     width = groups.agg(F.max(F.size("vector"))).first()[0] or 1
     hashes = max(1, math.ceil(math.log(max(largest / bucket, 1)) / math.log(2 * max(2, width))))
-    placed = materialize(groups.select("label", "vector", "vec_id", "copies").mapInPandas(_place(hashes), PLACED).distinct(), "buckets")
+    placed = materialize(groups.select("label", "vector", "name", "copies").mapInPandas(_place(hashes), PLACED).distinct(), "buckets")
     sizes = placed.groupBy("label", "bucket").agg(F.count("*").alias("size")).where("size > 1")
     dealt = (placed.join(sizes, ["label", "bucket"])
              .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-             .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+             .withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("label", "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "vec_id", "copies", "vector", "keys"))
+             .select("label", "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "name", "copies", "vector", "keys"))
     names = ["label", "bucket", "i", "j"]
-    found = materialize(dealt.repartition(*names).sortWithinPartitions(*names).mapInPandas(_links(likeness), "vec_id long, n long, least long"), "links")
+    found = materialize(dealt.repartition(*names).sortWithinPartitions(*names).mapInPandas(_links(likeness), "name long, n long, least long"), "links")
     discard(placed)
-    cc = connected_components(found.select(F.col("vec_id").alias("a"), F.col("least").alias("b")))
-    counts = found.groupBy("vec_id").agg(F.sum("n").alias("n"))
-    named = (groups.join(counts, "vec_id", "left").join(cc, F.col("vec_id") == F.col("node"), "left")
-             .select("name", F.col("vec_id").alias("rep"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")))
+    cc = connected_components(found.select(F.col("name").alias("a"), F.col("least").alias("b")))
+    counts = found.groupBy("name").agg(F.sum("n").alias("n"))
+    joined = (groups.join(counts, "name", "left").join(cc, F.col("name") == F.col("node"), "left")
+              .select("name", "vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "name").alias("component")))
+    lowest = joined.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    named = joined.join(lowest, "component").select("name", "n_links", "component_id")
     marked = rows.select("vec_id", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64("label", "vector")).alias("name"))
     out = marked.join(named, "name", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

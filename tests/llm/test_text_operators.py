@@ -291,6 +291,16 @@ def test_vectors_against_brute_force(spark):
     assert embedding_dedup.link_vectors(df.where("false")).collect() == []
 
 
+def test_vectors_of_one_name_each_keep_their_links(spark):
+    """Two different vectors named 7 lie close to each other and to a third; two others named 5 link with different vectors."""
+    base = np.random.default_rng(3).normal(size=16)
+    far = np.random.default_rng(4).normal(size=16)
+    near = lambda v, k: [float(x) for x in (v + np.eye(16)[k] * 0.02).astype(np.float32)]       # noqa: E731
+    rows = [(7, near(base, 0)), (7, near(base, 1)), (3, near(base, 2)), (5, near(base, 3)), (5, near(far, 0)), (9, near(far, 1))]
+    got = embedding_dedup.link_vectors(spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(3, 3, 3), (5, 1, 5), (5, 3, 3), (7, 3, 3), (7, 3, 3), (9, 1, 5)]
+
+
 def test_rotation_keeps_lengths_and_matches_the_matrix():
     x = np.random.default_rng(0).normal(size=(5, 16))
     h = np.array([[1.0]])
