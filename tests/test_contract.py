@@ -1,11 +1,15 @@
 """Driver contract: entry() and every registered query against its oracle."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from habita.plans import registry
 from tests.conftest import SF_SMALL
 
 sys_path = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -21,6 +25,19 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_the_core_stands_without_the_training_data_operators(tmp_path):
+    """With the two folders gone (and with or without the pipeline file) the core queries are all there."""
+    copy = tmp_path / "repo"
+    shutil.copytree(sys_path, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    core = len(registry.queries()), len(registry.oracle_sql())
+    for _ in range(2):
+        said = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, check=True,
+                              env=os.environ | {"PYTHONPATH": str(copy)}).stdout
+        assert tuple(map(int, said.split())) == core
+        (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()

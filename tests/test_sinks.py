@@ -26,7 +26,11 @@ def test_csv_feed(spark):
     assert write_csv_feed(listings(spark), f"{d}/feed")
     quoted = spark.createDataFrame([('Villa "luxe", vue\nmer', "")], "title string, city string")
     assert write_csv_feed(quoted, f"{d}/quoted")
-    assert '"Villa ""luxe"", vue' in open(glob.glob(f"{d}/quoted/*.csv")[0]).read()
+    files = [open(p).read() for p in glob.glob(f"{d}/quoted/*.csv")]
+    assert '"Villa ""luxe"", vue' in "".join(files)
+    assert write_csv_feed(listings(spark, 3).repartition(8), f"{d}/few", file_bytes=1)
+    files += [open(p).read() for p in glob.glob(f"{d}/few/*.csv")]
+    assert all(len(f.splitlines()) > 1 for f in files)      # no file holds a header only
     back = spark.read.option("header", True).csv(f"{d}/feed")
     assert back.count() == 50
     assert back.columns == ["price", "listing_url", "image_urls", "source"]   # item field order
