@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import (embedding_dedup, huffman, minhash, packing, parity_join, reputation, suffix_dedup, toxicity,
+from . import (embedding_dedup, huffman, minhash, packing, parity_join, periodic, reputation, suffix_dedup, toxicity,
                wfst, wrapper)
 
 
@@ -50,6 +50,10 @@ def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest_runs(periodic.mark_runs(periodic.tile_tails(read_table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -62,6 +66,7 @@ def queries() -> dict:
         "op6_url_reputation": op6_url_reputation,
         "op9_parity_join": op9_parity_join,
         "op10_fingerprints": op10_fingerprints,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
