@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table
-from . import (embedding_dedup, huffman, minhash, packing, parity_join, periodic, reputation, suffix_dedup, toxicity,
-               wfst, wrapper)
+from . import (byte_bpe, embedding_dedup, huffman, minhash, packing, parity_join, periodic, reputation, spelling,
+               suffix_dedup, toxicity, wfst, wrapper)
 
 
 def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +50,14 @@ def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest_roundtrip(read_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest_runs(periodic.mark_runs(periodic.tile_tails(read_table(spark, sf_dir, "documents"))))
 
@@ -66,6 +74,8 @@ def queries() -> dict:
         "op6_url_reputation": op6_url_reputation,
         "op9_parity_join": op9_parity_join,
         "op10_fingerprints": op10_fingerprints,
+        "op11_byte_bpe": op11_byte_bpe,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
