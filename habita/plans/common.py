@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.clean import clean_listings
 from ..operators.dedup import latest_per_url
@@ -34,10 +34,11 @@ def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     return df
 
 
-def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wire(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    """``msg_id, value`` (with ``extra`` columns of ``orders``: those and ``value``)."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    return orders_to_wire(spread(orders, spark))
+    return orders_to_wire(spread(orders, spark), *extra)
 
 
 def parsed(spark: SparkSession, sf_dir: str, lenient: bool = False, fields=None) -> DataFrame:

@@ -10,8 +10,10 @@ from . import listing_queries as lq
 from . import page_queries as pq
 from . import stream_queries as sq
 from .sink_queries import SINK_QUERIES
+from .wave_queries import WAVE_QUERIES
 from .oracle import listing_oracles
 from .oracle_pages import page_oracles, site_oracles
+from .oracle_waves import wave_oracles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -69,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_watermark_dedup": sq.stream_watermark_dedup,
         "price_quartiles_exact": lq.price_quartiles_exact,
         **SINK_QUERIES,
+        **WAVE_QUERIES,
     }
 
 
@@ -77,4 +80,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(listing_oracles())
     out.update(page_oracles())
     out.update(site_oracles())
+    out.update(wave_oracles())
     return out

@@ -68,8 +68,8 @@ def _scraped_at(k: Column) -> Column:
                     two(mi), F.lit(":"), two(k % 60))
 
 
-def orders_to_wire(orders: DataFrame) -> DataFrame:
-    """orders -> (msg_id, value): one wire message per order.
+def orders_to_wire(orders: DataFrame, *extra: Column) -> DataFrame:
+    """orders -> (msg_id, value): one wire message per order (with ``extra`` columns of ``orders``: those and value).
 
     listing_url repeats (three URLs per customer) so dedup has work to do;
     every field cycles through its edge values; about 1 % of messages are
@@ -124,7 +124,7 @@ def orders_to_wire(orders: DataFrame) -> DataFrame:
     value = (F.when(k % 97 == 5, body)                                   # truncated
               .when(k % 89 == 3, F.concat(F.lit("["), body, F.lit("}]")))  # top-level array
               .otherwise(F.concat(body, F.lit("}"))))
-    return orders.select(k.alias("msg_id"), value.alias("value"))
+    return orders.select(*(extra or [k.alias("msg_id")]), value.alias("value"))
 
 
 def customer_price_texts(customer: DataFrame) -> DataFrame:

@@ -6,12 +6,13 @@ Batch and streaming share one code path: ``clean_stream`` applies the same
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_listings
 from ..sinks.warehouse import load_batch
 from ..sources.wire import lenient_schema, parse_wire, wire_stream
+from .windows import with_event_time
 
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 
@@ -78,15 +79,10 @@ def start_fanout(clean: DataFrame, lake_path: str, target, checkpoint: str, *,
     return _trigger(w, trigger).start()
 
 
-def with_event_time(clean: DataFrame, col: str = "scraped_at") -> DataFrame:
-    """Event time parsed from the naive ISO crawl instant."""
-    return clean.withColumn("event_time", F.try_to_timestamp(F.col(col)))
-
-
-def watermark_dedup(clean: DataFrame, delay: str, key: str = "listing_url") -> DataFrame:
+def watermark_dedup(clean: DataFrame, delay: str, key: str = "listing_url", event: str | Column = "scraped_at") -> DataFrame:
     """X3 with bounded state: a URL seen again within ``delay`` of event time
     is dropped; state for a URL expires once the watermark passes it."""
-    return (with_event_time(clean).withWatermark("event_time", delay)
+    return (with_event_time(clean, event).withWatermark("event_time", delay)
             .dropDuplicatesWithinWatermark([key]))
 
 
