@@ -10,8 +10,9 @@ from . import listing_queries as lq
 from . import page_queries as pq
 from . import stream_queries as sq
 from .sink_queries import SINK_QUERIES
+from .store_queries import STORE_QUERIES, store_oracles
 from .wave_queries import WAVE_QUERIES
-from .oracle import listing_oracles
+from .oracle import listing_oracles, with_listings
 from .oracle_pages import page_oracles, site_oracles
 from .oracle_waves import wave_oracles
 
@@ -72,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "price_quartiles_exact": lq.price_quartiles_exact,
         **SINK_QUERIES,
         **WAVE_QUERIES,
+        **STORE_QUERIES,
     }
 
 
@@ -81,4 +83,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(page_oracles())
     out.update(site_oracles())
     out.update(wave_oracles())
+    out.update(store_oracles(with_listings))
     return out

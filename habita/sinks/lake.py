@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from ..operators.dedup import latest_per_url
+from . import files
+
 
 def append_lake(df: DataFrame, path: str, partition_by=()) -> None:
     """Batch append of cleaned listings (the streaming form is in habita.streaming)."""
@@ -53,9 +60,85 @@ def refresh_curated(spark: SparkSession, lake_path: str, curated_path: str) -> D
     """D2 as a batch job: the raw lake (every message ever appended) -> one
     latest row per URL -> the curated zone, partitioned by source. Returns
     the written table read back (partition-pruned reads by source)."""
-    from ..operators.dedup import latest_per_url
-
     lake = spark.read.parquet(lake_path)
     cols = [c for c in lake.columns if c not in ("processed_at", "batch_id")]
     write_curated(latest_per_url(lake.select(*cols)), curated_path)
     return spark.read.parquet(curated_path)
+
+
+TAKEN = "_taken"            # readers of the zone skip names that begin with an underscore
+EMPTY_SOURCE = "__HIVE_DEFAULT_PARTITION__"     # fixed value: how a null partition value is written
+
+
+def _ids(spans: list[list[int]]) -> set[int]:
+    return {i for a, b in spans for i in range(a, b + 1)}
+
+
+def _spans(ids: set[int]) -> list[list[int]]:
+    """Batch numbers as spans of consecutive ones: numbers count upwards, so there are few."""
+    out: list[list[int]] = []
+    for i in sorted(ids):
+        if out and out[-1][1] == i - 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return out
+
+
+def taken_batches(spark: SparkSession, curated_path: str) -> set[int]:
+    """Lake batches that the curated zone already holds."""
+    lists = [n for n in files.names_in(spark, f"{curated_path}/{TAKEN}") if n.endswith(".json")]
+    return reduce(set.union, (_ids(json.loads(files.read_text(spark, f"{curated_path}/{TAKEN}/{n}"))) for n in lists), set())
+
+
+def _note_taken(spark: SparkSession, curated_path: str, taken: set[int]) -> None:
+    folder = f"{curated_path}/{TAKEN}"
+    before = [n for n in files.names_in(spark, folder) if n.endswith(".json")]
+    files.publish_text(spark, f"{folder}/{uuid.uuid4().hex}.json", json.dumps(_spans(taken)))
+    for n in before:            # the new list holds theirs
+        files.delete(spark, f"{folder}/{n}")
+
+
+def refresh_curated_batches(spark: SparkSession, lake_path: str, curated_path: str, before_note=None) -> dict:
+    """D2, only what changed: batches of the lake (``batch_id=N`` folders) that the zone does not hold yet.
+
+    The new batches' latest row per URL meets the partitions (sources) that
+    hold a row of one of these URLs or get one; only those are rewritten, by
+    dynamic partition overwrite, and a source that has lost all its rows to
+    others goes. The batches are noted as taken last, so a run that failed
+    before is simply repeated: the latest row per URL stays the same.
+    ``before_note`` is a test hook.
+    """
+    present = {int(n.split("=")[1]) for n in files.names_in(spark, lake_path) if n.startswith("batch_id=")}
+    taken = taken_batches(spark, curated_path)
+    new = sorted(present - taken)
+    if not new:
+        return {"batches": [], "sources": []}
+    lake = spark.read.parquet(*[f"{lake_path}/batch_id={b}" for b in new])
+    cols = [c for c in lake.columns if c not in ("processed_at", "batch_id")]
+    fresh = latest_per_url(lake.select(*cols)).persist()
+    try:
+        sources = {r[0] for r in fresh.select("source").distinct().collect()}       # partitions of the zone
+        merged = fresh
+        if any(n.startswith("source=") for n in files.names_in(spark, curated_path)):
+            zone = spark.read.schema(fresh.schema).parquet(curated_path).select(*cols)
+            moved = zone.select("source", "listing_url").join(fresh.select("listing_url"), "listing_url", "left_semi")
+            sources |= {r[0] for r in moved.select("source").distinct().collect()}
+            chosen = F.col("source").isin([s for s in sources if s is not None])
+            merged = latest_per_url(zone.where(chosen | F.col("source").isNull() if None in sources else chosen).unionByName(fresh))
+        files_before = set(files.names_in(spark, curated_path))
+        draft = f"{curated_path}/_draft-{uuid.uuid4().hex}"
+        merged.write.partitionBy("source").parquet(draft)       # the zone is read while this is written
+    finally:
+        fresh.unpersist()
+    written = {n for n in files.names_in(spark, draft) if n.startswith("source=")}
+    spark.read.schema(T.StructType([f for f in fresh.schema if f.name != "source"] + [fresh.schema["source"]])).parquet(draft).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(curated_path)
+    names = {f"source={EMPTY_SOURCE if s is None else s}" for s in sources}
+    for gone in (names & files_before) - written:
+        files.delete(spark, f"{curated_path}/{gone}")
+    files.delete(spark, draft)
+    if before_note is not None:
+        before_note()
+    _note_taken(spark, curated_path, taken | set(new))
+    return {"batches": new, "sources": sorted(sources, key=str)}
