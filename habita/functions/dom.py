@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -27,31 +28,68 @@ ENDS = {"li": ({"li"}, {"ul", "ol"}), "option": ({"option"}, {"select"}), "tr":
 ENDS_PARAGRAPH = {"article", "aside", "blockquote", "div", "dl", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
                   "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)", re.S)
+_TOKEN = re.compile(r"(?P<text>[^<]+)|<!--.*?(?:-->|$)|<[!?][^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<", re.S)
+_TEXT_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in TEXT_ONLY}
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 
 
-class Element:
-    __slots__ = ("tag", "attrs", "kids", "parent")
+class Page:
+    """Elements and text nodes of one page in document order.
+
+    A subtree is a stretch of both lists, so nothing here recurses and a page
+    may be nested as deeply as it likes; the elements of one tag are found by
+    bisection, not by a walk.
+    """
+    __slots__ = ("elements", "texts", "by_tag")
+
+    def __init__(self):
+        self.elements: list[Element] = []
+        self.texts: list[str] = []
+        self.by_tag: dict[str, tuple[list[int], list[Element]]] = {}
 
-    def __init__(self, tag: str, attrs: dict, parent: "Element | None"):
-        self.tag, self.attrs, self.kids, self.parent = tag, attrs, [], parent
+
+class Element:
+    """``index`` to ``last``: its subtree among the page's elements; ``text0`` to ``text1``: among its text nodes."""
+    __slots__ = ("tag", "raw", "kids", "parent", "page", "index", "last", "text0", "text1", "_attrs")
+
+    def __init__(self, tag: str, raw: str, parent: "Element | None", page: Page):
+        self.tag, self.raw, self.kids, self.parent, self.page, self._attrs = tag, raw, [], parent, page, None
+        self.index, self.text0 = len(page.elements), len(page.texts)
+        self.last = self.text1 = None
+        page.elements.append(self)
+        at, same = page.by_tag.setdefault(tag, ([], []))
+        at.append(self.index)
+        same.append(self)
+
+    def close(self) -> None:
+        self.last, self.text1 = len(self.page.elements), len(self.page.texts)
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            self._attrs = {}
+            for name, double, single, bare in _ATTRIBUTE.findall(self.raw):
+                value = double or single or bare
+                self._attrs.setdefault(name.lower(), _html.unescape(value) if "&" in value else value)
+        return self._attrs
 
     def add_text(self, text: str) -> None:
-        if self.kids and isinstance(self.kids[-1], str):
+        if self.kids and isinstance(self.kids[-1], str):        # then it is the page's last text node too
             self.kids[-1] += text
+            self.page.texts[-1] = self.kids[-1]
         elif text:
             self.kids.append(text)
+            self.page.texts.append(text)
 
-    def walk(self) -> Iterator["Element"]:
+    def walk(self) -> list["Element"]:
         """Elements below this one in document order."""
-        for k in self.kids:
-            if not isinstance(k, str):
-                yield k
-                yield from k.walk()
+        return self.page.elements[self.index + 1:self.last]
 
     def find(self, tag: str, test: Callable[["Element"], bool] | None = None) -> Iterator["Element"]:
-        return (e for e in self.walk() if e.tag == tag and (test is None or test(e)))
+        at, same = self.page.by_tag.get(tag, ((), ()))
+        for k in range(bisect_right(at, self.index), bisect_left(at, self.last)):
+            if test is None or test(same[k]):
+                yield same[k]
 
     def children(self, tag: str, test: Callable[["Element"], bool] | None = None) -> list["Element"]:
         return [k for k in self.kids if not isinstance(k, str) and k.tag == tag and (test is None or test(k))]
@@ -62,19 +100,16 @@ class Element:
 
     def all_texts(self) -> list[str]:
         """Text nodes of the whole subtree in document order."""
-        out = []
-        for k in self.kids:
-            out += [k] if isinstance(k, str) else k.all_texts()
-        return out
+        return self.page.texts[self.text0:self.text1]
 
 
 def has_class(part: str):
     """The class attribute contains ``part`` (as a substring)."""
-    return lambda e: part in e.attrs.get("class", "")
+    return lambda e: (part in e.raw or "&" in e.raw) and part in e.attrs.get("class", "")
 
 
 def attr_is(name: str, value: str):
-    return lambda e: e.attrs.get(name) == value
+    return lambda e: (value in e.raw or "&" in e.raw) and e.attrs.get(name) == value
 
 
 def first(values) -> str | None:
@@ -84,56 +119,79 @@ def first(values) -> str | None:
 def texts_within(root: Element, test: Callable[[Element], bool]) -> list[str]:
     """Text nodes inside any ``div`` that passes, each once, in document order."""
     out: list[str] = []
-
-    def go(e, inside):
-        for k in e.kids:
-            if isinstance(k, str):
-                if inside:
-                    out.append(k)
-            else:
-                go(k, inside or (k.tag == "div" and test(k)))
-    go(root, False)
+    done = 0
+    for d in root.find("div", test):
+        if d.text1 > done:                  # else inside one that was taken
+            out += root.page.texts[d.text0:d.text1]
+            done = d.text1
     return out
 
 
+class _Open:
+    """Open elements, and for each tag where its open ones stand, so that the nearest of a kind is known at once."""
+
+    def __init__(self, root: Element):
+        self.stack = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.stack))
+        self.stack.append(e)
+
+    def nearest(self, tags) -> int:
+        """Place of the innermost open element of these tags; 0 (the root's) if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.stack) > place:
+            e = self.stack.pop()
+            e.close()
+            if place:
+                self.places[e.tag].pop()
+
+
+PARAGRAPH = ({"p"}, {"td", "th", "li", "div", "section", "article"})
+
+
 def parse(page: str | None) -> Element:
-    root = Element("#root", {}, None)
-    stack, at, page = [root], 0, page or ""
+    """The root of a page's elements; takes time and memory in proportion to the page, however deep it is."""
+    page = page or ""
+    doc = Page()
+    root = Element("#root", "", None, doc)
+    opened, at = _Open(root), 0
+    match, stack = _TOKEN.match, opened.stack
     while at < len(page):
-        m = _TOKEN.match(page, at)
-        if m is None:
-            break                       # a tag that never ends
+        m = match(page, at)
         at = m.end()
-        if m["text"] is not None:
-            stack[-1].add_text(_html.unescape(m["text"]) if "&" in m["text"] else m["text"])
-            continue
-        if m["tag"] is None:
+        tag = m["tag"]
+        if tag is None:
+            text = m["text"] or (m[0] if m[0] == "<" else None)
+            if text is not None:
+                stack[-1].add_text(_html.unescape(text) if "&" in text else text)
             continue
-        tag = m["tag"].lower()
+        tag = tag.lower()
         if m["end"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            place = opened.nearest((tag,))
+            if place:
+                opened.close(place)
             continue
-        for ended, fence in ([ENDS[tag]] if tag in ENDS else []) + ([({"p"}, {"td", "th", "li", "div", "section", "article"})] if tag in ENDS_PARAGRAPH else []):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ended:
-                    del stack[k:]
-                    break
-                if stack[k].tag in fence:
-                    break
-        attrs: dict[str, str] = {}
-        for name, double, single, bare in _ATTRIBUTE.findall(m["rest"]):
-            attrs.setdefault(name.lower(), _html.unescape(double or single or bare))
-        e = Element(tag, attrs, stack[-1])
+        for ended, fence in ([ENDS[tag]] if tag in ENDS else []) + ([PARAGRAPH] if tag in ENDS_PARAGRAPH else []):
+            place = opened.nearest(ended)
+            if place and place >= opened.nearest(fence):
+                opened.close(place)
+        e = Element(tag, m["rest"], stack[-1], doc)
         stack[-1].kids.append(e)
         if tag in TEXT_ONLY:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = _TEXT_END[tag].search(page, at)
             e.add_text(page[at:end.start()] if end else page[at:])
             at = end.end() if end else len(page)
-        elif tag not in VOID:
-            stack.append(e)
+            e.close()
+        elif tag in VOID:
+            e.close()
+        else:
+            opened.push(e)
+    opened.close(0)
     return root
 
 

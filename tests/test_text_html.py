@@ -79,6 +79,21 @@ def test_elements_end_at_their_own_tag():
     assert dom.texts_within(dom.parse(h), dom.has_class("loc")) == ["A", " B ", "Q", "deep", " C", "second"]
 
 
+def test_deep_and_unclosed_pages(spark):
+    """100,000 nested elements and 10,000 unclosed ones: read whole, in time linear in the page."""
+    deep = "<div class=wrap>" * 100_000 + '<h1>deep</h1><p>text<a href="/x">link</a>' + "</div>" * 40_000 + "tail"
+    unclosed = "<p>a" * 10_000 + "<span>b" * 10_000 + "<li><a href=y>c" * 10_000 + "</table>" * 10_000
+    root = dom.parse(deep)
+    assert len(root.walk()) == 100_003 and root.all_texts() == ["deep", "text", "link", "tail"]
+    assert dom.texts_within(root, dom.has_class("wrap")) == ["deep", "text", "link", "tail"]
+    pages = spark.createDataFrame([(1, "https://e.org/a", deep), (2, "https://e.org/b", unclosed)], "page_id long, url string, html string")
+    rule = lambda root, url: [(len(root.walk()), len(list(root.find("a"))), dom.first(t for e in root.find("h1") for t in e.texts()))]     # noqa: E731
+    got = sorted(map(tuple, dom.select_rows(pages, rule, "n int, links int, h1 string").select("page_id", "n", "links", "h1").collect()))
+    assert got == [(1, 100_003, 1, "deep"), (2, 40_000, 10_000, None)]
+    from habita.sources.pages import link_cards
+    assert link_cards(pages).count() == 10_000
+
+
 def test_join_stripped(spark):
     df = spark.createDataFrame([([" x ", "  ", "y"],)], "t array<string>")
     assert df.select(join_stripped("t")).first()[0] == "x y"
