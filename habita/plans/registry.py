@@ -83,5 +83,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(page_oracles())
     out.update(site_oracles())
     out.update(wave_oracles())
-    out.update(store_oracles(with_listings))
+    out.update(store_oracles(with_listings, out["stream_to_lake"]))
     return out

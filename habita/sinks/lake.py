@@ -142,3 +142,51 @@ def refresh_curated_batches(spark: SparkSession, lake_path: str, curated_path: s
         before_note()
     _note_taken(spark, curated_path, taken | set(new))
     return {"batches": new, "sources": sorted(sources, key=str)}
+
+
+CURVE_BITS = 8          # of each clustering column
+
+
+def _as_number(df: DataFrame, c: str):
+    """A column's order as a double: numbers and times as they are, texts by their first six bytes."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(c, "utf-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.col(c).cast("double")
+
+
+def curve_key(df: DataFrame, cols, error: float = 0.002):
+    """``df`` with ``__curve``: the interleaved bits of the columns' ranks (a Z-order key), and nulls first.
+
+    A rank is the place among 255 quantiles, which are all that reaches the
+    driver; it is looked up by binary search.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    numbered = df.select("*", *[F.coalesce(_as_number(df, c), F.lit(float("-inf"))).alias(f"__n{i}") for i, c in enumerate(cols)])
+    finite = numbered.select(*[F.when(F.col(f"__n{i}") > float("-inf"), F.col(f"__n{i}")).alias(f"__n{i}") for i in range(len(cols))])
+    shares = [k / 2 ** CURVE_BITS for k in range(1, 2 ** CURVE_BITS)]
+    cuts = finite.approxQuantile([f"__n{i}" for i in range(len(cols))], shares, error)
+    splits = [[float("-inf"), *sorted(set(q)), float("inf")] if q else [float("-inf"), 0.0, float("inf")] for q in cuts]
+    ranked = Bucketizer(splitsArray=splits, inputCols=[f"__n{i}" for i in range(len(cols))], outputCols=[f"__r{i}" for i in range(len(cols))]).transform(numbered)
+    key = F.lit(0).cast("long")
+    for bit in range(CURVE_BITS):
+        for i in range(len(cols)):
+            one = F.shiftright(F.col(f"__r{i}").cast("long"), bit).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(cols) + i))
+    return ranked.select(*df.columns, key.alias("__curve"))
+
+
+def cluster(spark: SparkSession, src_path: str, dst_path: str, cols, rows_per_file: int = 2_000_000) -> None:
+    """D5 with clustering: rows that are near in all of ``cols`` lie in one file, so a filter on any of them skips files.
+
+    Files are ranges of a space-filling curve of about equal size; equal
+    keys are dealt by a hash of the row, so one place on the curve may fill
+    many files.
+    """
+    df = spark.read.parquet(src_path)
+    n = df.count()
+    files_wanted = max(1, -(-n // rows_per_file))
+    rest = F.xxhash64(*df.columns)
+    (curve_key(df, cols).withColumn("__rest", rest).repartitionByRange(files_wanted, "__curve", "__rest")
+     .sortWithinPartitions("__curve", "__rest").drop("__curve", "__rest").write.mode("overwrite").parquet(dst_path))
