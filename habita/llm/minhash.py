@@ -3,8 +3,8 @@
 Every word shingle is hashed once; the top bits choose one of ``BINS`` bins, a
 bin keeps its smallest hash. An empty bin borrows from the bin that a fixed
 2-universal sequence reaches first among the filled ones (the same sequence for
-every text, so equal bins borrow alike). Only the low ``BITS`` bits of each bin
-are stored; the likeness of two fingerprints takes the share of equal bins and
+every text, so equal bins borrow alike). Of each bin's hash, with the bin's number
+mixed in, only the low ``BITS`` bits are stored; the likeness of two fingerprints takes the share of equal bins and
 removes what chance agreement of ``BITS`` bits adds.
 """
 
@@ -25,6 +25,7 @@ BINS = 512        # a power of two
 BITS = 4          # low-order bits kept of each bin
 PROBES = 8192     # steps of the borrowing sequence before the nearest filled bin to the right is taken
 PART_BYTES = 24 << 20
+MOST_PARTS = 8192 # ranges at most: their bounds are found and held on the driver; larger ranges are read as streams all the same
 
 
 @lru_cache(maxsize=2)
@@ -64,7 +65,9 @@ def sketch(texts: list[str], bins: int = BINS, bits: int = BITS) -> tuple[np.nda
     some = np.diff(off) > 0
     filled = mins != np.iinfo(np.uint64).max
     full = densify(mins, filled)
-    return (mix64(full) & U64((1 << bits) - 1)).astype(np.uint8), some
+    # a borrowed hash stands in several bins: with the bin's number mixed in, its bits there are independent
+    number = mix64(np.arange(1, bins + 1, dtype=U64))
+    return (mix64(full ^ number[None, :]) & U64((1 << bits) - 1)).astype(np.uint8), some
 
 
 def pack(codes: np.ndarray, some: np.ndarray, bits: int = BITS) -> list[str]:
@@ -133,7 +136,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """
     rows = text_rows(docs)
     spark = docs.sparkSession
-    n = parts_for(spark, total_bytes(rows), PART_BYTES)
+    n = min(parts_for(spark, total_bytes(rows), PART_BYTES), MOST_PARTS)
     cuts = sorted(set(rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 1 / (8 * n)))) if n > 1 else []
     cuts = [int(c) for c in cuts]
     bucket = (F.when(F.col("doc_id").isNull(), F.lit(-1))

@@ -38,6 +38,20 @@ def test_fingerprints_of_edits(odd_docs, no_docs):
     assert by_text[""] == "" and len(nulls) == 2
 
 
+def test_texts_of_few_shingles_are_told_apart():
+    """One shingle fills one bin and every other bin borrows it: the bins must still not hold the same bits."""
+    for words, most in ((4, 0.2), (6, 0.2), (7, 0.25)):
+        texts = [" ".join("w%d_%d" % (k, j) for j in range(words)) for k in range(2000)]
+        codes, some = minhash.sketch(texts)
+        assert len(set(minhash.pack(codes, some))) == 2000
+        near = minhash.likeness(codes[:-1], some[:-1], codes[1:], some[1:])
+        assert near.max() < most and near.mean() < 0.03
+        again, _ = minhash.sketch(texts[:10])
+        assert (again == codes[:10]).all()
+    half, some = minhash.sketch(["a b c d e f", "a b c d e g"])      # one shingle of two is shared: a third of both
+    assert abs(minhash.likeness(half[:1], some[:1], half[1:], some[1:])[0] - 1 / 3) < 0.35
+
+
 def test_the_last_document_takes_from_the_first(spark):
     docs = spark.createDataFrame([(k, "abcdefghi %d" % k) for k in range(50)], "doc_id long, text string").repartition(5)
     got = {r["doc_id"]: r for r in minhash.fingerprint_edits(docs).collect()}
