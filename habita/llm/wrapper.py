@@ -6,7 +6,8 @@ with the host's template by simple tree matching; aligned nodes add up how often
 a node occurs, which lines it holds and how much of that is link text. Lines that
 stay the same are template, the others are slots. Partial templates are built
 where pages are read, and merged per host by the same matching, so no task sees
-a host's pages. A page is then aligned with its host's template. Of marked
+a host's pages; all templates are sent to the pages if they are small, else
+pages and templates meet in several parts per host. A page is then aligned with its host's template. Of marked
 article elements those count whose template node has most of the varying running
 text; without one the article is the smallest subtree with nearly all of it. Page
 furniture and constant lines, inside the article too, are left out.
@@ -18,11 +19,14 @@ import hashlib
 import html
 import json
 import re
+from bisect import bisect_left
+from functools import lru_cache
 
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from .common import materialize, release
 from .reputation import url_parts
 
 CONSTANT = 0.8          # share of a node's pages with the same line that makes the line template
@@ -30,6 +34,10 @@ ENOUGH = 5              # pages that a node must occur in before that counts
 TEXTS = 16              # lines per node whose counts are kept, times its lines a page (frequent ones survive)
 MAIN_SHARE = 0.8        # of the varying running text, that the article's subtree holds
 TEASER = 0.5            # of the main article's running text, that another article must hold
+DEEP = 48               # levels from which unnamed wrappers dissolve into the element around them
+DEEPEST = 160           # levels from which elements become siblings instead of children, as browsers do (at 512)
+SENT_BYTES = 32 << 20   # of templates that are sent to all executors; beyond, pages and templates meet by host
+SALTS = 16              # parts of a host's pages where they meet
 VARIES = 0.2            # of an article's running text, that must vary before its constant lines are taken as template
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,10 +76,27 @@ class Node:
         return self.tag + "".join("." + w for w in self.words)
 
 
+# wrappers without meaning of their own (fixed values)
+PLAIN = set("div span b i u em strong font center small big tbody".split())
+
+
 def parse(page: str) -> Node:
-    """Element tree of a page; unknown, unclosed and stray tags are taken as browsers do in the common cases."""
+    """Element tree of a page; unknown, unclosed and stray tags are taken as browsers do in the common cases.
+
+    The tree is at most ``DEEPEST`` levels deep, whatever the page: below
+    ``DEEP`` an unnamed wrapper's content belongs to the element around it, and
+    at ``DEEPEST`` an element becomes the next sibling of the one it stands in.
+    No text is lost, and the order stays.
+    """
     root = Node("#root")
     stack, at, size = [root], 0, len(page)
+    depth = [0]                     # of each open element's node in the tree
+    opened: dict[str, int] = {}     # open elements per tag
+
+    def close(k: int) -> None:
+        for n in stack[k:]:
+            opened[n.tag] -= 1
+        del stack[k:], depth[k:]
     while at < size:
         m = _TOKEN.match(page, at)
         if m is None:               # an unfinished tag: text from here on
@@ -86,10 +111,8 @@ def parse(page: str) -> Node:
             continue
         tag = m.group(2).lower()
         if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened.get(tag):
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         words: list[str] = []
         names: list[str] = []
@@ -113,16 +136,24 @@ def parse(page: str) -> Node:
         closes = CLOSES.get(tag, set())
         if tag in ENDS_P:
             closes = closes | {"p"}
-        if closes:
+        if any(map(opened.get, closes)):
             for k in range(len(stack) - 1, 0, -1):
                 here = stack[k].tag
                 if here in closes:
-                    del stack[k:]
+                    close(k)
                     break
                 if here in BARRIER and closes & BARRIER[here] or here not in INLINE and here not in closes and here not in {"p", "td", "th", "tr", "tbody"}:
                     break
         node = Node(tag, tuple(dict.fromkeys(words)), tuple(names), tuple(slug))
-        stack[-1].children.append(node)
+        level = depth[-1] + 1
+        if level > DEEP and tag in PLAIN and not words and not raw.rstrip().endswith("/"):
+            node.children, level = stack[-1].children, depth[-1]
+        else:
+            if level > DEEPEST:
+                stack[bisect_left(depth, DEEPEST) - 1].children.append(node)       # depths do not fall along the stack
+                level = DEEPEST
+            else:
+                stack[-1].children.append(node)
         if tag in RAW and not raw.rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             if end is None:
@@ -132,6 +163,8 @@ def parse(page: str) -> Node:
                 at = end.end()
         elif tag not in VOID and not raw.rstrip().endswith("/"):
             stack.append(node)
+            depth.append(level)
+            opened[tag] = opened.get(tag, 0) + 1
     return root
 
 
@@ -524,15 +557,27 @@ def _holds(node: Node, test) -> bool:
     return any(not isinstance(c, str) and not is_furniture(c, False) and (test(c) or _holds(c, test)) for c in node.children)
 
 
-def _extract_all(batches):
-    last, template = None, None
+@lru_cache(maxsize=256)
+def _template(raw: str) -> dict:
+    return json.loads(raw)
+
+
+def _extracted(pdf: pd.DataFrame, raws) -> pd.DataFrame:
+    out = [extract(page, _template(raw) if raw else None) for page, raw in zip(pdf["html"], raws)]
+    return pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": out, "n_chars": [len(t) for t in out]})
+
+
+def _extract_sent(sent):
+    """Templates of all hosts as one broadcast value."""
+    def run(batches):
+        for pdf in batches:
+            yield _extracted(pdf, [sent.value.get(h) for h in pdf["host"]])
+    return run
+
+
+def _extract_joined(batches):
     for pdf in batches:
-        out = []
-        for page, raw in zip(pdf["html"], pdf["template"]):
-            if raw != last:
-                last, template = raw, json.loads(raw) if raw else None
-            out.append(extract(page, template))
-        yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": out, "n_chars": [len(t) for t in out]})
+        yield _extracted(pdf, pdf["template"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -544,7 +589,10 @@ def templates(pages: DataFrame) -> DataFrame:
             .groupBy("host").applyInPandas(_finished_templates, "host string, template string"))
 
 
-def main_texts(pages: DataFrame) -> DataFrame:
+RESULT = "page_id long, url string, text string, n_chars long"
+
+
+def main_texts(pages: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every page.
 
     Null html is empty and gives an empty text, as does a page without an
@@ -554,8 +602,15 @@ def main_texts(pages: DataFrame) -> DataFrame:
     nothing in it as template. Repeated rows each get a
     row; extra columns are ignored; an empty table gives no rows.
     """
+    spark = pages.sparkSession
     host, _ = url_parts(F.col("url"))
-    known = templates(pages)
+    known = materialize(templates(pages), "templates")
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    return own.join(known, "host", "left").select("page_id", "url", "html", "template").mapInPandas(
-        _extract_all, "page_id long, url string, text string, n_chars long")
+    size = known.agg(F.sum(F.octet_length("template") + F.octet_length("host"))).first()[0] or 0
+    if size <= sent_bytes:          # pages stay where they are
+        sent = spark.sparkContext.broadcast({r["host"]: r["template"] for r in known.collect()})
+        return own.mapInPandas(release(_extract_sent(sent)), RESULT)
+    # a host's pages are dealt over several parts, its template goes to each of them
+    salted = own.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    copies = known.select("host", "template", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return salted.join(copies, ["host", "salt"], "left").select("page_id", "url", "html", "template").mapInPandas(release(_extract_joined), RESULT)

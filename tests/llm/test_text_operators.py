@@ -158,6 +158,29 @@ def test_template_of_a_host_without_marked_article(spark):
     assert {r["page_id"]: r["text"] for r in wrapper.main_texts(pages).collect()} == want
 
 
+def test_deep_and_unclosed_pages_give_their_text(spark):
+    """100,000 nested elements, 10,000 unclosed ones, and deep furniture: no page fails the table."""
+    text = "<article><h1>Head</h1><p>Long enough running text of a page.</p></article>"
+    deep = {1: "<div>" * 100_000 + text + "</div>" * 100_000, 2: "<div>" * 100_000 + text, 3: "<ul><li>" * 20_000 + "item", 4: "<b>" * 50_000 + "bold",
+            5: "<p>a <span>" * 10_000, 6: "<div>" * 300 + "<nav>" + "<div>" * 300 + "menu" + "</div>" * 300 + "</nav>" + text, 7: "</x>" * 50_000 + text,
+            8: "<section class=a>" * 5_000 + "words" + "</section>" * 5_000}
+    pages = spark.createDataFrame([(i, "https://h%d.org/" % (i % 3), h) for i, h in deep.items()], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in wrapper.main_texts(pages).collect()}
+    article = "Head\nLong enough running text of a page."
+    assert {k: got[k] for k in (1, 2, 6, 7)} == {1: article, 2: article, 6: article, 7: article}
+    assert got[3] == "item" and got[4] == "bold" and got[8] == "words" and got[5].split() == ["a"] * 10_000
+    assert wrapper.main_texts(pages, sent_bytes=0).count() == 8
+
+
+def test_one_host_sent_or_joined(spark):
+    """All pages are one host's: whether templates are sent or joined in parts, the texts are the same."""
+    page = lambda k: f"<div class=top>menu</div><div class=note>constant line</div><div class=body><h1>T{k}</h1><p>own text of page {k}, long enough</p></div>"     # noqa: E731
+    pages = spark.createDataFrame([(k, "https://one.org/%d" % k, page(k)) for k in range(60)], "page_id long, url string, html string").repartition(7)
+    want = {k: f"T{k}\nown text of page {k}, long enough" for k in range(60)}
+    for sent in (wrapper.SENT_BYTES, 0):
+        assert {r["page_id"]: r["text"] for r in wrapper.main_texts(pages, sent).collect()} == want
+
+
 def test_merging_templates_does_not_depend_on_grouping():
     pages = [f"<div class=a>same</div><div class=b><p>{k}</p>{'<i>q</i>' * (k % 3)}</div>" for k in range(9)]
     one = lambda p: wrapper.new_template(wrapper.Fold("#root", [wrapper.parse(p)]))     # noqa: E731
