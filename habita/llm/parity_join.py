@@ -124,6 +124,7 @@ def lane_entries(h: np.ndarray, off: np.ndarray):
     return cat(keys, U64), cat(owners, np.int64), cat(uses, np.int8), table
 
 
+# a row of documents: names, whether an id is missing, sizes, ids, hashes of the texts without one, sketches
 SKETCHED = "kind int, part int, names binary, uses binary, filled binary, differ binary, counts binary, keys binary"
 
 
@@ -139,7 +140,8 @@ def _sketch(parts: int):
                 null = doc.is_null().to_numpy(zero_copy_only=False)
                 sketch = parity_sketches(h, off)
                 rows = [(0, -1, name.tobytes(), null.astype(np.int8).tobytes(), n.astype("<i8").tobytes(),
-                         doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), b"", sketch.tobytes())]
+                         doc.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
+                         piece.column("text_hash").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(), sketch.tobytes())]
                 # each class once in a slice
                 _, first = np.unique(name, return_index=True)
                 first = np.sort(first[n[first] > 0])
@@ -167,12 +169,12 @@ def _sketch(parts: int):
 
 def _documents(batches):
     for pdf in batches:
-        for name, null, n, doc, sketch in zip(pdf["names"], pdf["uses"], pdf["filled"], pdf["differ"], pdf["keys"]):
+        for name, null, n, doc, text_hash, sketch in zip(pdf["names"], pdf["uses"], pdf["filled"], pdf["differ"], pdf["counts"], pdf["keys"]):
             gone = np.frombuffer(null, np.int8) == 1
             size = np.frombuffer(n, "<i8")
             width = SKETCH_BITS // 8
             yield pd.DataFrame({"doc_id": pd.arrays.IntegerArray(np.frombuffer(doc, "<i8").copy(), gone), "name": np.frombuffer(name, "<i8"),
-                                "n_shingles": size, "sketch": [sketch[i * width:(i + 1) * width] for i in range(len(size))]})
+                                "n_shingles": size, "text_hash": np.frombuffer(text_hash, "<i8"), "sketch": [sketch[i * width:(i + 1) * width] for i in range(len(size))]})
 
 
 SHARED = "bucket int, names binary, uses binary, filled binary, differ binary, keys binary, often binary"
@@ -329,9 +331,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = text_rows(docs)
     parts = parts_for(spark, total_bytes(rows), PART_BYTES)
-    sketched = materialize(rows.mapInArrow(release(_sketch(parts)), SKETCHED), "lanes")
-    documents = materialize(sketched.where("kind = 0").select("names", "uses", "filled", "differ", "keys").mapInPandas(
-        release(_documents), "doc_id long, name long, n_shingles long, sketch binary"), "documents")
+    hashed = rows.withColumn("text_hash", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    sketched = materialize(hashed.mapInArrow(release(_sketch(parts)), SKETCHED), "lanes")
+    documents = materialize(sketched.where("kind = 0").select("names", "uses", "filled", "differ", "counts", "keys").mapInPandas(
+        release(_documents), "doc_id long, name long, n_shingles long, text_hash long, sketch binary"), "documents")
     entries = materialize(sketched.where("kind = 1").groupBy("part").applyInPandas(release(_shared_keys(parts)), SHARED)
                           .groupBy("bucket").applyInPandas(release(_rarest), "key long, name long"), "entries")
     discard(sketched)
@@ -347,12 +350,17 @@ def link_documents(docs: DataFrame) -> DataFrame:
         return materialize(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
                            .mapInPandas(release(_near_pairs), "a long, b long"), tag)
     pairs = plausible(groups.where("name <> key").select(F.col("key").alias("a"), F.col("name").alias("b")), "pairs")
-    one = documents.where("doc_id is not null").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
+    # the document that stands for a class; a class that only rows without an id have is found by a hash of its text
+    one = documents.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("doc_id").isNull(), F.col("text_hash"))).alias("text_hash"))
+    nameless = rows.where("doc_id is null").select(F.xxhash64("text").alias("text_hash"), "text")
 
     def verified(pairs, tag):
         """Full shingle sets of the classes in question, from one document each; then every pair."""
         names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-        sets = materialize(rows.join(one.join(names, "name"), "doc_id").select("name", "text").mapInArrow(release(_hash_sets), "name long, hashes binary"), "sets")
+        wanted = one.join(names, "name")
+        texts = (rows.join(wanted.where("doc_id is not null"), "doc_id").select("name", "text")
+                 .unionByName(nameless.join(wanted.where("doc_id is null").select("name", "text_hash"), "text_hash").select("name", "text").dropDuplicates(["name"])))
+        sets = materialize(texts.mapInArrow(release(_hash_sets), "name long, hashes binary"), "sets")
         found = materialize(_verified(pairs, sets), tag)
         discard(sets)
         return found

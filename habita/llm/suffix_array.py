@@ -5,14 +5,15 @@ substrings between leftmost S suffixes are sorted by one induction, named, and
 the string of names is sorted by recursion; a second induction from the sorted
 leftmost S suffixes gives the array. An induction visits buckets in order and
 moves a bucket's waiting suffixes together: the predecessors that fall into the
-same bucket form its next wave.
+same bucket form its next wave. Where buckets are small - the names of a recursion
+are many - suffixes are induced one by one instead, in the same order.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-WIDEST = 4096       # names beyond which the recursion ends in rank doubling
+SMALL = 32          # suffixes per bucket on average, below which they are induced one by one
 
 
 def classify(t: np.ndarray) -> np.ndarray:
@@ -39,6 +40,8 @@ def _place(sa: np.ndarray, edge: np.ndarray, items: np.ndarray, symbols: np.ndar
 def induce(t: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, symbols: int) -> np.ndarray:
     """Suffix array induced from the order of the leftmost S suffixes."""
     n = len(t)
+    if symbols * SMALL > n:
+        return _induce_singly(t, smaller, leftmost, symbols)
     size = np.bincount(t, minlength=symbols)
     end = np.cumsum(size)
     start = end - size
@@ -90,27 +93,34 @@ def induce(t: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, symbols: in
     return sa
 
 
-def _doubling(names: np.ndarray, depth: int | None) -> np.ndarray:
-    """Order of the suffixes of ``names`` by rank doubling, on their first ``depth`` symbols (None: all)."""
-    rank, k, n = names.astype(np.int64), 1, len(names)
-    while True:
-        pair = rank * (int(rank.max()) + 2)
-        pair[:-k] += rank[k:] + 1
-        order = np.argsort(pair)
-        sorted_pairs = pair[order]
-        new = np.concatenate([[0], np.cumsum(sorted_pairs[1:] != sorted_pairs[:-1])])
-        k *= 2
-        if new[-1] == n - 1 or k >= n or (depth is not None and k >= depth):
-            return order
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-
-
-def suffix_array(t: np.ndarray, symbols: int, depth: int | None = None) -> np.ndarray:
-    """Suffix array of ``t``, whose last symbol is smallest and occurs once.
-
-    With ``depth``, suffixes that agree on so many symbols may stand in any order.
-    """
+def _induce_singly(t: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, symbols: int) -> np.ndarray:
+    """The same for buckets of few suffixes."""
+    n = len(t)
+    end = np.cumsum(np.bincount(t, minlength=symbols))
+    sa = np.full(n, -1, np.int64)
+    seeds = leftmost[np.argsort(t[leftmost], kind="stable")]
+    several = np.bincount(t[leftmost], minlength=symbols)
+    nth = np.arange(len(seeds)) - np.repeat(np.cumsum(several) - several, several)
+    sa[(end - several)[t[seeds]] + nth] = seeds             # at the ends of their buckets, in order
+    sa, t, smaller = sa.tolist(), t.tolist(), smaller.tolist()
+    head = np.concatenate([[0], end[:-1]]).tolist()
+    for i in sa:                                            # the list grows ahead of the loop
+        if i > 0 and not smaller[i - 1]:
+            c = t[i - 1]
+            sa[head[c]] = i - 1
+            head[c] += 1
+    tail = end.tolist()
+    for k in range(n - 1, -1, -1):
+        i = sa[k] - 1
+        if i >= 0 and smaller[i]:
+            c = t[i]
+            tail[c] -= 1
+            sa[tail[c]] = i
+    return np.array(sa, np.int32 if n < 1 << 31 else np.int64)
+
+
+def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
+    """Suffix array of ``t``, whose last symbol is smallest and occurs once."""
     n = len(t)
     if n == 1:
         return np.zeros(1, np.int64)
@@ -143,10 +153,7 @@ def suffix_array(t: np.ndarray, symbols: int, depth: int | None = None) -> np.nd
     reduced[nth[order]] = name
     if name[-1] + 1 == len(leftmost):
         return induce(t, smaller, order, symbols)
-    if name[-1] >= WIDEST:
-        sub = _doubling(reduced, depth)
-    else:
-        sub = suffix_array(reduced, int(name[-1]) + 1, depth)
+    sub = suffix_array(reduced, int(name[-1]) + 1)
     return induce(t, smaller, leftmost[sub], symbols)
 
 

@@ -288,7 +288,7 @@ def equal_windows(contents: np.ndarray, lengths: np.ndarray, least: np.ndarray,
     place = np.arange(len(contents)) + np.repeat(np.arange(len(lengths)), lengths)
     t[place] = contents.astype(np.int32) + 2
     t[ends + np.arange(len(lengths))] = 1
-    sa = suffix_array(t, 258, depth=width // 2 + 1)
+    sa = suffix_array(t, 258)
     b = np.full(len(t), 10, np.uint8)
     b[place] = contents
     owner = np.full(len(t), -1, np.int64)

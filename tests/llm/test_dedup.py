@@ -15,9 +15,9 @@ def known(df):
     return [(r["doc_id"], r["text"]) for r in df.collect() if r["doc_id"] is not None]
 
 
-@pytest.mark.parametrize("widest", [4096, 1])
-def test_suffix_array_against_sorting(widest, monkeypatch):
-    monkeypatch.setattr(suffix_array, "WIDEST", widest)
+@pytest.mark.parametrize("small", [32, 0, 1 << 20])
+def test_suffix_array_against_sorting(small, monkeypatch):
+    monkeypatch.setattr(suffix_array, "SMALL", small)       # 0: always by waves, large: always singly
     rnd = random.Random(3)
     for _ in range(300):
         k = rnd.choice([1, 2, 3, 200])
@@ -26,6 +26,18 @@ def test_suffix_array_against_sorting(widest, monkeypatch):
         assert suffix_array.suffix_array(t, k + 1).tolist() == sorted(range(len(t)), key=lambda i: tuple(t[i:]))
 
 
+def test_suffix_array_of_six_megabytes(spark):
+    """Hundreds of thousands of names: every neighbour pair of the array is in order, by its first byte and the order of what follows."""
+    raw = " ".join(r["text"] or "" for r in read_table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()).encode()
+    t = np.append(np.frombuffer((raw * 3)[:6 << 20], np.uint8).astype(np.int64) + 2, 0)
+    sa = suffix_array.suffix_array(t, 258)
+    rank = np.full(len(t), -1)
+    rank[sa] = np.arange(len(t))
+    assert (rank >= 0).all() and sa[0] == len(t) - 1
+    a, b = sa[1:-1], sa[2:]
+    assert ((t[a] < t[b]) | (t[a] == t[b]) & (rank[a + 1] < rank[b + 1])).all()
+
+
 def digests(df, popular=suffix_dedup.POPULAR):
     return [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in suffix_dedup.digest_without_repeats(df, popular).collect()]
 
@@ -62,13 +74,18 @@ def linked(df):
 
 
 def test_near_duplicates_against_brute_force(odd_docs):
-    texts = dict(known(odd_docs))
-    sets = {i: brute.shingles(t) for i, t in texts.items()}
-    comp = brute.components(sets, brute.near_links(sets))
+    # every row by its place, with or without an id: a component is the smallest known id among its rows
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    sets = {k: brute.shingles(t) for k, (_, t) in enumerate(rows)}
+    same_id = [(a, b) for a in sets for b in sets if a < b and rows[a] == rows[b] and rows[a][0] is not None]
+    comp = brute.components(sets, brute.near_links(sets) + same_id)
+    least = {}
+    for k, c in comp.items():
+        if rows[k][0] is not None:
+            least[c] = min(least.get(c, rows[k][0]), rows[k][0])
     got = [tuple(r) for r in parity_join.link_documents(odd_docs).collect()]
-    assert len(got) == odd_docs.count()
-    assert {g for g in got if g[0] is not None} == {(i, len(s), comp[i]) for i, s in sets.items()}
-    assert sorted((g[1:] for g in got if g[0] is None), key=str) == sorted([(len(sets[1]), 1), (len(brute.shingles("no id " + "w " * 60)) and got and next(g[1] for g in got if g[0] is None and g[2] is None), None)], key=str)
+    assert sorted(got, key=str) == sorted(((i, len(sets[k]), least.get(comp[k])) for k, (i, _) in enumerate(rows)), key=str)
+    assert any(i is None and least.get(comp[k]) == 10 for k, (i, _) in enumerate(rows))
 
 
 def test_near_duplicates_on_a_table(spark):
@@ -138,3 +155,18 @@ def test_one_id_for_two_texts(spark):
     rows = [(1, a), (2, "x " + a), (2, b + c), (3, b), (4, c + " tail")]
     got = {(r["doc_id"], r["n_bytes"]): (r["n_removed"], r["n_spans"]) for r in suffix_dedup.digest_without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(1, len(a)): (0, 0), (2, len(a) + 2): (len(a), 1), (2, 160): (0, 0), (3, 90): (90, 1), (4, 75): (70, 1)}
+
+
+@pytest.mark.parametrize("middle", [7, None])
+def test_documents_linked_through_a_row_without_an_id(spark, middle):
+    """5 and 9 are each near the row in the middle only; whether that has an id or not, all three are one group."""
+    base = ["w%d" % k for k in range(200)]
+    one, far = ["x"] + base[1:], base[:-1] + ["y"]
+    for k in range(0, 14):              # both differ from the middle in other places
+        one[k * 2], far[199 - k * 2] = "x%d" % k, "y%d" % k
+    rows = [(5, " ".join(one)), (middle, " ".join(base)), (9, " ".join(far)), (None, "quite another text than those"), (None, "quite another text than those")]
+    near = brute.near_links({k: brute.shingles(t) for k, (_, t) in enumerate(rows[:3])})
+    assert near == [(0, 1), (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"]) for r in parity_join.link_documents(docs).collect()), key=str)
+    assert got == sorted([(5, 5), (middle, 5), (9, 5), (None, None), (None, None)], key=str)
