@@ -7,8 +7,9 @@ the frontier with the nodes of one depth: without an edit yet, a state follows
 the edge of its next code point, and at every other edge, and once for skipping
 its own code point, leaves the path with one edit; with one edit it only
 follows. A state that has used its whole word and one edit at the end of a word
-has found a neighbour. An edit is made only where word and path first differ,
-so each pair of neighbours is found once from either side.
+has found a neighbour. An edit is made only where word and path first differ.
+Words stand in the trie in both directions and are edited in their second half
+only, as near the root every edit leads on for several levels.
 
 Words longer than ``LONGEST`` would need as many rounds: they meet instead under
 the hashes of what is left when one code point is taken out, counted in
@@ -59,11 +60,20 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return count_words(docs).where((F.char_length("word") >= LEAST_LENGTH) & (F.col("n") >= LEAST_COUNT))
 
 
-def trie(words: DataFrame) -> DataFrame:
-    """``depth, node, edges``: for every inner node (a prefix) its edges (``ch``, and ``n`` of the word that ends there, or null)."""
-    steps = words.select("word", "n", F.explode(F.sequence(F.lit(0), F.char_length("word") - 1)).alias("depth"))
-    edges = (steps.select("depth", F.substring("word", F.lit(1), F.col("depth")).alias("node"), F.substring("word", F.col("depth") + 1, F.lit(1)).alias("ch"),
-                          F.when(F.col("depth") + 1 == F.char_length("word"), F.col("n")).alias("n"))
+FORWARD, BACKWARD = ">", "<"
+
+
+def spellings(words: DataFrame) -> DataFrame:
+    """``spelled, n``: every word behind the mark of reading forward, and reversed behind that of reading backward."""
+    return (words.select("n", F.explode(F.array(F.concat(F.lit(FORWARD), "word"), F.concat(F.lit(BACKWARD), F.reverse("word")))).alias("spelled"))
+            .select("spelled", "n"))
+
+
+def trie(spelled: DataFrame) -> DataFrame:
+    """``depth, node, edges``: for every inner node (a prefix, mark included) its edges (``ch``, and ``n`` of the word that ends there, or null)."""
+    steps = spelled.select("spelled", "n", F.explode(F.sequence(F.lit(1), F.greatest(F.char_length("spelled") - 1, F.lit(1)))).alias("depth"))
+    edges = (steps.select("depth", F.substring("spelled", F.lit(1), F.col("depth")).alias("node"), F.substring("spelled", F.col("depth") + 1, F.lit(1)).alias("ch"),
+                          F.when(F.col("depth") + 1 == F.char_length("spelled"), F.col("n")).alias("n"))
              .groupBy("depth", "node", "ch").agg(F.max("n").alias("n")))
     return edges.groupBy("depth", "node").agg(F.collect_list(F.struct("ch", "n")).alias("edges"))     # at most one edge per letter
 
@@ -73,53 +83,67 @@ STATE = "struct<at: int, node: string, node_n: bigint, edits: int>"
 
 def _step() -> Column:
     """States that follow a state joined with its node's edges."""
-    def char(k):
-        return F.substring("word", F.lit(k) + 1 if isinstance(k, int) else k + 1, F.lit(1))
+    at, edits, size = F.col("at"), F.col("edits"), F.char_length("spelled")
+    here, after = F.substring("spelled", at + 1, F.lit(1)), F.substring("spelled", at + 2, F.lit(1))
 
     def state(at, edge, edits):
-        return F.struct(at.cast("int").alias("at"), F.concat("node", edge["ch"]).alias("node"), edge["n"].alias("node_n"), F.lit(edits).alias("edits"))
-    at, edits, size = F.col("at"), F.col("edits"), F.char_length("word")
-    here, after = char(at), char(at + 1)
+        return F.struct(at.cast("int").alias("at"), F.concat("node", edge["ch"]).alias("node"), edge["n"].alias("node_n"), edits.cast("int").alias("edits"))
     none = F.array().cast(f"array<{STATE}>")
-    follow = F.transform(F.filter("edges", lambda e: e["ch"] == here), lambda e: F.when(edits == 0, state(at + 1, e, 0)).otherwise(state(at + 1, e, 1)))
+    one = F.lit(1)
+    follow = F.transform(F.filter("edges", lambda e: e["ch"] == here), lambda e: state(at + 1, e, edits))
     other = F.filter("edges", lambda e: (e["ch"] != here) | (at == size))
-    insert = F.transform(other, lambda e: state(at, e, 1))
-    replace = F.when(at < size, F.transform(other, lambda e: state(at + 1, e, 1))).otherwise(none)
+    insert = F.transform(other, lambda e: state(at, e, one))
+    replace = F.when(at < size, F.transform(other, lambda e: state(at + 1, e, one))).otherwise(none)
     # the word's own code point is skipped: the next one is followed, at a place where it is another one
-    skip = F.when((at + 1 < size) & (here != after), F.transform(F.filter("edges", lambda e: e["ch"] == after), lambda e: state(at + 2, e, 1))).otherwise(none)
-    return F.when(edits == 0, F.concat(follow, insert, replace, skip)).otherwise(follow)
+    skip = F.when((at + 1 < size) & (here != after), F.transform(F.filter("edges", lambda e: e["ch"] == after), lambda e: state(at + 2, e, one))).otherwise(none)
+    # reading forward the second half of a word is edited, reading backward the first; the mark is one code point
+    backward = F.when(F.col("spelled").startswith(BACKWARD), 1).otherwise(0)
+    may_edit = (edits == 0) & (at - 1 >= F.floor((size - 1 + backward) / 2))
+    return F.when(may_edit, F.concat(follow, insert, replace, skip)).otherwise(follow)
+
+
+def _found() -> Column:
+    """The state has read its whole word with one edit at the end of a word; or one code point is left, at the end of one."""
+    whole = (F.col("edits") == 1) & (F.col("at") == F.char_length("spelled"))
+    skips_last = (F.col("edits") == 0) & (F.col("at") == F.char_length("spelled") - 1)
+    return (whole | skips_last) & F.col("node_n").isNotNull()
 
 
-def _skips_last(state: DataFrame) -> DataFrame:
-    """Neighbours that are a word without its last code point: their node stands one step before the word's end."""
-    return state.where((F.col("edits") == 0) & (F.col("at") == F.char_length("word") - 1) & F.col("node_n").isNotNull())
+def _word(spelled: str) -> Column:
+    return F.when(F.col(spelled).startswith(FORWARD), F.substr(spelled, F.lit(2))).otherwise(F.reverse(F.substr(spelled, F.lit(2))))
 
 
 def neighbours(words: DataFrame, small_table: int = SMALL_TABLE) -> DataFrame:
     """``word, near, near_n``: every ordered pair of words (columns ``word, n``, each word once) one edit apart.
 
-    One round per depth of the trie; each round's frontier is written to the
-    shared folder. The nodes of a depth are joined by broadcast where their
-    measured number allows it (always near the root, where few nodes carry all
-    states: at most one node per letter and level), else by shuffle.
+    One round per depth of the trie. Each round writes its frontier and the
+    pairs it found to the shared folder; the last frontier then goes. Words are
+    read from both ends and edited in their second half only, so states leave
+    the path where the trie is no longer dense. The nodes of a depth are joined
+    by broadcast where their measured number allows it (always near the root,
+    where few nodes carry all states: at most one node per letter and level),
+    else by shuffle.
     """
-    nodes = materialize(trie(words), "trie")
+    spelled = spellings(words)
+    nodes = materialize(trie(spelled), "trie")
     sizes = {r["depth"]: r["k"] for r in nodes.groupBy("depth").agg(F.count("*").alias("k")).collect()}     # one row per depth, at most LONGEST
-    states = words.select("word", F.lit(0).alias("at"), F.lit("").alias("node"), F.lit(None).cast("long").alias("node_n"), F.lit(0).alias("edits"))
-    written: list[DataFrame] = []
-    for depth in range(max(sizes, default=-1) + 1):
+    states = spelled.select("spelled", F.lit(1).alias("at"), F.substring("spelled", 1, 1).alias("node"), F.lit(None).cast("long").alias("node_n"), F.lit(0).alias("edits"))
+    found, last = [], None
+    for depth in range(1, max(sizes, default=0) + 1):
         level = nodes.where(F.col("depth") == depth).select("node", "edges")
         if sizes.get(depth, 0) <= small_table:
             level = F.broadcast(level)
-        live = states.where((F.col("edits") == 0) | (F.col("at") < F.char_length("word")))
-        states = materialize(live.join(level, "node").select("word", F.explode(_step()).alias("s")).select("word", "s.*"), "frontier", 10_000)
-        written.append(states)
-    if not written:
-        return words.select("word", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
-    done = [s.where((F.col("edits") == 1) & (F.col("at") == F.char_length("word")) & F.col("node_n").isNotNull()).unionByName(_skips_last(s)) for s in written]
-    found = materialize(reduce(DataFrame.unionByName, done).select("word", F.col("node").alias("near"), F.col("node_n").alias("near_n")), "near", 10_000)
-    discard(nodes, *written)
-    return found
+        after = (states.where((F.col("edits") == 0) | (F.col("at") < F.char_length("spelled"))).join(level, "node")
+                 .select("spelled", F.explode(_step()).alias("s")).select("spelled", "s.*"))
+        states = materialize(after, "frontier", 10_000)
+        found.append(materialize(states.where(_found()).select(_word("spelled").alias("word"), _word("node").alias("near"), F.col("node_n").alias("near_n")), "near"))
+        if last is not None:
+            discard(last)
+        last = states
+    pairs = reduce(DataFrame.unionByName, found) if found else words.select("word", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
+    out = materialize(pairs.distinct(), "near")          # an edit in a run of one letter across the middle is met from both ends
+    discard(nodes, *found, *([last] if last is not None else []))
+    return out
 
 
 PRIMES = (2147483647, 2147483629)     # fixed values: the largest primes below 2^31
