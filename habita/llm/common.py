@@ -25,6 +25,14 @@ def text_rows(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as it takes to differ from every column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
     """Few rows per Arrow batch while something is written: texts are long, and both sides hold whole batches."""

@@ -48,7 +48,8 @@ def count_words(docs: DataFrame) -> DataFrame:
     """
     runs = docs.select(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("id"),
                        F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(LETTERS), F.lit(0))).alias("run"))
-    runs = runs.select("id", F.translate("run", UPPER, LOWER).alias("run"))
+    # within ASCII, lower-casing is just that of A-Z
+    runs = runs.select("id", F.when(F.octet_length("run") == F.char_length("run"), F.lower("run")).otherwise(F.translate("run", UPPER, LOWER)).alias("run"))
     h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
     cut = (h % F.char_length("run")).cast("int")
     word = F.when(h % DROPS == 0, F.concat(F.substring("run", F.lit(1), cut), F.substring("run", cut + 2, F.char_length("run")))).otherwise(F.col("run"))
@@ -69,13 +70,22 @@ def spellings(words: DataFrame) -> DataFrame:
             .select("spelled", "n"))
 
 
+def _bit(letter: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(letter), F.lit(64)))
+
+
 def trie(spelled: DataFrame) -> DataFrame:
-    """``depth, node, edges``: for every inner node (a prefix, mark included) its edges (``ch``, and ``n`` of the word that ends there, or null)."""
+    """``depth, node, edges``: for every inner node (a prefix, mark included) its edges.
+
+    An edge has its letter ``ch``, ``n`` of the word that ends there (or null), and
+    ``nexts``, a bit for each letter (mod 64) that goes on from there.
+    """
     steps = spelled.select("spelled", "n", F.explode(F.sequence(F.lit(1), F.greatest(F.char_length("spelled") - 1, F.lit(1)))).alias("depth"))
     edges = (steps.select("depth", F.substring("spelled", F.lit(1), F.col("depth")).alias("node"), F.substring("spelled", F.col("depth") + 1, F.lit(1)).alias("ch"),
-                          F.when(F.col("depth") + 1 == F.char_length("spelled"), F.col("n")).alias("n"))
-             .groupBy("depth", "node", "ch").agg(F.max("n").alias("n")))
-    return edges.groupBy("depth", "node").agg(F.collect_list(F.struct("ch", "n")).alias("edges"))     # at most one edge per letter
+                          F.when(F.col("depth") + 1 == F.char_length("spelled"), F.col("n")).alias("n"),
+                          F.when(F.col("depth") + 1 < F.char_length("spelled"), _bit(F.substring("spelled", F.col("depth") + 2, F.lit(1)))).otherwise(F.lit(0).cast("long")).alias("nexts"))
+             .groupBy("depth", "node", "ch").agg(F.max("n").alias("n"), F.bit_or("nexts").alias("nexts")))
+    return edges.groupBy("depth", "node").agg(F.collect_list(F.struct("ch", "n", "nexts")).alias("edges"))     # at most one edge per letter
 
 
 STATE = "struct<at: int, node: string, node_n: bigint, edits: int>"
@@ -90,12 +100,18 @@ def _step() -> Column:
         return F.struct(at.cast("int").alias("at"), F.concat("node", edge["ch"]).alias("node"), edge["n"].alias("node_n"), edits.cast("int").alias("edits"))
     none = F.array().cast(f"array<{STATE}>")
     one = F.lit(1)
-    follow = F.transform(F.filter("edges", lambda e: e["ch"] == here), lambda e: state(at + 1, e, edits))
+
+    def leads_on(edge, read):
+        """With its edit made and ``read`` code points used, a word can go on behind this edge, or ends with it."""
+        rest = F.substring("spelled", read + 1, F.lit(1))
+        return F.when(read == size, edge["n"].isNotNull()).otherwise(edge["nexts"].bitwiseAND(_bit(rest)) != 0)
+    follow = F.transform(F.filter("edges", lambda e: (e["ch"] == here) & ((edits == 0) | leads_on(e, at + 1))), lambda e: state(at + 1, e, edits))
     other = F.filter("edges", lambda e: (e["ch"] != here) | (at == size))
-    insert = F.transform(other, lambda e: state(at, e, one))
-    replace = F.when(at < size, F.transform(other, lambda e: state(at + 1, e, one))).otherwise(none)
+    insert = F.transform(F.filter(other, lambda e: leads_on(e, at)), lambda e: state(at, e, one))
+    replace = F.when(at < size, F.transform(F.filter(other, lambda e: leads_on(e, at + 1)), lambda e: state(at + 1, e, one))).otherwise(none)
     # the word's own code point is skipped: the next one is followed, at a place where it is another one
-    skip = F.when((at + 1 < size) & (here != after), F.transform(F.filter("edges", lambda e: e["ch"] == after), lambda e: state(at + 2, e, one))).otherwise(none)
+    skip = F.when((at + 1 < size) & (here != after),
+                  F.transform(F.filter("edges", lambda e: (e["ch"] == after) & leads_on(e, at + 2)), lambda e: state(at + 2, e, one))).otherwise(none)
     # reading forward the second half of a word is edited, reading backward the first; the mark is one code point
     backward = F.when(F.col("spelled").startswith(BACKWARD), 1).otherwise(0)
     may_edit = (edits == 0) & (at - 1 >= F.floor((size - 1 + backward) / 2))

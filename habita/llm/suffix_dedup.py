@@ -25,7 +25,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import U64, discard, materialize, mix64, parts_for, release, text_rows, total_bytes
+from .common import U64, discard, materialize, mix64, parts_for, release, spare_name, text_rows, total_bytes
 from .suffix_array import permuted_common, suffix_array
 from .tokens import slices
 
@@ -444,12 +444,15 @@ def find_repeats(docs: DataFrame, popular: int = POPULAR, written: list | None =
             .unionByName(copies.select("doc_id", "name", F.lit(None).cast("array<binary>").alias("spans"), F.lit(True).alias("copied"))))
 
 
-def _with_marks(docs: DataFrame, popular: int = POPULAR) -> DataFrame:
+def _with_marks(docs: DataFrame, popular: int = POPULAR) -> tuple[DataFrame, str, str]:
+    """``docs`` with the marks of ``find_repeats`` beside them, and the names of the columns of spans and copies."""
     written: list[DataFrame] = []
     marks = materialize(find_repeats(docs, popular, written), "marks")
     discard(*written)
-    marks = marks.select(F.col("doc_id").alias("mark_id"), F.col("name").alias("mark_name"), "spans", "copied")
-    return docs.join(marks, (docs["doc_id"] == marks["mark_id"]) & (F.xxhash64(docs["text"]) == marks["mark_name"]), "left")
+    own = {c: spare_name(docs, f"mark_{c}") for c in ("id", "name", "spans", "copied")}
+    marks = marks.select(*[F.col(c).alias(own[k]) for c, k in (("doc_id", "id"), ("name", "name"), ("spans", "spans"), ("copied", "copied"))])
+    marked = docs.join(marks, (F.col("doc_id") == F.col(own["id"])) & (F.xxhash64("text") == F.col(own["name"])), "left")
+    return marked.drop(own["id"], own["name"]), own["spans"], own["copied"]
 
 
 def _digest(batches):
@@ -470,23 +473,26 @@ def digest_without_repeats(docs: DataFrame, popular: int = POPULAR) -> DataFrame
     a ``doc_id`` never remove each other's bytes. Extra columns are ignored; an
     empty table gives no rows.
     """
-    return (_with_marks(text_rows(docs), popular).select("doc_id", "text", "spans", "copied")
+    marked, spans, copied = _with_marks(text_rows(docs), popular)
+    return (marked.select("doc_id", "text", F.col(spans).alias("spans"), F.col(copied).alias("copied"))
             .mapInArrow(release(_digest), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages cut out of ``text``, all other columns as they were.
+    """The documents with repeated passages cut out of ``text``, all other columns as they were, whatever their names.
 
     Cuts are made in bytes; what is left of a character cut in two is dropped.
-    ``n_chars``, if there is one, is counted again; no row goes.
+    ``n_chars``, if there is one, is counted again; no row goes. A null text
+    becomes the empty one. Rows with a null ``doc_id`` stay whole; rows that share
+    one never cut each other; an empty table stays empty.
     """
     rows = docs.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
-    marked = _with_marks(rows).drop("mark_id", "mark_name")
+    marked, in_spans, in_copied = _with_marks(rows)
     columns = docs.columns
 
     def run(batches):
         for batch in batches:
-            spans, copied = batch.column("spans").to_pylist(), batch.column("copied").to_pylist()
+            spans, copied = batch.column(in_spans).to_pylist(), batch.column(in_copied).to_pylist()
             texts = [_cut(x.as_py(), s, bool(c))[0].decode("utf-8", "ignore") for x, s, c in zip(batch.column("text").cast(pa.large_binary()), spans, copied)]
             out = batch.select(columns)
             out = out.set_column(out.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from habita.llm.common import materialize
@@ -44,3 +45,17 @@ def test_stages_keep_odd_rows(spark, odd_docs, no_docs):
     assert corpus_pipeline.one_of_each_group(spark, no_docs, SF_SMALL).count() == 0
     assert corpus_pipeline.cut_repeats(spark, no_docs, SF_SMALL).count() == 0
     assert corpus_pipeline.reject_toxic(spark, odd_docs, SF_SMALL).columns == odd_docs.columns
+
+
+def test_columns_of_any_name_pass_through_all_stages(spark, odd_docs):
+    """Names that operators use inside come out as they went in, at every stage."""
+    names = ["_text", "text_hash", "spans", "copied", "mark_id", "mark_spans", "mark_copied", "mark_name", "uid", "score", "component_id", "h", "tie", "keys", "__row"]
+    docs = materialize(odd_docs.select("*", *[F.concat(F.lit(f"{n}-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n)
+                                              for n in names if n not in odd_docs.columns]), "docs")
+    extra = [c for c in docs.columns if c not in ("text", "n_chars")]
+    want = {tuple(r) for r in docs.select(extra).collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, SF_SMALL), name)
+        rows = [tuple(r) for r in docs.select(extra).collect()]
+        assert docs.columns[:len(odd_docs.columns)] == odd_docs.columns and set(rows) <= want and len(rows) > 10, name
+    assert corpus_pipeline.pack(spark, docs, SF_SMALL).count() >= docs.count()
