@@ -11,35 +11,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from habita.llm import packing, parity_join, suffix_dedup, toxicity
-from habita.llm.common import materialize
+from habita.llm.common import materialize, spare_name
 from habita.session import read_table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the toxicity threshold stay, unchanged."""
+    """Documents scored below the toxicity threshold stay, unchanged, columns of any name included.
+
+    A null text is scored like an empty one; each of repeated rows is judged by
+    itself; an empty table stays empty.
+    """
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicate documents the one with the smallest ``doc_id`` stays.
+    """Of each group of near-duplicate documents the one with the smallest ``doc_id`` stays, unchanged.
 
+    Documents without words (null or empty text) have no near copies and stay.
     Rows that repeat a ``doc_id`` and its text count once; rows with a null
-    ``doc_id`` stay.
+    ``doc_id`` stay. Columns may have any name; an empty table stays empty.
     """
     links = parity_join.link_documents(docs)
     kept = links.where("doc_id = component_id").select("doc_id").distinct()
-    known = (docs.join(kept, "doc_id", "left_semi").withColumn("_text", F.xxhash64("text"))
-             .dropDuplicates(["doc_id", "_text"]).select(docs.columns))
+    name = spare_name(docs, "text_hash")
+    known = (docs.join(kept, "doc_id", "left_semi").withColumn(name, F.xxhash64("text"))
+             .dropDuplicates(["doc_id", name]).select(docs.columns))
     return known.unionByName(docs.where("doc_id is null"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 bytes or more that an earlier document has are cut out of ``text``; every document stays."""
+    """Passages of 50 bytes or more that an earlier document has are cut out of ``text``; every document stays.
+
+    A null text becomes the empty one; rows with a null ``doc_id`` stay whole,
+    rows that share one never cut each other. Columns may have any name and stay
+    as they are (``n_chars`` is counted again); an empty table stays empty.
+    """
     return suffix_dedup.remove_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens: one row per piece of a document with its place."""
+    """Sequences of at most 2048 tokens: one row per piece of a document with its place.
+
+    A null or empty text is its end id alone; rows with a null or repeated
+    ``doc_id`` are documents of their own; other columns are left behind; an
+    empty table gives no rows.
+    """
     return packing.pack_documents(docs)
 
 
