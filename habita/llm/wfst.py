@@ -1,19 +1,27 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Compiled from a model file: the normaliser (space to the word mark, a mark in
-front), the pieces, and bytes for characters without a piece. Composed with a
-text they give a lattice: positions are states, an arc reads a piece. A
-merge-built vocabulary does not choose pieces by adding up their scores; its
-segmentation is the one in which every two neighbours are what merging gives
-for their own joined text. That is a condition on pairs, so a bigram acceptor
+Compiled from a model file: the normaliser (its own rewrite rules and white
+space, see ``normaliser``), the pieces with their scores, and bytes for
+characters without a piece. Composed with a text they give a lattice: places of
+the normalised text are states, an arc reads a piece and weighs minus its score
+(a character without a piece ten more than the worst). In the tropical semiring
+the shortest path through it is the segmentation of a unigram model; weights are
+added in 32 bits as the library does, so that it chooses alike among near ties.
+
+A merge-built (BPE) vocabulary does not choose pieces by adding up scores; its
+segmentation is the one in which every two neighbours are what merging gives for
+their own joined text. That is a condition on pairs, so a bigram acceptor
 (weight 0 where a pair may stand together, infinite where not, worked out when
-first met) is composed as well, and the tropical shortest path is the model's
-segmentation: there is exactly one path of finite weight, so it is found by a
-depth-first search for the first accepted path, without weights. Models of other
-types, and normalisers that do more, are rejected. No path crosses a
-place whose two characters stand next to each other in no piece, so texts are
-cut into words, and words at such places, and composed part by part; a worker
-remembers the paths of words and parts seen (a bounded number).
+first met) is composed as well, and states remember the last piece. Exactly one
+path of the composition has finite weight, so the first complete one that a
+depth-first search meets is the shortest (``tropical_path`` relaxes all states
+and gives the same; the tests compare them). No path crosses a place whose two
+characters stand next to each other in no piece, so texts are cut into words,
+and words at such places, and composed part by part; a worker remembers the
+paths of words and parts seen (a bounded number).
+
+Word and character models, user-defined pieces, models without byte fallback and
+with a denormaliser are rejected.
 """
 
 from __future__ import annotations
@@ -27,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import text_rows
+from .normaliser import MARK, Normaliser, rewrite_rules
 from .tokens import slices, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
-MARK = "▁"
 CACHED_WORDS, CACHED_PARTS = 800_000, 600_000
 SLICE = 3 << 20
 
@@ -59,39 +67,50 @@ def _fields(raw: bytes):
         at += size
 
 
-def merge_built(model: bytes) -> bool:
-    """Whether the trainer's specification (field 2) names the model type (field 3) BPE (2); unigram is 1, the default."""
-    return [v for k, spec in _fields(model) if k == 2 for n, v in _fields(spec) if n == 3][-1:] == [2]
+UNIGRAM, BPE = 1, 2             # fixed values: model types, and types of pieces
+NORMAL, UNUSED, BYTE, USER_DEFINED = 1, 5, 6, 4
+PENALTY = np.float32(10)        # fixed value: of a character without a piece, below the worst score
 
 
 class Transducer:
-    """Pieces, byte fallback and pair acceptor of one model file."""
+    """Normaliser, pieces, byte fallback and pair acceptor of one model file."""
 
     def __init__(self, path: str):
         import sentencepiece
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        if not merge_built(model.serialized_model_proto()):
-            raise ValueError("only merge-built (BPE) models are supported")
+        model = sentencepiece.SentencePieceProcessor(model_file=path).serialized_model_proto()
+        message: dict[int, list] = {}
+        for k, v in _fields(model):
+            message.setdefault(k, []).append(v)
+        trainer, normal, denormal = (dict(_fields(message[k][-1])) if k in message else {} for k in (2, 3, 5))
+        self.type = trainer.get(3, UNIGRAM)
+        if self.type not in (UNIGRAM, BPE):
+            raise ValueError("only unigram and merge-built (BPE) models are supported")
+        if not trainer.get(35) or trainer.get(24):
+            raise ValueError("only models with byte fallback and marks before words are supported")
+        if denormal.get(2) or not normal.get(5, 1):
+            raise ValueError("this normaliser is not supported")
         self.id_of: dict[str, int] = {}
-        self.score: dict[str, float] = {}
+        self.score: dict[str, np.float32] = {}
         self.byte_id = [0] * 256
         self.bytes_of: list[bytes] = []
-        for i in range(model.get_piece_size()):
-            piece = model.id_to_piece(i)
-            if model.is_byte(i):
+        for i, raw in enumerate(message.get(1, [])):
+            fields = dict(_fields(raw))
+            piece, kind = fields[1].decode(), fields.get(3, NORMAL)
+            score = np.frombuffer(fields.get(2, bytes(4)), "<f4")[0]
+            if kind == USER_DEFINED:
+                raise ValueError("user-defined pieces are not supported")
+            if kind == BYTE:
                 self.byte_id[int(piece[3:5], 16)] = i
                 self.bytes_of.append(bytes([int(piece[3:5], 16)]))
-            elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
-                self.bytes_of.append(b"")
-            else:
+            elif kind == NORMAL:
                 self.id_of[piece] = i
-                self.score[piece] = model.get_score(i)
+                self.score[piece] = score
                 self.bytes_of.append(piece.encode())
-        # the normaliser that is compiled here: nothing but the word mark
-        for probe in ("a  ééﬁ Ａ b", " x "):
-            if model.normalize(probe) != MARK + probe.replace(" ", MARK):
-                raise ValueError("this normaliser is not supported")
-        if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id_of):
+            else:
+                self.bytes_of.append(b"")
+        self.worst = min(self.score.values(), default=np.float32(0)) - PENALTY
+        self.normalise = Normaliser(rewrite_rules(normal.get(2, b"")), bool(normal.get(3, 1)), bool(normal.get(4, 1)))
+        if self.type == BPE and any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id_of):
             raise ValueError("a piece continues past the end of a word")
         self.begins = {p[:k] for p in self.id_of for k in range(1, len(p) + 1)}
         known = {c for p in self.id_of for c in p}
@@ -138,11 +157,44 @@ class Transducer:
                 out.append(arc)
         return out
 
-    def shortest_path(self, word: str) -> list[int]:
-        """Ids along the path of least weight through the lattice of one word."""
+    def tropical_path(self, text: str) -> list[int]:
+        """Ids along the path of least weight through the lattice of a normalised text.
+
+        States are places (with the last arc where pairs are restricted); every
+        state is relaxed from the left, the first of equal weights stays.
+        """
+        pairs = self.type == BPE
+        best: list[dict] = [{} for _ in range(len(text) + 1)]       # per place: context -> weight, place and context before, arc
+        best[0][""] = (np.float32(0), 0, "", "")
+        for i in range(len(text)):
+            if not best[i]:
+                continue
+            for arc in self._arcs(text, i):
+                weight = np.float32(0) if pairs else -self.score.get(arc, self.worst)
+                there, context = best[i + len(arc)], arc if pairs else ""
+                for last, (before, *_) in best[i].items():
+                    if pairs and last and not self.accepts(last, arc):
+                        continue
+                    total, old = before + weight, there.get(context)
+                    if old is None or total < old[0]:
+                        there[context] = (total, i, last, arc)
+        at, path = len(text), []
+        context = min(best[at], key=lambda c: best[at][c][0])
+        while at:
+            _, at, context, arc = best[at][context]
+            path.append(arc)
+        return self._ids(path[::-1])
+
+    def _ids(self, path: list[str]) -> list[int]:
+        ids: list[int] = []
+        for arc in path:
+            ids += [self.id_of[arc]] if arc in self.id_of else [self.byte_id[b] for b in arc.encode()]
+        return ids
+
+    def only_path(self, word: str) -> list[int]:
+        """Ids along the one path of finite weight through a merge-built lattice, depth first and longest arc first."""
         n, together = len(word), self.together
-        # only one path has finite weight, so the first complete one is shortest: depth first,
-        # longest arc first; a state that leads nowhere is not entered twice
+        # a state that leads nowhere is not entered twice
         path: list[str] = []
         open_arcs, at, dead = [self._arcs(word, 0)], 0, set()
         while at < n:
@@ -164,16 +216,16 @@ class Transducer:
                 open_arcs.pop()
                 dead.add((at, path[-1]))
                 at -= len(path.pop())
-        ids: list[int] = []
-        for arc in path:
-            ids += [self.id_of[arc]] if arc in self.id_of else [self.byte_id[b] for b in arc.encode()]
-        return ids
+        return self._ids(path)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text (none for the empty text)."""
+        text = self.normalise(text)
         if not text:
             return np.empty(0, np.uint32)
-        words = self.words(MARK + text.replace(" ", MARK))
+        if self.type == UNIGRAM:
+            return np.array(self.tropical_path(text), np.uint32)
+        words = self.words(text)
         if len(self.of_word) > CACHED_WORDS:
             self.of_word = {}
         of_word = self.of_word
@@ -191,7 +243,7 @@ class Transducer:
                 part = word[start:k]
                 ids = self.of_part.get(part)
                 if ids is None:
-                    ids = self.of_part[part] = np.array(self.shortest_path(part), self.kind).tobytes()
+                    ids = self.of_part[part] = np.array(self.only_path(part), self.kind).tobytes()
                 out.append(ids)
                 start = k
         return b"".join(out)
@@ -232,7 +284,8 @@ def _encode_all(path: str):
 
 def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     """Per document: number and crc32 (little-endian unsigned 32-bit) of its ids, the SHA-256 of the
-    decoded text, and whether that is the text (the word mark itself reads as a space).
+    decoded text, and whether that is the text (the word mark itself reads as a space; a normaliser
+    that rewrites makes it another one).
 
     Null text is empty and has no ids. Rows with a null or repeated ``doc_id``
     each get a row; extra columns are ignored; an empty table gives no rows.

@@ -174,20 +174,85 @@ def test_pieces_equal_the_library():
         assert t.decode(ids) == x.replace("▁", " ") == sp.decode(ids.tolist()).replace("▁", " ") or "▁" in x, x
 
 
-def test_other_model_types_are_rejected(tmp_path):
+def piece_model(path, kind, pieces, rules="identity", tidy=False, front=True, fallback=True, extra=()):
+    """A model file put together by hand (nothing is trained): pieces with scores, bytes, and a stock normaliser."""
     import sentencepiece
-    rnd = random.Random(1)
-    texts = [" ".join(rnd.choice(["one", "two", "three", "four", "seven"]) for _ in range(9)) for _ in range(200)]
-    for kind in ("unigram", "char", "bpe"):
-        path = str(tmp_path / kind)
-        sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(texts), model_prefix=path, model_type=kind, vocab_size=300, hard_vocab_limit=False, byte_fallback=kind != "char",
-                                                 normalization_rule_name="identity", remove_extra_whitespaces=False, minloglevel=2)
-        if kind == "bpe":
-            sp, t = sentencepiece.SentencePieceProcessor(model_file=path + ".model"), wfst.Transducer(path + ".model")
-            assert all(t.encode(x).tolist() == sp.encode(x) for x in texts)
-        else:
-            with pytest.raises(ValueError, match="merge-built"):
-                wfst.Transducer(path + ".model")
+    from sentencepiece import sentencepiece_model_pb2 as proto
+    stock = sentencepiece.SentencePieceNormalizer(rule_name=rules, add_dummy_prefix=front, remove_extra_whitespaces=tidy)
+    m = proto.ModelProto.FromString(stock.serialized_model_proto())
+    del m.pieces[:]
+    for name, type_ in (("<unk>", 2), ("<s>", 3), ("</s>", 3)):
+        m.pieces.add(piece=name, score=0, type=type_)
+    for b in range(256 if fallback else 0):
+        m.pieces.add(piece="<0x%02X>" % b, score=0, type=6)
+    for piece, score in pieces:
+        m.pieces.add(piece=piece, score=score, type=1)
+    for piece, type_ in extra:
+        m.pieces.add(piece=piece, score=0, type=type_)
+    m.trainer_spec.model_type, m.trainer_spec.byte_fallback = kind, fallback
+    m.trainer_spec.unk_id, m.trainer_spec.bos_id, m.trainer_spec.eos_id = 0, 1, 2
+    with open(path, "wb") as f:
+        f.write(m.SerializeToString())
+    return str(path)
+
+
+MIXED = ["  Hello   world ", "the theme there", "ﬁne ﬁsh Ａｂｃ １２", "naïve é ñ", "日本語 \U0001F600 x", "tab\there\nline", "", "   ", "▁mark", "　wide　space　"]
+
+
+def mixed_texts(seed):
+    rnd = random.Random(seed)
+    alphabet = list("abcdethri   \n\tﬁＡé１.̈日▁") + ["the", " the", "re"]
+    return MIXED + ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 80))) for _ in range(600)]
+
+
+@pytest.mark.parametrize("rules, tidy, front", [("identity", False, True), ("nmt_nfkc", True, True), ("nfkc_cf", True, False), ("nfkc", False, False)])
+def test_unigram_models_equal_the_library(tmp_path, rules, tidy, front):
+    """Pieces by score: shortest paths with ties, unknown characters and every stock normaliser."""
+    import sentencepiece
+    rnd = random.Random(3)
+    marks = ["▁" + x for x in ("t", "th", "the", "there", "h", "a", "ab", "abc", "")]
+    pieces = {p: -rnd.choice([1.0, 2.0, 2.5, 3.25, 7.1, 9.9]) for p in marks + list("abcdethri.123") + ["he", "re", "er", "the", "there", "bc", "cd", "ab", "é", "fi", "fin", "t▁h"]}
+    path = piece_model(tmp_path / "m.model", 1, pieces.items(), rules, tidy, front)
+    sp, t = sentencepiece.SentencePieceProcessor(model_file=path), wfst.Transducer(path)
+    for x in mixed_texts(1) + ["abcdethri the there " * 400]:
+        assert t.encode(x).tolist() == sp.encode(x), x
+
+
+@pytest.mark.parametrize("rules, tidy", [("identity", False), ("nmt_nfkc", True)])
+def test_merge_built_models_with_a_normaliser_equal_the_library(tmp_path, rules, tidy):
+    import sentencepiece
+    merges = ["th", "he", "the", "re", "▁t", "▁th", "▁the", "er", "ere", "ab", "bc", "abc", "cd", "▁▁", "fi", "in", "11"]
+    pieces = [(m, -float(k)) for k, m in enumerate(merges)] + [(c, -100.0 - k) for k, c in enumerate("▁abcdethrifn1é.")]
+    path = piece_model(tmp_path / "m.model", 2, pieces, rules, tidy)
+    sp, t = sentencepiece.SentencePieceProcessor(model_file=path), wfst.Transducer(path)
+    for x in mixed_texts(2):
+        assert t.encode(x).tolist() == sp.encode(x), x
+
+
+def test_relaxing_all_states_gives_the_only_path():
+    t, rnd = wfst.Transducer(tokenizer_path(wfst.MODEL)), random.Random(6)
+    words = ["▁" + "".join(rnd.choice("abcdefghinorstue") for _ in range(rnd.randrange(1, 14))) for _ in range(300)] + ["▁internationalisation", "日本語", "▁x\u0301y"]
+    for w in words:
+        assert t.tropical_path(w) == t.only_path(w), w
+
+
+def test_normalisers_equal_the_library():
+    import sentencepiece
+    from habita.llm.normaliser import Normaliser, rewrite_rules
+    for rules in ("nmt_nfkc", "nfkc_cf", "identity"):
+        for tidy in (True, False):
+            stock = sentencepiece.SentencePieceNormalizer(rule_name=rules, add_dummy_prefix=True, remove_extra_whitespaces=tidy)
+            spec = [dict(wfst._fields(v)) for k, v in wfst._fields(stock.serialized_model_proto()) if k == 3][0]
+            own = Normaliser(rewrite_rules(spec.get(2, b"")), True, tidy)
+            for x in mixed_texts(4) + ["각 한 \u1100\u1161\u11a8 ① ㌀ ͅ ſ İ"]:
+                assert own(x) == stock.Normalize(x), (rules, x)
+
+
+def test_other_models_are_rejected(tmp_path):
+    pieces = [("a", -1.0), ("▁", -2.0)]
+    for kind, fallback, extra in ((3, True, ()), (4, True, ()), (1, False, ()), (2, True, (("own", 4),))):
+        with pytest.raises(ValueError, match="supported"):
+            wfst.Transducer(piece_model(tmp_path / "m.model", kind, pieces, fallback=fallback, extra=extra))
 
 
 def test_transducer_query(odd_docs, no_docs):
