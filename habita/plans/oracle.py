@@ -245,6 +245,13 @@ def listing_oracles() -> dict[str, str]:
         "SELECT source, count(DISTINCT listing_url) AS n_rows, 'store' AS sink FROM clean WHERE listing_url IS NOT NULL GROUP BY source")
     q["load_metrics"] = with_listings(
         "SELECT count(*) AS n_read, count(*) - count(listing_url) AS n_no_key, count(DISTINCT listing_url) AS n_written FROM clean")
+    first, last = "scraped_at < '1994-07-01'", "scraped_at >= '1994-07-01' AND scraped_at < '1996-07-01'"
+    stored = f"(SELECT count(DISTINCT listing_url) FROM clean WHERE {first})"
+    added = f"(SELECT count(DISTINCT listing_url) FROM clean WHERE {last} AND listing_url NOT IN (SELECT listing_url FROM clean WHERE {first} AND listing_url IS NOT NULL))"
+    q["load_skips_failing_batch"] = with_listings(
+        f"SELECT CAST(b AS INTEGER) AS batch_id, n_read, n_written, b = 2 AS failed FROM (SELECT 0 AS b, (SELECT count(*) FROM clean WHERE {first}) AS n_read, {stored} AS n_written "
+        "UNION ALL SELECT 1, 0, 0 UNION ALL SELECT 2, (SELECT count(*) FROM clean WHERE scraped_at >= '1996-07-01'), 0 "
+        f"UNION ALL SELECT 3, (SELECT count(*) FROM clean WHERE {last}), {added} UNION ALL SELECT -1, {stored} + {added}, 0) x")
     q["processed_at_injected"] = with_listings("SELECT msg_id, '2024-05-01 10:00:00' AS processed_at FROM clean")
     at = lambda k: f"min(CASE WHEN rn >= ({k} * n + 3) // 4 THEN price END)"        # noqa: E731
     q["price_quartiles_exact"] = with_listings(

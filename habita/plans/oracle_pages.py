@@ -330,4 +330,7 @@ def _coin_igoe_oracles(e4: str) -> dict[str, str]:
         f"CASE WHEN {k} % 4 IN (0, 1) THEN '[' || {img} || '/i.jpg, ' || {img} || '/j.jpg]' "
         f"WHEN {k} % 2 = 0 THEN '[' || {img} || '/i.jpg]' ELSE '[]' END AS image_urls, "
         f"'igoeimmobilier' AS source FROM orders WHERE {k} % 9 <> 4 AND {k} % 101 <> 100) a) b")
+    q["site_items_to_lake"] = (
+        "SELECT listing_url, '1970-01-01T00:00:00' AS scraped_at, source, TRY_CAST(price AS BIGINT) AS price "
+        f"FROM ({q['site_igoe_extract']}) i WHERE TRY_CAST(price AS BIGINT) > 0 AND city IS NOT NULL")
     return q

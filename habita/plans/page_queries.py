@@ -18,6 +18,7 @@ from ..session import read_table
 from ..sources.adapters import customer_location_texts, customer_price_texts
 from ..sources.api import api_documents_from_part, flatten_api
 from ..sources.pages import ajax_cards, ajax_envelopes_from_pages, link_cards
+from ..sources.wire import lenient_schema, parse_wire, to_wire
 from . import common
 
 # The host allow-list used by the pages query.
@@ -215,7 +216,10 @@ def first_per_crawl_q(spark, sf_dir):
     return first.select("crawl", "listing_url", "page_id", "pos", "title")
 
 
-def _site_extract(spark, sf_dir, site, by_ajax=False):
+CRAWLED_AT = "1970-01-01T00:00:00"
+
+
+def _site_items(spark, sf_dir, site, by_ajax=False):
     """Site rules E1-E26 + J1 + A5 over pages rendered from ``orders``. ``by_ajax``: every
     second list page arrives in a 'load more' response (S7)."""
     from ..operators.sites import extract_site
@@ -227,13 +231,23 @@ def _site_extract(spark, sf_dir, site, by_ajax=False):
     if by_ajax:
         ajax = lists.where("page_id % 2 = 1").select("page_id", "url", F.to_json(F.struct("html", F.lit("more").alias("loadmore"))).alias("response"))
         lists = lists.where("page_id % 2 = 0")
-    items = extract_site(site, lists, details, F.lit("1970-01-01T00:00:00"), ajax=ajax)
-    return items.select("listing_url", "listing_id", "title", "price", "address", "neighborhood", "city",
+    return extract_site(site, lists, details, F.lit(CRAWLED_AT), ajax=ajax)
+
+
+def _site_extract(spark, sf_dir, site, by_ajax=False):
+    return _site_items(spark, sf_dir, site, by_ajax).select("listing_url", "listing_id", "title", "price", "address", "neighborhood", "city",
                         "property_type", "offer_type", "bedrooms", "wc_interne", "square_footage",
                         "description", "legal_doc", F.col("image_urls").cast("string").alias("image_urls"),
                         "source")
 
 
+def site_items_to_lake(spark, sf_dir):
+    """A site's items with their crawl instant, as wire messages, cleaned like any others."""
+    items = to_wire(_site_items(spark, sf_dir, "igoe"))
+    kept = clean_listings(parse_wire(items, schema=lenient_schema()), mode="lenient")
+    return kept.select("listing_url", "scraped_at", "source", "price")
+
+
 def site_intendance_ajax(spark, sf_dir):
     return _site_extract(spark, sf_dir, "intendance", by_ajax=True)
 

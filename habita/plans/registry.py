@@ -67,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "site_intendance_ajax": pq.site_intendance_ajax,
         "site_coinafrique_extract": pq.site_coinafrique_extract,
         "site_igoe_extract": pq.site_igoe_extract,
+        "site_items_to_lake": pq.site_items_to_lake,
         "stream_to_lake": sq.stream_to_lake,
         "stream_batch_dedup": sq.stream_batch_dedup,
         "stream_watermark_dedup": sq.stream_watermark_dedup,

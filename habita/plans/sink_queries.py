@@ -88,6 +88,29 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("n_read", "n_no_key", "n_written")])
 
 
+class _RefusesOnce(ParquetTarget):
+    """A store that is down while the batch of one crawl is loaded."""
+    down = False
+
+    def append(self, df: DataFrame) -> None:
+        if self.down:
+            raise ConnectionError("store down")
+        super().append(df)
+
+
+def load_skips_failing_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch, an empty one, one that fails and is dropped (the original policy), one that follows; what each reports and the store holds."""
+    target = _RefusesOnce(scratch_path(spark, "dw"), key_buckets=KEY_BUCKETS)
+    rows = common.clean(spark, sf_dir, keep=())
+    said = []
+    for k, crawl in enumerate(("scraped_at < '1994-07-01'", "false", "scraped_at >= '1996-07-01'", "scraped_at >= '1994-07-01' and scraped_at < '1996-07-01'")):
+        target.down = k == 2
+        m = load_batch(rows.where(crawl), target, batch_id=k, on_error="skip")
+        said.append((k, m["read"], 0 if m["error"] else m["written"], m["error"] is not None))
+    said.append((-1, target.read(spark).count(), 0, False))
+    return spark.createDataFrame(said, "batch_id int, n_read long, n_written long, failed boolean")
+
+
 def processed_at_injected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processing instant as the caller gives it."""
     c = clean_listings(common.parsed(spark, sf_dir, fields=["listing_id", "price", "city"]), processed_at=F.lit(INSTANT).cast("timestamp"), keep=["msg_id"])
@@ -95,4 +118,4 @@ def processed_at_injected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SINK_QUERIES = {f.__name__: f for f in (curated_zone_refresh, lake_compact, csv_feed_roundtrip, wire_roundtrip, serving_view_sql,
-                                        fanout_both_sinks, load_metrics, processed_at_injected)}
+                                        fanout_both_sinks, load_metrics, load_skips_failing_batch, processed_at_injected)}

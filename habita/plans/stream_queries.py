@@ -11,11 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
+from ..sinks import files
 from ..sinks.warehouse import ParquetTarget
 from ..streaming.job import clean_stream, start_lake, start_warehouse, watermark_dedup
 from . import common
 
-BYTES_PER_TRIGGER = 2 << 20       # several micro-batches on the test tables; sized to the cluster in a deployment
+MICRO_BATCHES = 6                 # that a staged backlog is drained in
+LEAST_BYTES = 1 << 20             # of a micro-batch
 DRAIN = {"availableNow": True}
 # the crawl history spans under ten years: a URL re-sent within it is a copy
 WATERMARK_DELAY = "3650 days"
@@ -31,7 +33,9 @@ def _stage(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def _stream(spark: SparkSession, base: str) -> DataFrame:
-    return clean_stream(spark, source="files", path=f"{base}/in", max_bytes=BYTES_PER_TRIGGER)
+    """The staged backlog in several micro-batches, whatever its size (a deployment bounds a batch by what its cores do in a trigger)."""
+    bound = max(LEAST_BYTES, -(-files.total_bytes(spark, f"{base}/in") // MICRO_BATCHES))
+    return clean_stream(spark, source="files", path=f"{base}/in", max_bytes=bound)
 
 
 def stream_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 S = T.StringType()
 
-# Wire message: one JSON object per listing; every field nullable.
+# Names and types of the wire message, one JSON object per listing; every field nullable.
 LISTING_RAW = T.StructType([
     T.StructField("listing_id", S),
     T.StructField("title", S),
@@ -82,7 +82,7 @@ LISTING_DW_DDL = """CREATE TABLE IF NOT EXISTS {table} (
 
 DW_KEY = "listing_url"
 
-# GraphQL API response: data.getAllProperties.data[] of nested objects.
+# The GraphQL API response, data.getAllProperties.data[] of nested objects.
 _NAMED = T.StructType([T.StructField("denomination", S)])
 API_PROPERTY = T.StructType([
     T.StructField("id", S),

@@ -23,6 +23,11 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(_path(spark, folder)))
 
 
+def total_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below a folder."""
+    return _fs(spark, folder).getContentSummary(_path(spark, folder)).getLength()
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     stream = _fs(spark, path).open(_path(spark, path))
     try:

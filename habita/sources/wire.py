@@ -38,6 +38,20 @@ def parse_wire(df: DataFrame, value_col: str = "value", *, keep=(),
 
 # Fixed value: messages per micro-batch of the original job.
 COMPAT_INTAKE = 500
+# Messages per micro-batch of a topic unless the caller says otherwise: a first run does not take the whole backlog at once.
+KAFKA_INTAKE = 1_000_000
+
+
+def kafka_options(bootstrap: str, topic: str, max_per_trigger: int | None = None, starting: str = "earliest", fail_on_data_loss: bool = False) -> dict[str, str]:
+    """Reader options of one topic (T3-T5): the bound on a micro-batch, where to start, and going on when offsets are gone.
+
+    ``max_per_trigger``: messages per micro-batch; none: ``KAFKA_INTAKE``; 0: no bound.
+    """
+    options = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": str(fail_on_data_loss).lower()}
+    bound = KAFKA_INTAKE if max_per_trigger is None else max_per_trigger
+    if bound:
+        options["maxOffsetsPerTrigger"] = str(bound)
+    return options
 
 
 def wire_stream(spark: SparkSession, *, source: str = "files", path: str | None = None,
@@ -48,21 +62,16 @@ def wire_stream(spark: SparkSession, *, source: str = "files", path: str | None
 
     source='kafka' subscribes one topic (needs the Kafka connector on the
     classpath); source='files' reads newline-delimited messages from ``path``.
-    A micro-batch takes all there is unless ``max_per_trigger`` (offsets or
-    files; ``COMPAT_INTAKE`` is the original job's) or ``max_bytes`` (files:
-    bytes, so batches do not shrink with the files) bounds it.
+    From files a micro-batch takes all there is unless ``max_per_trigger``
+    (files) or ``max_bytes`` (so batches do not shrink with the files) bounds
+    it; from a topic it takes ``max_per_trigger`` messages, ``KAFKA_INTAKE`` by
+    default (``COMPAT_INTAKE`` is the original job's).
     """
     if source == "kafka":
-        reader = (spark.readStream.format("kafka")
-                  .option("kafka.bootstrap.servers", bootstrap)
-                  .option("subscribe", topic)
-                  .option("startingOffsets", starting)
-                  .option("failOnDataLoss", str(fail_on_data_loss).lower()))
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
-        for k, v in (extra_options or {}).items():
-            reader = reader.option(k, v)
-        return reader.load().select(F.col("value").cast("string").alias("value"))
+        if max_bytes:
+            raise ValueError("a topic's micro-batch is bounded by messages (max_per_trigger), not by bytes")
+        options = kafka_options(bootstrap, topic, max_per_trigger, starting, fail_on_data_loss) | (extra_options or {})
+        return spark.readStream.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
     if source == "files":
         reader = spark.readStream.format("text")
         if max_bytes:

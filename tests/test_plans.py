@@ -3,9 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from habita.plans import registry
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
+PYTHON = ["MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas", "PythonUDF"]
+# queries that read page markup: element rules run where the pages are read, in batches
+READS_PAGES = {"page_cards", "page_listing_keys", "page_title", "page_ad_text", "page_detail_join", "ajax_cards", "first_per_crawl",
+               "site_intendance_extract", "site_intendance_ajax", "site_coinafrique_extract", "site_igoe_extract", "site_items_to_lake"}
 
 
 def plan_of(df) -> str:
@@ -17,6 +22,9 @@ def test_no_pair_joins_and_no_python_rows(spark, name):
     plan = plan_of(E.queries()[name](spark, SF_SMALL))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
+    if name in registry.queries():          # the core: nothing but the element rules leaves the JVM
+        used = {op for op in PYTHON if op in plan}
+        assert used == ({"MapInPandas"} if name in READS_PAGES else set()), name
 
 
 def test_flagship_shape(spark):
