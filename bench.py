@@ -24,6 +24,7 @@ HEADLINE = [
     "reject_reasons",            # one-pass reject accounting
     "dedup_latest_per_url",      # A1 on the whole stream
     "upsert_insert_if_absent",   # D1 keyed load plan
+    "insert_by_filter",          # D1 against a stored table (Bloom filters, then the keys)
     "page_cards",                # HTML card extraction
     "page_detail_join",          # card ⨝ detail (J1)
     "site_intendance_extract",   # per-site card + detail rules over rendered pages
