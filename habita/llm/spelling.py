@@ -9,7 +9,8 @@ its own code point, leaves the path with one edit; with one edit it only
 follows. A state that has used its whole word and one edit at the end of a word
 has found a neighbour. An edit is made only where word and path first differ.
 Words stand in the trie in both directions and are edited in their second half
-only, as near the root every edit leads on for several levels.
+only, as near the root every edit leads on for several levels; a state is made
+only if the letter it needs next goes on from its node.
 
 Words longer than ``LONGEST`` would need as many rounds: they meet instead under
 the hashes of what is left when one code point is taken out, counted in
