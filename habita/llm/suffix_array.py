@@ -2,7 +2,8 @@
 
 Suffixes are classed as smaller (S) or larger (L) than the one after them. The
 substrings between leftmost S suffixes are sorted by one induction, named, and
-the string of names is sorted by recursion; a second induction from the sorted
+the string of names, without what names that occur once decide, is sorted by
+recursion; a second induction from the sorted
 leftmost S suffixes gives the array. An induction visits buckets in order and
 moves a bucket's waiting suffixes together: the predecessors that fall into the
 same bucket form its next wave. Where buckets are small - the names of a recursion
@@ -11,6 +12,8 @@ are many - suffixes are induced one by one instead, in the same order.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 SMALL = 32          # suffixes per bucket on average, below which they are induced one by one
@@ -102,21 +105,51 @@ def _induce_singly(t: np.ndarray, smaller: np.ndarray, leftmost: np.ndarray, sym
     several = np.bincount(t[leftmost], minlength=symbols)
     nth = np.arange(len(seeds)) - np.repeat(np.cumsum(several) - several, several)
     sa[(end - several)[t[seeds]] + nth] = seeds             # at the ends of their buckets, in order
-    sa, t, smaller = sa.tolist(), t.tolist(), smaller.tolist()
+    # bucket of the suffix before each one if that is L (or S), else -1; the place -1 stands for nothing
+    before = np.concatenate([[-1], t[:-1].astype(np.int64), [-1]])
+    is_large = np.concatenate([[False], ~smaller[:-1], [False]])
+    to_head, to_tail, sa = (array("q", x.tobytes()) for x in (np.where(is_large, before, -1), np.where(is_large, -1, before), sa))
     head = np.concatenate([[0], end[:-1]]).tolist()
-    for i in sa:                                            # the list grows ahead of the loop
-        if i > 0 and not smaller[i - 1]:
-            c = t[i - 1]
-            sa[head[c]] = i - 1
-            head[c] += 1
+    for i in sa:                        # the list is filled ahead of the loop
+        c = to_head[i]
+        if c >= 0:
+            at = head[c]
+            sa[at] = i - 1
+            head[c] = at + 1
     tail = end.tolist()
-    for k in range(n - 1, -1, -1):
-        i = sa[k] - 1
-        if i >= 0 and smaller[i]:
-            c = t[i]
-            tail[c] -= 1
-            sa[tail[c]] = i
-    return np.array(sa, np.int32 if n < 1 << 31 else np.int64)
+    for i in reversed(sa):
+        c = to_tail[i]
+        if c >= 0:
+            tail[c] = at = tail[c] - 1
+            sa[at] = i - 1
+    return np.frombuffer(sa, np.int64).astype(np.int32 if n < 1 << 31 else np.int64)
+
+
+def _order_of_names(reduced: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a string of names, by recursion on what the names alone do not decide.
+
+    A name that occurs once ends every comparison. So of each run of such names
+    the first is kept, behind the repeated names that it ends, and the shorter
+    string sorts its suffixes like the whole one.
+    """
+    count = np.bincount(reduced)
+    once = count[reduced] == 1
+    keep = ~once
+    keep[1:] |= ~once[:-1]
+    keep[-1] = True                     # the end mark's name, the smallest
+    kept = np.nonzero(keep)[0]
+    distinct, short = np.unique(reduced[kept], return_inverse=True)
+    repeated = kept[suffix_array(short, len(distinct))]
+    repeated = repeated[~once[repeated]]            # in order, hence by name
+    start = np.cumsum(count) - count
+    out = np.empty(len(reduced), np.int64)
+    out[start[reduced[once]]] = np.nonzero(once)[0]
+    name = reduced[repeated]
+    first = np.concatenate([[True], name[1:] != name[:-1]]) if len(name) else np.empty(0, bool)
+    at = np.nonzero(first)[0]
+    nth = np.arange(len(name)) - np.repeat(at, np.diff(np.append(at, len(name))))
+    out[start[name] + nth] = repeated
+    return out
 
 
 def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
@@ -153,8 +186,7 @@ def suffix_array(t: np.ndarray, symbols: int) -> np.ndarray:
     reduced[nth[order]] = name
     if name[-1] + 1 == len(leftmost):
         return induce(t, smaller, order, symbols)
-    sub = suffix_array(reduced, int(name[-1]) + 1)
-    return induce(t, smaller, leftmost[sub], symbols)
+    return induce(t, smaller, leftmost[_order_of_names(reduced)], symbols)
 
 
 def permuted_common(t: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
