@@ -1,6 +1,6 @@
 """Registered queries on crawl waves: state that leaves, late rows, restarts.
 
-The wire messages of ``orders`` arrive in one wave per year of crawl. Waves are
+The wire messages of ``orders`` arrive in one wave per year (or two) of crawl. Waves are
 published one after the other and the streaming job drains each in a run of its
 own from the same checkpoint, as a scheduled job does; so a run starts with the
 watermark of the last one, and what left the state in between is gone. A wave
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.clean import clean_listings
 from ..session import scratch_path
+from ..sinks import files
 from ..sources.wire import parse_wire
 from ..streaming.job import clean_stream, start_lake, watermark_dedup
 from ..streaming.prices import price_changes
@@ -28,28 +29,25 @@ LATE_WAVES = 2                  # sellers that deliver late do so by so many wav
 IS_LATE = "o_custkey % 11 = 0"
 
 
-def _waves(spark: SparkSession, sf_dir: str, name: str, late: bool):
+def _waves(spark: SparkSession, sf_dir: str, name: str, late: bool, years: int):
     """Messages by wave, written once; yields the input path after each wave is published."""
     base = scratch_path(spark, name)
-    wave = F.year("o_orderdate") + (F.when(F.expr(IS_LATE), LATE_WAVES).otherwise(0) if late else 0)
+    year = F.year("o_orderdate") + (F.when(F.expr(IS_LATE), LATE_WAVES).otherwise(0) if late else 0)
+    wave = year - year % years
     by_wave = common.wire(spark, sf_dir, wave.alias("wave"))
     by_wave.write.partitionBy("wave").text(f"{base}/staged")
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path(f"{base}/in"))
-    waves = sorted(s.getPath().getName() for s in fs.listStatus(path(f"{base}/staged")) if s.isDirectory())      # one per year
+    waves = [n for n in files.names_in(spark, f"{base}/staged") if n.startswith("wave=")]      # one per year or two
     for w in waves:
-        if not fs.rename(path(f"{base}/staged/{w}"), path(f"{base}/in/{w.replace('=', '-')}")):
-            raise OSError(f"wave {w} could not be published")
+        files.move(spark, f"{base}/staged/{w}", f"{base}/in/{w.replace('=', '-')}")
         yield base
     if not waves:
         raise ValueError("no messages")
 
 
-def _drain_waves(spark: SparkSession, sf_dir: str, name: str, table, late: bool) -> str:
+def _drain_waves(spark: SparkSession, sf_dir: str, name: str, table, late: bool, years: int = 1) -> str:
     """Run the streaming query ``table(clean)`` once per wave into a lake; the base folder (in, lake, ckpt)."""
     base = None
-    for base in _waves(spark, sf_dir, name, late):
+    for base in _waves(spark, sf_dir, name, late, years):
         clean = clean_stream(spark, source="files", path=f"{base}/in/*")
         with rocksdb_state(spark):
             start_lake(table(clean), f"{base}/lake", f"{base}/ckpt", trigger=DRAIN).awaitTermination()
@@ -71,7 +69,7 @@ def stream_window_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_crawl_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spells of repeated sightings per URL that have closed."""
-    base = _drain_waves(spark, sf_dir, "waves-session", lambda clean: crawl_sessions(clean, DELAY, SESSION_GAP), late=False)
+    base = _drain_waves(spark, sf_dir, "waves-session", lambda clean: crawl_sessions(clean, DELAY, SESSION_GAP), late=False, years=2)
     return spark.read.parquet(f"{base}/lake").select("listing_url", _text("first_seen"), _text("closed_at"), "n_seen")
 
 
@@ -84,7 +82,7 @@ def stream_dedup_evicting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 across batches: listings and price changes per URL, one run per wave from one checkpoint."""
-    base = _drain_waves(spark, sf_dir, "waves-price", lambda clean: price_changes(clean, DELAY, PRICE_TTL_DAYS), late=False)
+    base = _drain_waves(spark, sf_dir, "waves-price", lambda clean: price_changes(clean, DELAY, PRICE_TTL_DAYS), late=False, years=2)
     return spark.read.parquet(f"{base}/lake").select("listing_url", _text("seen_at"), "old_price", "new_price")
 
 
