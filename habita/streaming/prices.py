@@ -9,17 +9,26 @@ listing. A timer in event time drops the state of URLs that are not seen again.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .windows import with_event_time
 
+EPOCH = datetime(1970, 1, 1)
 CHANGES = "listing_url string, seen_at timestamp, old_price long, new_price long"
 
 
+def _instant(ms: int) -> datetime:
+    """As Arrow takes it: without a zone, in UTC."""
+    return EPOCH + timedelta(milliseconds=ms)
+
+
 class LatestPrice(StatefulProcessor):
+    """A URL's rows of one batch cost one read and one write of its state. Its timer is set when the URL gets
+    its state and moves on only when it fires, not with every message."""
+
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
@@ -27,28 +36,28 @@ class LatestPrice(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("held", "seen_ms long, price long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.held.get() if self.held.exists() else None
-        before, out = held, []
-        seen = pd.concat(rows, ignore_index=True).sort_values(["event_ms", "price"], kind="stable")
-        for at, price in zip(seen["event_ms"].tolist(), seen["price"].tolist()):
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        before = held = self.held.get()
+        for at, price in sorted((r["event_ms"], r["price"]) for r in rows):
             if held is not None and at < held[0]:
                 continue                                    # older than what is known
             gone = held is None or at - held[0] > self.ttl_ms
             if gone or price != held[1]:
-                out.append((key[0], pd.Timestamp(at, unit="ms"), None if gone else held[1], price))
+                yield Row(listing_url=key[0], seen_at=_instant(at), old_price=None if gone else held[1], new_price=price)
             held = (at, price)
         if held != before:
-            if before is not None:
-                self.handle.deleteTimer(before[0] + self.ttl_ms)
             self.held.update(held)
-            self.handle.registerTimer(held[0] + self.ttl_ms)
-        yield pd.DataFrame(out, columns=["listing_url", "seen_at", "old_price", "new_price"]).astype({"old_price": "Int64", "new_price": "Int64"})
+            if before is None:
+                self.handle.registerTimer(held[0] + self.ttl_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.held.get() if self.held.exists() else None
-        if held is not None and held[0] + self.ttl_ms <= expiredTimerInfo.getExpiryTimeInMs():
-            self.held.clear()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.held.get()
+        if held is not None:
+            due = held[0] + self.ttl_ms
+            if due <= timerValues.getCurrentWatermarkInMs():
+                self.held.clear()
+            else:
+                self.handle.registerTimer(due)              # seen again since the timer was set
         return iter([])
 
     def close(self) -> None:
@@ -65,5 +74,5 @@ def price_changes(clean: DataFrame, delay: str, ttl_days: int) -> DataFrame:
     """
     rows = (with_event_time(clean).where("listing_url is not null and event_time is not null").withWatermark("event_time", delay)
             .select("listing_url", "event_time", F.unix_millis("event_time").alias("event_ms"), "price"))
-    return rows.groupBy("listing_url").transformWithStateInPandas(
+    return rows.groupBy("listing_url").transformWithState(
         LatestPrice(ttl_days * 86_400_000), CHANGES, outputMode="Append", timeMode="EventTime")
