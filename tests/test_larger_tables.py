@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Row
 
+from habita.functions import dom
+from habita.operators.sites import cards
 from habita.streaming.prices import LatestPrice
 
 DAY = 86_400_000
@@ -67,3 +72,43 @@ def test_a_known_url_costs_one_read_and_one_write_of_its_state():
     assert held.value == (5 * DAY, 90) and held.timers[-1] == 15 * DAY
     list(p.handleExpiredTimer(("u",), _At(15 * DAY), _At(15 * DAY)))
     assert held.value is None
+
+
+def _card_rows(spark, monkeypatch):
+    """The function that reads cards from Arrow batches."""
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, schema: f)
+    return cards(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string"), "coinafrique")
+
+
+def _batch(pages: int, cards_a_page: int):
+    card = '<div class="ad__card"><a class="ad__card-image" href="/a"><img class="ad__card-img" src="i"></a><p class="title"><a href="/a">t<br>u</a></p></div>'
+    return pa.RecordBatch.from_pydict({"page_id": pa.array([None, *range(2**53 + 1, 2**53 + pages)], pa.int64()), "url": ["https://x.example/"] * pages,
+                                       "__html": [card * cards_a_page] * pages})
+
+
+def test_rows_of_pages_are_handed_on_in_bounded_pieces(spark, monkeypatch):
+    run, parsed = _card_rows(spark, monkeypatch), []
+    parse = dom.parse
+    monkeypatch.setattr(dom, "parse", lambda html: parsed.append(1) or parse(html))
+    sizes, ids = [], []
+    for piece in run(iter([_batch(1000, 5)])):
+        sizes.append((piece.num_rows, len(parsed)))
+        ids += piece.column("page_id").to_pylist()
+    assert sum(n for n, _ in sizes) == 5000 and max(n for n, _ in sizes) <= dom.ROWS_AT_ONCE
+    assert sizes[0][1] <= dom.PAGES_AT_ONCE                 # the first rows go before the next pages are read
+    assert ids[:6] == [None] * 5 + [2**53 + 1] and ids[-1] == 2**53 + 999
+    assert [p.num_rows for p in run(iter([_batch(1, 5000)]))] == [2048, 2048, 904]       # one long page
+    assert [tuple(r.values()) for p in run(iter([_batch(1, 1)])) for r in p.to_pylist()] == [
+        (None, "https://x.example/", 0, "https://x.example/a", None, "t", None, None, ["i"])]
+
+
+def test_pages_that_are_done_with_do_not_wait_for_a_collection(spark, monkeypatch):
+    run = _card_rows(spark, monkeypatch)
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in run(iter([_batch(50, 20)])):
+            pass
+        assert gc.collect() < 500
+    finally:
+        gc.enable()
