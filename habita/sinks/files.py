@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,19 @@ def _fs(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+@contextlib.contextmanager
+def unsorted_writes(spark: SparkSession, writers: int):
+    """Writes inside keep up to ``writers`` partition folders of a task open at once and do not sort their rows by folder
+    (a task with more folders sorts the rest)."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, writers)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def names_in(spark: SparkSession, folder: str) -> list[str]:
     """Names of what a folder holds; a folder that is not there holds nothing."""
     fs = _fs(spark, folder)

@@ -32,21 +32,30 @@ def compact(spark: SparkSession, src_path: str, dst_path: str, rows_per_file: in
     """Rewrite the small files of a streaming lake into few large ones.
 
     Each partition value gets as many writers as its own rows need, however much
-    of the lake it holds: rows are dealt by (partition columns, hash of
-    ``spread_col`` mod that number). The hash is deterministic, so a retried
-    task rebuilds exactly the same file.
+    of the lake it holds: its rows are dealt by the hash of ``spread_col`` among
+    tasks of its own. So a task writes one file as the rows arrive, holds none of
+    them for a sort, and never gets the rows of two files. The hash is
+    deterministic, so a retried task rebuilds exactly the same file.
     """
     df = spark.read.parquet(src_path)
     cols = list(partition_cols)
     counts = df.groupBy(*cols).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("int").alias("__files"))
-    total = counts.agg(F.sum("__files")).first()[0] or 1
     spread = F.pmod(F.xxhash64(F.col(spread_col)), F.col("__files"))
     if cols:
-        named = counts.select(*[F.col(c).alias(f"__{c}") for c in cols], "__files")
-        joined = df.join(named, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cols], "left").select(*df.columns, "__files")
-        (joined.repartition(total, *cols, spread).drop("__files")
-         .write.mode("overwrite").partitionBy(*cols).parquet(dst_path))
+        folders = counts.collect()              # one row per folder that is written
+        total, first = 0, []
+        for r in folders:
+            first.append((*r, total))
+            total += r["__files"]
+        total = total or 1
+        named = spark.createDataFrame(first, T.StructType([T.StructField(f"__{c}", df.schema[c].dataType) for c in cols]
+                                                          + [T.StructField("__files", T.IntegerType()), T.StructField("__first", T.IntegerType())]))
+        joined = df.join(F.broadcast(named), [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cols], "left").select(*df.columns, "__files", "__first")
+        with files.unsorted_writes(spark, 1):
+            (joined.repartitionById(total, F.col("__first") + spread.cast("int")).drop("__files", "__first")
+             .write.mode("overwrite").partitionBy(*cols).parquet(dst_path))
     else:
+        total = counts.agg(F.sum("__files")).first()[0] or 1
         df.repartition(total, F.pmod(F.xxhash64(F.col(spread_col)), F.lit(total))).write.mode("overwrite").parquet(dst_path)
 
 
