@@ -92,15 +92,17 @@ class ParquetTarget:
 
     def append(self, df: DataFrame) -> None:
         if self.key_buckets:
-            self.with_bucket(df).write.mode("append").partitionBy(BUCKET_COL).parquet(self.path)
+            # rows meet by bucket first, in tasks as large as Spark sees fit: a load adds a few files to a bucket, not one from every task
+            self.with_bucket(df).hint("rebalance", BUCKET_COL).write.mode("append").partitionBy(BUCKET_COL).parquet(self.path)
         else:
             df.write.mode("append").parquet(self.path)
 
 
-def stored_keys_of(keyed_rows: DataFrame, target) -> DataFrame:
+def stored_keys_of(keyed_rows: DataFrame, target, used: list[int] | None = None) -> DataFrame:
     """Key column of the store's buckets that a batch has rows for: the bucket numbers (at most
-    ``key_buckets``) are read first, so the scan of the store skips all other partitions."""
-    used = [r[0] for r in keyed_rows.select(BUCKET_COL).distinct().collect()]
+    ``key_buckets``) are read first unless the caller has them, so the scan of the store skips all other partitions."""
+    if used is None:
+        used = [r[0] for r in keyed_rows.select(BUCKET_COL).distinct().collect()]
     return target.existing_keys(keyed_rows.sparkSession).where(F.col(BUCKET_COL).isin(used))
 
 
@@ -119,17 +121,17 @@ def load_batch(batch: DataFrame, target, *, batch_id: int | None = None,
     batch.persist()
     new = None
     try:
-        n, keyed = batch.agg(F.count("*"), F.count(DW_KEY)).first()
+        bucketed = getattr(target, "key_buckets", None) if not hasattr(target, "insert") else None
+        n, keyed, *used = batch.agg(F.count("*"), F.count(DW_KEY), *([F.collect_set(key_bucket(bucketed))] if bucketed else [])).first()
         metrics["read"], metrics["no_key"] = n, n - keyed
         if n > 0:
             rows = to_serving_rows(batch)
-            bucketed = getattr(target, "key_buckets", None)
             if hasattr(target, "insert"):       # a store that checks conflicts itself (sinks.buckets)
                 metrics["written"] = target.insert(rows)["written"]
                 return metrics
             if bucketed:
                 keyed_rows = target.with_bucket(rows)
-                new = insert_if_absent(keyed_rows, stored_keys_of(keyed_rows, target), DW_KEY,
+                new = insert_if_absent(keyed_rows, stored_keys_of(keyed_rows, target, *used), DW_KEY,
                                        bucket_col=BUCKET_COL).drop(BUCKET_COL).persist()
             else:
                 new = insert_if_absent(rows, target.existing_keys(spark), DW_KEY).persist()
