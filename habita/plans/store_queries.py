@@ -10,6 +10,7 @@ from ..operators.sketches import COUNT_ERROR, RANK_ERROR, batch_sketches, mart_e
 from ..functions.html import url_host
 from ..schemas import RAW_FIELDS
 from ..session import read_table, scratch_path
+from ..sinks import files
 from ..sinks.buckets import BucketedStore
 from ..sinks.lake import append_lake, cluster, refresh_curated_batches
 from ..sinks.observed import load_observed
@@ -27,6 +28,15 @@ def _served(df: DataFrame) -> DataFrame:
     return df.select("listing_url", "listing_id", "scraped_at", "price", "source")
 
 
+def _by_crawl(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """The rows of the crawls with the ``crawl`` they belong to, parsed and cleaned once and kept by crawl."""
+    numbered = F.coalesce(*[F.when(F.expr(c), F.lit(k)) for k, c in enumerate(CRAWLS)]).alias("crawl")
+    kept = rows.select("*", numbered).where("crawl is not null")
+    with files.unsorted_writes(spark, len(CRAWLS)):
+        kept.write.partitionBy("crawl").parquet(path)
+    return spark.read.schema(kept.schema).parquet(path)
+
+
 def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 as a stored operation: three crawls upserted into key buckets, the table read back."""
     store = BucketedStore(scratch_path(spark, "store"), STORE_BUCKETS)
@@ -48,9 +58,9 @@ def insert_by_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_refresh_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone refreshed after each of three lake batches, only the new batch and changed partitions each time."""
     base = scratch_path(spark, "curated-batches")
-    rows = common.clean(spark, sf_dir, keep=())
-    for k, crawl in enumerate(CRAWLS):
-        append_lake(rows.where(crawl), f"{base}/lake/batch_id={k}")
+    rows = _by_crawl(spark, common.clean(spark, sf_dir, keep=()), f"{base}/crawls")
+    for k in range(len(CRAWLS)):
+        append_lake(rows.where(F.col("crawl") == k).drop("crawl"), f"{base}/lake/batch_id={k}")
         refresh_curated_batches(spark, f"{base}/lake", f"{base}/curated")
     return spark.read.parquet(f"{base}/curated").select("listing_url", "listing_id", "scraped_at", "price", "title", "offer_type")
 
