@@ -26,6 +26,9 @@ WINDOW = "30 days"
 SESSION_GAP = "200 days"
 PRICE_TTL_DAYS = 400
 LATE_WAVES = 2                  # sellers that deliver late do so by so many waves
+WAVES_AT_ONCE = 32              # files a task writes side by side; more waves than that are sorted
+# what the windows, sessions and changes are made of; the rest of a message is not parsed
+WAVE_FIELDS = [*common.FILTER_FIELDS, "source"]
 IS_LATE = "o_custkey % 11 = 0"
 
 
@@ -35,7 +38,8 @@ def _waves(spark: SparkSession, sf_dir: str, name: str, late: bool, years: int):
     year = F.year("o_orderdate") + (F.when(F.expr(IS_LATE), LATE_WAVES).otherwise(0) if late else 0)
     wave = year - year % years
     by_wave = common.wire(spark, sf_dir, wave.alias("wave"))
-    by_wave.write.partitionBy("wave").text(f"{base}/staged")
+    with files.unsorted_writes(spark, WAVES_AT_ONCE):
+        by_wave.write.partitionBy("wave").text(f"{base}/staged")
     waves = [n for n in files.names_in(spark, f"{base}/staged") if n.startswith("wave=")]      # one per year or two
     for w in waves:
         files.move(spark, f"{base}/staged/{w}", f"{base}/in/{w.replace('=', '-')}")
@@ -44,11 +48,11 @@ def _waves(spark: SparkSession, sf_dir: str, name: str, late: bool, years: int):
         raise ValueError("no messages")
 
 
-def _drain_waves(spark: SparkSession, sf_dir: str, name: str, table, late: bool, years: int = 1) -> str:
+def _drain_waves(spark: SparkSession, sf_dir: str, name: str, table, late: bool, years: int = 1, fields=WAVE_FIELDS) -> str:
     """Run the streaming query ``table(clean)`` once per wave into a lake; the base folder (in, lake, ckpt)."""
     base = None
     for base in _waves(spark, sf_dir, name, late, years):
-        clean = clean_stream(spark, source="files", path=f"{base}/in/*")
+        clean = clean_stream(spark, source="files", path=f"{base}/in/*", fields=fields)
         with rocksdb_state(spark):
             start_lake(table(clean), f"{base}/lake", f"{base}/ckpt", trigger=DRAIN).awaitTermination()
     return base
@@ -61,7 +65,7 @@ def _text(c: str) -> Column:
 def stream_window_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals per source and 30 days; closed windows from the sink, open ones from the state, late rows counted."""
     base = _drain_waves(spark, sf_dir, "waves-window", lambda clean: arrivals_per_window(clean, DELAY, WINDOW), late=True)
-    read = clean_listings(parse_wire(spark.read.text(f"{base}/in/*"), fields=common.FILTER_FIELDS + ["source"]))
+    read = clean_listings(parse_wire(spark.read.text(f"{base}/in/*"), fields=WAVE_FIELDS))
     accounts = window_accounts(spark.read.parquet(f"{base}/lake"), open_windows(spark, f"{base}/ckpt"),
                                read.groupBy("source").agg(F.count(F.lit(1)).alias("n_listings")))
     return accounts.select("source", _text("start"), "n_listings", "status")
@@ -76,7 +80,7 @@ def stream_crawl_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_evicting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X3 with a delay far shorter than the data: a URL counts again after its state has left, late rows never do."""
     crawl = F.date_trunc("year", F.try_to_timestamp("scraped_at"))
-    base = _drain_waves(spark, sf_dir, "waves-dedup", lambda clean: watermark_dedup(clean, DELAY, event=crawl), late=True)
+    base = _drain_waves(spark, sf_dir, "waves-dedup", lambda clean: watermark_dedup(clean, DELAY, event=crawl), late=True, fields=None)
     return spark.read.parquet(f"{base}/lake").groupBy("listing_url").agg(F.count(F.lit(1)).alias("n_counted"), F.min(F.year("event_time")).alias("first_year"))
 
 

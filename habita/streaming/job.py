@@ -17,11 +17,11 @@ from .windows import with_event_time
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
 
 
-def clean_stream(spark: SparkSession, *, mode: str = "compat", **source_opts) -> DataFrame:
-    """S1 -> S2/S3 -> P*/F*: an unbounded table of cleaned listings."""
+def clean_stream(spark: SparkSession, *, mode: str = "compat", fields=None, **source_opts) -> DataFrame:
+    """S1 -> S2/S3 -> P*/F*: an unbounded table of cleaned listings (with ``fields``: of those the parser is asked for, see ``parse_wire``)."""
     raw = wire_stream(spark, **source_opts)
     schema = lenient_schema() if mode == "lenient" else None
-    parsed = parse_wire(raw, schema=schema) if schema is not None else parse_wire(raw)
+    parsed = parse_wire(raw, schema=schema, fields=fields) if schema is not None else parse_wire(raw, fields=fields)
     return clean_listings(parsed, mode=mode)
 
 

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import datetime
 import gc
 
 import pyarrow as pa
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
 from habita.functions import dom
 from habita.operators.sites import cards
+from habita.plans import store_queries, wave_queries
+from habita.schemas import LISTING_CLEAN
+from habita.sinks import files
+from habita.sinks.lake import compact
+from habita.sinks.warehouse import ParquetTarget, load_batch
+from habita.streaming.job import clean_stream
 from habita.streaming.prices import LatestPrice
 
 DAY = 86_400_000
@@ -112,3 +119,52 @@ def test_pages_that_are_done_with_do_not_wait_for_a_collection(spark, monkeypatc
         assert gc.collect() < 500
     finally:
         gc.enable()
+
+
+def _data_files(spark, folder):
+    return [n for n in files.names_in(spark, folder) if n.startswith("part-")]
+
+
+def test_a_task_of_a_compaction_writes_one_file(spark, tmp_path):
+    lake = spark.range(2000).select(F.concat(F.lit("u"), "id").alias("listing_url"), F.when(F.col("id") % 2 == 0, "a").alias("source"))
+    lake.write.parquet(f"{tmp_path}/lake")
+    compact(spark, f"{tmp_path}/lake", f"{tmp_path}/large", rows_per_file=25, partition_cols=("source",))
+    folders = {n: len(_data_files(spark, f"{tmp_path}/large/{n}")) for n in files.names_in(spark, f"{tmp_path}/large") if n.startswith("source=")}
+    assert folders == {"source=a": 40, "source=__HIVE_DEFAULT_PARTITION__": 40}      # two files in one task would become one
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/large").select(*lake.columns).collect()), key=str) == sorted(map(tuple, lake.collect()), key=str)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_load_adds_few_files_to_a_bucket(spark, tmp_path):
+    target = ParquetTarget(f"{tmp_path}/dw", key_buckets=4)
+    for k in range(2):
+        url = F.concat(F.lit("u"), (F.col("id") + 1000 * k).cast("string"))
+        rows = spark.range(2000).select(*[(url if f.name == "listing_url" else F.lit(None).cast(f.dataType)).alias(f.name) for f in LISTING_CLEAN.fields])
+        assert load_batch(rows, target)["written"] == (2000, 1000)[k]
+    assert target.read(spark).select("listing_url").distinct().count() == target.read(spark).count() == 3000
+    assert max(len(_data_files(spark, f"{tmp_path}/dw/key_bucket={b}")) for b in range(4)) <= 2
+
+
+def test_crawls_are_parsed_once(spark, tmp_path, monkeypatch):
+    rows = [(k, k % 5, 1000.0 * (k + 1), datetime.date(1993 + k % 5, 1, 1), "1-URGENT") for k in range(60)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate date, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    plans, append = [], store_queries.append_lake
+    monkeypatch.setattr(store_queries, "append_lake", lambda df, path: plans.append(df._jdf.queryExecution().toString()) or append(df, path))
+    zone = store_queries.curated_refresh_batches(spark, str(tmp_path)).collect()
+    assert len(plans) == 3 and not any("from_json" in p for p in plans)
+    clean = store_queries.common.clean(spark, str(tmp_path), keep=())
+    latest = {r[0]: r[1] for r in clean.groupBy("listing_url").agg(F.max("scraped_at")).collect()}
+    assert {r["listing_url"]: r["scraped_at"] for r in zone} == latest and len(zone) == len(latest) > 5
+
+
+def test_waves_are_not_sorted_and_parsed_for_what_is_counted(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    clean = clean_stream(spark, source="files", path=f"{tmp_path}/in", fields=wave_queries.WAVE_FIELDS)
+    assert sorted(clean.columns) == sorted([*wave_queries.WAVE_FIELDS, "processed_at"])
+    rows = [(k, k % 5, 1000.0, datetime.date(1993 + k % 5, 1, 1), "1-URGENT") for k in range(50)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate date, o_orderpriority string").write.mode("overwrite").parquet(f"{tmp_path}/orders.parquet")
+    open_at_once = []
+    monkeypatch.setattr(files, "unsorted_writes", lambda s, n, u=files.unsorted_writes: open_at_once.append(n) or u(s, n))
+    bases = list(wave_queries._waves(spark, str(tmp_path), "waves-test", late=False, years=1))
+    assert len(bases) == 5 and open_at_once[-1] == wave_queries.WAVES_AT_ONCE
+    assert spark.read.text(f"{bases[0]}/in/*").count() == 50
