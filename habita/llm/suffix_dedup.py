@@ -32,8 +32,11 @@ from .tokens import slices
 WIDTH = 50
 GRAM = 16
 SLICE = 3 << 20
-PART_BYTES = 16 << 20       # text whose anchor hashes one part of the first exchange holds
+PART_BYTES = 32 << 20       # text whose anchor hashes one part of the first exchange holds
 ARRAY_BYTES = 6 << 20       # text whose shared stretches one suffix array holds
+BUNDLE_KEYS = 1 << 20       # anchor hashes of some slices that a task sends to the parts together
+BUNDLE_BYTES = 16 << 20     # different stretches of some slices that a task sends to the parts together: rows grow
+BUNDLE_USES = 1 << 19       # with the text times the parts divided by this, not with slices times parts
 POPULAR = 2000              # texts that share an anchor, beyond which its windows travel one by one
 
 _ODD = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -119,38 +122,51 @@ def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _part_and_key(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    return (h % U64(parts)).astype(np.int64), (h >> U64(32)).astype(np.uint32)
+    # the lowest bit of a hash is always set
+    return ((h >> U64(1)) % U64(parts)).astype(np.int64), (h >> U64(32)).astype(np.uint32)
 
 
 GRAMS = "part int, names binary, counts binary, keys binary"
 
 
 def _anchor_keys(parts: int):
+    def packed(keys: list[np.ndarray], docs: list[np.ndarray], names: list[np.ndarray]) -> pa.RecordBatch:
+        """One row for each part, of all texts of a bundle."""
+        h, doc, name = np.concatenate(keys), np.concatenate(docs), np.concatenate(names)
+        part, key = _part_and_key(h, parts)
+        # one sort of part, text and key together; repeats within a text go
+        if parts < 1 << 16 and len(name) < 1 << 16:
+            both = np.sort(part.astype(U64) << U64(48) | doc.astype(U64) << U64(32) | key)
+            both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
+            part, key = (both >> U64(48)).astype(np.int64), both.astype(np.uint32)
+            owner = name[(both >> U64(32)).astype(np.int64) & 0xFFFF]
+        else:
+            order = np.lexsort((key, doc, part))
+            part, key, owner = part[order], key[order], name[doc[order]]
+        rows = []
+        cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else [0]
+        for x, y in zip(cuts, cuts[1:]):
+            begin = np.concatenate([[0], np.nonzero(np.diff(owner[x:y]))[0] + 1])
+            count = np.diff(np.concatenate([begin, [y - x]]))
+            rows.append((int(part[x]), owner[x:y][begin].astype("<i8").tobytes(), count.astype("<i4").tobytes(), key[x:y].astype("<u4").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
+                                          names=["part", "names", "counts", "keys"])
+
     def run(batches):
+        keys, docs, names, held, texts = [], [], [], 0, 0
         for batch in batches:
             for piece in slices(batch, size=SLICE):
                 b, ends = _bytes_of(piece.column("text"))
                 doc, _, _, _, _, left, right = anchors(b, ends)
-                name = piece.column("name").to_numpy(zero_copy_only=False)
-                doc, h = np.concatenate([doc[left > 0], doc[right > 0]]), np.concatenate([left[left > 0], right[right > 0]])
-                part, key = _part_and_key(h, parts)
-                # one sort of part, text and key together; repeats within a text go
-                if parts < 1 << 16 and len(name) < 1 << 16:
-                    both = np.sort(part.astype(U64) << U64(48) | doc.astype(U64) << U64(32) | key)
-                    both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
-                    part, key = (both >> U64(48)).astype(np.int64), both.astype(np.uint32)
-                    owner = name[(both >> U64(32)).astype(np.int64) & 0xFFFF]
-                else:
-                    order = np.lexsort((key, doc, part))
-                    part, key, owner = part[order], key[order], name[doc[order]]
-                rows = []
-                cuts = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else [0]
-                for x, y in zip(cuts, cuts[1:]):
-                    begin = np.concatenate([[0], np.nonzero(np.diff(owner[x:y]))[0] + 1])
-                    count = np.diff(np.concatenate([begin, [y - x]]))
-                    rows.append((int(part[x]), owner[x:y][begin].astype("<i8").tobytes(), count.astype("<i4").tobytes(), key[x:y].astype("<u4").tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)]],
-                                                 names=["part", "names", "counts", "keys"])
+                keys += [left[left > 0], right[right > 0]]
+                docs += [doc[left > 0] + texts, doc[right > 0] + texts]
+                names.append(piece.column("name").to_numpy(zero_copy_only=False))
+                held, texts = held + len(keys[-1]) + len(keys[-2]), texts + piece.num_rows
+                if held >= BUNDLE_KEYS:
+                    yield packed(keys, docs, names)
+                    keys, docs, names, held, texts = [], [], [], 0, 0
+        if texts:
+            yield packed(keys, docs, names)
     return run
 
 
@@ -203,10 +219,56 @@ def _squeeze(*arrays: np.ndarray | bytes) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(b"".join(x if isinstance(x, bytes) else x.tobytes() for x in arrays))
 
 
+class _Bundle:
+    """The different stretches of some slices and who has each where; equal ones stand in it once."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.uses: list[tuple[np.ndarray, ...]] = []        # number of the stretch, part, start, document, name
+        self.bytes = self.n_uses = 0
+
+    def add(self, texts: list[bytes], *use: np.ndarray) -> None:
+        number, before = self.number, len(self.number)
+        which = np.fromiter((number.setdefault(x, len(number)) for x in texts), np.int64, len(texts))
+        new, at = np.unique(which, return_index=True)
+        self.bytes += sum(len(texts[i]) for i in at[new >= before].tolist())
+        self.n_uses += len(texts)
+        self.uses.append((which, *use))
+
+    def full(self) -> bool:
+        return self.bytes >= BUNDLE_BYTES or self.n_uses >= BUNDLE_USES
+
+    def packed(self, uid: int) -> pa.RecordBatch:
+        """One row for each part."""
+        which, target, start, ids, name = (np.concatenate(x) for x in zip(*self.uses))
+        names, n = list(self.number), len(self.number)
+        least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
+        np.minimum.at(least, which, ids)
+        np.maximum.at(most, which, ids)
+        where = np.empty(n, np.int64)
+        where[which] = target                   # equal stretches have equal targets
+        order, by = np.argsort(where, kind="stable"), np.argsort(target, kind="stable")
+        there = np.unique(where)
+        cuts, ends = np.append(np.searchsorted(where[order], there), n), np.append(np.searchsorted(target[by], there), len(by))
+        local = np.empty(n, np.int64)
+        local[order] = np.arange(n) - np.repeat(cuts[:-1], np.diff(cuts))
+        rows = []
+        for p, x, y, u, v in zip(there.tolist(), cuts.tolist(), cuts[1:].tolist(), ends.tolist(), ends[1:].tolist()):
+            mine, occ = order[x:y], by[u:v]
+            own = [names[i] for i in mine.tolist()]
+            contents = b"".join(own)
+            rows.append((uid, p, y - x, len(contents),
+                         _squeeze(contents, np.fromiter(map(len, own), "<i2", len(own)), least[mine].astype("<i8"), (most[mine] > least[mine]).astype(np.int8)),
+                         v - u, _squeeze(local[which[occ]].astype("<i4"), start[occ].astype("<i8"), ids[occ].astype("<i8"), name[occ].astype("<i8"))))
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(7)], names=[c.split()[0] for c in STRETCHES.split(", ")])
+
+
 def _stretches(parts: int, deal: int):
-    """Per slice and part: the different stretches around shared anchors, and who has each where."""
+    """Per bundle of slices and part: the different stretches around shared anchors, and who has each where."""
     def run(batches):
         uid = TaskContext.get().partitionId() << 40
+        bundle = _Bundle()
         for batch in batches:
             for piece in slices(batch, size=SLICE):
                 b, ends = _bytes_of(piece.column("text"))
@@ -248,32 +310,13 @@ def _stretches(parts: int, deal: int):
                     to = np.concatenate([to, _window_hashes(b, wf)])
                 if not len(d):
                     continue
-                target = ((to >> U64(8)) % U64(deal)).astype(np.int64)
-                # equal stretches of a slice travel once
-                text = [b[x:x + m].tobytes() for x, m in zip(f.tolist(), n.tolist())]
-                number: dict[bytes, int] = {}
-                which = np.fromiter((number.setdefault(x, len(number)) for x in text), np.int64, len(text))
-                least = np.full(len(number), np.iinfo(np.int64).max)
-                most = np.full(len(number), np.iinfo(np.int64).min)
-                np.minimum.at(least, which, ids[d])
-                np.maximum.at(most, which, ids[d])
-                names = list(number)
-                where = np.empty(len(names), np.int64)
-                where[which] = target           # equal stretches have equal targets
-                rows = []
-                local = np.empty(len(names), np.int64)
-                for p in np.unique(where):
-                    mine = np.nonzero(where == p)[0]
-                    local[mine] = np.arange(len(mine))
-                    occ = np.nonzero(target == p)[0]
-                    own = [names[i] for i in mine]
-                    contents = b"".join(own)
-                    rows.append((uid, int(p), len(mine), len(contents),
-                                 _squeeze(contents, np.fromiter(map(len, own), "<i2", len(own)), least[mine].astype("<i8"), (most[mine] > least[mine]).astype(np.int8)),
-                                 len(occ), _squeeze(local[which[occ]].astype("<i4"), (f[occ] - begins[d[occ]]).astype("<i8"), ids[d[occ]].astype("<i8"), name[d[occ]].astype("<i8"))))
-                uid += 1
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(7)], names=[c.split()[0] for c in STRETCHES.split(", ")])
+                bundle.add([b[x:x + m].tobytes() for x, m in zip(f.tolist(), n.tolist())],
+                           ((to >> U64(8)) % U64(deal)).astype(np.int64), f - begins[d], ids[d], name[d])
+                if bundle.full():
+                    yield bundle.packed(uid)
+                    uid, bundle = uid + 1, _Bundle()
+        if bundle.n_uses:
+            yield bundle.packed(uid)
     return run
 
 
@@ -308,8 +351,28 @@ def equal_windows(contents: np.ndarray, lengths: np.ndarray, least: np.ndarray,
     return sa - begin[who], who, low
 
 
+def _may_share(contents: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Which of the different stretches have an anchor, with the bytes before or after it, that another one has too.
+
+    Equal windows have one of the two in common, so the windows of any other stretch are its own. Different stretches
+    of ``WIDTH`` bytes are different windows, so one of those that have it must be longer.
+    """
+    doc, _, _, _, _, left, right = anchors(contents, np.cumsum(lengths))
+    key, doc = np.concatenate([left, right]), np.concatenate([doc, doc])
+    key, doc = key[key > 0], doc[key > 0]
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.empty(0, bool)
+    at = np.nonzero(first)[0]
+    last = np.append(at[1:], len(key)) - 1 if len(at) else at
+    shared = (doc[last] != doc[at]) & np.logical_or.reduceat(lengths[doc] > WIDTH, at) if len(at) else first
+    out = np.zeros(len(lengths), bool)
+    out[doc[np.repeat(shared, last - at + 1)]] = True
+    return out
+
+
 def _search(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Windows of one part that some smaller document has, as runs per slice."""
+    """Windows of one part that some smaller document has, as runs per bundle."""
     counts = pdf["n"].tolist()
     lengths, least, several, contents = [], [], [], []
     unzip = zstandard.ZstdDecompressor()
@@ -320,7 +383,7 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
         least.append(np.frombuffer(raw, "<i8", n, size + 2 * n))
         several.append(np.frombuffer(raw, np.int8, n, size + 10 * n))
     lengths, least, several = np.concatenate(lengths).astype(np.int64), np.concatenate(least), np.concatenate(several) == 1
-    # equal stretches of different slices stand in the array once
+    # equal stretches of different bundles stand in the array once
     number: dict[bytes, int] = {}
     which = np.empty(len(lengths), np.int64)
     i = 0
@@ -332,10 +395,17 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
             i += 1
     smallest = np.full(len(number), np.iinfo(np.int64).max)
     np.minimum.at(smallest, which, least)
-    at, who, low = equal_windows(np.frombuffer(b"".join(number), np.uint8), np.fromiter(map(len, number), np.int64, len(number)), smallest)
-    # windows of each different stretch, for every slice that has it
-    begin = np.searchsorted(who, np.arange(len(number)))
-    size = np.searchsorted(who, np.arange(len(number)), side="right") - begin
+    joined, sizes = np.frombuffer(b"".join(number), np.uint8), np.fromiter(map(len, number), np.int64, len(number))
+    size = sizes - WIDTH + 1
+    begin = np.cumsum(size) - size
+    who, low = np.repeat(np.arange(len(sizes)), size), np.repeat(smallest, size)
+    at = np.arange(len(who)) - begin[who]
+    # the others have no window in common with any other stretch
+    share = _may_share(joined, sizes)
+    if share.any():
+        in_at, in_who, in_low = equal_windows(joined[np.repeat(share, sizes)], sizes[share], smallest[share])
+        low[begin[share][in_who] + in_at] = in_low
+    # windows of each different stretch, for every bundle that has it
     n = size[which]
     pick = np.repeat(begin[which] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
     at, who, low = at[pick], np.repeat(np.arange(len(which)), n), low[pick]
@@ -345,17 +415,19 @@ def _search(pdf: pd.DataFrame) -> pd.DataFrame:
     begin = np.nonzero(cut)[0]
     last = np.concatenate([begin[1:], [len(at)]]) - 1 if len(begin) else begin
     first_of = np.cumsum([0, *counts])
-    row = np.searchsorted(first_of, who[begin], side="right") - 1
+    row = np.searchsorted(first_of, who[begin], side="right") - 1           # in order, as the stretches are
+    there, cuts = np.unique(row, return_index=True)
+    uids, parts = pdf["uid"].tolist(), pdf["part"].tolist()
     rows = []
-    for r in np.unique(row):
-        m = begin[row == r], last[row == r]
-        rows.append((pdf["uid"].iloc[r], pdf["part"].iloc[r], (who[m[0]] - first_of[r]).astype("<i4").tobytes(), at[m[0]].astype("<i4").tobytes(),
+    for r, x, y in zip(there.tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(row)]):
+        m = begin[x:y], last[x:y]
+        rows.append((uids[r], parts[r], (who[m[0]] - first_of[r]).astype("<i4").tobytes(), at[m[0]].astype("<i4").tobytes(),
                      at[m[1]].astype("<i4").tobytes(), low[m[0]].astype("<i8").tobytes()))
     return pd.DataFrame(rows, columns=["uid", "part", "owner", "first", "last", "least"])
 
 
 def _spans(uses: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
-    """Covered byte ranges per document of one slice, from the runs of its stretches and who has them."""
+    """Covered byte ranges per document of one bundle, from the runs of its stretches and who has them."""
     unzip = zstandard.ZstdDecompressor()
     have = {p: (n, u) for p, n, u in zip(uses["part"], uses["n_uses"], uses["uses"])}
     docs, names, pairs = [], [], []
